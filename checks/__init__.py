@@ -1,0 +1,15 @@
+"""Registered queries and the SQL that must give the same rows."""
+
+from checks.core import CHECKS, oracle_sql, queries
+from checks import (  # noqa: F401  (registers the queries)
+    functions,
+    joins,
+    mappings,
+    projections,
+    quality,
+    sinks,
+    sources,
+    windows,
+)
+
+__all__ = ["CHECKS", "oracle_sql", "queries"]

@@ -1 +1,97 @@
-"""Placeholder."""
+"""Key, enum and reconciliation checks."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from checks.core import Tables, check
+from checks.fixtures import frames, with_fixtures
+from zilverspoor.operators.quality import (
+    enum_violations,
+    fk_orphans,
+    pk_violations,
+    reconcile_counts,
+    reconcile_values,
+    row_counts,
+)
+
+
+@check(
+    "pk_violations",
+    """SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
+    GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
+)
+def pk_violations_query(t: Tables) -> DataFrame:
+    return pk_violations(t.lineitem, ["l_orderkey", "l_linenumber"])
+
+
+@check(
+    "fk_orphans",
+    with_fixtures(
+        """SELECT h.rsys_adr, count(*) AS n_rows FROM gba_tbwnhis h
+        WHERE h.rsys_adr IS NOT NULL
+          AND NOT EXISTS (SELECT 1 FROM gba_tgbaadr a WHERE a.rsys_adr = h.rsys_adr + 1500)
+        GROUP BY h.rsys_adr""",
+        "gba_tbwnhis",
+        "gba_tgbaadr",
+    ),
+)
+def fk_orphans_query(t: Tables) -> DataFrame:
+    src = frames(t, "gba_tbwnhis", "gba_tgbaadr")
+    addresses = src["gba_tgbaadr"].select((F.col("rsys_adr") - 1500).alias("address_key"))
+    return fk_orphans(src["gba_tbwnhis"], ["rsys_adr"], addresses, ["address_key"])
+
+
+@check(
+    "enum_violations",
+    with_fixtures(
+        """SELECT kwon_end, count(*) AS n_rows FROM gba_tbwnhis WHERE kwon_end IS NOT NULL
+        AND kwon_end NOT IN (SELECT kode FROM gba_tdomein WHERE kveld = 'KWON_END')
+        GROUP BY kwon_end""",
+        "gba_tbwnhis",
+        "gba_tdomein",
+    ),
+)
+def enum_violations_query(t: Tables) -> DataFrame:
+    src = frames(t, "gba_tbwnhis", "gba_tdomein")
+    reasons = src["gba_tdomein"].where("kveld = 'KWON_END'")
+    return enum_violations(src["gba_tbwnhis"], "kwon_end", reasons, "kode")
+
+
+@check(
+    "source_counts",
+    """SELECT 'customer' AS table_name, count(*) AS n_rows FROM customer
+    UNION ALL SELECT 'lineitem', count(*) FROM lineitem
+    UNION ALL SELECT 'orders', count(*) FROM orders""",
+)
+def source_counts(t: Tables) -> DataFrame:
+    return row_counts({"customer": t.customer, "lineitem": t.lineitem, "orders": t.orders})
+
+
+@check(
+    "reconcile_counts",
+    """SELECT 'customer' AS table_name, count(*) AS source_rows, count(*) AS loaded_rows,
+      TRUE AS matches FROM customer
+    UNION ALL SELECT 'orders', count(*), count(*) FILTER (o_orderstatus <> 'P'),
+      count(*) = count(*) FILTER (o_orderstatus <> 'P') FROM orders
+    UNION ALL SELECT 'part', count(*), NULL, FALSE FROM part""",
+)
+def reconcile_counts_query(t: Tables) -> DataFrame:
+    source = {"customer": t.customer, "orders": t.orders, "part": t.part}
+    loaded = {"customer": t.customer, "orders": t.orders.where("o_orderstatus <> 'P'")}
+    return reconcile_counts(source, loaded)
+
+
+@check(
+    "reconcile_values",
+    """SELECT l_orderkey, l_returnflag, round(l_tax, 5) AS l_tax, count(*) AS left_copies,
+      count(*) FILTER (l_returnflag <> 'R') AS right_copies FROM lineitem
+    GROUP BY l_orderkey, l_returnflag, round(l_tax, 5)
+    HAVING count(*) <> count(*) FILTER (l_returnflag <> 'R')""",
+)
+def reconcile_values_query(t: Tables) -> DataFrame:
+    """Noise below the fifth decimal is no difference; a missing copy is."""
+    rows = t.lineitem.select("l_orderkey", "l_returnflag", "l_tax")
+    loaded = rows.where("l_returnflag <> 'R'").withColumn("l_tax", F.col("l_tax") + 1e-9)
+    return reconcile_values(rows, loaded)

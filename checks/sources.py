@@ -1 +1,241 @@
-"""Placeholder."""
+"""Sources: table scans, part sets, manifests, CSV and OData pages."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from checks.core import Tables, check
+from zilverspoor.sinks.parts import write_manifest
+from zilverspoor.sources.files import (
+    group_part_files,
+    read_csv,
+    read_manifest_tables,
+    read_part_set,
+)
+from zilverspoor.sources.odata import (
+    EntityType,
+    entity_navigation,
+    entity_properties,
+    read_entity_sets,
+    read_entity_types,
+    read_pages,
+)
+from zilverspoor.streaming.landing import append_batches, land, landing_stream, read_landed
+
+
+@check("scan_table", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
+def scan_table(t: Tables) -> DataFrame:
+    return t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity")
+
+
+@check(
+    "scan_partitioned",
+    "SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem WHERE l_returnflag = 'R'",
+)
+def scan_partitioned(t: Tables) -> DataFrame:
+    """A dump split by return flag; the condition prunes the other folders."""
+    path = t.run_dir("partitioned")
+    t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag").write.partitionBy(
+        "l_returnflag"
+    ).parquet(path)
+    dump = t.spark.read.parquet(path)
+    return dump.where("l_returnflag = 'R'").drop("l_returnflag")
+
+
+@check("scan_row_limit", "SELECT least(count(*), 1000) AS n_rows FROM lineitem")
+def scan_row_limit(t: Tables) -> DataFrame:
+    return t.lineitem.limit(1000).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _write_parts(t: Tables, folder: str) -> list[str]:
+    """Orders as one part per status, named the way services name entity sets."""
+    paths = []
+    for number, status in enumerate(("F", "O", "P")):
+        path = f"{folder}/[SALES].[Orders]_part{number:04d}.parquet"
+        rows = t.orders.where(F.col("o_orderstatus") == status)
+        rows.select("o_orderkey", F.col("o_custkey").alias("O_CUSTKEY")).write.parquet(path)
+        paths.append(path)
+    return paths
+
+
+@check(
+    "scan_part_set",
+    "SELECT 'SALES_Orders' AS table_name, o_orderkey, o_custkey FROM orders",
+)
+def scan_part_set(t: Tables) -> DataFrame:
+    groups = group_part_files(_write_parts(t, t.run_dir("parts")))
+    (name, files), = groups.items()
+    return read_part_set(t.spark, files).select(F.lit(name).alias("table_name"), "*")
+
+
+@check("scan_manifest", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus <> 'P'")
+def scan_manifest(t: Tables) -> DataFrame:
+    """A third part lies in the folder, but this run's manifest does not list it."""
+    folder = t.run_dir("manifest")
+    parts = {}
+    for status in ("F", "O", "P"):
+        path = f"{folder}/orders_{status}"
+        rows = t.orders.where(F.col("o_orderstatus") == status)
+        rows.select("o_orderkey", "o_custkey").write.parquet(path)
+        parts[status] = path
+    listed = {"orders_f": parts["F"], "orders_o": parts["O"]}
+    manifest = write_manifest(t.spark, f"{folder}/run-manifest", "run", listed)
+    tables = read_manifest_tables(t.spark, manifest)
+    return tables["orders_f"].unionByName(tables["orders_o"])
+
+
+@check(
+    "scan_csv_folder",
+    "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer",
+)
+def scan_csv_folder(t: Tables) -> DataFrame:
+    path = f"{t.run_dir('csv')}/customer.csv"
+    rows = t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    rows.toDF(*[c.upper() for c in rows.columns]).write.option("header", "true").csv(path)
+    return read_csv(t.spark, path, rows.schema)
+
+
+# -- OData --------------------------------------------------------------------------
+
+_PAGE_ROWS = 500
+CUSTOMER = EntityType(
+    "Customer",
+    ("Id",),
+    {
+        "Name": T.StringType(),
+        "Id": T.LongType(),
+        "Balance": T.DecimalType(12, 2),
+        "Remark": T.StringType(),
+    },
+    {"Nation": T.StructType([T.StructField("Key", T.IntegerType()), T.StructField("Tag", T.StringType())])},
+)
+
+
+def _write_pages(t: Tables, version: str) -> str:
+    """Customers as a service would page them: a page is one JSON line."""
+    rows = t.customer.select(
+        F.floor(F.col("c_custkey") / _PAGE_ROWS).alias("page"),
+        F.struct(
+            F.col("c_name").alias("Name"),
+            F.col("c_custkey").alias("Id"),
+            F.col("c_acctbal").cast("decimal(12,2)").alias("Balance"),
+            F.struct(
+                F.col("c_nationkey").alias("Key"), F.lit(None).cast("string").alias("Tag")
+            ).alias("Nation"),
+        ).alias("row"),
+    )
+    # at most _PAGE_ROWS customers share a page
+    pages = rows.groupBy("page").agg(F.collect_list("row").alias("rows"))
+    link = F.concat(F.lit("Customers?$skiptoken="), (F.col("page") + 1).cast("string"))
+    if version == "v4":
+        page = F.struct(F.col("rows").alias("value"), link.alias("@odata.nextLink"))
+    else:
+        page = F.struct(F.struct(F.col("rows").alias("results"), link.alias("__next")).alias("d"))
+    path = t.run_dir(f"odata-{version}")
+    pages.select(F.to_json(page)).write.text(path)
+    return path
+
+
+_ENTITY_SQL = """SELECT c_custkey AS "Id", c_name AS "Name",
+    CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR) AS "Balance",
+    CAST(NULL AS VARCHAR) AS "Remark" FROM customer"""
+
+
+@check("odata_pages", _ENTITY_SQL)
+def odata_pages(t: Tables) -> DataFrame:
+    return read_pages(t.spark, _write_pages(t, "v4"), CUSTOMER)
+
+
+@check("odata_pages_v2", _ENTITY_SQL)
+def odata_pages_v2(t: Tables) -> DataFrame:
+    return read_pages(t.spark, _write_pages(t, "v2"), CUSTOMER, version="v2")
+
+
+@check(
+    "odata_select_filter",
+    """SELECT c_custkey AS "Id", CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR) AS "Balance"
+    FROM customer WHERE c_acctbal > 1000""",
+)
+def odata_select_filter(t: Tables) -> DataFrame:
+    return read_pages(
+        t.spark,
+        _write_pages(t, "v4"),
+        CUSTOMER,
+        select="Balance,Id,Unknown",
+        condition=F.col("Balance") > 1000,
+    )
+
+
+@check(
+    "odata_project_keys_first",
+    """SELECT 'Id,Remark,Name,Nation' AS column_order, c_custkey AS "Id",
+    CAST(NULL AS VARCHAR) AS "Remark", c_name AS "Name",
+    '{"Key":' || CAST(c_nationkey AS VARCHAR) || ',"Tag":null}' AS "Nation" FROM customer""",
+)
+def odata_project_keys_first(t: Tables) -> DataFrame:
+    rows = read_pages(
+        t.spark, _write_pages(t, "v4"), CUSTOMER, select="Remark, Name, Id", expand="Nation/Key"
+    )
+    return rows.select(F.lit(",".join(rows.columns)).alias("column_order"), "*")
+
+
+def _write_metadata(t: Tables) -> str:
+    """Service metadata with one entity type and one entity set per part."""
+    xml = F.concat(
+        F.lit('<EntityType Name="Part'),
+        F.col("p_partkey").cast("string"),
+        F.lit('"><Key><PropertyRef Name="Id"/></Key>'),
+        F.lit('<Property Name="Id" Type="Edm.Int64" Nullable="false"/>'),
+        F.lit('<Property Name="'),
+        F.col("p_type"),
+        F.lit('" Type="Edm.Decimal"/>'),
+        F.when(
+            F.col("p_size") > 25,
+            F.lit('<NavigationProperty Name="Orders" Type="Collection(Shop.Order)"/>'),
+        ).otherwise(""),
+        F.lit('</EntityType><EntitySet Name="Parts'),
+        F.col("p_partkey").cast("string"),
+        F.lit('" EntityType="Shop.Part'),
+        F.col("p_partkey").cast("string"),
+        F.lit('"/>'),
+    )
+    path = t.run_dir("metadata")
+    t.part.select(xml).write.text(path)
+    return path
+
+
+@check(
+    "odata_metadata",
+    """SELECT s.entity_set, s.entity_type, p.property, p.edm_type, p.nullable, p.is_key
+    FROM (SELECT 'Parts' || CAST(p_partkey AS VARCHAR) AS entity_set,
+      'Part' || CAST(p_partkey AS VARCHAR) AS entity_type, p_type FROM part) AS s,
+    LATERAL (SELECT 'Id' AS property, 'Edm.Int64' AS edm_type, FALSE AS nullable, TRUE AS is_key
+      UNION ALL SELECT s.p_type, 'Edm.Decimal', TRUE, FALSE) AS p""",
+)
+def odata_metadata(t: Tables) -> DataFrame:
+    path = _write_metadata(t)
+    properties = entity_properties(read_entity_types(t.spark, path))
+    return read_entity_sets(t.spark, path).join(properties, "entity_type")
+
+
+@check(
+    "odata_navigation",
+    """SELECT 'Part' || CAST(p_partkey AS VARCHAR) AS entity_type, 'Orders' AS navigation,
+    'Collection(Shop.Order)' AS target_type FROM part WHERE p_size > 25""",
+)
+def odata_navigation(t: Tables) -> DataFrame:
+    return entity_navigation(read_entity_types(t.spark, _write_metadata(t)))
+
+
+@check("landing_incremental", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
+def landing_incremental(t: Tables) -> DataFrame:
+    """Two runs; the second takes the part that came after the first, and only that."""
+    folder, bronze, state = t.run_dir("landing"), t.run_dir("bronze"), t.run_dir("state")
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
+    parts = rows.toDF(*[c.upper() for c in rows.columns])
+    for condition in ("O_ORDERSTATUS = 'F'", "O_ORDERSTATUS <> 'F'"):
+        parts.where(condition).write.mode("append").parquet(folder)
+        land(landing_stream(t.spark, folder, parts.schema), state, append_batches(bronze))
+    return read_landed(t.spark, bronze, rows.schema)

@@ -17,7 +17,7 @@ UNKNOWN_BEGIN = 19000101
 def yyyymmdd_to_date(value: Column) -> Column:
     """YYYYMMDD number or text to DATE; anything else is NULL."""
     text = value.cast("string")
-    return F.when(F.length(text) == 8, F.try_to_date(text, F.lit("yyyyMMdd")))
+    return F.when(F.length(text) == 8, F.try_to_date(text, "yyyyMMdd"))
 
 
 def incomplete_date_to_date(value: Column) -> Column:

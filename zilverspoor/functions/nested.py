@@ -25,7 +25,7 @@ def scalar(value: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, T.BinaryType):
         return F.base64(value)
     if isinstance(data_type, T.DayTimeIntervalType):
-        return value.cast(T.DayTimeIntervalType(3, 3)).cast("double")
+        return value.cast(T.DayTimeIntervalType(3, 3)).cast("decimal(18,6)").cast("double")
     return value
 
 

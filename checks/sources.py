@@ -183,26 +183,35 @@ def odata_project_keys_first(t: Tables) -> DataFrame:
 
 def _write_metadata(t: Tables) -> str:
     """Service metadata with one entity type and one entity set per part."""
-    xml = F.concat(
-        F.lit('<EntityType Name="Part'),
-        F.col("p_partkey").cast("string"),
-        F.lit('"><Key><PropertyRef Name="Id"/></Key>'),
-        F.lit('<Property Name="Id" Type="Edm.Int64" Nullable="false"/>'),
-        F.lit('<Property Name="'),
-        F.col("p_type"),
-        F.lit('" Type="Edm.Decimal"/>'),
-        F.when(
-            F.col("p_size") > 25,
-            F.lit('<NavigationProperty Name="Orders" Type="Collection(Shop.Order)"/>'),
-        ).otherwise(""),
-        F.lit('</EntityType><EntitySet Name="Parts'),
-        F.col("p_partkey").cast("string"),
-        F.lit('" EntityType="Shop.Part'),
-        F.col("p_partkey").cast("string"),
-        F.lit('"/>'),
+    name = F.concat(F.lit("Part"), F.col("p_partkey").cast("string"))
+
+    def prop(label, kind, nullable=None):
+        return F.struct(
+            label.alias("_Name"),
+            F.lit(kind).alias("_Type"),
+            F.lit(nullable).cast("string").alias("_Nullable"),
+        )
+
+    orders = F.struct(
+        F.lit("Orders").alias("_Name"), F.lit("Collection(Shop.Order)").alias("_Type")
+    )
+    entity_type = F.struct(
+        name.alias("_Name"),
+        F.struct(F.struct(F.lit("Id").alias("_Name")).alias("PropertyRef")).alias("Key"),
+        F.array(
+            prop(F.lit("Id"), "Edm.Int64", "false"), prop(F.col("p_type"), "Edm.Decimal")
+        ).alias("Property"),
+        F.when(F.col("p_size") > 25, orders).alias("NavigationProperty"),
+    )
+    entity_set = F.struct(
+        F.regexp_replace(name, "^Part", "Parts").alias("_Name"),
+        F.concat(F.lit("Shop."), name).alias("_EntityType"),
+    )
+    documents = t.part.select(
+        entity_type.alias("EntityType"), F.struct(entity_set.alias("EntitySet")).alias("EntityContainer")
     )
     path = t.run_dir("metadata")
-    t.part.select(xml).write.text(path)
+    documents.write.format("xml").option("rowTag", "Schema").option("rootTag", "Edmx").save(path)
     return path
 
 

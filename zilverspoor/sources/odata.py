@@ -74,15 +74,34 @@ def read_pages(
     """Rows of landed pages, one JSON page per line.
 
     The read schema holds the wanted columns only, so other properties are never
-    parsed; a property missing from a row is NULL. A page has a bounded number
-    of rows, so exploding it needs no shuffle.
+    parsed; a property missing from a row is NULL.
     """
-    schema = entity.schema(entity.columns(select, expand))
-    pages = spark.read.schema(page_schema(schema, version)).json(path)
-    rows_field = _PAGE[version][0]
-    rows = pages.select(
-        F.explode(rows_field if version == "v4" else f"d.{rows_field}").alias("row")
-    ).select("row.*")
+    schema = page_schema(entity.schema(entity.columns(select, expand)), version)
+    pages = spark.read.schema(schema).json(path)
+    return _page_rows(pages.select(F.struct("*").alias("page")), version, condition, row_limit)
+
+
+def parse_pages(
+    bodies: DataFrame,
+    entity: EntityType,
+    version: str = "v4",
+    select: str | None = None,
+    expand: str | None = None,
+    condition: Column | None = None,
+    row_limit: int = 0,
+) -> DataFrame:
+    """Rows of page bodies, one JSON text per row in the column ``body``."""
+    schema = page_schema(entity.schema(entity.columns(select, expand)), version)
+    pages = bodies.select(F.from_json("body", schema, {"mode": "FAILFAST"}).alias("page"))
+    return _page_rows(pages, version, condition, row_limit)
+
+
+def _page_rows(
+    pages: DataFrame, version: str, condition: Column | None, row_limit: int
+) -> DataFrame:
+    """A page has a bounded number of rows, so exploding it needs no shuffle."""
+    field = _PAGE[version][0] if version == "v4" else f"d.{_PAGE[version][0]}"
+    rows = pages.select(F.explode(f"page.{field}").alias("row")).select("row.*")
     if condition is not None:
         rows = rows.where(condition)
     if row_limit > 0:

@@ -10,6 +10,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from checks.core import Tables
 
@@ -94,8 +95,7 @@ def wvind_b(t: Tables) -> DataFrame:
     "SELECT * FROM (VALUES (0, 'JEUGDWET'), (1, 'WMO'), (2, NULL)) AS v(kode_regeling, omschryving)",
 )
 def szregel(t: Tables) -> DataFrame:
-    rows = [(0, "JEUGDWET"), (1, "WMO"), (2, None)]
-    return t.spark.createDataFrame(rows, "kode_regeling int, omschryving string")
+    return t.spark.sql(FIXTURES["szregel"].sql)
 
 
 @_fixture(
@@ -106,13 +106,14 @@ def szregel(t: Tables) -> DataFrame:
 )
 def wvdos(t: Tables) -> DataFrame:
     return (
+        # the flags are single letters: their code points aggregate by hashing
         t.lineitem.groupBy("l_orderkey", "l_linenumber")
-        .agg({"l_returnflag": "min"})
+        .agg(F.min(F.ascii("l_returnflag")).alias("flag"))
         .selectExpr(
             "l_orderkey as besluitnr",
             "l_linenumber as volgnr_ind",
             "l_orderkey * 10 + l_linenumber as uniek",
-            "`min(l_returnflag)` as kode_reden_einde_voorz",
+            "char(flag) as kode_reden_einde_voorz",
         )
     )
 
@@ -124,13 +125,7 @@ def wvdos(t: Tables) -> DataFrame:
        AS v(code, domein, omschrijving)""",
 )
 def abc_refcod(t: Tables) -> DataFrame:
-    rows = [
-        ("A", "JZG_REDEN_EINDE_PRODUCT", "x"),
-        ("R", "WVRTEIND", "y"),
-        ("N", "JZG_REDEN_EINDE_PRODUCT", "z"),
-        ("N", "WVRTEIND", "w"),
-    ]
-    return t.spark.createDataFrame(rows, "code string, domein string, omschrijving string")
+    return t.spark.sql(FIXTURES["abc_refcod"].sql)
 
 
 @_fixture(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from types import SimpleNamespace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from checks.core import Tables, check, text
 from checks.fixtures import frames, with_fixtures
 from zilverspoor.operators.quality import row_counts
 from zilverspoor.plans import MAPPINGS, Bronze, build, plan_all
+from zilverspoor.plans.civil import marriage_records, marriage_states
 from zilverspoor.sinks.load import create_silver, load_silver
 
 AS_OF = datetime.date(2024, 6, 15)
@@ -400,10 +402,6 @@ def mapping_row_limit(t: Tables) -> DataFrame:
     ),
 )
 def union_marriage_basis(t: Tables) -> DataFrame:
-    from types import SimpleNamespace
-
-    from zilverspoor.plans.civil import marriage_records
-
     return marriage_records(
         SimpleNamespace(**frames(t, "gba_thuwhis", "gba_thuwakt", "gba_tovlakt"))
     )
@@ -425,12 +423,8 @@ def union_marriage_basis(t: Tables) -> DataFrame:
     ),
 )
 def marriage_states_query(t: Tables) -> DataFrame:
-    from types import SimpleNamespace
-
-    from zilverspoor.plans.civil import marriage_records, marriage_states
-
     src = SimpleNamespace(**frames(t, "gba_thuwhis", "gba_thuwakt", "gba_tovlakt"))
-    return marriage_states(marriage_records(src))
+    return marriage_states(src)
 
 
 def skippable(t: Tables) -> dict[str, str]:

@@ -25,10 +25,9 @@ HOUSEHOLD_RELATIONS = (
 
 def household_relations(spark: SparkSession) -> DataFrame:
     """The eight household relations; a fixed list, so a broadcast is always safe."""
-    rows = spark.createDataFrame(
-        list(HOUSEHOLD_RELATIONS), "nummer int, omschrijving string, geslacht string"
-    )
-    return F.broadcast(rows)
+    rows = ", ".join(f"({n}, '{text}', '{who}')" for n, text, who in HOUSEHOLD_RELATIONS)
+    relation = spark.sql(f"SELECT * FROM VALUES {rows} AS v(nummer, omschrijving, geslacht)")
+    return F.broadcast(relation)
 
 
 def decode(df: DataFrame, code: str, domains: DataFrame, domain: str, out: str) -> DataFrame:

@@ -61,6 +61,23 @@ def first_in_group(
     return top_row(df, keys, order).select(*keys, *columns)
 
 
+def first_as_aggregate(latest_day: str, values: Sequence[str]) -> Column:
+    """Aggregate to the values of the row with the latest day, as one struct.
+
+    Same choice as ``first_in_group`` ordered by the day descending (NULL first)
+    and then by the values ascending (NULL last), for use next to other aggregates.
+    """
+    rank = [-F.unix_date(latest_day)]  # NULL sorts first in a struct
+    for value in values:
+        rank += [F.col(value).isNull(), F.col(value)]
+    names = [f"rank{i}" for i in range(len(rank))]
+    first = F.min(F.struct(*[r.alias(n) for r, n in zip(rank, names)]))
+    return F.struct(
+        *[first[f"rank{2 * i + 2}"].alias(v) for i, v in enumerate(values)],
+        F.date_from_unix_date(-first["rank0"]).alias(latest_day),
+    )
+
+
 def with_partition_min(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
     """Add the smallest value of the group to each of its rows."""
     least = df.groupBy(*keys).agg(F.min(value).alias(out))
@@ -100,8 +117,9 @@ def look_ahead(
     columns when not given, NULLs first): all but the last of them see their own
     value next. Exact copies of a row are treated alike.
     """
-    rest = [c for c in df.columns if c not in keys and c != order]
-    tie = F.struct(*[F.col(c) for c in (ties or rest)]) if (ties or rest) else F.lit(1)
+    ties = list(ties or [c for c in df.columns if c not in keys and c != order])
+    # one plain column aggregates by hashing, a struct needs sorting
+    tie = F.col(ties[0]) if len(ties) == 1 else F.struct(*ties)
     steps = df.groupBy(*keys, order).agg(F.max(tie).alias("__last"))
     window = Window.partitionBy(*keys).orderBy(by(order))
     steps = steps.withColumn("__next", F.lead(order).over(window))

@@ -32,7 +32,7 @@ from zilverspoor.operators.history import close_interval, current_rows, union_hi
 from zilverspoor.operators.lookup import decode, household_relations
 from zilverspoor.operators.windows import (
     by,
-    first_in_group,
+    first_as_aggregate,
     join_null_safe,
     look_ahead,
     rows_at_min,
@@ -361,14 +361,17 @@ _MARRIAGE = [
 ]
 
 
+def valid_history(src: SimpleNamespace) -> DataFrame:
+    return src.gba_thuwhis.where(F.col("ionj").isNull()).select(*_MARRIAGE)
+
+
 def marriage_records(src: SimpleNamespace) -> DataFrame:
     """Valid history rows of marriages that still have a current row, and those rows.
 
     A marriage without an end day ends by the death of the person, when that came
     after the wedding.
     """
-    valid = src.gba_thuwhis.where(F.col("ionj").isNull()).select(*_MARRIAGE)
-    history = valid.join(src.gba_thuwakt.select("rsys_prs", "rvlg_hw"), ["rsys_prs", "rvlg_hw"])
+    history = valid_history(src).join(src.gba_thuwakt.select("rsys_prs", "rvlg_hw"), ["rsys_prs", "rvlg_hw"])
     by_death = F.col("dhwo").isNull() & (F.col("dovl_gba") > F.coalesce("dhw", F.lit(0)))
     current = src.gba_thuwakt.join(src.gba_tovlakt, "rsys_prs", "left").withColumns(
         {
@@ -388,9 +391,13 @@ def marriage_conversions(records: DataFrame) -> DataFrame:
     )
 
 
-def marriage_states(records: DataFrame) -> DataFrame:
+def marriage_states(src: SimpleNamespace) -> DataFrame:
     """Marriages by state (plain or converted), each with its latest record's values."""
-    conversions = marriage_conversions(records).select(
+    records = marriage_records(src)
+    # history of a marriage without a current row matches no record, so the
+    # conversions need no join and their filter reaches both scans
+    acts = valid_history(src).unionByName(src.gba_thuwakt.select(*_MARRIAGE))
+    conversions = marriage_conversions(acts).select(
         F.col("rsys_prs").alias("c_prs"), F.col("rvlg_hw").alias("c_hw"), "first_conversion"
     )
     number = (F.col("rvlg_hw") + 1).cast("string")
@@ -413,15 +420,16 @@ def marriage_states(records: DataFrame) -> DataFrame:
         "khwo",
         "ksrt_vrb",
     )
-    values = ["rsys_nam", "dhw", "dhwo", "kakt", "khwo", "ksrt_vrb", "omzetting", "dgld", "dopn"]
-    latest = first_in_group(
-        rows,
-        ["rsys_prs", "rvlg_volg"],
-        [by("dopn", descending=True), *[by(c) for c in values if c != "dopn"]],
-        values,
+    values = ["rsys_nam", "dhw", "dhwo", "kakt", "khwo", "ksrt_vrb", "omzetting", "dgld"]
+    # a label is shared by very few marriage numbers of one person (converted 0 and
+    # plain 10 are both 011), so the set stays tiny
+    labels = rows.groupBy("rsys_prs", "rvlg_volg").agg(
+        first_as_aggregate("dopn", values).alias("latest"),
+        F.collect_set("rvlg_hw").alias("numbers"),
+    )
+    return labels.select(
+        "rsys_prs", F.explode_outer("numbers").alias("rvlg_hw"), "rvlg_volg", "latest.*"
     )
-    states = rows.select("rsys_prs", "rvlg_hw", "rvlg_volg").distinct()
-    return join_null_safe(states, latest, ["rsys_prs", "rvlg_volg"], "inner")
 
 
 @mapping(
@@ -437,7 +445,7 @@ def marriage_states(records: DataFrame) -> DataFrame:
 )
 def marriages(src: SimpleNamespace) -> DataFrame:
     """Marriages and partnerships; a converted one ends the day before the conversion."""
-    states = marriage_states(marriage_records(src))
+    states = marriage_states(src)
     # a marriage has two states at most, plain and converted, so this window is tiny
     window = Window.partitionBy("rsys_prs", "rvlg_hw").orderBy(by("dgld"), by("rvlg_volg"))
     states = states.select(

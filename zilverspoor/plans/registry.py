@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from types import SimpleNamespace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from zilverspoor.operators.columns import (
     MissingSource,
@@ -56,6 +56,12 @@ class Bronze:
     column_case: str | None = None
     as_of: Column | None = field(default=None)
 
+    @classmethod
+    def from_database(cls, spark: SparkSession, database: str, **options) -> Bronze:
+        """All tables of a catalog database."""
+        names = [t.name for t in spark.catalog.listTables(database)]
+        return cls({n: spark.table(f"`{database}`.`{n}`") for n in names}, **options)
+
     def table(self, name: str, columns: Sequence[str]) -> DataFrame:
         found = resolve_table(self.tables, name, columns, self.matching, self.table_case)
         return resolve_columns(found, columns, self.matching, self.column_case)

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+Result = TypeVar("Result")
+
 # Runtime settings the joins rely on: a hot join key is split by AQE even when
 # that costs one more exchange further up the plan.
 RUNTIME_CONF = {
@@ -70,3 +76,21 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     path = run_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def together(
+    spark: SparkSession, actions: Sequence[Callable[[], Result]], width: int = 4
+) -> list[Result]:
+    """Run independent Spark actions side by side and give their results in order.
+
+    A small table's job then fills the cores a large one leaves idle. The first
+    error is raised once the actions already started have ended.
+    """
+    with ThreadPoolExecutor(max_workers=max(1, width)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(a)) for a in actions]
+        try:
+            return [job.result() for job in started]
+        except BaseException:
+            for job in started:
+                job.cancel()
+            raise

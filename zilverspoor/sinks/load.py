@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zilverspoor.contracts import CONTRACTS, TableContract
-from zilverspoor.operators.quality import fk_orphans, pk_violations, row_counts
+from zilverspoor.operators.quality import fk_orphans, pk_violations
 from zilverspoor.plans.registry import Bronze, plan_all
-from zilverspoor.sinks.tables import LoadError, TableStore
+from zilverspoor.session import together
+from zilverspoor.sinks.tables import LoadError, Staged, TableStore
 
 _REPORT = "target string, status string, reason string"
 
@@ -32,17 +34,18 @@ def load_silver(
     modes: Mapping[str, str] | None = None,
     check_keys: bool = False,
     row_limit: int = 0,
+    width: int = 4,
 ) -> DataFrame:
     """Run the mappings and show their rows in all tables at once.
 
-    Every mapping is written aside first. If one fails, or ``check_keys`` finds a
+    Every mapping is written aside first, ``width`` of them at a time. If one fails, or ``check_keys`` finds a
     duplicate key, no table changes. A mapping whose source is missing is
     skipped; the result lists what was loaded and what was skipped and why.
     """
     modes = {name.lower(): mode.lower() for name, mode in (modes or {}).items()}
     planned = plan_all(bronze, targets, row_limit)
-    staged = []
-    for target, frame in planned.frames.items():
+
+    def stage(target: str, frame: DataFrame) -> Staged:
         key = CONTRACTS[target].primary_key if target in CONTRACTS else ()
         item = store.stage(frame, target, modes.get(target.lower(), "overwrite"), key)
         if check_keys and key:
@@ -50,7 +53,10 @@ def load_silver(
             rows = store.spark.read.schema(schema).parquet(item.path)
             if not pk_violations(rows, key).isEmpty():
                 raise LoadError(f"{target}: key {list(key)} is not unique or incomplete")
-        staged.append(item)
+        return item
+
+    actions = [partial(stage, target, frame) for target, frame in planned.frames.items()]
+    staged = together(store.spark, actions, width)
     store.publish(staged)
     return load_report(store.spark, [i.table for i in staged], planned.skipped)
 
@@ -64,14 +70,6 @@ def load_report(
     return spark.createDataFrame(rows, _REPORT)
 
 
-def load_report_with_counts(
-    report: DataFrame, frames: Mapping[str, DataFrame]
-) -> DataFrame:
-    """The report with the number of rows of each loaded mapping."""
-    counts = row_counts(frames).withColumnRenamed("table_name", "target")
-    return report.join(counts, "target", "left")
-
-
 def reference_report(store: TableStore, contracts: Iterable[TableContract]) -> DataFrame | None:
     """Orphan count per reference between the given tables, ``None`` without references."""
     by_name = {c.name: c for c in contracts}

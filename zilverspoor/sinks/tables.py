@@ -44,7 +44,12 @@ class TableStore:
         self.spark = spark
         self.database = database
         self.root = root.rstrip("/")
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        self._create_database()
+
+    def _create_database(self) -> None:
+        self.spark.sql(
+            f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{self.root}/database'"
+        )
 
     def name(self, table: str) -> str:
         return f"`{self.database}`.`{table}`"
@@ -65,7 +70,7 @@ class TableStore:
     def reset(self) -> None:
         """Drop the database with its table definitions and create it empty."""
         self.spark.sql(f"DROP DATABASE IF EXISTS `{self.database}` CASCADE")
-        self.spark.sql(f"CREATE DATABASE `{self.database}`")
+        self._create_database()
 
     def create(self, contract: TableContract) -> None:
         """Create a contract's table when missing, with its seed rows."""

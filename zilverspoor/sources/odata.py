@@ -139,17 +139,22 @@ EDM_TYPES: dict[str, T.DataType] = {
     "Edm.Binary": T.StringType(),
 }
 
-_ENTITY_XML = """
+_ENTITY_TYPE = """
     _Name string,
     Key struct<PropertyRef: array<struct<_Name: string>>>,
     Property array<struct<_Name: string, _Type: string, _Nullable: string>>,
     NavigationProperty array<struct<_Name: string, _Type: string>>
 """
+_ENTITY_SET = "_Name string, _EntityType string"
+_DOCUMENT = f"""
+    DataServices struct<Schema: array<struct<
+        EntityType: array<struct<{_ENTITY_TYPE}>>,
+        EntityContainer: array<struct<EntitySet: array<struct<{_ENTITY_SET}>>>>
+    >>>
+"""
 
 
-def read_entity_types(spark: SparkSession, path: str) -> DataFrame:
-    """Entity types of metadata documents: name, keys, properties, navigation."""
-    raw = spark.read.format("xml").option("rowTag", "EntityType").schema(_ENTITY_XML).load(path)
+def _types(raw: DataFrame) -> DataFrame:
     empty = F.array().cast("array<string>")
     return raw.select(
         F.col("_Name").alias("entity_type"),
@@ -159,6 +164,38 @@ def read_entity_types(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _sets(raw: DataFrame) -> DataFrame:
+    # the last step of a dotted name, where dots in brackets do not count
+    last = F.element_at(F.split("_EntityType", r"\.(?![^\[]*\])"), -1)
+    bare = F.regexp_replace(last, r"[\[\]]", "")
+    return raw.select(F.col("_Name").alias("entity_set"), bare.alias("entity_type"))
+
+
+def read_entity_types(spark: SparkSession, path: str) -> DataFrame:
+    """Entity types of metadata documents: name, keys, properties, navigation."""
+    return _types(
+        spark.read.format("xml").option("rowTag", "EntityType").schema(_ENTITY_TYPE).load(path)
+    )
+
+
+def read_entity_sets(spark: SparkSession, path: str) -> DataFrame:
+    """Entity sets of metadata documents with the bare name of their type."""
+    return _sets(
+        spark.read.format("xml").option("rowTag", "EntitySet").schema(_ENTITY_SET).load(path)
+    )
+
+
+def parse_metadata(spark: SparkSession, document: str) -> tuple[DataFrame, DataFrame]:
+    """Entity types and entity sets of one metadata document given as text."""
+    body = spark.createDataFrame([(document,)], "body string")
+    parsed = body.select(F.from_xml("body", _DOCUMENT, {"ignoreNamespace": "true"}).alias("d"))
+    schemas = parsed.select(F.explode("d.DataServices.Schema").alias("s"))
+    types = schemas.select(F.explode("s.EntityType").alias("t")).select("t.*")
+    containers = schemas.select(F.explode("s.EntityContainer").alias("c"))
+    sets = containers.select(F.explode("c.EntitySet").alias("e")).select("e.*")
+    return _types(types), _sets(sets)
+
+
 def entity_properties(types: DataFrame) -> DataFrame:
     """One row per property with its type, nullability and whether it is a key."""
     return types.select("entity_type", "keys", F.explode("properties").alias("p")).select(
@@ -179,18 +216,6 @@ def entity_navigation(types: DataFrame) -> DataFrame:
     )
 
 
-def read_entity_sets(spark: SparkSession, path: str) -> DataFrame:
-    """Entity sets of metadata documents with the bare name of their type."""
-    raw = (
-        spark.read.format("xml")
-        .option("rowTag", "EntitySet")
-        .schema("_Name string, _EntityType string")
-        .load(path)
-    )
-    bare = F.regexp_replace(F.element_at(F.split("_EntityType", r"\.(?![^\[]*\])"), -1), r"[\[\]]", "")
-    return raw.select(F.col("_Name").alias("entity_set"), bare.alias("entity_type"))
-
-
 def entity_type(types: DataFrame, name: str) -> EntityType:
     """One entity type as a reading contract; the name is matched in any case."""
     row = types.where(F.lower("entity_type") == name.lower()).first()

@@ -9,6 +9,7 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame
 
+from zilverspoor.operators.conform import to_bronze
 from zilverspoor.plans import Bronze
 from zilverspoor.session import together
 from zilverspoor.sinks.load import create_silver, load_silver
@@ -51,15 +52,23 @@ def tables_to_staging(
     store: TableStore,
     mode: str = "replace",
     count_source: bool = True,
+    one_digit_is_boolean: bool = False,
     width: int = 4,
 ) -> DataFrame:
-    """Load source tables into staging and compare their row counts.
+    """Load source tables into staging as bronze and compare their row counts.
 
     Reading and writing one table is one job over all its partitions; ``width``
     tables run side by side.
     """
     actions = [
-        partial(_load_one, store, name, df, mode, df.count if count_source else None)
+        partial(
+            _load_one,
+            store,
+            name,
+            to_bronze(df, one_digit_is_boolean),
+            mode,
+            df.count if count_source else None,
+        )
         for name, df in frames.items()
     ]
     return store.spark.createDataFrame(together(store.spark, actions, width), _REPORT)

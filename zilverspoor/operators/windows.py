@@ -19,6 +19,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: 2**20 consecutive ids share a numbering block.
 _BLOCK_BITS = 20
@@ -44,6 +45,18 @@ def join_null_safe(
     return left.join(renamed, condition, how).drop(*[f"__{k}" for k in keys])
 
 
+def _null_free(df: DataFrame, keys: Sequence[str]) -> dict[str, Column]:
+    """Columns that are equal exactly when the keys are, with NULL equal to NULL."""
+    kinds = {f.name: f.dataType for f in df.schema}
+    stand_in = {T.StringType: "", T.DateType: "1970-01-01", T.BooleanType: "false"}
+    columns = {}
+    for key in keys:
+        value = F.lit(stand_in.get(type(kinds[key]), "0")).cast(kinds[key])
+        columns[f"__{key}"] = F.coalesce(key, value)
+        columns[f"__{key}_unknown"] = F.col(key).isNull()
+    return columns
+
+
 def top_row(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column]) -> DataFrame:
     """First row of each group; ``order`` should end in a tie-break.
 
@@ -79,15 +92,23 @@ def first_as_aggregate(latest_day: str, values: Sequence[str]) -> Column:
 
 
 def with_partition_min(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
-    """Add the smallest value of the group to each of its rows."""
-    least = df.groupBy(*keys).agg(F.min(value).alias(out))
-    return join_null_safe(df, least, keys, "inner")
+    """Add the smallest value of the group to each of its rows.
+
+    Grouping and joining use the same columns, so the aggregate is not shuffled
+    a second time for the join.
+    """
+    plain = _null_free(df, keys)
+    keyed = df.withColumns(plain)
+    least = keyed.groupBy(*plain).agg(F.min(value).alias(out))
+    return keyed.join(least, list(plain)).select(*df.columns, out)
 
 
 def rows_at_min(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """The rows that carry the smallest value of their group."""
+    # "at most the least" and not "equal to": an equality would become a join key
+    # and cost a shuffle of the aggregate
     return with_partition_min(df, keys, value, "__least").where(
-        F.col(value) == F.col("__least")
+        F.col(value) <= F.col("__least")
     ).drop("__least")
 
 

@@ -291,19 +291,18 @@ def registered_persons(src: SimpleNamespace) -> DataFrame:
 )
 def residence_addresses(src: SimpleNamespace) -> DataFrame:
     """Residence addresses; of repeated entries of one stay the first one counts."""
-    closed = closed_addresses(src.gba_tbwnhis).withColumn("adresherkomst", F.lit("Woonadres"))
-    current = decode(
-        src.gba_tvbpakt, "kadrf", src.gba_tdomein, "KADRF", "adresherkomst"
-    ).select(
-        "rsys_prs",
-        "rsys_adr",
-        F.col("dadrh").alias("dwon_bgn"),
-        F.lit(-1).alias("rvlg"),
-        "adresherkomst",
+    closed = closed_addresses(src.gba_tbwnhis).withColumn("herkomst", F.lit("Woonadres"))
+    current = src.gba_tvbpakt.select(
+        "rsys_prs", "rsys_adr", F.col("dadrh").alias("dwon_bgn"), F.lit(-1).alias("rvlg"), "kadrf"
     )
     stays = rows_at_min(
         union_history(closed, current), ["rsys_prs", "rsys_adr", "dwon_bgn"], "rvlg"
     )
+    stays = (
+        decode(stays, "kadrf", src.gba_tdomein, "KADRF", "aangifte")
+        .withColumn("adresherkomst", F.coalesce("herkomst", "aangifte"))
+        .drop("kadrf", "herkomst", "aangifte")
+    )
     rows = (
         counted_persons(src.gba_tinsgeg)
         .drop("kops")

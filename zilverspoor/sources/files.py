@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterable, Mapping, Sequence
+from functools import partial
 from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +15,11 @@ from pyspark.sql.utils import AnalysisException
 
 from zilverspoor.operators.columns import lower_columns
 from zilverspoor.operators.conform import harmonise_decimals
+from zilverspoor.session import together
 
 # Fixed value: the part number at the end of a part file's name.
 _PART = re.compile(r"^(?P<base>.+)_part\d+$")
+_FOOTERS_AT_ONCE = 16
 
 
 class ManifestError(ValueError):
@@ -71,15 +74,20 @@ def read_part_set(
     literal = [_literal_path(p) for p in paths]
     if not widen_decimals:
         return lower_columns(spark.read.parquet(*literal))
-    schemas: dict[str, list[str]] = defaultdict(list)
-    frames = {}
-    for path in literal:
-        part = spark.read.parquet(path)
-        shape = part.schema.simpleString()
-        frames.setdefault(shape, part.schema)
-        schemas[shape].append(path)
-    same = [spark.read.schema(frames[s]).parquet(*files) for s, files in schemas.items()]
-    return harmonise_decimals(same)
+    # parts of one shape are read as one scan; only the footers are looked at per part
+    footers = together(
+        spark, [partial(_schema_of, spark, path) for path in literal], _FOOTERS_AT_ONCE
+    )
+    shapes: dict[str, tuple[T.StructType, list[str]]] = {}
+    for path, schema in zip(literal, footers):
+        shapes.setdefault(schema.json(), (schema, []))[1].append(path)
+    return harmonise_decimals(
+        [spark.read.schema(schema).parquet(*files) for schema, files in shapes.values()]
+    )
+
+
+def _schema_of(spark: SparkSession, path: str) -> T.StructType:
+    return spark.read.parquet(path).schema
 
 
 def read_part_folder(

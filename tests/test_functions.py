@@ -65,6 +65,15 @@ def test_local_date_does_not_depend_on_the_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+@pytest.mark.parametrize("zone", ["Europe/Amsterdam", "America/St_Johns"])
+def test_local_date_over_two_centuries(spark, zone):
+    step = 86_400 * 3 + 3_607  # all hours of the day, some 24,000 moments from 1890 on
+    ts = F.timestamp_seconds(F.col("id") * step - 2_524_000_000).cast("timestamp_ntz")
+    slow = F.convert_timezone(F.lit("UTC"), F.lit(zone), F.col("ts")).cast("date")
+    rows = spark.range(24_000).select(ts.alias("ts"))
+    assert rows.where(~slow.eqNullSafe(Z.local_date(F.col("ts"), zone))).count() == 0
+
+
 @pytest.mark.parametrize(
     "number, text",
     [(None, "000000000"), (1, "000000001"), (123456789, "123456789"), (1234567890, "234567890")],

@@ -82,3 +82,16 @@ def test_first_in_group_keeps_null_values(spark, rows):
     )
     got = first_in_group(df, ["g"], [by("o", descending=True)], ["v"])
     assert rows(got) == [(None, "open"), (1, None)]
+
+
+@pytest.mark.parametrize(
+    "kind", ["string", "date", "timestamp", "timestamp_ntz", "boolean", "decimal(9,2)", "double", "binary"]
+)
+def test_keys_of_any_type(spark, rows, kind):
+    values = {"string": "a", "boolean": "true", "binary": "b"}
+    value = values.get(kind, "2020-01-01" if kind[:4] in ("date", "time") else "1")
+    df = spark.range(6).select(
+        "id", F.when(F.col("id") % 2 == 0, F.lit(value)).cast(kind).alias("key")
+    )
+    got = rows_at_min(df, ["key"], "id")
+    assert rows(got.select("id")) == [(0,), (1,)]

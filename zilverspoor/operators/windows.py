@@ -48,7 +48,9 @@ def join_null_safe(
 def _null_free(df: DataFrame, keys: Sequence[str]) -> dict[str, Column]:
     """Columns that are equal exactly when the keys are, with NULL equal to NULL."""
     kinds = {f.name: f.dataType for f in df.schema}
-    stand_in = {T.StringType: "", T.DateType: "1970-01-01", T.BooleanType: "false"}
+    day = "1970-01-01"
+    stand_in = {T.StringType: "", T.BooleanType: "false", T.DateType: day}
+    stand_in |= {T.TimestampType: day, T.TimestampNTZType: day}
     columns = {}
     for key in keys:
         value = F.lit(stand_in.get(type(kinds[key]), "0")).cast(kinds[key])
@@ -164,28 +166,35 @@ def number_rows(
     earlier id blocks of the same order value, plus the position in the block. A
     block spans 2**20 ids, so no task sorts more rows than that for one group.
     """
-    block = F.shiftright(F.col(unique_id), _BLOCK_BITS)
-    rows = df.withColumn("__block", block)
-    blocks = rows.groupBy(*keys, order, "__block").agg(F.count(F.lit(1)).alias("__n"))
-    values = blocks.groupBy(*keys, order).agg(F.sum("__n").alias("__rows"))
-
-    value_window = Window.partitionBy(*keys).orderBy(by(order, descending)).rowsBetween(
-        Window.unboundedPreceding, -1
+    plain = _null_free(df, [*keys, order])
+    day = list(plain)
+    place = [*day, "__block"]
+    rows = df.withColumns({**plain, "__block": F.shiftright(unique_id, _BLOCK_BITS)})
+    blocks = rows.groupBy(*place).agg(F.count(F.lit(1)).alias("__n"))
+    values = blocks.groupBy(*day).agg(F.sum("__n").alias("__rows"))
+
+    # an unknown order value comes last ascending and first descending
+    group = [c for k in keys for c in (f"__{k}", f"__{k}_unknown")]
+    unknown, known = F.col(f"__{order}_unknown"), F.col(f"__{order}")
+    in_order = [unknown.desc(), known.desc()] if descending else [unknown.asc(), known.asc()]
+    offsets = blocks.select(*place, _count_before("__n", day, [F.col("__block")], "__skip")).join(
+        values.select(*day, _count_before("__rows", group, in_order, "__base")), day
     )
-    values = values.select(
-        *keys, order, F.coalesce(F.sum("__rows").over(value_window), F.lit(0)).alias("__base")
+    # the window and the join use the same columns: rows are shuffled once
+    position = F.row_number().over(Window.partitionBy(*place).orderBy(unique_id))
+    number = F.col("__base") + F.col("__skip") + F.col("__position")
+    return (
+        rows.withColumn("__position", position)
+        .join(offsets, place)
+        .select(*df.columns, number.cast("bigint").alias(out))
     )
-    block_window = Window.partitionBy(*keys, order).orderBy("__block").rowsBetween(
-        Window.unboundedPreceding, -1
+
+
+def _count_before(count: str, group: Sequence[str], order: Sequence[Column], out: str) -> Column:
+    """Sum of the counts of the earlier rows of the group."""
+    earlier = (
+        Window.partitionBy(*group)
+        .orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow - 1)
     )
-    blocks = blocks.withColumn(
-        "__skip", F.coalesce(F.sum("__n").over(block_window), F.lit(0))
-    ).drop("__n")
-    offsets = join_null_safe(blocks, values, [*keys, order], "inner")
-
-    local = Window.partitionBy(*keys, order, "__block").orderBy(unique_id)
-    numbered = rows.withColumn("__local", F.row_number().over(local))
-    joined = join_null_safe(numbered, offsets, [*keys, order, "__block"], "inner")
-    return joined.withColumn(
-        out, (F.col("__base") + F.col("__skip") + F.col("__local")).cast("bigint")
-    ).drop("__base", "__skip", "__local", "__block")
+    return F.coalesce(F.sum(count).over(earlier), F.lit(0)).alias(out)

@@ -34,7 +34,12 @@ def by(column: str | Column, descending: bool = False) -> Column:
 def join_null_safe(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left"
 ) -> DataFrame:
-    """Join on keys where NULL equals NULL; the right side's keys are dropped."""
+    """Join on keys where NULL equals NULL; the right side's keys are dropped.
+
+    Spark compares such keys through expressions, so an aggregate on the right is
+    shuffled again although it was grouped by the same columns. That is wanted:
+    AQE splits a hot key only where both sides come straight from a shuffle.
+    """
     renamed = right.select(
         *[F.col(k).alias(f"__{k}") for k in keys],
         *[c for c in right.columns if c not in keys],
@@ -94,23 +99,15 @@ def first_as_aggregate(latest_day: str, values: Sequence[str]) -> Column:
 
 
 def with_partition_min(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
-    """Add the smallest value of the group to each of its rows.
-
-    Grouping and joining use the same columns, so the aggregate is not shuffled
-    a second time for the join.
-    """
-    plain = _null_free(df, keys)
-    keyed = df.withColumns(plain)
-    least = keyed.groupBy(*plain).agg(F.min(value).alias(out))
-    return keyed.join(least, list(plain)).select(*df.columns, out)
+    """Add the smallest value of the group to each of its rows."""
+    least = df.groupBy(*keys).agg(F.min(value).alias(out))
+    return join_null_safe(df, least, keys, "inner")
 
 
 def rows_at_min(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """The rows that carry the smallest value of their group."""
-    # "at most the least" and not "equal to": an equality would become a join key
-    # and cost a shuffle of the aggregate
     return with_partition_min(df, keys, value, "__least").where(
-        F.col(value) <= F.col("__least")
+        F.col(value) == F.col("__least")
     ).drop("__least")
 
 

@@ -396,23 +396,16 @@ def marriage_states(src: SimpleNamespace) -> DataFrame:
     # history of a marriage without a current row matches no record, so the
     # conversions need no join and their filter reaches both scans
     acts = valid_history(src).unionByName(src.gba_thuwakt.select(*_MARRIAGE))
-    conversions = marriage_conversions(acts).select(
-        F.col("rsys_prs").alias("c_prs"), F.col("rvlg_hw").alias("c_hw"), "first_conversion"
-    )
+    conversions = marriage_conversions(acts).dropna(subset=["rsys_prs", "rvlg_hw"])
     number = (F.col("rvlg_hw") + 1).cast("string")
-    rows = records.join(
-        conversions,
-        (F.col("c_prs") == F.col("rsys_prs"))
-        & (F.col("c_hw") == F.col("rvlg_hw"))
-        & (F.col("first_conversion") <= F.col("dgld")),
-        "left",
-    ).select(
+    converted = F.coalesce(F.col("first_conversion") <= F.col("dgld"), F.lit(False))
+    rows = join_null_safe(records, conversions, ["rsys_prs", "rvlg_hw"]).select(
         "rsys_prs",
         "rvlg_hw",
-        F.when(F.col("c_hw").isNull(), zero_pad(number, 3))
-        .otherwise(zero_pad(concat_skip_null(number, number), 3))
+        F.when(converted, zero_pad(concat_skip_null(number, number), 3))
+        .otherwise(zero_pad(number, 3))
         .alias("rvlg_volg"),
-        F.when(F.col("c_hw").isNull(), "Nee").otherwise("Ja").alias("omzetting"),
+        F.when(converted, "Ja").otherwise("Nee").alias("omzetting"),
         "rsys_nam",
         *[incomplete_date_to_date(F.col(c)).alias(c) for c in ("dhw", "dhwo", "dgld", "dopn")],
         "kakt",

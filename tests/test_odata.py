@@ -1,8 +1,16 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import types as T
 
 from fake_service import FakeService
-from zilverspoor.sources.odata import EntityType, entity_type, read_entity_sets, read_entity_types
+from zilverspoor.sources.odata import (
+    EntityType,
+    entity_type,
+    parse_pages,
+    read_entity_sets,
+    read_entity_types,
+)
 from zilverspoor.sources.odata_service import page_of, probe_rows, read_service, request_url
 
 ITEMS = EntityType("Item", ("id",), {"value": T.StringType(), "id": T.LongType()}, {})
@@ -43,8 +51,43 @@ def test_request_url_escapes():
     assert url == "%5BA%5D.%5BB%5D?$filter=Name%20eq%20%27x%20y%27&$top=5&$select=a,b"
 
 
-def test_page_of_v2_list():
-    assert page_of('{"d": [{"a": 1}]}') == (1, None)
+def test_page_of():
+    assert page_of('{"d": {"results": [{"a": 1}], "__next": "x"}}') == (1, "x")
+    assert page_of('{"value": []}') == (0, None)
+
+
+def test_scalars_of_both_versions(spark):
+    thing = EntityType(
+        "T",
+        ("id",),
+        {
+            "id": T.LongType(),
+            "amount": T.StringType(),
+            "moment": T.TimestampNTZType(),
+            "day": T.DateType(),
+            "at": T.StringType(),
+            "ok": T.BooleanType(),
+        },
+        {"lines": T.ArrayType(T.StructType([T.StructField("n", T.IntegerType())]))},
+        frozenset({"at"}),
+    )
+    v2 = '{"d":{"results":[{"id":"7","amount":"1.23","moment":"/Date(1700000000123)/",' \
+        '"day":"/Date(-86400000)/","at":"PT12H4M56S","ok":true,"lines":[{"n":1}]}]}}'
+    v4 = '{"value":[{"id":7,"amount":1.23,"moment":"2023-11-14T22:13:20.123",' \
+        '"day":"1969-12-31","at":"12:04:56","ok":true,"lines":[{"n":1}]}]}'
+    for version, body in (("v2", v2), ("v4", v4)):
+        bodies = spark.createDataFrame([(body,)], "body string")
+        row = parse_pages(bodies, thing, version, expand="lines").first()
+        moment = dt.datetime(2023, 11, 14, 22, 13, 20, 123000)
+        assert tuple(row) == (
+            7, "1.23", moment, dt.date(1969, 12, 31), "12:04:56", True, '[{"n":1}]'
+        )
+
+
+def test_a_value_of_another_type_is_an_error(spark):
+    bodies = spark.createDataFrame([('{"value":[{"id":"x"}]}',)], "body string")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        parse_pages(bodies, ITEMS).collect()
 
 
 def test_column_order():

@@ -23,6 +23,7 @@ class EntityType:
     keys: tuple[str, ...]
     properties: Mapping[str, T.DataType]
     navigation: Mapping[str, T.DataType]
+    times: frozenset[str] = frozenset()
 
     def columns(self, select: str | None = None, expand: str | None = None) -> list[str]:
         """Column order: keys, then the others as selected, then expanded navigation.
@@ -38,12 +39,36 @@ class EntityType:
             ]
         return ordered + [n for n in _names(expand or "") if n not in ordered]
 
-    def schema(self, columns: Sequence[str]) -> T.StructType:
-        known = {**self.navigation, **self.properties}
+    def type_of(self, column: str) -> T.DataType:
+        return {**self.navigation, **self.properties}.get(column, T.StringType())
+
+    def wire_schema(self, columns: Sequence[str]) -> T.StructType:
+        """What a page is read with: nested values as they are, scalars as text.
+
+        Services differ in which numbers they quote, and version 2 has its own
+        form for moments, so scalars are cast afterwards. A value that does not
+        cast fails the job.
+        """
+        kinds = {c: self.type_of(c) for c in columns}
         return T.StructType(
-            [T.StructField(c, known.get(c, T.StringType())) for c in columns]
+            [T.StructField(c, k if _nested(k) else T.StringType()) for c, k in kinds.items()]
         )
 
+    def value(self, column: str) -> Column:
+        """A column of ``wire_schema`` in its declared type."""
+        kind, raw = self.type_of(column), F.col(f"`{column}`")
+        if column in self.times:
+            raw = F.coalesce(time_of_duration(raw), raw)
+        elif isinstance(kind, (T.TimestampNTZType, T.TimestampType, T.DateType)):
+            raw = F.when(raw.startswith("/Date("), v2_timestamp(raw)).otherwise(
+                raw.cast("timestamp_ntz")
+            )
+        return raw if _nested(kind) else raw.cast(kind)
+
+
+def _nested(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.StructType, T.ArrayType, T.MapType))
+
 
 def _names(text: str) -> list[str]:
     steps = [part.strip().split("/")[0].strip() for part in text.split(",")]
@@ -76,9 +101,10 @@ def read_pages(
     The read schema holds the wanted columns only, so other properties are never
     parsed; a property missing from a row is NULL.
     """
-    schema = page_schema(entity.schema(entity.columns(select, expand)), version)
-    pages = spark.read.schema(schema).json(path)
-    return _page_rows(pages.select(F.struct("*").alias("page")), version, condition, row_limit)
+    columns = entity.columns(select, expand)
+    pages = spark.read.schema(page_schema(entity.wire_schema(columns), version)).json(path)
+    pages = pages.select(F.struct("*").alias("page"))
+    return _page_rows(pages, entity, columns, version, condition, row_limit)
 
 
 def parse_pages(
@@ -91,17 +117,24 @@ def parse_pages(
     row_limit: int = 0,
 ) -> DataFrame:
     """Rows of page bodies, one JSON text per row in the column ``body``."""
-    schema = page_schema(entity.schema(entity.columns(select, expand)), version)
+    columns = entity.columns(select, expand)
+    schema = page_schema(entity.wire_schema(columns), version)
     pages = bodies.select(F.from_json("body", schema, {"mode": "FAILFAST"}).alias("page"))
-    return _page_rows(pages, version, condition, row_limit)
+    return _page_rows(pages, entity, columns, version, condition, row_limit)
 
 
 def _page_rows(
-    pages: DataFrame, version: str, condition: Column | None, row_limit: int
+    pages: DataFrame,
+    entity: EntityType,
+    columns: Sequence[str],
+    version: str,
+    condition: Column | None,
+    row_limit: int,
 ) -> DataFrame:
     """A page has a bounded number of rows, so exploding it needs no shuffle."""
     field = _PAGE[version][0] if version == "v4" else f"d.{_PAGE[version][0]}"
     rows = pages.select(F.explode(f"page.{field}").alias("row")).select("row.*")
+    rows = rows.select(*[entity.value(c).alias(c) for c in columns])
     if condition is not None:
         rows = rows.where(condition)
     if row_limit > 0:
@@ -111,10 +144,18 @@ def _page_rows(
 
 def v2_timestamp(value: Column) -> Column:
     """``/Date(1700000000000)/`` of version 2 as a zone-less UTC timestamp."""
-    millis = F.regexp_extract(value, r"/Date\((-?\d+)", 1).try_cast("bigint")
-    return F.convert_timezone(
-        F.current_timezone(), F.lit("UTC"), F.timestamp_millis(millis).cast("timestamp_ntz")
-    )
+    millis = F.regexp_extract(value, r"/Date\((-?\d+)", 1).try_cast("decimal(18,0)")
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    return epoch + F.make_dt_interval(secs=(millis / 1000).cast("decimal(18,6)"))
+
+
+def time_of_duration(value: Column) -> Column:
+    """``PT12H34M56S``, the version 2 time of day, as ``12:34:56``; other text is NULL."""
+    part = [
+        F.lpad(F.coalesce(F.nullif(F.regexp_extract(value, rf"(\d+){unit}", 1), F.lit("")), F.lit("0")), 2, "0")
+        for unit in "HMS"
+    ]
+    return F.when(value.rlike(r"^PT(\d+H)?(\d+M)?(\d+S)?$"), F.concat_ws(":", *part))
 
 
 # Service types and the Spark types that hold them.
@@ -229,4 +270,9 @@ def entity_type(types: DataFrame, name: str) -> EntityType:
             for p in row["properties"] or []
         },
         {n["_Name"]: T.StringType() for n in row["navigation"] or []},
+        frozenset(
+            p["_Name"]
+            for p in row["properties"] or []
+            if p["_Type"] in ("Edm.Time", "Edm.TimeOfDay")
+        ),
     )

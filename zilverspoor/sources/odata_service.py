@@ -56,8 +56,6 @@ def page_of(body: str) -> tuple[int, str | None]:
     page = json.loads(body)
     if "d" in page:
         page = page["d"]
-        if isinstance(page, list):
-            return len(page), None
         return len(page.get("results", [])), page.get("__next")
     return len(page.get("value", [])), page.get("@odata.nextLink")
 

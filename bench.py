@@ -24,6 +24,7 @@ HEADLINE = [
     "map_ingeschreven_persoon",
     "map_verblijfsadres",
     "map_huwelijk",
+    "silver_load_all",
     "scan_table",
     "bronze_typed",
     "dump_parts",

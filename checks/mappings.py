@@ -430,3 +430,39 @@ def marriage_states_query(t: Tables) -> DataFrame:
 def skippable(t: Tables) -> dict[str, str]:
     """What a run without the civil registry would skip, for tests."""
     return plan_all(bronze(t, "wvbesl")).skipped
+
+
+_ALL = {
+    "BESCHIKKING": _BESCHIKKING,
+    "BESCHIKTE_VOORZIENING": _PROVISIONS,
+    "CLIENT": "SELECT * FROM szclient",
+    "DECLARATIEREGEL": _CLAIMS,
+    "MEDEWERKER": "SELECT * FROM szwerker",
+    "WET_ENUM": "SELECT * FROM szregel",
+    "ENUM_GEZINSRELATIE": "SELECT * FROM ods_cen_gba_tdomein "
+    "WHERE kveld = 'KIGS_GZR' AND dwh_actueel = 1",
+    "NATUURLIJKPERSOON": _PERSONS,
+    "INGESCHREVENPERSOON": _REGISTRATIONS,
+    "VERBLIJFSADRESINGESCHREVENPERSOON": _RESIDENCES,
+    "HUWELIJK": _MARRIAGES,
+}
+
+
+@check(
+    "silver_load_all",
+    " UNION ALL ".join(
+        f"SELECT '{target}' AS target, 'loaded' AS status, "
+        f"(SELECT count(*) FROM ({_sql(target, sql)}) AS rows_of) AS n_rows"
+        for target, sql in _ALL.items()
+    ),
+)
+def silver_load_all(t: Tables) -> DataFrame:
+    """All mappings into their contract tables, shown together at the end."""
+    names = {name for spec in MAPPINGS.values() for name in spec.requires}
+    store = t.store("all")
+    create_silver(store)
+    report = load_silver(bronze(t, *sorted(names)), store)
+    loaded = row_counts({target: store.read(target) for target in MAPPINGS})
+    return report.drop("reason").join(
+        loaded.withColumnRenamed("table_name", "target"), "target", "left"
+    )

@@ -40,8 +40,23 @@ def rows_of(columns: list[str], rows) -> Counter:
     return Counter(tuple(normal(row[i]) for i in order) for row in rows)
 
 
+SAME_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "smallint": "SMALLINT",
+    "string": "VARCHAR",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+}
+
+
 def compare(df, connection, sql: str) -> str | None:
-    """``None`` when both give the same columns and rows, else what differs."""
+    """``None`` when both give the same columns, types and rows, else what differs."""
+    types = {r[0]: r[1] for r in connection.execute(f"DESCRIBE {sql}").fetchall()}
+    for field in df.schema:
+        kind = field.dataType.simpleString()
+        if field.name in types and SAME_TYPES.get(kind) != types[field.name]:
+            return f"{field.name} is {kind} instead of {types[field.name]}"
     cursor = connection.execute(sql)
     names = [d[0] for d in cursor.description]
     expected = cursor.fetchall()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from checks.core import Tables, check
 from checks.fixtures import frames, with_fixtures
+from zilverspoor.contracts import BESCHIKKING, CLIENT, DECLARATIEREGEL
 from zilverspoor.operators.quality import (
     enum_violations,
     fk_orphans,
@@ -15,6 +16,7 @@ from zilverspoor.operators.quality import (
     reconcile_values,
     row_counts,
 )
+from zilverspoor.sinks.load import create_silver, key_report, reference_report
 
 
 @check(
@@ -95,3 +97,46 @@ def reconcile_values_query(t: Tables) -> DataFrame:
     rows = t.lineitem.select("l_orderkey", "l_returnflag", "l_tax")
     loaded = rows.where("l_returnflag <> 'R'").withColumn("l_tax", F.col("l_tax") + 1e-9)
     return reconcile_values(rows, loaded)
+
+
+@check(
+    "silver_key_report",
+    """SELECT 'DECLARATIEREGEL' AS table_name, 'DECLARATIEREGEL_ID' AS columns, 'key' AS rule,
+    count(*) AS bad_values, CAST(coalesce(sum(n), 0) AS BIGINT) AS bad_rows
+    FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber
+      HAVING count(*) > 1) AS twice
+    UNION ALL SELECT 'BESCHIKKING', 'BESCHIKKING_ID', 'key', 0, 0""",
+)
+def silver_key_report(t: Tables) -> DataFrame:
+    """Claim lines take the dossier number as key, which is not unique in the source."""
+    store = t.store("keys")
+    create_silver(store, [BESCHIKKING, DECLARATIEREGEL])
+    claims = t.lineitem.selectExpr(
+        "concat(l_orderkey, '-', l_linenumber) as DECLARATIEREGEL_ID",
+        "cast(l_extendedprice as decimal(10,2)) as BEDRAG",
+    )
+    store.write(claims, "DECLARATIEREGEL", "overwrite")
+    decisions = t.orders.selectExpr("cast(o_orderkey as string) as BESCHIKKING_ID")
+    store.write(decisions, "BESCHIKKING", "overwrite")
+    return key_report(store, [BESCHIKKING, DECLARATIEREGEL])
+
+
+@check(
+    "silver_reference_report",
+    """SELECT 'BESCHIKKING' AS table_name, 'CLIENT_ID' AS columns, 'CLIENT' AS rule,
+    count(DISTINCT o_custkey) AS bad_values, count(*) AS bad_rows FROM orders
+    WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)""",
+)
+def silver_reference_report(t: Tables) -> DataFrame:
+    """Only clients with a positive balance are loaded, so some decisions lack theirs."""
+    store = t.store("references")
+    create_silver(store, [BESCHIKKING, CLIENT])
+    decisions = t.orders.selectExpr(
+        "cast(o_orderkey as string) as BESCHIKKING_ID", "cast(o_custkey as string) as CLIENT_ID"
+    )
+    clients = t.customer.where("c_acctbal > 0").selectExpr(
+        "cast(c_custkey as string) as RECHTSPERSOON_ID"
+    )
+    store.write(decisions, "BESCHIKKING", "overwrite")
+    store.write(clients, "CLIENT", "overwrite")
+    return reference_report(store, [BESCHIKKING, CLIENT])

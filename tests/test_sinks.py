@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from zilverspoor.contracts import BESCHIKKING, CLIENT, WET_ENUM
 from zilverspoor.plans import MAPPINGS, Bronze, build, plan_all
-from zilverspoor.sinks.load import create_silver, load_silver, reference_report
+from zilverspoor.sinks.load import create_silver, key_report, load_silver, reference_report
 from zilverspoor.sinks.tables import LoadError, TableStore
 
 
@@ -105,10 +105,12 @@ def test_load_skips_what_is_missing(spark, store):
     assert got["MEDEWERKER"] == ("skipped", "table szwerker not found")
     assert store.read("CLIENT").count() == 2
     references = {
-        (r["table_name"], r["refers_to"]): r["orphan_rows"]
+        (r["table_name"], r["rule"]): r["bad_rows"]
         for r in reference_report(store, [BESCHIKKING, CLIENT]).collect()
     }
     assert references == {("BESCHIKKING", "CLIENT"): 1}
+    keys = key_report(store, [BESCHIKKING, CLIENT]).collect()
+    assert [r["bad_values"] for r in keys] == [0, 0]
 
 
 def test_load_is_all_or_nothing(spark, store):

@@ -7,7 +7,8 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
 
 from zilverspoor.operators.conform import to_bronze
 from zilverspoor.plans import Bronze
@@ -38,12 +39,11 @@ def _load_one(
     mode: str,
     source_rows: Callable[[], int | None] | None,
 ) -> tuple[str, int | None, int, bool | None]:
-    before = 0
-    if mode == "append" and store.exists(table):
-        before = store.read(table).count()
+    """Load a table; the rows are counted while they are written."""
     expected = _counted(table, source_rows) if source_rows else None
-    store.load_staging(df, table, mode)
-    loaded = store.read(table).count() - before
+    seen = Observation()
+    store.load_staging(df.observe(seen, F.count(F.lit(1)).alias("n")), table, mode)
+    loaded = seen.get["n"]
     return table, expected, loaded, None if expected is None else expected == loaded
 
 
@@ -51,15 +51,17 @@ def tables_to_staging(
     frames: Mapping[str, DataFrame],
     store: TableStore,
     mode: str = "replace",
-    count_source: bool = True,
+    counters: Mapping[str, Callable[[], int | None]] | None = None,
     one_digit_is_boolean: bool = False,
     width: int = 4,
 ) -> DataFrame:
     """Load source tables into staging as bronze and compare their row counts.
 
     Reading and writing one table is one job over all its partitions; ``width``
-    tables run side by side.
+    tables run side by side. ``counters`` ask the sources for their counts, for
+    example with ``jdbc.count_rows``; a table without one is loaded unchecked.
     """
+    counters = counters or {}
     actions = [
         partial(
             _load_one,
@@ -67,7 +69,7 @@ def tables_to_staging(
             name,
             to_bronze(df, one_digit_is_boolean),
             mode,
-            df.count if count_source else None,
+            counters.get(name),
         )
         for name, df in frames.items()
     ]

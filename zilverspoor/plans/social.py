@@ -58,15 +58,25 @@ def granted_provisions(src: SimpleNamespace) -> DataFrame:
         ((F.col("omschryving") == "JEUGDWET") & (F.col("domein") == "JZG_REDEN_EINDE_PRODUCT"))
         | ((F.col("omschryving") != "JEUGDWET") & (F.col("domein") == "WVRTEIND"))
     )
+    # days before the joins: half the width in the shuffles, and not once per match
+    provisions = src.wvind_b.select(
+        "besluitnr",
+        "volgnr_ind",
+        "kode_regeling",
+        local_date(F.col("dd_eind")).alias("datumeinde"),
+        local_date(F.col("dd_begin")).alias("datumstart"),
+        "volume",
+        "status_indicatie",
+    )
     rows = (
-        src.wvind_b.join(src.szregel, "kode_regeling", "left")
+        provisions.join(src.szregel, "kode_regeling", "left")
         .join(src.wvbesl, "besluitnr", "left")
         .join(src.wvdos, ["besluitnr", "volgnr_ind"], "left")
         .join(src.abc_refcod, end_reason, "left")
     )
     return rows.select(
-        local_date(F.col("dd_eind")).alias("datumeinde"),
-        local_date(F.col("dd_begin")).alias("datumstart"),
+        F.col("datumeinde"),
+        F.col("datumstart"),
         F.col("volume").alias("omvang"),
         F.col("status_indicatie").alias("status"),
         concat_skip_null(F.col("besluitnr"), F.col("volgnr_ind")).alias(

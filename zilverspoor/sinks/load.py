@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
-from functools import partial
+from collections.abc import Iterable, Mapping, Sequence
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,26 +70,45 @@ def load_report(
     return spark.createDataFrame(rows, _REPORT)
 
 
-def reference_report(store: TableStore, contracts: Iterable[TableContract]) -> DataFrame | None:
-    """Orphan count per reference between the given tables, ``None`` without references."""
+def key_report(store: TableStore, contracts: Iterable[TableContract]) -> DataFrame:
+    """Per table the key values that are incomplete or repeated, and their rows."""
+    lines = [
+        _violation_line(
+            pk_violations(store.read(c.name), c.primary_key), c.name, c.primary_key, "key"
+        )
+        for c in contracts
+        if c.primary_key
+    ]
+    return reduce(DataFrame.unionByName, lines)
+
+
+def reference_report(store: TableStore, contracts: Iterable[TableContract]) -> DataFrame:
+    """Per reference between the given tables the values without a parent, and their rows."""
     by_name = {c.name: c for c in contracts}
-    report = None
-    for contract in by_name.values():
-        for ref in contract.references:
-            if ref.table not in by_name:
-                continue
-            orphans = fk_orphans(
-                store.read(contract.name), ref.columns, store.read(ref.table), ref.key
-            ).agg(
-                F.count(F.lit(1)).alias("orphan_values"),
-                F.coalesce(F.sum("n_rows"), F.lit(0)).alias("orphan_rows"),
-            )
-            line = orphans.select(
-                F.lit(contract.name).alias("table_name"),
-                F.lit(",".join(ref.columns)).alias("columns"),
-                F.lit(ref.table).alias("refers_to"),
-                "orphan_values",
-                "orphan_rows",
-            )
-            report = line if report is None else report.unionByName(line)
-    return report
+    lines = [
+        _violation_line(
+            fk_orphans(store.read(c.name), ref.columns, store.read(ref.table), ref.key),
+            c.name,
+            ref.columns,
+            ref.table,
+        )
+        for c in by_name.values()
+        for ref in c.references
+        if ref.table in by_name
+    ]
+    return reduce(DataFrame.unionByName, lines)
+
+
+def _violation_line(
+    found: DataFrame, table: str, columns: Sequence[str], rule: str
+) -> DataFrame:
+    return found.agg(
+        F.count(F.lit(1)).alias("bad_values"),
+        F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("bad_rows"),
+    ).select(
+        F.lit(table).alias("table_name"),
+        F.lit(",".join(columns)).alias("columns"),
+        F.lit(rule).alias("rule"),
+        "bad_values",
+        "bad_rows",
+    )

@@ -73,3 +73,12 @@ def read_table(
     if one_digit_is_boolean is None:
         one_digit_is_boolean = url.lower().startswith("jdbc:oracle:")
     return to_bronze(df, one_digit_is_boolean)
+
+
+def count_rows(
+    spark: SparkSession, url: str, table: str, properties: dict[str, str] | None = None
+) -> int:
+    """Row count of a database table; the database counts, one row travels."""
+    query = f"(SELECT count(*) AS n FROM {table}) counted"
+    options = jdbc_options(url, query, 1, **(properties or {}))
+    return int(spark.read.format("jdbc").options(**options).load().first()[0])

@@ -42,10 +42,19 @@ from zilverspoor.operators.windows import (
 from zilverspoor.plans.registry import mapping
 
 # The first closing day that counts, the code of a record made in
-# error, the key suffixes of the source registers and the code lists below.
+# error, the key suffixes and names of the source registers, the domains of the
+# code table, single labels and the code lists below.
 FIRST_END = 20000101
 IN_ERROR = "F"
+ACTIVE = "A"
 PERSONS, BUILDINGS = "-BRP", "-BAG"
+SOURCE = "CEN_BRP"
+RELATION, ORIGIN, STAY_END = "KIGS_GZR", "KADRF", "KWON_END"
+MARRIAGE_END, MARRIAGE_KIND = "KHWO", "KSRT_VRB"
+HOME = "Woonadres"
+BY_DEATH, DIED_ON = "OVL", "Overleden op "
+CONVERSION_ACT, CONVERTED = "H", "Omzetting"
+YES, NO = "Ja", "Nee"
 END_REASONS = {
     "W": "Adreswijziging",
     "V": "Vertrokken",
@@ -62,7 +71,7 @@ SUSPENSIONS = {
     "F": "Foute PL op ",
     ".": "Opschorting onbekend op ",
 }
-YES_NO = {1: "Ja", 0: "Nee"}
+YES_NO = {1: YES, 0: NO}
 
 _ADDRESS = ["rsys_adr", "nstr", "rhs", "nhsr_lt", "khsr_tv", "khsr_ad", "kpst_num", "kpst_alf"]
 _HISTORY = ["rsys_prs", "rsys_adr", "dwon_bgn", "dwon_end", "kwon_end"]
@@ -84,8 +93,8 @@ def named_persons(src: SimpleNamespace, *name_columns: str) -> DataFrame:
     Left joining this on ``rsys_prs`` gives what joining the two registers and
     then the names would, while only person-sized tables are shuffled by name.
     """
-    current = current_rows(src.gba_tprsgeg, {"ireg": "A"}).drop("ireg")
-    archived = current_rows(src.gba_tarcgeg, {"ireg": "A"}).drop("ireg")
+    current = current_rows(src.gba_tprsgeg, {"ireg": ACTIVE}).drop("ireg")
+    archived = current_rows(src.gba_tarcgeg, {"ireg": ACTIVE}).drop("ireg")
     shared = [c for c in current.columns if c != "rsys_prs"]
     archived = archived.withColumnsRenamed({c: f"arc_{c}" for c in shared})
     both = current.join(archived, "rsys_prs", "full").select(
@@ -105,7 +114,7 @@ def location(clean: bool = False):
 
 @mapping("ENUM_GEZINSRELATIE", ods_cen_gba_tdomein=["kode", "oms", "kveld", "dwh_actueel"])
 def household_relation_enum(src: SimpleNamespace) -> DataFrame:
-    active = current_rows(src.ods_cen_gba_tdomein, {"kveld": "KIGS_GZR", "dwh_actueel": 1})
+    active = current_rows(src.ods_cen_gba_tdomein, {"kveld": RELATION, "dwh_actueel": 1})
     return active.select(F.col("kode").alias("ID"), F.col("oms").alias("Waarde"))
 
 
@@ -253,7 +262,7 @@ def registered_persons(src: SimpleNamespace) -> DataFrame:
         )
         .when(
             F.col("dovl_gba").isNotNull(),
-            concat_propagate(F.lit("Overleden op "), F.col("dovl_gba")),
+            concat_propagate(F.lit(DIED_ON), F.col("dovl_gba")),
         )
         .otherwise(F.col("kops"))
     )
@@ -291,7 +300,7 @@ def registered_persons(src: SimpleNamespace) -> DataFrame:
 )
 def residence_addresses(src: SimpleNamespace) -> DataFrame:
     """Residence addresses; of repeated entries of one stay the first one counts."""
-    closed = closed_addresses(src.gba_tbwnhis).withColumn("herkomst", F.lit("Woonadres"))
+    closed = closed_addresses(src.gba_tbwnhis).withColumn("herkomst", F.lit(HOME))
     current = src.gba_tvbpakt.select(
         "rsys_prs", "rsys_adr", F.col("dadrh").alias("dwon_bgn"), F.lit(-1).alias("rvlg"), "kadrf"
     )
@@ -299,7 +308,7 @@ def residence_addresses(src: SimpleNamespace) -> DataFrame:
         union_history(closed, current), ["rsys_prs", "rsys_adr", "dwon_bgn"], "rvlg"
     )
     stays = (
-        decode(stays, "kadrf", src.gba_tdomein, "KADRF", "aangifte")
+        decode(stays, "kadrf", src.gba_tdomein, ORIGIN, "aangifte")
         .withColumn("adresherkomst", F.coalesce("herkomst", "aangifte"))
         .drop("kadrf", "herkomst", "aangifte")
     )
@@ -316,7 +325,7 @@ def residence_addresses(src: SimpleNamespace) -> DataFrame:
         "next_bgn",
         ties=["dwon_end", "rsys_prs", "rsys_adr", "rvlg", "adresherkomst", "kwon_end", "dtoe_gba"],
     )
-    rows = decode(rows, "kwon_end", src.gba_tdomein, "KWON_END", "reden").join(
+    rows = decode(rows, "kwon_end", src.gba_tdomein, STAY_END, "reden").join(
         src.gba_tgbaadr, "rsys_adr", "left"
     )
     stay_key = concat_propagate(
@@ -341,7 +350,7 @@ def residence_addresses(src: SimpleNamespace) -> DataFrame:
         suffixed_key(F.col("radm"), PERSONS).alias("IngeschrevenPersoonId"),
         stay_key.alias("VerblijfsAdresIngeschrevenPersoonId"),
         suffixed_key(stay_key, PERSONS).alias("DWH_IDENTIFICATIE"),
-        F.lit("CEN_BRP").alias("DWH_BRON"),
+        F.lit(SOURCE).alias("DWH_BRON"),
         F.lit(1).alias("DWH_ACTUEEL"),
     )
 
@@ -374,7 +383,7 @@ def marriage_records(src: SimpleNamespace) -> DataFrame:
     by_death = F.col("dhwo").isNull() & (F.col("dovl_gba") > F.coalesce("dhw", F.lit(0)))
     current = src.gba_thuwakt.join(src.gba_tovlakt, "rsys_prs", "left").withColumns(
         {
-            "khwo": F.when(by_death, F.lit("OVL")).otherwise(F.col("khwo")),
+            "khwo": F.when(by_death, F.lit(BY_DEATH)).otherwise(F.col("khwo")),
             "dhwo": F.when(by_death, F.col("dovl_gba")).otherwise(F.col("dhwo")),
         }
     )
@@ -384,7 +393,7 @@ def marriage_records(src: SimpleNamespace) -> DataFrame:
 def marriage_conversions(records: DataFrame) -> DataFrame:
     """Per marriage the first day a conversion record is valid."""
     return (
-        records.where(F.substring("kakt", 3, 1) == "H")
+        records.where(F.substring("kakt", 3, 1) == CONVERSION_ACT)
         .groupBy("rsys_prs", "rvlg_hw")
         .agg(F.min("dgld").alias("first_conversion"))
     )
@@ -405,7 +414,7 @@ def marriage_states(src: SimpleNamespace) -> DataFrame:
         F.when(converted, zero_pad(concat_skip_null(number, number), 3))
         .otherwise(zero_pad(number, 3))
         .alias("rvlg_volg"),
-        F.when(converted, "Ja").otherwise("Nee").alias("omzetting"),
+        F.when(converted, YES).otherwise(NO).alias("omzetting"),
         "rsys_nam",
         *[incomplete_date_to_date(F.col(c)).alias(c) for c in ("dhw", "dhwo", "dgld", "dopn")],
         "kakt",
@@ -455,9 +464,9 @@ def marriages(src: SimpleNamespace) -> DataFrame:
         .join(persons, "rsys_prs", "left")
         .join(partners, F.col("p_nam") == F.col("partner_nam"), "left")
     )
-    rows = decode(rows, "khwo", src.gba_tdomein, "KHWO", "reden")
-    rows = decode(rows, "ksrt_vrb", src.gba_tdomein, "KSRT_VRB", "soort")
-    converted = F.col("next_omzetting") == "Ja"
+    rows = decode(rows, "khwo", src.gba_tdomein, MARRIAGE_END, "reden")
+    rows = decode(rows, "ksrt_vrb", src.gba_tdomein, MARRIAGE_KIND, "soort")
+    converted = F.col("next_omzetting") == YES
     return rows.select(
         F.col("rvlg_hw").alias("VolgnummerVerbintenis"),
         F.col("rsys_prs"),
@@ -468,7 +477,7 @@ def marriages(src: SimpleNamespace) -> DataFrame:
             "DatumOntbinding"
         ),
         F.col("kakt").alias("Aktenummer"),
-        F.when(converted, "Omzetting").otherwise(F.col("reden")).alias("RedenOntbinding"),
+        F.when(converted, CONVERTED).otherwise(F.col("reden")).alias("RedenOntbinding"),
         F.col("soort").alias("SoortVerbintenis"),
         F.col("dgld").alias("Datumgeldigvanaf"),
         F.col("dopn").alias("DatumOpname"),

@@ -11,6 +11,11 @@ from zilverspoor.functions import concat_skip_null, local_date
 from zilverspoor.operators.columns import project, typed_null
 from zilverspoor.plans.registry import mapping
 
+# The youth law, and the code domains of end reasons under it and
+# under any other law.
+YOUTH_LAW = "JEUGDWET"
+YOUTH_REASONS, OTHER_REASONS = "JZG_REDEN_EINDE_PRODUCT", "WVRTEIND"
+
 
 @mapping("BESCHIKKING", wvbesl=["besluitnr", "clientnr"])
 def decisions(src: SimpleNamespace) -> DataFrame:
@@ -55,8 +60,8 @@ def granted_provisions(src: SimpleNamespace) -> DataFrame:
     the law; a provision without a known law matches none.
     """
     end_reason = (F.col("kode_reden_einde_voorz") == F.col("code")) & (
-        ((F.col("omschryving") == "JEUGDWET") & (F.col("domein") == "JZG_REDEN_EINDE_PRODUCT"))
-        | ((F.col("omschryving") != "JEUGDWET") & (F.col("domein") == "WVRTEIND"))
+        ((F.col("omschryving") == YOUTH_LAW) & (F.col("domein") == YOUTH_REASONS))
+        | ((F.col("omschryving") != YOUTH_LAW) & (F.col("domein") == OTHER_REASONS))
     )
     # days before the joins: half the width in the shuffles, and not once per match
     provisions = src.wvind_b.select(

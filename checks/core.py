@@ -14,6 +14,10 @@ from zilverspoor.session import run_dir, tune
 from zilverspoor.sinks.tables import TableStore
 
 
+# the given tables do not change, so their footers are looked at once
+_schemas: dict[str, T.StructType] = {}
+
+
 class Tables:
     """The given tables of one folder as frames, by attribute."""
 
@@ -22,7 +26,10 @@ class Tables:
         self.folder = folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _schemas:
+            _schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[path]).parquet(path)
 
     def run_dir(self, label: str) -> str:
         return run_dir(self.spark, label)

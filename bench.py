@@ -55,7 +55,7 @@ HEADLINE = [
 def main() -> None:
     from zilverspoor.session import build_session
 
-    import checks
+    from zilverspoor import checks
 
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")

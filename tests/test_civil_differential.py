@@ -11,9 +11,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from checks import mappings as sql
-from checks.compare import compare
-from checks.core import portable
+from zilverspoor.checks import mappings as sql
+from zilverspoor.checks.compare import compare
+from zilverspoor.checks.core import portable
 from zilverspoor.plans import Bronze, build
 
 I, S = pa.int32(), pa.string()
@@ -118,10 +118,10 @@ def registers(request, spark):
 @pytest.mark.parametrize(
     "target, oracle",
     [
-        ("NATUURLIJKPERSOON", sql._PERSONS),
-        ("INGESCHREVENPERSOON", sql._REGISTRATIONS),
-        ("VERBLIJFSADRESINGESCHREVENPERSOON", sql._RESIDENCES),
-        ("HUWELIJK", sql._MARRIAGES),
+        ("NATUURLIJKPERSOON", sql.PERSONS_SQL),
+        ("INGESCHREVENPERSOON", sql.REGISTRATIONS_SQL),
+        ("VERBLIJFSADRESINGESCHREVENPERSOON", sql.RESIDENCES_SQL),
+        ("HUWELIJK", sql.MARRIAGES_SQL),
     ],
 )
 def test_mapping(registers, target, oracle):

@@ -5,7 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as driver
-from checks.compare import compare, duck
+from zilverspoor.checks.compare import compare, duck
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test data not there")

@@ -1,7 +1,7 @@
 """Registered queries and the SQL that must give the same rows."""
 
-from checks.core import CHECKS, oracle_sql, queries
-from checks import (  # noqa: F401  (registers the queries)
+from zilverspoor.checks.core import CHECKS, oracle_sql, queries
+from zilverspoor.checks import (  # noqa: F401  (registers the queries)
     functions,
     joins,
     mappings,

@@ -1,6 +1,6 @@
 """Compare registered queries with their SQL in DuckDB.
 
-    python -m checks.compare [--sf DIR] [name ...]
+    python -m zilverspoor.checks.compare [--sf DIR] [name ...]
 """
 
 from __future__ import annotations
@@ -73,7 +73,7 @@ def compare(df, connection, sql: str) -> str | None:
 
 
 def main() -> int:
-    from checks import CHECKS, queries
+    from zilverspoor.checks import CHECKS, queries
     from zilverspoor.session import build_session
 
     parser = argparse.ArgumentParser()

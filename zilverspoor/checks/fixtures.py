@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from checks.core import Tables
+from zilverspoor.checks.core import Tables
 
 
 @dataclass(frozen=True)

@@ -7,9 +7,9 @@ import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from checks.core import Tables, check, text
-from checks.fixtures import frames, with_fixtures
-from checks.mappings import _date_sql, _day_sql, _location_sql, _partial_sql
+from zilverspoor.checks.core import Tables, check, text
+from zilverspoor.checks.fixtures import frames, with_fixtures
+from zilverspoor.checks.mappings import date_sql, day_sql, location_sql, partial_sql
 from zilverspoor import functions as Z
 from zilverspoor.functions import nested
 from zilverspoor.functions.dates import OPEN_END, UNKNOWN_BEGIN
@@ -30,7 +30,7 @@ _NUMBERS_SQL = f"(SELECT o_orderkey, CAST({_NUMBER} AS INTEGER) AS x FROM orders
 
 @check(
     "fn_yyyymmdd_to_date",
-    f"SELECT o_orderkey, CAST({_date_sql('x')} AS VARCHAR) AS d FROM {_NUMBERS_SQL}",
+    f"SELECT o_orderkey, CAST({date_sql('x')} AS VARCHAR) AS d FROM {_NUMBERS_SQL}",
 )
 def fn_yyyymmdd_to_date(t: Tables) -> DataFrame:
     return _numbers(t).select("o_orderkey", Z.yyyymmdd_to_date(F.col("x")).alias("d"))
@@ -38,7 +38,7 @@ def fn_yyyymmdd_to_date(t: Tables) -> DataFrame:
 
 @check(
     "fn_incomplete_date",
-    f"SELECT o_orderkey, CAST({_partial_sql('x')} AS VARCHAR) AS d FROM {_NUMBERS_SQL}",
+    f"SELECT o_orderkey, CAST({partial_sql('x')} AS VARCHAR) AS d FROM {_NUMBERS_SQL}",
 )
 def fn_incomplete_date(t: Tables) -> DataFrame:
     return _numbers(t).select("o_orderkey", Z.incomplete_date_to_date(F.col("x")).alias("d"))
@@ -100,7 +100,7 @@ def fn_format_bsn(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey", Z.format_bsn(number).alias("bsn"))
 
 
-@check("fn_local_date", f"SELECT event_id, {_day_sql('ts')} AS local_day FROM events")
+@check("fn_local_date", f"SELECT event_id, {day_sql('ts')} AS local_day FROM events")
 def fn_local_date(t: Tables) -> DataFrame:
     return t.events.select("event_id", Z.local_date(F.col("ts")).alias("local_day"))
 
@@ -113,9 +113,9 @@ def fn_local_date(t: Tables) -> DataFrame:
           WHEN length(CAST(dwon_bgn AS VARCHAR)) <> 8 THEN coalesce(dwon_end, 20240614)
           ELSE dwon_bgn END AS repaired,
         CAST(CASE WHEN right(CAST(dwon_bgn AS VARCHAR), 2) = '00'
-          THEN {_date_sql('(dwon_bgn + 1)')}
+          THEN {date_sql('(dwon_bgn + 1)')}
           WHEN length(CAST(dwon_bgn AS VARCHAR)) <> 8 THEN DATE '2001-02-03'
-          ELSE {_date_sql('dwon_bgn')} END AS VARCHAR) AS repaired_day FROM gba_tbwnhis""",
+          ELSE {date_sql('dwon_bgn')} END AS VARCHAR) AS repaired_day FROM gba_tbwnhis""",
         "gba_tbwnhis",
     ),
 )
@@ -172,7 +172,7 @@ def fn_concat_propagate(t: Tables) -> DataFrame:
 @check(
     "fn_address_line",
     with_fixtures(
-        f"""SELECT rsys_adr, {_location_sql('a')} AS line,
+        f"""SELECT rsys_adr, {location_sql('a')} AS line,
         concat(nstr, ' ', rhs, coalesce(' ' || nhsr_lt, ''), coalesce(' ' || khsr_tv, ''),
           coalesce(' ' || khsr_ad, ''), ' ', kpst_num, kpst_alf, ',', nwpl_nm) AS clean_line
         FROM gba_tgbaadr a""",

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from checks.core import Tables, check
-from checks.fixtures import frames, with_fixtures
+from zilverspoor.checks.core import Tables, check
+from zilverspoor.checks.fixtures import frames, with_fixtures
 from zilverspoor.operators.history import current_rows
 from zilverspoor.operators.lookup import coalesced_lookup, decode, household_relations
 from zilverspoor.operators.windows import by, rows_at_min, top_row

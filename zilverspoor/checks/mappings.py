@@ -8,8 +8,8 @@ from types import SimpleNamespace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from checks.core import Tables, check, text
-from checks.fixtures import frames, with_fixtures
+from zilverspoor.checks.core import Tables, check, text
+from zilverspoor.checks.fixtures import frames, with_fixtures
 from zilverspoor.operators.quality import row_counts
 from zilverspoor.plans import MAPPINGS, Bronze, build, plan_all
 from zilverspoor.plans.civil import marriage_records, marriage_states
@@ -41,13 +41,13 @@ def map_beschikking(t: Tables) -> DataFrame:
     return run(t, "BESCHIKKING")
 
 
-def _day_sql(column: str) -> str:
+def day_sql(column: str) -> str:
     return (
         f"CAST(CAST(timezone('Europe/Amsterdam', timezone('UTC', {column})) AS DATE) AS VARCHAR)"
     )
 
 
-_PROVISIONS = f"""SELECT {_day_sql('i.dd_eind')} AS datumeinde, {_day_sql('i.dd_begin')} AS datumstart,
+_PROVISIONS = f"""SELECT {day_sql('i.dd_eind')} AS datumeinde, {day_sql('i.dd_begin')} AS datumstart,
     i.volume AS omvang, i.status_indicatie AS status,
     concat(i.besluitnr, i.volgnr_ind) AS beschikte_voorziening_id,
     CAST(NULL AS VARCHAR) AS redeneinde, CAST(NULL AS VARCHAR) AS code,
@@ -141,7 +141,7 @@ _REGISTERED = """LEFT JOIN gba_tprsgeg p ON p.rsys_prs = {0}.rsys_prs AND p.ireg
     LEFT JOIN gba_tnamreg n ON n.rsys_nam = coalesce(p.rsys_nam, a.rsys_nam)"""
 
 
-def _date_sql(value: str) -> str:
+def date_sql(value: str) -> str:
     number = f"CAST({value} AS VARCHAR)"
     return (
         f"CASE WHEN length({number}) = 8 "
@@ -149,7 +149,7 @@ def _date_sql(value: str) -> str:
     )
 
 
-_PERSONS = f"""WITH history AS (
+PERSONS_SQL = f"""WITH history AS (
       SELECT rsys_prs, dwon_end {_CLOSED}
       UNION ALL SELECT rsys_prs, NULL FROM gba_tvbpakt),
     ranked AS (
@@ -168,18 +168,18 @@ _PERSONS = f"""WITH history AS (
     WHERE coalesce(i.kops, 'x') <> 'F'"""
 
 
-@check("map_natuurlijk_persoon", _sql("NATUURLIJKPERSOON", _PERSONS))
+@check("map_natuurlijk_persoon", _sql("NATUURLIJKPERSOON", PERSONS_SQL))
 def map_natuurlijk_persoon(t: Tables) -> DataFrame:
     return run(t, "NATUURLIJKPERSOON")
 
 
-def _location_sql(table: str) -> str:
+def location_sql(table: str) -> str:
     t = table
     return f"""concat({t}.nstr, ' ', {t}.rhs, ' ', {t}.nhsr_lt, ' ', {t}.khsr_tv, ' ', {t}.khsr_ad,
       ' ', {t}.kpst_num, {t}.kpst_alf, ',', {t}.nwpl_nm)"""
 
 
-_REGISTRATIONS = f"""WITH history AS (
+REGISTRATIONS_SQL = f"""WITH history AS (
       SELECT rsys_prs, rsys_adr, dwon_bgn, dwon_end, kwon_end, NULL AS kigs_gzr {_CLOSED}
       UNION ALL SELECT rsys_prs, rsys_adr, dadrh, NULL, NULL, kigs_gzr FROM gba_tvbpakt),
     net AS (
@@ -202,7 +202,7 @@ _REGISTRATIONS = f"""WITH history AS (
     joined AS (
       SELECT n.radm, i.kops, i.dops, o.dovl_gba, r.*, g.omschrijving, s.khfd_bew, ad.nid_nad,
         CASE WHEN ad.rsys_adr IS NULL THEN concat(' ', ' ', ' ', ' ', ' ', ',')
-             ELSE {_location_sql('ad')} END AS locatie,
+             ELSE {location_sql('ad')} END AS locatie,
         lead(r.dwon_bgn) OVER (PARTITION BY n.radm ORDER BY r.dwon_bgn NULLS LAST,
           r.dwon_end NULLS LAST, r.rsys_adr NULLS LAST, r.kwon_end NULLS LAST,
           r.kigs_gzr NULLS LAST, r.raw_bgn NULLS LAST) AS next_bgn
@@ -214,9 +214,9 @@ _REGISTRATIONS = f"""WITH history AS (
       LEFT JOIN gba_tselbst s ON s.rsys_prs = i.rsys_prs AND r.dwon_end IS NULL
       WHERE coalesce(i.kops, 'x') <> 'F')
     SELECT radm AS "IngeschrevenPersoonId", radm AS "A_nummer",
-      CAST({_date_sql('dwon_bgn')} AS VARCHAR) AS "BegindatumVerblijf", dwon_bgn,
-      CAST(CASE WHEN next_bgn = dwon_end THEN {_date_sql('dwon_end')} - 1
-           ELSE {_date_sql('dwon_end')} END AS VARCHAR) AS "EinddatumVerblijf",
+      CAST({date_sql('dwon_bgn')} AS VARCHAR) AS "BegindatumVerblijf", dwon_bgn,
+      CAST(CASE WHEN next_bgn = dwon_end THEN {date_sql('dwon_end')} - 1
+           ELSE {date_sql('dwon_end')} END AS VARCHAR) AS "EinddatumVerblijf",
       dops AS dd_opschort_bijhouding,
       CASE WHEN kops = 'E' THEN dops END AS datumvertrekuitnederland,
       CAST(nid_nad AS VARCHAR) || '-BAG' AS "NummeraanduidingID",
@@ -238,12 +238,12 @@ _REGISTRATIONS = f"""WITH history AS (
     FROM joined"""
 
 
-@check("map_ingeschreven_persoon", _sql("INGESCHREVENPERSOON", _REGISTRATIONS))
+@check("map_ingeschreven_persoon", _sql("INGESCHREVENPERSOON", REGISTRATIONS_SQL))
 def map_ingeschreven_persoon(t: Tables) -> DataFrame:
     return run(t, "INGESCHREVENPERSOON")
 
 
-_RESIDENCES = f"""WITH history AS (
+RESIDENCES_SQL = f"""WITH history AS (
       SELECT rsys_prs, rsys_adr, dwon_bgn, dwon_end, kwon_end, rvlg,
         'Woonadres' AS adresherkomst {_CLOSED}
       UNION ALL
@@ -256,7 +256,7 @@ _RESIDENCES = f"""WITH history AS (
     joined AS (
       SELECT r.*, i.dtoe_gba, n.radm, ad.* EXCLUDE (rsys_adr),
         CASE WHEN ad.rsys_adr IS NULL THEN concat(' ', ' ', ' ', ' ', ' ', ',')
-             ELSE {_location_sql('ad')} END AS locatie,
+             ELSE {location_sql('ad')} END AS locatie,
         lead(r.dwon_bgn) OVER (PARTITION BY n.radm ORDER BY r.dwon_bgn NULLS LAST,
           r.dwon_end NULLS FIRST, r.rsys_prs NULLS FIRST, r.rsys_adr NULLS FIRST,
           r.rvlg NULLS FIRST, r.adresherkomst NULLS FIRST, r.kwon_end NULLS FIRST) AS next_bgn
@@ -265,11 +265,11 @@ _RESIDENCES = f"""WITH history AS (
       LEFT JOIN gba_tgbaadr ad ON ad.rsys_adr = r.rsys_adr
       WHERE coalesce(i.kops, 'x') <> 'F')
     SELECT adresherkomst AS "AdresHerkomst",
-      CAST(CASE WHEN right(CAST(dwon_bgn AS VARCHAR), 2) = '00' THEN {_date_sql('(dwon_bgn + 1)')}
-        WHEN length(CAST(dwon_bgn AS VARCHAR)) <> 8 THEN {_date_sql('dtoe_gba')}
-        ELSE {_date_sql('dwon_bgn')} END AS VARCHAR) AS "datumBegin",
-      CAST(CASE WHEN next_bgn = dwon_end THEN {_date_sql('dwon_end')} - 1
-           ELSE {_date_sql('dwon_end')} END AS VARCHAR) AS "datumEinde",
+      CAST(CASE WHEN right(CAST(dwon_bgn AS VARCHAR), 2) = '00' THEN {date_sql('(dwon_bgn + 1)')}
+        WHEN length(CAST(dwon_bgn AS VARCHAR)) <> 8 THEN {date_sql('dtoe_gba')}
+        ELSE {date_sql('dwon_bgn')} END AS VARCHAR) AS "datumBegin",
+      CAST(CASE WHEN next_bgn = dwon_end THEN {date_sql('dwon_end')} - 1
+           ELSE {date_sql('dwon_end')} END AS VARCHAR) AS "datumEinde",
       CAST(nid_vbo AS VARCHAR) || '-BAG' AS "BAGID_adresseerbaarobject",
       reden AS "RedenEindeBewoning", locatie AS "beschrijvingLocatie", rhs AS huisnummer,
       nhsr_lt AS huisletter, khsr_tv AS huisnummertoevoeging, khsr_ad AS huisnummeraanduiding,
@@ -283,17 +283,17 @@ _RESIDENCES = f"""WITH history AS (
     FROM joined"""
 
 
-@check("map_verblijfsadres", _sql("VERBLIJFSADRESINGESCHREVENPERSOON", _RESIDENCES))
+@check("map_verblijfsadres", _sql("VERBLIJFSADRESINGESCHREVENPERSOON", RESIDENCES_SQL))
 def map_verblijfsadres(t: Tables) -> DataFrame:
     return run(t, "VERBLIJFSADRESINGESCHREVENPERSOON")
 
 
-def _partial_sql(value: str) -> str:
+def partial_sql(value: str) -> str:
     number = f"CAST({value} AS VARCHAR)"
     adjusted = f"""(CASE WHEN {value} <= 0 THEN NULL
         WHEN substr({number}, 5, 2) = '00' THEN {value} + 101
         WHEN substr({number}, 7, 2) = '00' THEN {value} + 1 ELSE {value} END)"""
-    return _date_sql(adjusted)
+    return date_sql(adjusted)
 
 
 _MARRIAGE_COLUMNS = "rsys_prs, rvlg_hw, rsys_nam, dhw, dhwo, kakt, khwo, ksrt_vrb, dgld, dopn"
@@ -319,8 +319,8 @@ _STATES = f"""omz AS (
         CASE WHEN m.rvlg_hw IS NULL THEN lpad(CAST(b.rvlg_hw + 1 AS VARCHAR), 3, '0')
              ELSE lpad(concat(m.rvlg_hw + 1, b.rvlg_hw + 1), 3, '0') END AS rvlg_volg,
         CASE WHEN m.rvlg_hw IS NULL THEN 'Nee' ELSE 'Ja' END AS omzetting, b.rsys_nam,
-        {_partial_sql('b.dhw')} AS dhw, {_partial_sql('b.dhwo')} AS dhwo, b.kakt, b.khwo,
-        b.ksrt_vrb, {_partial_sql('b.dgld')} AS dgld, {_partial_sql('b.dopn')} AS dopn
+        {partial_sql('b.dhw')} AS dhw, {partial_sql('b.dhwo')} AS dhwo, b.kakt, b.khwo,
+        b.ksrt_vrb, {partial_sql('b.dgld')} AS dgld, {partial_sql('b.dopn')} AS dopn
       FROM basis b LEFT JOIN omz m ON m.rsys_prs = b.rsys_prs AND m.rvlg_hw = b.rvlg_hw
         AND m.min_dgld <= b.dgld),
     states AS (
@@ -330,7 +330,7 @@ _STATES = f"""omz AS (
         first_value(ksrt_vrb) OVER w AS ksrt_vrb, first_value(omzetting) OVER w AS omzetting,
         first_value(dgld) OVER w AS dgld, first_value(dopn) OVER w AS dopn
       FROM flagged WINDOW w AS {_LATEST})"""
-_MARRIAGES = f"""WITH {_BASIS}, {_STATES},
+MARRIAGES_SQL = f"""WITH {_BASIS}, {_STATES},
     looked AS (
       SELECT *, lead(omzetting) OVER w AS next_omzetting, lead(dhw) OVER w AS next_dhw FROM states
       WINDOW w AS (PARTITION BY rsys_prs, rvlg_hw ORDER BY dgld NULLS LAST, rvlg_volg NULLS LAST))
@@ -355,7 +355,7 @@ _MARRIAGES = f"""WITH {_BASIS}, {_STATES},
     LEFT JOIN gba_tdomein d2 ON d2.kode = s.ksrt_vrb AND d2.kveld = 'KSRT_VRB'"""
 
 
-@check("map_huwelijk", _sql("HUWELIJK", _MARRIAGES))
+@check("map_huwelijk", _sql("HUWELIJK", MARRIAGES_SQL))
 def map_huwelijk(t: Tables) -> DataFrame:
     return run(t, "HUWELIJK")
 
@@ -441,10 +441,10 @@ _ALL = {
     "WET_ENUM": "SELECT * FROM szregel",
     "ENUM_GEZINSRELATIE": "SELECT * FROM ods_cen_gba_tdomein "
     "WHERE kveld = 'KIGS_GZR' AND dwh_actueel = 1",
-    "NATUURLIJKPERSOON": _PERSONS,
-    "INGESCHREVENPERSOON": _REGISTRATIONS,
-    "VERBLIJFSADRESINGESCHREVENPERSOON": _RESIDENCES,
-    "HUWELIJK": _MARRIAGES,
+    "NATUURLIJKPERSOON": PERSONS_SQL,
+    "INGESCHREVENPERSOON": REGISTRATIONS_SQL,
+    "VERBLIJFSADRESINGESCHREVENPERSOON": RESIDENCES_SQL,
+    "HUWELIJK": MARRIAGES_SQL,
 }
 
 

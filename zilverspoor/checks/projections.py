@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from checks.core import Tables, check, text
-from checks.fixtures import frames, with_fixtures
+from zilverspoor.checks.core import Tables, check, text
+from zilverspoor.checks.fixtures import frames, with_fixtures
 from zilverspoor.functions import code_label
 from zilverspoor.operators.columns import (
     coerce_labels,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.core import Tables, check
+from zilverspoor.checks.core import Tables, check
 from zilverspoor.sinks.parts import write_manifest
 from zilverspoor.sources.files import (
     group_part_files,

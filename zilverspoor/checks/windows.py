@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from checks.core import Tables, check, text
-from checks.fixtures import frames, with_fixtures
-from checks.mappings import _date_sql
+from zilverspoor.checks.core import Tables, check, text
+from zilverspoor.checks.fixtures import frames, with_fixtures
+from zilverspoor.checks.mappings import date_sql
 from zilverspoor.functions import yyyymmdd_to_date
 from zilverspoor.functions.dates import OPEN_END, UNKNOWN_BEGIN
 from zilverspoor.operators.history import close_interval
@@ -129,7 +129,7 @@ def win_first_value(t: Tables) -> DataFrame:
             f"""SELECT rsys_prs, rsys_adr, dwon_bgn, rvlg,
             CASE WHEN lead(dwon_bgn) OVER (PARTITION BY rsys_prs ORDER BY dwon_bgn NULLS LAST,
                 dwon_end NULLS FIRST, rsys_adr, rvlg, kwon_end NULLS FIRST) = dwon_end
-              THEN {_date_sql('dwon_end')} - 1 ELSE {_date_sql('dwon_end')} END AS end_day
+              THEN {date_sql('dwon_end')} - 1 ELSE {date_sql('dwon_end')} END AS end_day
             FROM gba_tbwnhis""",
             "gba_tbwnhis",
         ),

@@ -48,8 +48,17 @@ def test_look_ahead_equals_lead(spark, rows, seed):
     df = stays(spark, seed)
     window = Window.partitionBy("grp").orderBy(by("day"), F.col("val").asc_nulls_first(), F.col("id"))
     expected = df.withColumn("n", F.lead("day").over(window))
-    got = look_ahead(df, ["grp"], "day", "n", ties=["val", "id"])
-    assert rows(got.select("id", "n")) == rows(expected.select("id", "n"))
+    for unique in (True, False):
+        got = look_ahead(df, ["grp"], "day", "n", ties=["val", "id"], unique=unique)
+        assert rows(got.select("id", "n")) == rows(expected.select("id", "n"))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_look_ahead_with_copies_equals_lead(spark, rows, seed):
+    df = stays(spark, seed).drop("id")  # most rows occur several times now
+    window = Window.partitionBy("grp").orderBy(by("day"), F.col("val").asc_nulls_first())
+    expected = df.withColumn("n", F.lead("day").over(window))
+    assert rows(look_ahead(df, ["grp"], "day", "n")) == rows(expected)
 
 
 @pytest.mark.parametrize("descending", [False, True])

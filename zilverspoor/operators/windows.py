@@ -129,24 +129,76 @@ def with_running_max(
 
 
 def look_ahead(
-    df: DataFrame, keys: Sequence[str], order: str, out: str, ties: Sequence[str] | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    out: str,
+    ties: Sequence[str] | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Add the order value of the next row in the group.
 
     Rows with the same order value follow each other by ``ties`` (all other
     columns when not given, NULLs first): all but the last of them see their own
-    value next. Exact copies of a row are treated alike.
+    value next. ``unique`` promises that ties never repeat within an order value;
+    without it, of several equal last rows exactly one looks further.
     """
     ties = list(ties or [c for c in df.columns if c not in keys and c != order])
     # one plain column aggregates by hashing, a struct needs sorting
     tie = F.col(ties[0]) if len(ties) == 1 else F.struct(*ties)
-    steps = df.groupBy(*keys, order).agg(F.max(tie).alias("__last"))
-    window = Window.partitionBy(*keys).orderBy(by(order))
-    steps = steps.withColumn("__next", F.lead(order).over(window))
-    joined = join_null_safe(df, steps, [*keys, order], "inner")
-    return joined.withColumn(
-        out, F.when(tie.eqNullSafe(F.col("__last")), F.col("__next")).otherwise(F.col(order))
-    ).drop("__next", "__last")
+    day = [*keys, order]
+    following = F.lead(order).over(Window.partitionBy(*keys).orderBy(by(order)))
+    if unique:
+        last = df.groupBy(*day).agg(F.max(tie).alias("__last"))
+        steps = last.withColumn("__next", following)
+    else:
+        counted = df.groupBy(*day, *ties).agg(F.count(F.lit(1)).alias("copies"))
+        last = counted.groupBy(*day).agg(F.max(F.struct(tie.alias("tie"), "copies")).alias("l"))
+        steps = last.select(
+            *day,
+            F.col("l.tie").alias("__last"),
+            F.col("l.copies").alias("__copies"),
+            following.alias("__next"),
+        )
+    is_last = tie.eqNullSafe(F.col("__last"))
+    seen = F.when(is_last, F.col("__next")).otherwise(F.col(order)).alias(out)
+    joined = join_null_safe(df, steps, day, "inner")
+    if unique:
+        return joined.select(*df.columns, seen)
+    single = joined.where(~is_last | (F.col("__copies") == 1)).select(*df.columns, seen)
+    # equal last rows are rare, so this join is small; it reads the same shuffle
+    repeated = join_null_safe(df, steps.where("__copies > 1"), day, "inner").where(is_last)
+    return single.unionByName(_one_looks_further(repeated, df.columns, day, order, out))
+
+
+def _one_looks_further(
+    rows: DataFrame, columns: Sequence[str], day: Sequence[str], order: str, out: str
+) -> DataFrame:
+    """Of equal last rows one sees the next value, the others their own.
+
+    Equal rows travel as one row per task with their number. Choosing among those
+    looks at one row per task, and no task repeats more rows than another read.
+    """
+    counted = (
+        rows.withColumn("__task", F.spark_partition_id())
+        .groupBy(*columns, "__next", "__task")
+        .agg(F.count(F.lit(1)).alias("__n"))
+    )
+    chosen = F.row_number().over(Window.partitionBy(*day).orderBy("__task")) == 1
+    split = counted.withColumn("__one", chosen.cast("int")).withColumn(
+        "__part",
+        F.explode(
+            F.array(
+                F.struct(F.col("__next").alias("value"), F.col("__one").cast("bigint").alias("n")),
+                F.struct(F.col(order).alias("value"), (F.col("__n") - F.col("__one")).alias("n")),
+            )
+        ),
+    )
+    return (
+        split.where("__part.n > 0")
+        .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__part.n"))))
+        .select(*columns, F.col("__part.value").alias(out))
+    )
 
 
 def number_rows(

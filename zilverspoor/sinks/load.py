@@ -38,9 +38,10 @@ def load_silver(
 ) -> DataFrame:
     """Run the mappings and show their rows in all tables at once.
 
-    Every mapping is written aside first, ``width`` of them at a time. If one fails, or ``check_keys`` finds a
-    duplicate key, no table changes. A mapping whose source is missing is
-    skipped; the result lists what was loaded and what was skipped and why.
+    Every mapping is written aside first, ``width`` of them at a time. If one
+    fails, or ``check_keys`` finds a duplicate key, no table changes. A mapping
+    whose source is missing is skipped; the result lists what was loaded and what
+    was skipped and why.
     """
     modes = {name.lower(): mode.lower() for name, mode in (modes or {}).items()}
     planned = plan_all(bronze, targets, row_limit)

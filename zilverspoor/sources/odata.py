@@ -151,10 +151,8 @@ def v2_timestamp(value: Column) -> Column:
 
 def time_of_duration(value: Column) -> Column:
     """``PT12H34M56S``, the version 2 time of day, as ``12:34:56``; other text is NULL."""
-    part = [
-        F.lpad(F.coalesce(F.nullif(F.regexp_extract(value, rf"(\d+){unit}", 1), F.lit("")), F.lit("0")), 2, "0")
-        for unit in "HMS"
-    ]
+    # a part that is not given extracts as empty text and is padded to 00
+    part = [F.lpad(F.regexp_extract(value, rf"(\d+){unit}", 1), 2, "0") for unit in "HMS"]
     return F.when(value.rlike(r"^PT(\d+H)?(\d+M)?(\d+S)?$"), F.concat_ws(":", *part))
 
 

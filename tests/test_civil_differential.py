@@ -1,7 +1,8 @@
 """Civil-registry mappings against plain SQL on awkward random registers.
 
-One person holds a third of the address history, some persons have no name or
-two, dates are partial, unknown or equal, and two lists share a person number.
+One person holds a third of the address history, rows occur several times, some
+persons have no name or two, dates are partial, unknown or equal, and two lists
+share a person number.
 """
 
 import random
@@ -50,7 +51,7 @@ def register(seed):
     rnd = random.Random(seed)
     pick = rnd.choice
     persons = range(1, 25)
-    stays = {
+    stays = [
         (
             7 if rnd.random() < 0.34 else pick([*persons, 99, None]),
             pick([1, 2, 3, 50]),
@@ -60,7 +61,8 @@ def register(seed):
             pick([0, 1, 2, None]),
         )
         for _ in range(300)
-    }
+    ]
+    stays += [pick(stays) for _ in range(60)]  # exact copies
 
     def marriages(n, with_flag):
         return [
@@ -74,7 +76,7 @@ def register(seed):
         ]
 
     return {
-        "gba_tbwnhis": sorted(stays, key=str),
+        "gba_tbwnhis": stays,
         "gba_tvbpakt": [
             (p, pick([1, 2, 3]), pick(DAYS), pick([1, 8, 9, None]), pick(["A", "Z", None]))
             for p in persons if p % 5

@@ -132,9 +132,7 @@ def strings(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     """Texts that stand next to each other in ``data``, without a copy of it."""
     offsets = np.ascontiguousarray(offsets, np.int64)
     parts = [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]
-    return pa.LargeStringArray.from_buffers(
-        pa.large_string(), len(offsets) - 1, parts
-    )
+    return pa.Array.from_buffers(pa.large_string(), len(offsets) - 1, parts)
 
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

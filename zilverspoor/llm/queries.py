@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from zilverspoor.llm.common import table
 
@@ -75,3 +76,22 @@ def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
     book = q.ledger(table(spark, folder, "documents"))
     return book.withColumns({"base_failed": ~q.verdict("base"), "kept": q.verdict("standard")})
+
+
+@query("op10_byte_bpe")
+def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from zilverspoor.llm import byte_bpe as b
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    encoded = b.encode(docs, path, public_tokenizers.PATTERN).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        "ids",
+    )
+    return b.decode(encoded, path).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
+    )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zilverspoor.llm.common import table
+from zilverspoor.session import run_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -95,3 +96,17 @@ def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return b.decode(encoded, path).select(
         "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
     )
+
+
+@query("op9_token_records")
+def token_records(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from zilverspoor.llm import token_records as t
+
+    docs = table(spark, folder, "documents")
+    out = run_dir(spark, "token-records")
+    t.write(docs, out, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return t.read(spark, out).select(
+        F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )

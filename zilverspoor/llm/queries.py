@@ -110,3 +110,50 @@ def token_records(spark: SparkSession, folder: str) -> DataFrame:
     return t.read(spark, out).select(
         F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )
+
+
+DECONTAMINATE_SQL = r"""
+WITH lower_ascii AS (
+  SELECT 'd' AS kind, doc_id AS id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+  UNION ALL
+  SELECT 'b', item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+win AS (
+  SELECT DISTINCT id AS item_id, n, array_to_string(ws[i:i + n - 1], ' ') AS w FROM (
+    SELECT id, ws, least(13, len(ws)) AS n, unnest(range(1, greatest(1, len(ws) - 12) + 1)) AS i
+    FROM lower_ascii WHERE kind = 'b' AND len(ws) > 0)),
+sizes AS (SELECT DISTINCT n FROM win),
+spots AS (
+  SELECT id AS doc_id, n, i, array_to_string(ws[i:i + n - 1], ' ') AS w FROM (
+    SELECT id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i
+    FROM lower_ascii, sizes WHERE kind = 'd' AND len(ws) >= n)),
+occ AS (SELECT doc_id, s.n, i, item_id FROM spots s JOIN win ON win.n = s.n AND win.w = s.w),
+hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM occ) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS s
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM occ) GROUP BY doc_id)
+SELECT d.id AS doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+       CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(s, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM lower_ascii d LEFT JOIN hit ON hit.doc_id = d.id LEFT JOIN items ON items.doc_id = d.id
+WHERE kind = 'd'
+"""
+
+
+@query("op7_decontaminate", DECONTAMINATE_SQL)
+def decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    from zilverspoor.llm import decontaminate as d
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = d.hits(docs, table(spark, folder, "benchmark"))
+    listed = F.array_join(F.array_sort(F.col("items").cast("array<string>")), ",")
+    return found.select(
+        "row.doc_id", "n_words", d.hit_words().alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"), F.sha2(listed, 256).alias("items_sha256"),
+    ).withColumn("contaminated", d.contaminated(F.col("n_hit"), F.col("n_words")))

@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +28,9 @@ from zilverspoor.llm.common import buffers, ranges, slices
 from zilverspoor.llm.memo import Encoded, Memo, lists
 
 NO_RANK = np.int32(2**31 - 1)
-BATCH_BYTES = 12 << 20
+BATCH_BYTES = 6 << 20
+#: Ids that one decoding step looks at; a single longer list is a step of its own.
+BATCH_IDS = 1 << 19
 
 
 class RankQueue:
@@ -292,7 +295,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
-        for batch in batches:
+        for batch in slices(batches, BATCH_IDS, lambda b: pc.list_value_length(b.column("ids"))):
             column = batch.column("ids")
             flat = column.flatten().to_numpy(zero_copy_only=False)
             if len(flat) and not (

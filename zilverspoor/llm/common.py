@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -101,12 +101,20 @@ def file_bytes(uri: str, name: str) -> np.ndarray:
 # Arrow batches
 
 
-def slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+def _text_bytes(batch: pa.RecordBatch) -> pa.Array:
+    return pc.binary_length(batch.column("text"))
+
+
+def slices(
+    batches: Iterator[pa.RecordBatch],
+    limit: int = SLICE_BYTES,
+    sizes_of: Callable[[pa.RecordBatch], pa.Array] = _text_bytes,
+) -> Iterator[pa.RecordBatch]:
     """Cut batches into runs of rows whose ``text`` holds at most ``limit`` bytes, or one row."""
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0)
+        sizes = pc.fill_null(sizes_of(batch), 0)
         ends = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))
         first, base = 0, 0
         while first < batch.num_rows:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from zilverspoor.llm.common import ranges, strings
 
 #: Pieces that a worker remembers; further ones are encoded again in each batch that has them.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 
 Encoded = tuple[np.ndarray, np.ndarray]  # all ids, and how many each piece has
 

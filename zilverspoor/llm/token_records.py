@@ -242,7 +242,7 @@ def read(spark: SparkSession, folder: str, records: int = READ_RECORDS) -> DataF
     pieces = files.select(
         "data", "index", "width", "base", "n_records",
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_records") - 1, F.lit(records).cast("long"))).alias("first"),
-    ).repartition("data", "first")
+    ).repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), "data", "first")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in chain.from_iterable(b.to_pylist() for b in batches):

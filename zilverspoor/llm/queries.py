@@ -157,3 +157,16 @@ def decontaminate(spark: SparkSession, folder: str) -> DataFrame:
         "row.doc_id", "n_words", d.hit_words().alias("n_hit"),
         F.size("items").cast("long").alias("n_items"), F.sha2(listed, 256).alias("items_sha256"),
     ).withColumn("contaminated", d.contaminated(F.col("n_hit"), F.col("n_words")))
+
+
+@query("op2_toxicity")
+def toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from zilverspoor.llm import toxicity as t
+
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    apart = t.held_out(F.col("doc_id"), 4, 2)
+    model = t.fit(docs, labels.filter(~apart))
+    return t.score(docs, model).select(
+        "doc_id", apart.alias("held_out"), "score",
+        (F.col("score") >= t.THRESHOLD).cast("int").alias("predicted"), "weight",
+    )

@@ -170,3 +170,14 @@ def toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", apart.alias("held_out"), "score",
         (F.col("score") >= t.THRESHOLD).cast("int").alias("predicted"), "weight",
     )
+
+
+@query("op3_ngram_trie")
+def ngram_trie(spark: SparkSession, folder: str) -> DataFrame:
+    from zilverspoor.llm import ngram_trie as n
+    from zilverspoor.llm.toxicity import held_out
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    apart = held_out(F.col("doc_id"), 7, 2)
+    levels = n.train(docs.filter(~apart))
+    return n.score(docs, levels).select("*", apart.alias("held_out"))

@@ -181,3 +181,11 @@ def ngram_trie(spark: SparkSession, folder: str) -> DataFrame:
     apart = held_out(F.col("doc_id"), 7, 2)
     levels = n.train(docs.filter(~apart))
     return n.score(docs, levels).select("*", apart.alias("held_out"))
+
+
+@query("op4_secret_scan")
+def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    from zilverspoor.llm import secret_scan as s
+
+    docs = table(spark, folder, "documents")
+    return s.scan(docs, s.fit(s.labelled_findings(spark)))

@@ -21,7 +21,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from zilverspoor.llm.common import fresh
+from zilverspoor.llm.common import fresh, kept
 
 #: Labelled findings that the forest is fitted on.
 LABELLED_ROWS = 4800
@@ -105,21 +105,23 @@ def features(match: Column, before: Column, after: Column) -> dict[str, Column]:
 # Labelled findings
 
 
+def _draws(ids: DataFrame) -> DataFrame:
+    """Columns of random characters of several kinds, which depend on the row's id only."""
+    digest = F.concat(*[F.sha2(F.concat_ws("/", F.col("id"), F.lit(i)), 256) for i in range(6)])
+    drawn = ids.select("id", digest.alias("hex")).withColumn(
+        "mixed", F.regexp_replace(F.base64(F.unhex("hex")), r"[\s+/=]", "")
+    )
+    return drawn.select(
+        "id", "hex", "mixed",
+        F.translate("hex", "abcdef", "273950").alias("digits"),
+        F.upper("mixed").alias("upper"),
+        F.lower(F.regexp_replace("mixed", "[0-9]", "e")).alias("letters"),
+    )
+
+
 def _random(kind: str, length: int, salt: str) -> Column:
-    """Random characters that depend on the row's id and the salt only."""
-    digest = F.concat(*[
-        F.sha2(F.concat_ws("/", F.col("id").cast("string"), F.lit(f"{salt}{i}")), 256) for i in range(4)
-    ])
-    if kind == "hex":
-        return F.substring(digest, 1, length)
-    if kind == "digits":
-        return F.substring(F.translate(digest, "abcdef", "273950"), 1, length)
-    mixed = F.regexp_replace(F.base64(F.unhex(digest)), r"[\s+/=]", "")
-    if kind == "upper":
-        return F.substring(F.upper(mixed), 1, length)
-    if kind == "letters":
-        return F.substring(F.lower(F.regexp_replace(mixed, "[0-9]", "e")), 1, length)
-    return F.substring(mixed, 1, length)
+    """Some of a row's random characters; the salt says where they begin."""
+    return F.substring(kind, 1 + 3 * (ord(salt) - ord("A")), length)
 
 
 def _templates() -> list[tuple[int, Column]]:
@@ -177,14 +179,10 @@ def _templates() -> list[tuple[int, Column]]:
 
 def labelled_findings(spark: SparkSession, rows: int = LABELLED_ROWS) -> DataFrame:
     """Lines with one candidate each and whether it is a secret."""
-    templates = _templates()
-    line = F.lit(None).cast("string")
-    label = F.lit(None).cast("int")
-    which = F.col("id") % len(templates)
-    for i, (mark, template) in enumerate(templates):
-        line = F.when(which == i, template).otherwise(line)
-        label = F.when(which == i, F.lit(mark)).otherwise(label)
-    return spark.range(rows, numPartitions=1).select("id", line.alias("text"), label.alias("label"))
+    lines = [F.struct(F.lit(m).alias("label"), t.alias("text")) for m, t in _templates()]
+    ids = spark.range(-(-rows // len(lines)), numPartitions=1)
+    each = _draws(ids).select("id", F.explode(F.array(*lines)).alias("line"))
+    return each.select("id", "line.*")
 
 
 # The forest
@@ -264,7 +262,9 @@ def fit(
     ).filter("label IS NOT NULL AND text IS NOT NULL")
     one = _scanned(lines, F.col("text")).filter(F.size("found") > 0)
     one = one.select("label", _described().alias("c")).select("label", F.col("c")[0]["f"].alias("f"))
-    table = one.select("label", "f.*").coalesce(1)  # bags must not depend on how rows are dealt out
+    # one partition, as bags must not depend on how rows are dealt out; written once, as fitting
+    # reads the rows again and again
+    table = kept(one.select("label", "f.*").coalesce(1), "secret-findings").coalesce(1)
     names = table.columns[1:]
     table = VectorAssembler(inputCols=names, outputCol="features").transform(table)
     forest = RandomForestClassifier(

@@ -189,3 +189,11 @@ def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
     docs = table(spark, folder, "documents")
     return s.scan(docs, s.fit(s.labelled_findings(spark)))
+
+
+@query("op1_minhash_dedup")
+def minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from zilverspoor.llm import minhash_dedup as m
+
+    found = m.classes(table(spark, folder, "documents"))
+    return found.select(F.col("key").alias("doc_id"), F.col("class").alias("class_id"))

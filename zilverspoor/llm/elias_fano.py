@@ -26,18 +26,26 @@ def _packed(values: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
+# place of the n-th set bit of a byte, by byte and n
+_BIT = np.full((256, 8), 8, np.uint8)
+for _byte in range(256):
+    for _n, _at in enumerate(i for i in range(8) if _byte >> i & 1):
+        _BIT[_byte, _n] = _at
+_BIT = _BIT.reshape(-1)
+_ONES, _TOPS = _U(0x0101010101010101), _U(0x8080808080808080)
+
+
 def _nth_set(words: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Bit position of the n-th set bit of each word."""
-    words, n = words.copy(), n.astype(np.uint64)
-    at = np.zeros(len(words), np.uint64)
-    for width in (32, 16, 8, 4, 2, 1):
-        inside = np.bitwise_count(words & _U((1 << width) - 1)).astype(np.uint64)
-        beyond = n >= inside
-        n = np.where(beyond, n - inside, n)
-        step = np.where(beyond, _U(width), _U(0))
-        words >>= step
-        at += step
-    return at.astype(np.int64)
+    """Bit position of the n-th set bit of each word: by the bytes' counts, then inside a byte."""
+    n = n.astype(np.uint64)
+    sums = words - ((words >> _ONE) & _U(0x5555555555555555))
+    sums = (sums & _U(0x3333333333333333)) + ((sums >> _U(2)) & _U(0x3333333333333333))
+    sums = ((sums + (sums >> _U(4))) & _U(0x0F0F0F0F0F0F0F0F)) * _ONES  # up to each byte
+    passed = np.bitwise_count((((n * _ONES) | _TOPS) - sums) & _TOPS)
+    at = passed.astype(np.uint64) << _U(3)
+    inside = n - (((sums << _U(8)) >> at) & _U(255))
+    byte = (words >> at) & _U(255)
+    return (at + _BIT[(byte << _U(3)) | inside]).astype(np.int64)
 
 
 class EliasFano:
@@ -173,7 +181,7 @@ def unpack(data: np.ndarray) -> dict[str, np.ndarray]:
     while 10 not in (part := data[end : end + 4096]):
         end += 4096
     end += int(np.flatnonzero(part == 10)[0])
-    out = {}
+    data, out = np.asarray(data).view(np.ndarray), {}
     for name, kind, n, at in json.loads(data[:end].tobytes()):
         begin = end + 1 + at
         dtype = np.dtype(kind)

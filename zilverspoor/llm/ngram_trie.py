@@ -167,7 +167,7 @@ class Trie:
             if level.files[s] is None:
                 continue
             held = shard_arrays(level.folder, level.files[s])
-            context, inverse = np.unique(parents[at], return_inverse=True)
+            context, inverse = distinct(parents[at])
             place = held["contexts"].find(context)
             known = place >= 0
             first, last = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
@@ -208,22 +208,27 @@ def tokens_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, bounds
 
 
-def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted different values, where each value is among them, and how often they occur."""
-    order = np.argsort(values, kind="stable")
-    ranked = values[order]
-    heads = np.concatenate([[True], ranked[1:] != ranked[:-1]]) if len(ranked) else ranked > 0
-    inverse = np.empty(len(values), np.int64)
-    inverse[order] = np.cumsum(heads) - 1
-    starts = np.flatnonzero(heads)
-    return ranked[starts], inverse, np.diff(np.append(starts, len(ranked)))
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted different values, and where each value is among them."""
+    coded = pa.array(values).dictionary_encode()
+    found = coded.dictionary.to_numpy(zero_copy_only=False)
+    order = np.argsort(found)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return found[order], rank[coded.indices.to_numpy(zero_copy_only=False)]
+
+
+def runs(ranked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different values of a sorted array, and how often each occurs."""
+    heads = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])[: len(ranked)])
+    return ranked[heads], np.diff(np.append(heads, len(ranked)))
 
 
 class Path:
     """For each token the nodes of the n-grams that end in it, level by level."""
 
     def __init__(self, trie: Trie, hashes: np.ndarray, bounds: np.ndarray):
-        different, inverse, _ = distinct(hashes)
+        different, inverse = distinct(hashes)
         nodes, counts = trie.vocabulary(different)
         self.trie, self.word, self.count = trie, nodes[inverse], counts[inverse]
         self.place = np.arange(len(hashes)) - np.repeat(bounds[:-1], np.diff(bounds))
@@ -258,28 +263,53 @@ class Path:
 # Building
 
 
+def _counted(
+    parents: np.ndarray, words: np.ndarray, counts: np.ndarray | None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different pairs in order with the sums of their counts (None: one each)."""
+    if not len(parents):
+        return parents, words, np.empty(0, np.int64)
+    size = int(words.max()) + 1 if words.dtype != np.uint64 else 1 << 64
+    if (int(parents.max()) + 1) * size < 1 << 63:  # a pair fits into one number
+        pair = parents * size + words
+        if counts is None:
+            pair, counts = runs(np.sort(pair))
+        else:
+            order = np.argsort(pair)
+            pair = pair[order]
+            heads = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+            pair, counts = pair[heads], np.add.reduceat(counts[order], heads)
+        return pair // size, pair % size, counts
+    order = np.lexsort((words, parents))
+    parents, words = parents[order], words[order]
+    heads = np.flatnonzero(
+        np.concatenate([[True], (parents[1:] != parents[:-1]) | (words[1:] != words[:-1])])
+    )
+    if counts is None:
+        counts = np.diff(np.append(heads, len(order)))
+    else:
+        counts = np.add.reduceat(counts[order], heads)
+    return parents[heads], words[heads], counts
+
+
 def _blocks(
     parents: np.ndarray, words: np.ndarray, counts: np.ndarray, shard: np.ndarray, shards: int
 ) -> pa.RecordBatch:
-    order = np.lexsort((words, parents, shard))
+    """One block for each shard; pairs come in order and stay so."""
+    order = np.argsort(shard.astype(np.uint16 if shards < 65536 else np.int64), kind="stable")
     cuts = np.searchsorted(shard[order], np.arange(shards + 1))
     filled = np.flatnonzero(np.diff(cuts))
     out = []
     for s in filled:
         at = order[cuts[s] : cuts[s + 1]]
-        p, w, c = parents[at], words[at], counts[at]
-        heads = np.flatnonzero(
-            np.concatenate([[True], (p[1:] != p[:-1]) | (w[1:] != w[:-1])])
-        )
-        c = np.add.reduceat(c, heads)
+        w, c = words[at], counts[at]
         # contexts once, with the number of their successors
-        p, w = p[heads], w[heads]
-        first = np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]]))
+        p, each = runs(parents[at])
         small = np.uint8 if c.max() < 256 else np.int64
-        wide = np.int64 if int(w.max()) >= 1 << 32 else np.uint32
+        wide = w.dtype if w.dtype == np.uint64 or int(w.max()) >= 1 << 32 else np.uint32
         block = pack({
-            "parents": p[first], "each": np.diff(np.append(first, len(p))).astype(np.uint32),
-            "words": w if w.dtype == np.uint64 else w.astype(wide), "counts": c.astype(small),
+            "parents": p, "each": each.astype(np.uint32),
+            "words": w.astype(wide), "counts": c.astype(small),
         })
         out.append(block)
     return pa.RecordBatch.from_arrays(
@@ -290,14 +320,11 @@ def _blocks(
 def _merge(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     each = [unpack(np.frombuffer(b, np.uint8)) for b in blocks]
     parents = np.concatenate([np.repeat(e["parents"], e["each"]) for e in each])
-    words = np.concatenate([e["words"].astype(np.uint64) for e in each])
+    words = np.concatenate([e["words"] for e in each])
     counts = np.concatenate([e["counts"].astype(np.int64) for e in each])
-    order = np.lexsort((words, parents))
-    parents, words, counts = parents[order], words[order], counts[order]
-    heads = np.flatnonzero(
-        np.concatenate([[True], (parents[1:] != parents[:-1]) | (words[1:] != words[:-1])])
-    )
-    return parents[heads], words[heads], np.add.reduceat(counts, heads)
+    if words.dtype != np.uint64:
+        words = words.astype(np.int64)
+    return _counted(parents, words, counts)
 
 
 def _count(docs: DataFrame, levels: list[Level], shards: int) -> DataFrame:
@@ -307,29 +334,32 @@ def _count(docs: DataFrame, levels: list[Level], shards: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = trie_of.value
         trie = Trie(known) if known else None
-        held: list[tuple] = []
+        held: list = []
         size = 0
 
         def flush() -> pa.RecordBatch:
-            parents, words, counts = (np.concatenate(x) for x in zip(*held))
             if trie is None:
+                words, counts = runs(np.sort(np.concatenate(held)))
+                parents = np.zeros(len(words), np.int64)
                 shard = (words >> U(32)) * U(shards) >> U(32)
             else:
+                both = [np.concatenate(x) for x in zip(*held)]
+                parents, words, counts = _counted(*both, None)
                 shard = deal(parents, words, shards, trie.hot[len(known) - 1])
             return _blocks(parents, words, counts, shard, shards)
 
         for batch in slices(batches):
             hashes, bounds = tokens_of(batch.column("text"))
             if trie is None:
-                words, _, counts = distinct(hashes)
-                held.append((np.zeros(len(words), np.int64), words, counts))
+                held.append(hashes)
+                size += len(hashes)
             else:
                 path = Path(trie, hashes, bounds)
                 while path.level < len(known):
                     path.climb()
                 at = path.candidates()
-                held.append((path.node[at - 1], path.word[at], np.ones(len(at), np.int64)))
-            size += len(held[-1][0])
+                held.append((path.node[at - 1], path.word[at]))
+                size += len(at)
             if size >= TOKENS:
                 yield flush()
                 held, size = [], 0
@@ -411,13 +441,14 @@ def _shard(folder, shard, blocks, trie, order, known, shards) -> dict:
     else:
         keep = counts >= LEAST
         parents, words, counts = parents[keep], words[keep], counts[keep]
-        context, inverse, each = distinct(parents)
+        context, each = runs(parents)
+        inverse = np.repeat(np.arange(len(context)), each)
         share = (counts - DISCOUNT) / trie.counts(order - 1, context)[inverse]
         kept_share = np.bincount(inverse, share, minlength=len(context))
         hot = np.isin(context, trie.hot[order - 2])
         dealt, dealt_sums = context[hot].tolist(), kept_share[hot].tolist()
         pointers = np.concatenate([[0], np.cumsum(each)])
-        moved = inverse * trie.words + words.astype(np.int64)
+        moved = inverse * trie.words + words
         arrays = (
             EliasFano.build(context, max(1, known[-1].bases[-1])).arrays("contexts")
             | EliasFano.build(pointers, len(words) + 1).arrays("pointers")

@@ -197,3 +197,14 @@ def minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
     found = m.classes(table(spark, folder, "documents"))
     return found.select(F.col("key").alias("doc_id"), F.col("class").alias("class_id"))
+
+
+@query("op6_suffix_dedup")
+def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from zilverspoor.llm import suffix_dedup as s
+
+    found = s.remove_repeats(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )

@@ -13,7 +13,8 @@ Texts of the same words are one node from the start. Nodes that agree in a band
 each bucket all nodes are compared with one of them, so a group of near copies costs one comparison
 a copy and band at most; classes are the connected components of the pairs whose multiset overlap
 is ``SIMILARITY`` or more. Only where a bucket still holds several components are the pairs across
-them compared, too (first by signature, then by texts), so that no link is lost that the bands show.
+them compared, too (without texts that a bound rules out, first by signature, then by texts), so
+that no link is lost that the bands show.
 
 Defined cases: words are letters and digits, lower-cased; a text of fewer than five words is one
 shingle; NULL, empty and wordless texts are classes of their own; repeated rows are one class; a
@@ -123,7 +124,7 @@ def signatures(
         i = 0
         while len(active):
             i += 1
-            point = mix(seed[active] + U(i) * U(0x9E3779B97F4A7C15))
+            point = mix(seed[active] + U(i * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
             x = x - np.log(_unit(point)) / width[active]
             near = x <= bound[text[active]]
             active, x, point = active[near], x[near], point[near]
@@ -306,6 +307,32 @@ def _stars(members: DataFrame, order: Column) -> DataFrame:
     return pairs.select(F.col("node").alias("a"), F.col("h.node").alias("b")).distinct()
 
 
+def _reachable(members: DataFrame, bodies: DataFrame, similarity: float) -> DataFrame:
+    """Members without those that can't be similar to any other one.
+
+    Whatever a text overlaps with lies in the shingles that other texts have as well. Where these
+    are too small a part of it, no partner reaches the similarity: an exact bound, counted once for
+    each shingle, that takes the many faint copies of a passage away before pairs are formed.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            hashes, texts, _ = shingles(batch.column("text"))
+            h, t, c = bags(hashes, texts)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node").take(pa.array(t)), pa.array(h.view(np.int64)), pa.array(c)],
+                names=["node", "shingle", "n"],
+            )
+
+    nodes = members.select("node", "size").distinct()
+    held = bodies.join(nodes.select("node"), "node").select("node", "text")
+    held = kept(held.mapInArrow(run, "node binary, shingle long, n long"), "shingles")
+    shared = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("nodes")).filter("nodes > 1")
+    covered = held.join(shared.select("shingle"), "shingle").groupBy("node").agg(F.sum("n").alias("n"))
+    good = nodes.join(covered, "node").filter(F.col("n") >= similarity * F.col("size") - 1e-9)
+    return members.join(good.select("node"), "node")
+
+
 def _open(members: DataFrame) -> DataFrame:
     """Members of buckets that hold several components."""
     mixed = members.groupBy("band", "bucket").agg(
@@ -329,7 +356,9 @@ def classes(
     rows = kept(rows.select("node", "key", "size", "bands", "sketch"), "nodes")
     slots = rows.select("node", "size", F.posexplode("bands").alias("band", "bucket"))
     filled = slots.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    slots = kept(slots.join(filled.select("band", "bucket"), ["band", "bucket"]), "buckets")
+    slots = slots.join(filled, ["band", "bucket"])
+    weights = slots.groupBy("node").agg(F.sum("n").alias("weight"))
+    slots = kept(slots.drop("n").join(weights, "node"), "buckets")
     # the texts that comparisons read
     wanted = slots.select("node").distinct().join(rows.select("node", "key"), "node")
     source = _with_nodes(df.select(
@@ -343,11 +372,13 @@ def classes(
 
     edges = None
     root = slots.withColumn("root", F.col("node"))
-    orders = (F.lit(0).alias("o"), F.xxhash64("node", "band").alias("o"))
+    # first the member that shares most buckets, the likely original; then any
+    orders = ((-F.col("weight")).alias("o"), F.xxhash64("node", "band").alias("o"))
     for order in orders:
         found = kept(_alike(_stars(root, order), bodies, similarity), "links")
         edges = found if edges is None else edges.union(found)
         root = kept(_open(_labelled(slots, edges)), "open")
+    root = kept(_open(_reachable(root, bodies, similarity)), "open")
     # buckets that still hold several components: all pairs across them
     one = root.select("band", "bucket", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("size").alias("sa"))
     two = root.select("band", "bucket", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("size").alias("sb"))

@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zilverspoor.session import run_dir, tune
@@ -48,6 +48,12 @@ def fresh(df: DataFrame, stem: str) -> str:
     return stem
 
 
+def settled(column: Column) -> Column:
+    """The same values, computed where they stand: the optimiser moves no condition on them below,
+    which would put the whole expression in the place of each mention."""
+    return F.when(F.monotonically_increasing_id() >= 0, column)
+
+
 def kept(df: DataFrame, label: str) -> DataFrame:
     """Write once to the shared folder and read back: cuts the lineage, survives lost executors."""
     path = run_dir(df.sparkSession, label)

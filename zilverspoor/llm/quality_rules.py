@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zilverspoor.llm.common import fresh
+from zilverspoor.llm.common import fresh, settled
 
 SPACE = r"[\x20\x09-\x0D]+"
 #: Word positions take this many bits next to a shortened hash; longer texts take the exact way only.
@@ -182,5 +182,5 @@ def keep_clean(df: DataFrame, policy: str = "standard", text: str = "text") -> D
     name = fresh(df, "row_")
     whole = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name))
     measured = _measured(whole, F.col(name), F.col(f"{name}.`{text}`"))
-    held = measured.withColumn("failures", failures()).filter(verdict(policy))
+    held = measured.withColumn("failures", settled(failures())).filter(verdict(policy))
     return held.select([F.col("key").getField(c).alias(c) for c in df.columns])

@@ -21,7 +21,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from zilverspoor.llm.common import fresh, kept
+from zilverspoor.llm.common import fresh, kept, settled
 
 #: Labelled findings that the forest is fitted on.
 LABELLED_ROWS = 4800
@@ -246,7 +246,7 @@ def _described() -> Column:
 
 def _scanned(df: DataFrame, text: Column) -> DataFrame:
     """The frame with a text's candidates and what stands between them."""
-    found = df.select("*", _found(F.coalesce(text, F.lit(""))).alias("found"))
+    found = df.select("*", settled(_found(F.coalesce(text, F.lit("")))).alias("found"))
     return found.withColumn("gaps", F.when(F.size("found") > 0, F.split(text, CANDIDATE)))
 
 
@@ -298,7 +298,8 @@ def scan(
         F.monotonically_increasing_id().alias("row"),
     )
     cut = _scanned(rows, F.col("text")).filter(F.size("found") > 0)
-    each = cut.select("key", "row", F.posexplode(_judged(forest, votes)).alias("at", "c"))
+    cut = cut.select("key", "row", settled(_judged(forest, votes)).alias("judged"))
+    each = cut.select("key", "row", F.posexplode("judged").alias("at", "c"))
     # the candidates of one text, without the text
     until = Window.partitionBy("row").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     stop = F.sum(F.col("c.gap") + F.length("c.match")).over(until)

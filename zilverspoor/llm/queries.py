@@ -208,3 +208,77 @@ def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+QUOTE_SQL = r"""
+WITH RECURSIVE ln AS (
+  SELECT *, CAST(length(regexp_replace(regexp_extract(line, '^[ \t]*(>[ \t]?)+'), '[^>]', '', 'g'))
+                 AS INTEGER) AS level,
+         regexp_replace(line, '^[ \t]*(>[ \t]?)+', '') AS content
+  FROM (SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line,
+               generate_subscripts(string_split(text, chr(10)), 1) AS i
+        FROM conversations WHERE text IS NOT NULL)),
+quoting AS (SELECT DISTINCT conv_id, turn FROM ln WHERE level > 0),
+runs AS (
+  SELECT *, i - row_number() OVER (PARTITION BY conv_id, turn, level ORDER BY i) AS run FROM ln),
+tail AS (
+  SELECT conv_id, turn, level, run, max(i) AS run_end,
+         max(CASE WHEN trim(line, ' ' || chr(9) || chr(13)) <> '' THEN i END) AS last_line
+  FROM runs GROUP BY ALL),
+own AS (
+  SELECT r.conv_id, r.turn, r.i, r.line FROM runs r JOIN tail t USING (conv_id, turn, level, run)
+  WHERE level = 0 AND NOT (
+    r.i >= t.last_line
+    AND EXISTS (SELECT 1 FROM ln n WHERE n.conv_id = r.conv_id AND n.turn = r.turn AND n.i = t.run_end + 1)
+    AND EXISTS (SELECT 1 FROM ln n WHERE n.conv_id = r.conv_id AND n.turn = r.turn AND n.i = t.last_line
+      AND regexp_matches(n.line, '(?i)^.{0,200}\b(wrote|schrieb|a écrit|escribió)\b.{0,80}:\s*$')))),
+body AS (
+  SELECT conv_id, turn, trim(string_agg(line, chr(10) ORDER BY i), chr(10)) AS text
+  FROM own GROUP BY conv_id, turn),
+units AS (
+  SELECT conv_id, turn, line AS u FROM own
+  UNION SELECT conv_id, turn, text FROM body
+  UNION SELECT conv_id, turn, unnest(regexp_split_to_array(text, '\n[ \t]*\n')) FROM body),
+written AS (
+  SELECT DISTINCT conv_id, turn, lower(trim(regexp_replace(u, '\s+', ' ', 'g'))) AS u FROM units),
+qline AS (
+  SELECT conv_id, turn, level, run, i, lower(trim(regexp_replace(content, '\s+', ' ', 'g'))) AS u
+  FROM runs WHERE level > 0),
+quotes AS (
+  SELECT conv_id, turn, level, u FROM qline WHERE u <> ''
+  UNION SELECT conv_id, turn, level, string_agg(u, ' ' ORDER BY i) FROM qline WHERE u <> ''
+        GROUP BY conv_id, turn, level, run),
+origin AS (SELECT conv_id, u, min(turn) AS origin FROM written WHERE u <> '' GROUP BY ALL),
+link AS (
+  SELECT q.conv_id, q.turn, origin, CAST(sum(length(q.u)) AS BIGINT) AS matched
+  FROM quotes q JOIN origin o ON o.conv_id = q.conv_id AND o.u = q.u AND origin < q.turn
+  WHERE level = 1 GROUP BY ALL),
+best AS (
+  SELECT * FROM link
+  QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY matched DESC, origin DESC) = 1),
+place AS (SELECT DISTINCT conv_id, turn FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+answer AS (
+  SELECT p.conv_id, p.turn, coalesce(b.origin, v.turn) AS reply_to, coalesce(b.matched, 0) AS matched
+  FROM place p LEFT JOIN best b USING (conv_id, turn)
+  LEFT JOIN place v ON v.conv_id = p.conv_id AND v.turn = p.turn - 1),
+walk AS (
+  SELECT conv_id, turn, turn AS thread, CAST(0 AS BIGINT) AS depth FROM answer WHERE reply_to IS NULL
+  UNION ALL
+  SELECT a.conv_id, a.turn, w.thread, w.depth + 1
+  FROM answer a JOIN walk w ON w.conv_id = a.conv_id AND w.turn = a.reply_to)
+SELECT c.conv_id, w.thread, w.depth, c.turn, c.role, a.reply_to,
+       CAST(coalesce(a.matched, 0) AS BIGINT) AS matched,
+       CASE WHEN c.text IS NULL THEN NULL WHEN q.turn IS NULL THEN c.text ELSE coalesce(b.text, '') END AS text
+FROM conversations c
+LEFT JOIN answer a ON a.conv_id = c.conv_id AND a.turn = c.turn
+LEFT JOIN walk w ON w.conv_id = c.conv_id AND w.turn = c.turn
+LEFT JOIN quoting q ON q.conv_id = c.conv_id AND q.turn = c.turn
+LEFT JOIN body b ON b.conv_id = c.conv_id AND b.turn = c.turn
+"""
+
+
+@query("op5_quote_linking", QUOTE_SQL)
+def quote_linking(spark: SparkSession, folder: str) -> DataFrame:
+    from zilverspoor.llm import quote_linking as q
+
+    return q.conversations(table(spark, folder, "conversations"))

@@ -38,3 +38,13 @@ def docs(spark):
         ).withColumnRenamed("n_words", "failures")
 
     return make
+
+
+@pytest.fixture
+def folder():
+    import os
+
+    path = "/root/testdata/sf0.001"
+    if not os.path.isdir(path):
+        pytest.skip("test data not there")
+    return path

@@ -17,7 +17,7 @@ from zilverspoor.session import run_dir, tune
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 #: Bytes of text that one numpy step looks at; a single longer text is a step of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def ready(spark: SparkSession) -> SparkSession:

@@ -53,6 +53,8 @@ BANDS, ROWS = 20, 4
 #: Pairs that agree in fewer components are not compared by texts: a pair of similarity 0.8 falls
 #: below with a probability of about one in a hundred million.
 LEAST_AGREEING = 44
+#: Bytes of text that are signed at once; short texts make a thousand points a kilobyte.
+SIGNED_BYTES = 1 << 20
 
 U = np.uint64
 
@@ -184,7 +186,7 @@ def signed(df: DataFrame, key: str, text: str) -> DataFrame:
     each component."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, SIGNED_BYTES):
             yield _sign(batch)
 
     return _texts(df, key, text).mapInArrow(run, "key long, node binary, " + SIGNED)
@@ -235,7 +237,7 @@ def _alike(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) of nodes whose texts overlap enough. ``texts`` has node and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 2 << 20):
+        for batch in slices(batches, SIGNED_BYTES):
             good = similarities(batch.column("text"), batch.column("other")) >= similarity
             yield batch.select(["a", "b"]).filter(pa.array(good))
 

@@ -55,6 +55,8 @@ ORDER = 3
 LEAST, DISCOUNT = 2, 0.5
 #: Tokens that a task counts before it sends blocks off.
 TOKENS = 2_000_000
+#: Bytes of text that are looked up at once: the more, the more look-ups a shard gets together.
+SLICE = 4 << 20
 #: A context with fewer tokens is never dealt over all shards.
 LEAST_HOT = 1000
 #: Hash of the end token; that of a word takes another value but for one chance in 2^64.
@@ -348,7 +350,7 @@ def _count(docs: DataFrame, levels: list[Level], shards: int) -> DataFrame:
                 shard = deal(parents, words, shards, trie.hot[len(known) - 1])
             return _blocks(parents, words, counts, shard, shards)
 
-        for batch in slices(batches):
+        for batch in slices(batches, SLICE):
             hashes, bounds = tokens_of(batch.column("text"))
             if trie is None:
                 held.append(hashes)
@@ -497,7 +499,7 @@ def score(
         levels = model.value
         trie = Trie(levels)
         total = levels[0].tokens
-        for batch in slices(batches):
+        for batch in slices(batches, SLICE):
             hashes, bounds = tokens_of(batch.column("text"))
             path = Path(trie, hashes, bounds)
             base = (path.count + 1) / (total + trie.words + 1)

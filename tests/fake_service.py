@@ -1,14 +1,30 @@
 """A paged service in memory, importable by Spark's Python workers."""
 
 import json
+from dataclasses import dataclass
 from urllib.parse import parse_qs, unquote, urlparse
 
 
+@dataclass
 class FakeService:
-    """Answers requests from a list of rows, without any network."""
+    """Answers requests from a list of rows, without any network.
 
-    def __init__(self, size, server_page=None, counts=True, version="v4"):
-        self.size, self.server_page, self.counts, self.version = size, server_page, counts, version
+    The options are habits of real services: a wrong count (``said``), an empty page
+    in front of a position, links without the rest of the range, positions that are
+    ignored, rows in another order at each position unless an order is asked for, and
+    a bare list in version 2.
+    """
+
+    size: int
+    server_page: int | None = None
+    counts: bool = True
+    version: str = "v4"
+    said: int | None = None
+    empty_before: int | None = None
+    forgets: bool = False
+    ignores_skip: bool = False
+    shuffles: bool = False
+    bare: bool = False
 
     def __call__(self, url):
         parsed = urlparse(url)
@@ -16,18 +32,28 @@ class FakeService:
         if unquote(parsed.path).endswith("/$count"):
             if not self.counts:
                 raise RuntimeError("501")
-            return str(self.size)
-        skip = int(params.get("$skip", 0))
+            return str(self.size if self.said is None else self.said)
+        at = "$skiptoken" if self.ignores_skip else "$skip"
+        skip = int(params.get(at, 0))
         top = int(params.get("$top", self.size))
-        asked = min(top, self.size - skip)
+        if self.ignores_skip:
+            top = self.size
+        asked = max(0, min(top, self.size - skip))
         given = max(0, min(asked, self.server_page or asked))
-        rows = [{"id": i, "value": f"v{i}"} for i in range(skip, skip + given)]
+        if self.empty_before == skip and "empty" not in params:
+            return self.page([], f"Items?$skip={skip}&$top={top}&empty=1")
+        rows = list(range(skip, skip + given))
+        if self.shuffles and "$orderby" not in params:
+            rows = [(r * 7 + skip) % self.size for r in rows]
         link = None
         if given < asked:
-            link = f"Items?$skip={skip + given}"
-            if "$top" in params:
+            link = f"Items?{at}={skip + given}"
+            if "$top" in params and not self.forgets:
                 link += f"&$top={top - given}"
+        return self.page([{"id": i, "value": f"v{i}"} for i in rows], link)
+
+    def page(self, rows, link):
         if self.version == "v2":
             page = {"results": rows} | ({"__next": link} if link else {})
-            return json.dumps({"d": page})
+            return json.dumps({"d": rows if self.bare else page})
         return json.dumps({"value": rows} | ({"@odata.nextLink": link} if link else {}))

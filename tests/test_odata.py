@@ -10,8 +10,15 @@ from zilverspoor.sources.odata import (
     parse_pages,
     read_entity_sets,
     read_entity_types,
+    read_pages,
+)
+from zilverspoor.sources.odata_service import (
+    PageReader,
+    page_of,
+    probe_rows,
+    read_service,
+    request_url,
 )
-from zilverspoor.sources.odata_service import page_of, probe_rows, read_service, request_url
 
 ITEMS = EntityType("Item", ("id",), {"value": T.StringType(), "id": T.LongType()}, {})
 
@@ -43,7 +50,8 @@ def test_empty_set(spark):
 
 @pytest.mark.parametrize("size", [0, 1, 2, 3, 8, 1000])
 def test_probe(size):
-    assert probe_rows(FakeService(size, counts=False), "Items", None) == size
+    reader = PageReader(FakeService(size, counts=False), {"entityset": "Items"})
+    assert probe_rows(reader._row_at) == size
 
 
 def test_request_url_escapes():
@@ -52,8 +60,84 @@ def test_request_url_escapes():
 
 
 def test_page_of():
-    assert page_of('{"d": {"results": [{"a": 1}], "__next": "x"}}') == (1, "x")
-    assert page_of('{"value": []}') == (0, None)
+    page = page_of('{"d": {"results": [{"a": 1}], "__next": "x"}}')
+    assert (page.rows, page.link) == ([{"a": 1}], "x")
+    assert page_of('{"value": []}').rows == [] and page_of('{"d": [{"a": 1}]}').rows == [{"a": 1}]
+
+
+def ids(df):
+    return sorted(r["id"] for r in df.collect())
+
+
+def test_a_count_bounds_nothing(spark):
+    """A service that counts too few, or too many, rows still gives all of them once."""
+    for said in (0, 5, 40):
+        service = FakeService(12, said=said)
+        df = read_service(spark, service, "Items", ITEMS, page_rows=2, pages_per_task=2)
+        assert ids(df) == list(range(12))
+
+
+@pytest.mark.parametrize("links_only", [True, False])
+def test_an_empty_page_with_a_link_goes_on(spark, links_only):
+    service = FakeService(9, 3, empty_before=3)
+    df = read_service(spark, service, "Items", ITEMS, links_only=links_only, page_rows=9)
+    assert ids(df) == list(range(9))
+
+
+def test_a_link_that_forgets_the_range_adds_nothing(spark):
+    service = FakeService(10, 3, forgets=True)
+    df = read_service(spark, service, "Items", ITEMS, page_rows=5, pages_per_task=1)
+    assert ids(df) == list(range(10))
+    assert read_service(spark, service, "Items", ITEMS, row_limit=4, page_rows=5).count() == 4
+
+
+@pytest.mark.parametrize("counts", [True, False])
+def test_a_service_that_ignores_positions_is_read_by_its_links(spark, counts):
+    service = FakeService(11, 4, counts, ignores_skip=True)
+    df = read_service(spark, service, "Items", ITEMS, page_rows=2, pages_per_task=1)
+    assert ids(df) == list(range(11))
+
+
+def test_probing_ends(spark):
+    with pytest.raises(ValueError, match="still has rows"):
+        probe_rows(lambda position: {"id": position})
+
+
+def test_rows_are_asked_for_in_key_order(spark):
+    service = FakeService(23, shuffles=True)
+    df = read_service(spark, service, "Items", ITEMS, page_rows=3, pages_per_task=2)
+    assert ids(df) == list(range(23))
+
+
+def test_a_bare_list_of_version_2(spark, tmp_path):
+    service = FakeService(7, version="v2", bare=True)
+    df = read_service(spark, service, "Items", ITEMS, "v2", page_rows=3, pages_per_task=1)
+    assert ids(df) == list(range(7))
+    (tmp_path / "pages").write_text('{"d": [{"id": 1}, {"id": 2}]}\n{"d":{"results":[{"id":3}]}}\n')
+    assert ids(read_pages(spark, str(tmp_path / "pages"), ITEMS, "v2")) == [1, 2, 3]
+
+
+def test_a_damaged_page_is_an_error(spark, tmp_path):
+    (tmp_path / "pages").write_text('{"value":[{"id":1}]}\n{"value":[{"id":2},{"i\n{"value":[{"id":4}]}\n')
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_pages(spark, str(tmp_path / "pages"), ITEMS).collect()
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Amsterdam"])
+def test_instants_keep_their_offset(spark, zone):
+    thing = EntityType("T", ("id",), {"id": T.LongType(), "at": T.TimestampType()}, {})
+    v4 = '{"value":[{"id":1,"at":"2024-01-01T00:30:00+02:00"},{"id":2,"at":"2024-01-01T00:30:00Z"},' \
+        '{"id":3,"at":"2024-01-01T00:30:00"}]}'
+    v2 = '{"d":{"results":[{"id":1,"at":"/Date(1704061800000+0120)/"}]}}'
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for version, body, want in (("v4", v4, [1704061800, 1704069000, 1704069000]), ("v2", v2, [1704061800])):
+            rows = parse_pages(spark.createDataFrame([(body,)], "body string"), thing, version)
+            got = rows.selectExpr("unix_seconds(at) AS s").collect()
+            assert [r["s"] for r in got] == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def test_scalars_of_both_versions(spark):

@@ -59,7 +59,11 @@ class EntityType:
         kind, raw = self.type_of(column), F.col(f"`{column}`")
         if column in self.times:
             raw = F.coalesce(time_of_duration(raw), raw)
-        elif isinstance(kind, (T.TimestampNTZType, T.TimestampType, T.DateType)):
+        elif isinstance(kind, T.TimestampType):
+            # an instant; text without an offset is UTC, whatever the session's zone
+            zoned = F.when(raw.rlike(r"(?i)(?:Z|[+-]\d\d:?\d\d)$"), raw).otherwise(F.concat(raw, F.lit("Z")))
+            raw = F.when(raw.startswith("/Date("), v2_instant(raw)).otherwise(zoned.cast("timestamp"))
+        elif isinstance(kind, (T.TimestampNTZType, T.DateType)):
             raw = F.when(raw.startswith("/Date("), v2_timestamp(raw)).otherwise(
                 raw.cast("timestamp_ntz")
             )
@@ -99,12 +103,12 @@ def read_pages(
     """Rows of landed pages, one JSON page per line.
 
     The read schema holds the wanted columns only, so other properties are never
-    parsed; a property missing from a row is NULL.
+    parsed; a property missing from a row is NULL. A damaged page fails the job.
     """
-    columns = entity.columns(select, expand)
-    pages = spark.read.schema(page_schema(entity.wire_schema(columns), version)).json(path)
-    pages = pages.select(F.struct("*").alias("page"))
-    return _page_rows(pages, entity, columns, version, condition, row_limit)
+    bodies = spark.read.text(path).select(F.col("value").alias("body"))
+    return parse_pages(
+        bodies.where(F.trim("body") != ""), entity, version, select, expand, condition, row_limit
+    )
 
 
 def parse_pages(
@@ -116,10 +120,20 @@ def parse_pages(
     condition: Column | None = None,
     row_limit: int = 0,
 ) -> DataFrame:
-    """Rows of page bodies, one JSON text per row in the column ``body``."""
+    """Rows of page bodies, one JSON text per row in the column ``body``.
+
+    A column ``keep``, if there is one, says how many rows of a page to take.
+    """
     columns = entity.columns(select, expand)
     schema = page_schema(entity.wire_schema(columns), version)
-    pages = bodies.select(F.from_json("body", schema, {"mode": "FAILFAST"}).alias("page"))
+    body = F.col("body")
+    if version == "v2":  # a bare list in place of an object with results
+        bare = r"^\s*\{\s*\"d\"\s*:\s*\["
+        wrapped = F.concat(F.regexp_replace(body, bare, '{"d":{"results":['), F.lit("}"))
+        body = F.when(body.rlike(bare), wrapped).otherwise(body)
+    keep = F.col("keep") if "keep" in bodies.columns else F.lit(None).cast("int")
+    page = F.from_json(body, schema, {"mode": "FAILFAST"})
+    pages = bodies.select(page.alias("page"), keep.alias("keep"))
     return _page_rows(pages, entity, columns, version, condition, row_limit)
 
 
@@ -133,7 +147,10 @@ def _page_rows(
 ) -> DataFrame:
     """A page has a bounded number of rows, so exploding it needs no shuffle."""
     field = _PAGE[version][0] if version == "v4" else f"d.{_PAGE[version][0]}"
-    rows = pages.select(F.explode(f"page.{field}").alias("row")).select("row.*")
+    taken = F.when(F.col("keep").isNull(), F.col(f"page.{field}")).otherwise(
+        F.slice(f"page.{field}", F.lit(1), F.coalesce("keep", F.lit(0)))
+    )
+    rows = pages.select(F.explode(taken).alias("row")).select("row.*")
     rows = rows.select(*[entity.value(c).alias(c) for c in columns])
     if condition is not None:
         rows = rows.where(condition)
@@ -149,6 +166,13 @@ def v2_timestamp(value: Column) -> Column:
     return epoch + F.make_dt_interval(secs=(millis / 1000).cast("decimal(18,6)"))
 
 
+def v2_instant(value: Column) -> Column:
+    """``/Date(1700000000000+0060)/`` as an instant: the milliseconds are UTC, the offset is of
+    no account."""
+    millis = F.regexp_extract(value, r"/Date\((-?\d+)", 1).try_cast("bigint")
+    return F.timestamp_millis(millis)
+
+
 def time_of_duration(value: Column) -> Column:
     """``PT12H34M56S``, the version 2 time of day, as ``12:34:56``; other text is NULL."""
     # a part that is not given extracts as empty text and is padded to 00

@@ -23,6 +23,8 @@ Transport = Callable[[str], str]
 
 # Fixed value: rows per request when nothing else is asked for.
 PAGE_ROWS = 5_000
+# Positions that probing asks for at most.
+MOST_ROWS = 1 << 48
 
 
 @dataclass(frozen=True)
@@ -51,13 +53,27 @@ def request_url(entity_set: str, **params: object) -> str:
     return f"{path}?{urlencode(given, safe='$,', quote_via=quote)}" if given else path
 
 
-def page_of(body: str) -> tuple[int, str | None]:
-    """Number of rows of a page body and the link to the next page."""
+class ServiceError(ValueError):
+    """The service answers in a way that rows would be lost or repeated."""
+
+
+@dataclass(frozen=True)
+class Page:
+    """Rows of a page body and the link to the next page."""
+
+    rows: list
+    link: str | None
+
+
+def page_of(body: str) -> Page:
+    """A page of either version; version 2 may give a bare list, which has no link."""
     page = json.loads(body)
-    if "d" in page:
-        page = page["d"]
-        return len(page.get("results", [])), page.get("__next")
-    return len(page.get("value", [])), page.get("@odata.nextLink")
+    if "d" not in page:
+        return Page(page.get("value") or [], page.get("@odata.nextLink"))
+    page = page["d"]
+    if isinstance(page, list):
+        return Page(page, None)
+    return Page(page.get("results") or [], page.get("__next"))
 
 
 def count_rows(fetch: Transport, entity_set: str, condition: str | None) -> int | None:
@@ -68,81 +84,128 @@ def count_rows(fetch: Transport, entity_set: str, condition: str | None) -> int
         return None
 
 
-def probe_rows(fetch: Transport, entity_set: str, condition: str | None) -> int:
+def probe_rows(row_at: Callable[[int], object]) -> int:
     """Size of a set whose service does not count, by asking for single rows.
 
     Doubling finds a position past the end and halving the end itself, so a set
-    of a billion rows takes some sixty requests.
+    of a billion rows takes some sixty requests. Beyond ``MOST_ROWS`` the service
+    is taken for one that answers any position.
     """
-
-    def has_row(position: int) -> bool:
-        url = request_url(entity_set, filter=condition, skip=position, top=1)
-        return page_of(fetch(url))[0] > 0
-
-    if not has_row(0):
+    if row_at(0) is None:
         return 0
     low, high = 0, 1
-    while has_row(high):
+    while row_at(high) is not None:
         low, high = high, high * 2
+        if high > MOST_ROWS:
+            raise ServiceError(f"the service still has rows at position {low}")
     while high - low > 1:
         middle = (low + high) // 2
-        low, high = (middle, high) if has_row(middle) else (low, middle)
+        low, high = (middle, high) if row_at(middle) is not None else (low, middle)
     return high
 
 
 class RowRange(InputPartition):
-    """Rows from ``start``; ``length`` of them, or all that links lead to."""
+    """Rows from ``start``; ``length`` of them, or all that follow."""
 
-    def __init__(self, start: int, length: int | None):
+    def __init__(self, start: int, length: int | None, links_only: bool = False):
         self.start = start
         self.length = length
+        self.links_only = links_only
 
 
 class PageReader(DataSourceReader):
+    """Ranges of rows, each fetched by one task.
+
+    What the service counts, or what probing finds, only says where ranges begin:
+    the last one goes on until a page is empty and leads nowhere, so rows that
+    the count lacks are read all the same. Positions mean something under one
+    order only, so rows are asked for in key order.
+    """
+
     def __init__(self, fetch: Transport, options: dict[str, str]):
         self.fetch = fetch
         self.entity_set = options["entityset"]
         self.select = options.get("select")
         self.expand = options.get("expand")
         self.condition = options.get("filter")
+        self.order = options.get("orderby")
         self.page_rows = int(options.get("pagerows", PAGE_ROWS))
         self.pages_per_task = int(options.get("pagespertask", "20"))
         self.row_limit = int(options.get("rowlimit", "0"))
         self.links_only = options.get("linksonly", "false") == "true"
 
+    def _row_at(self, position: int) -> object:
+        """The row at a position, ``None`` beyond the last one."""
+        url = request_url(
+            self.entity_set,
+            filter=self.condition,
+            orderby=self.order,
+            skip=position,
+            top=1,
+        )
+        seen = set()
+        while url is not None and url not in seen:
+            seen.add(url)
+            page = page_of(self.fetch(url))
+            if page.rows:
+                return page.rows[0]
+            url = page.link  # an empty page may lead on
+        return None
+
+    def _ignores_positions(self) -> bool:
+        """Whether the service gives the first row for other positions, too."""
+        first = self._row_at(0)
+        return first is not None and self._row_at(1) == first and self._row_at(2) == first
+
     def partitions(self) -> list[InputPartition]:
+        limit = self.row_limit or None
         if self.links_only:
-            return [RowRange(0, None)]
-        total = self.row_limit or count_rows(self.fetch, self.entity_set, self.condition)
-        if total is None:
-            total = probe_rows(self.fetch, self.entity_set, self.condition)
+            return [RowRange(0, limit, True)]
         step = self.page_rows * self.pages_per_task
-        ranges = [RowRange(start, min(step, total - start)) for start in range(0, total, step)]
-        return ranges or [RowRange(0, 0)]  # Spark wants one partition at least
-
-    def read(self, partition: RowRange) -> Iterator[tuple[str]]:
-        """Page bodies of a range; a short page is continued by its link or by position."""
+        if limit is not None and limit <= step:
+            return [RowRange(0, limit)]
+        if self._ignores_positions():
+            # one task follows the links, as with a service that refuses positions
+            return [RowRange(0, limit, True)]
+        total = count_rows(self.fetch, self.entity_set, self.condition)
+        if total is None:
+            total = probe_rows(self._row_at)
+        if limit is not None:
+            total = min(total, limit)
+        starts = list(range(0, max(1, total), step))
+        ranges = [RowRange(start, step) for start in starts[:-1]]
+        rest = None if limit is None else limit - starts[-1]
+        return [*ranges, RowRange(starts[-1], rest)]
+
+    def read(self, partition: RowRange) -> Iterator[tuple[str, int]]:
+        """Page bodies of a range and the rows to take of each: a page is continued by its link, else by position."""
         done, link = 0, None
+        seen: set[str] = set()
         while partition.length is None or done < partition.length:
+            left = None if partition.length is None else partition.length - done
             if link is None:
-                top = self.page_rows
-                if partition.length is not None:
-                    top = min(top, partition.length - done)
+                top = self.page_rows if left is None else min(self.page_rows, left)
                 link = request_url(
                     self.entity_set,
                     select=self.select,
                     expand=self.expand,
                     filter=self.condition,
+                    orderby=self.order,
                     skip=partition.start + done,
-                    top=None if self.links_only else top,
+                    top=None if partition.links_only else top,
                 )
+            if link in seen:
+                raise ServiceError(f"the service leads back to {link}")
+            seen.add(link)
             body = self.fetch(link)
-            rows, link = page_of(body)
-            if rows == 0:
-                return
-            yield (body,)
-            done += rows
-            if self.links_only and link is None:
+            page = page_of(body)
+            if page.rows:
+                # a link need not carry what was left of the range: no row beyond it
+                rows = len(page.rows) if left is None else min(left, len(page.rows))
+                yield body, rows
+                done += rows
+            link = page.link
+            if link is None and (not page.rows or partition.links_only):
                 return
 
 
@@ -155,7 +218,7 @@ def page_source(fetch: Transport) -> type[DataSource]:
             return "odata_pages"
 
         def schema(self) -> str:
-            return "body string"
+            return "body string, keep int"
 
         def reader(self, schema) -> DataSourceReader:
             return PageReader(fetch, dict(self.options))
@@ -176,13 +239,15 @@ def read_service(
     page_rows: int = PAGE_ROWS,
     pages_per_task: int = 20,
     links_only: bool = False,
+    order: str | None = None,
 ) -> DataFrame:
     """Rows of an entity set.
 
     The set is cut into ranges of pages, by the service's count or by probing,
     and every task fetches one range. ``links_only`` is for services that refuse
-    ``$skip``: there one task has to follow the links, a page at a time. The
-    condition is the service's own ``$filter`` text.
+    ``$skip``: there one task has to follow the links, a page at a time; services
+    that ignore it are found out. The condition is the service's own ``$filter``
+    text, the order its keys unless ``order`` names another (empty: none).
     """
     spark.dataSource.register(page_source(fetch))
     options = {
@@ -190,6 +255,7 @@ def read_service(
         "select": select,
         "expand": expand,
         "filter": condition,
+        "orderBy": ",".join(entity.keys) if order is None else order,
         "pageRows": str(page_rows),
         "pagesPerTask": str(pages_per_task),
         "rowLimit": str(row_limit),

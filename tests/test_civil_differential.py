@@ -129,3 +129,45 @@ def registers(request, spark):
 def test_mapping(registers, target, oracle):
     connection, bronze = registers
     assert compare(portable(build(target, bronze)), connection, oracle) is None
+
+
+SIDES = [
+    "gba_tgbaadr", "gba_tdomein", "gba_tselbst", "gba_tovlakt", "gba_tinsgeg", "gba_tnamreg",
+    "gba_tprsgeg", "gba_tvbpakt", "gba_thuwakt",
+]
+
+
+@pytest.mark.parametrize("side", SIDES)
+def test_side_tables_that_are_not_unique(spark, side):
+    """Rows of a side table come twice, and once more with other values."""
+    tables, connection, frames = register(5), duckdb.connect(), {}
+    rows = tables[side] * 2
+    if side in ("gba_tgbaadr", "gba_tdomein", "gba_tselbst"):
+        rows += [tuple(v if i < 2 and side != "gba_tselbst" or i == 0 else None for i, v in enumerate(r)) for r in tables[side]]
+    tables[side] = rows
+    for name, data in tables.items():
+        kinds = COLUMNS[name]
+        arrow = pa.table({c: pa.array(v, k) for (c, k), v in zip(kinds.items(), zip(*data))})
+        connection.register(name, arrow)
+        frames[name] = spark.createDataFrame(arrow)
+    bronze = Bronze(frames, as_of=F.lit(sql.AS_OF))
+    for target, oracle in (
+        ("INGESCHREVENPERSOON", sql.REGISTRATIONS_SQL),
+        ("VERBLIJFSADRESINGESCHREVENPERSOON", sql.RESIDENCES_SQL),
+        ("HUWELIJK", sql.MARRIAGES_SQL),
+    ):
+        assert compare(portable(build(target, bronze)), connection, oracle) is None, target
+
+
+def test_many_occupants_of_one_person(spark):
+    """A person with many occupant rows, and one without a number, in no single window."""
+    tables = register(2)
+    tables["gba_tselbst"] = [(7, i % 2) for i in range(400)] + tables["gba_tselbst"] + [(None, 1)]
+    connection, frames = duckdb.connect(), {}
+    for name, data in tables.items():
+        arrow = pa.table({c: pa.array(v, k) for (c, k), v in zip(COLUMNS[name].items(), zip(*data))})
+        connection.register(name, arrow)
+        frames[name] = spark.createDataFrame(arrow)
+    bronze = Bronze(frames, as_of=F.lit(sql.AS_OF))
+    found = build("INGESCHREVENPERSOON", bronze)
+    assert compare(portable(found), connection, sql.REGISTRATIONS_SQL) is None

@@ -179,6 +179,12 @@ def location_sql(table: str) -> str:
       ' ', {t}.kpst_num, {t}.kpst_alf, ',', {t}.nwpl_nm)"""
 
 
+# rows of one begin day follow each other by all that tells them apart, NULLs first
+_ADDRESS_TIES = ", ".join(
+    f"ad.{c} NULLS FIRST"
+    for c in "nstr rhs nhsr_lt khsr_tv khsr_ad kpst_num kpst_alf nwpl_nm".split()
+)
+
 REGISTRATIONS_SQL = f"""WITH history AS (
       SELECT rsys_prs, rsys_adr, dwon_bgn, dwon_end, kwon_end, NULL AS kigs_gzr {_CLOSED}
       UNION ALL SELECT rsys_prs, rsys_adr, dadrh, NULL, NULL, kigs_gzr FROM gba_tvbpakt),
@@ -204,8 +210,9 @@ REGISTRATIONS_SQL = f"""WITH history AS (
         CASE WHEN ad.rsys_adr IS NULL THEN concat(' ', ' ', ' ', ' ', ' ', ',')
              ELSE {location_sql('ad')} END AS locatie,
         lead(r.dwon_bgn) OVER (PARTITION BY n.radm ORDER BY r.dwon_bgn NULLS LAST,
-          r.dwon_end NULLS LAST, r.rsys_adr NULLS LAST, r.kwon_end NULLS LAST,
-          r.kigs_gzr NULLS LAST, r.raw_bgn NULLS LAST) AS next_bgn
+          r.dwon_end NULLS FIRST, r.rsys_adr NULLS FIRST, r.kwon_end NULLS FIRST,
+          r.kigs_gzr NULLS FIRST, r.raw_bgn NULLS FIRST, s.khfd_bew NULLS FIRST,
+          ad.nid_nad NULLS FIRST, {_ADDRESS_TIES}) AS next_bgn
       FROM gba_tinsgeg i LEFT JOIN gba_tovlakt o ON o.rsys_prs = i.rsys_prs
       {_REGISTERED.format('i')}
       JOIN net r ON r.rsys_prs_max = i.rsys_prs AND r.volgnr = 1
@@ -259,7 +266,8 @@ RESIDENCES_SQL = f"""WITH history AS (
              ELSE {location_sql('ad')} END AS locatie,
         lead(r.dwon_bgn) OVER (PARTITION BY n.radm ORDER BY r.dwon_bgn NULLS LAST,
           r.dwon_end NULLS FIRST, r.rsys_prs NULLS FIRST, r.rsys_adr NULLS FIRST,
-          r.rvlg NULLS FIRST, r.adresherkomst NULLS FIRST, r.kwon_end NULLS FIRST) AS next_bgn
+          r.rvlg NULLS FIRST, r.adresherkomst NULLS FIRST, r.kwon_end NULLS FIRST,
+          i.dtoe_gba NULLS FIRST, r.reden NULLS FIRST, ad.nid_vbo NULLS FIRST, {_ADDRESS_TIES}) AS next_bgn
       FROM gba_tinsgeg i {_REGISTERED.format('i')}
       JOIN net r ON r.rsys_prs = i.rsys_prs AND r.minrvlg = r.rvlg
       LEFT JOIN gba_tgbaadr ad ON ad.rsys_adr = r.rsys_adr

@@ -207,6 +207,10 @@ def registration_history(src: SimpleNamespace, persons: DataFrame) -> DataFrame:
     return join_null_safe(latest, lists, ["radm", "end_value"], "inner")
 
 
+#: Columns of an address by which rows of one begin day follow each other.
+_ADDRESS_TIES = ["nstr", "rhs", "nhsr_lt", "khsr_tv", "khsr_ad", "kpst_num", "kpst_alf", "nwpl_nm"]
+
+
 @mapping(
     "INGESCHREVENPERSOON",
     gba_tbwnhis=_HISTORY,
@@ -250,10 +254,13 @@ def registered_persons(src: SimpleNamespace) -> DataFrame:
         .join(relations, F.col("nummer") == F.col("kigs_gzr"), "left")
         .join(src.gba_tgbaadr, "rsys_adr", "left")
     )
-    # at most one row per begin day and number came out of the history, so this
-    # window holds a calendar's worth of rows per group
-    window = Window.partitionBy("radm").orderBy(
-        by("dwon_bgn"), *[by(c) for c in ("dwon_end", "rsys_adr", "kwon_end", "kigs_gzr", "raw_bgn")]
+    # occupants and addresses may repeat a row any number of times
+    rows = look_ahead(
+        rows,
+        ["radm"],
+        "dwon_bgn",
+        "next_bgn",
+        ties=["dwon_end", "rsys_adr", "kwon_end", "kigs_gzr", "raw_bgn", "khfd_bew", "nid_nad", *_ADDRESS_TIES],
     )
     suspension = (
         F.when(
@@ -266,7 +273,7 @@ def registered_persons(src: SimpleNamespace) -> DataFrame:
         )
         .otherwise(F.col("kops"))
     )
-    return rows.withColumn("next_bgn", F.lead("dwon_bgn").over(window)).select(
+    return rows.select(
         F.col("radm").alias("IngeschrevenPersoonId"),
         F.col("radm").alias("A_nummer"),
         yyyymmdd_to_date(F.col("dwon_bgn")).alias("BegindatumVerblijf"),
@@ -318,15 +325,19 @@ def residence_addresses(src: SimpleNamespace) -> DataFrame:
         .join(stays, "rsys_prs")
         .join(named_persons(src, "radm").select("rsys_prs", "radm"), "rsys_prs", "left")
     )
+    rows = decode(rows, "kwon_end", src.gba_tdomein, STAY_END, "reden").join(
+        src.gba_tgbaadr, "rsys_adr", "left"
+    )
+    # after the joins, as codes and addresses that occur twice follow each other, too
     rows = look_ahead(
         rows,
         ["radm"],
         "dwon_bgn",
         "next_bgn",
-        ties=["dwon_end", "rsys_prs", "rsys_adr", "rvlg", "adresherkomst", "kwon_end", "dtoe_gba"],
-    )
-    rows = decode(rows, "kwon_end", src.gba_tdomein, STAY_END, "reden").join(
-        src.gba_tgbaadr, "rsys_adr", "left"
+        ties=[
+            "dwon_end", "rsys_prs", "rsys_adr", "rvlg", "adresherkomst", "kwon_end", "dtoe_gba",
+            "reden", "nid_vbo", *_ADDRESS_TIES,
+        ],
     )
     stay_key = concat_propagate(
         F.col("rsys_prs"), F.lit("-"), F.col("rsys_adr"), F.lit("-"), F.col("dwon_bgn")

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import types as T
 
 from zilverspoor.sinks.parts import dump_parts
 from zilverspoor.sources.files import (
@@ -95,13 +96,29 @@ def test_csv_folder(spark, tmp_path):
     tables = read_csv_folder(spark, str(tmp_path))
     assert list(tables) == ["client"]
     assert sorted(map(tuple, tables["client"].collect())) == [(1, "Ada"), (2, None)]
-    typed = read_csv_folder(spark, str(tmp_path), {"client": "ClientNr string, Naam string"})
+    typed = read_csv_folder(spark, str(tmp_path), {"client": CLIENT})
     assert sorted(map(tuple, typed["client"].collect()))[0] == ("1", "Ada")
 
 
+CLIENT = T.StructType([T.StructField("ClientNr", T.StringType()), T.StructField("Naam", T.StringType())])
+
+
+def test_csv_by_header_with_breaks_and_bad_values(spark, tmp_path):
+    kinds = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    (tmp_path / "t.csv").write_text('B,extra,A\n"two\nlines, ""quoted""",x,7\n')
+    row = read_csv_folder(spark, str(tmp_path), kinds)["t"].first()
+    assert (row["a"], row["b"]) == (7, 'two\nlines, "quoted"')
+    (tmp_path / "t.csv").write_text("a,b\nx1,y\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        read_csv_folder(spark, str(tmp_path), kinds)["t"].collect()
+    (tmp_path / "t.csv").write_text("a\n1\n")
+    with pytest.raises(ValueError, match="no column"):
+        read_csv_folder(spark, str(tmp_path), kinds)
+
+
 def test_list_files(spark, tmp_path):
     spark.range(1).coalesce(1).write.parquet(str(tmp_path / "t"))
-    assert list_files(spark, str(tmp_path / "t")).count() == 1
+    assert list_files(spark, str(tmp_path / "t"))[0].endswith(".parquet")
 
 
 def test_jdbc_options_split_a_table():

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import types as T
 
 from zilverspoor.sinks.tables import TableStore
@@ -37,6 +38,36 @@ def test_a_repeated_batch_adds_nothing(spark, tmp_path):
     assert read_landed(spark, str(tmp_path), "id int").count() == 1
 
 
+def test_a_new_checkpoint_keeps_landed_rows(spark, tmp_path):
+    folder, bronze = str(tmp_path / "in"), str(tmp_path / "bronze")
+    drop_part(spark, folder, (1, "a", 1))
+    land(landing_stream(spark, folder, SCHEMA), str(tmp_path / "one"), append_batches(bronze))
+    other = str(tmp_path / "in2")
+    drop_part(spark, other, (2, "b", 1))
+    land(landing_stream(spark, other, SCHEMA), str(tmp_path / "two"), append_batches(bronze))
+    got = read_landed(spark, bronze, "id int, txt string, v int")
+    assert sorted(r["id"] for r in got.collect()) == [1, 2]
+
+
+@pytest.mark.parametrize("backwards", [False, True])
+def test_late_null_and_tied_versions(spark, tmp_path, backwards):
+    """The same rows stay in whatever order batches come."""
+    store = TableStore(spark, f"landing_late_{backwards}", str(tmp_path / "tables"))
+    store.replace(spark.createDataFrame([], "id int, txt string, v int"), "t")
+    merge = upsert_batches(
+        lambda df: store.write(df, "t", "upsert", key=["id"]), ["id"], "v", lambda: store.read("t")
+    )
+    batches = [
+        [(1, "nine", 9), (2, "a", None), (3, "p", 5), (3, "q", 5)],
+        [(1, "two", 2), (2, None, None), (3, "o", 5), (4, "x", None)],
+        [(4, "y", 0), (2, "b", None), (1, None, None)],
+    ]
+    for i, data in enumerate(reversed(batches) if backwards else batches):
+        merge(spark.createDataFrame(data, "id int, txt string, v int"), i)
+    got = sorted(map(tuple, store.read("t").collect()))
+    assert got == [(1, "nine", 9), (2, "b", None), (3, "q", 5), (4, "y", 0)]
+
+
 def test_upsert_batches(spark, tmp_path):
     store = TableStore(spark, "landing_upsert", str(tmp_path / "tables"))
     store.replace(spark.createDataFrame([(1, "old", 0)], "id int, txt string, v int"), "t")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,7 +12,7 @@ from zilverspoor.checks.core import Tables, check
 from zilverspoor.sinks.parts import write_manifest
 from zilverspoor.sources.files import (
     group_part_files,
-    read_csv,
+    read_csv_folder,
     read_manifest_tables,
     read_part_set,
 )
@@ -88,13 +90,19 @@ def scan_manifest(t: Tables) -> DataFrame:
 
 @check(
     "scan_csv_folder",
-    "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer",
+    """SELECT c_custkey, c_name || chr(10) || '"' || c_mktsegment || '", ' || c_name AS c_name,
+    c_nationkey, c_mktsegment FROM customer""",
 )
 def scan_csv_folder(t: Tables) -> DataFrame:
-    path = f"{t.run_dir('csv')}/customer.csv"
-    rows = t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    rows.toDF(*[c.upper() for c in rows.columns]).write.option("header", "true").csv(path)
-    return read_csv(t.spark, path, rows.schema)
+    """Quoted text holds a line break, and the header has another order than the schema."""
+    folder = t.run_dir("csv")
+    text = F.concat("c_name", F.lit('\n"'), "c_mktsegment", F.lit('", '), "c_name")
+    rows = t.customer.select("c_custkey", text.alias("c_name"), "c_nationkey", "c_mktsegment")
+    other = rows.select("c_mktsegment", "c_name", "c_custkey", "c_nationkey")
+    written = other.toDF(*[c.upper() for c in other.columns]).write.option("header", "true")
+    written.option("escape", '"').csv(folder)
+    tables = read_csv_folder(t.spark, folder, rows.schema)
+    return reduce(DataFrame.unionByName, tables.values())
 
 
 # -- OData --------------------------------------------------------------------------

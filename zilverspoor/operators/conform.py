@@ -54,6 +54,10 @@ def _to_portable(column: Column, source: T.DataType, target: T.DataType) -> Colu
         return column != 0
     if isinstance(source, T.StringType):
         return strip_nul(column)
+    if isinstance(source, T.TimestampType) and isinstance(target, T.TimestampNTZType):
+        # the moment in UTC, whatever the session's zone; by numbers, as clock times repeat
+        seconds = (F.unix_micros(column).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+        return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
     return column if source == target else column.cast(target)
 
 
@@ -97,10 +101,22 @@ def harmonise_decimals(parts: Sequence[DataFrame]) -> DataFrame:
 
 @dataclass(frozen=True)
 class Conformed:
-    """Rows that fit a contract, and the others with the reasons why not."""
+    """Rows that fit a contract, and the others with the reasons why not.
 
-    accepted: DataFrame
-    rejected: DataFrame
+    ``checked`` has all rows, the reasons being the last column.
+    """
+
+    checked: DataFrame
+    reasons: str = "__problems"
+
+    @property
+    def accepted(self) -> DataFrame:
+        return self.checked.where(F.size(self.reasons) == 0).drop(self.reasons)
+
+    @property
+    def rejected(self) -> DataFrame:
+        found = self.checked.where(F.size(self.reasons) > 0)
+        return found.withColumnRenamed(self.reasons, "problems")
 
 
 def _cast_to(column: Column, data_type: T.DataType) -> Column:
@@ -134,11 +150,7 @@ def conform(df: DataFrame, contract: TableContract) -> Conformed:
             problems.append(F.when(value.isNull(), F.lit(f"null:{field.name}")))
         columns.append(value.alias(field.name))
     found = F.array_compact(F.array(*problems)) if problems else F.array().cast("array<string>")
-    checked = df.select(*columns, found.alias("__problems"))
-    return Conformed(
-        accepted=checked.where(F.size("__problems") == 0).drop("__problems"),
-        rejected=checked.where(F.size("__problems") > 0).withColumnRenamed("__problems", "problems"),
-    )
+    return Conformed(df.select(*columns, found.alias("__problems")))
 
 
 def _plain(data_type: T.DataType) -> T.DataType:

@@ -49,12 +49,15 @@ _test_dirs: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only where the cluster names none (unit tests on one machine) a temporary
+    Only where driver and executors are one process (unit tests) a temporary
     folder stands in for it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.conf.get("spark.app.id", "local")
     if app not in _test_dirs:
         _test_dirs[app] = tempfile.mkdtemp(prefix="run-")

@@ -10,19 +10,18 @@ from pyspark.sql import functions as F
 
 from zilverspoor.sources.files import list_files
 
-MANIFEST_SCHEMA = "run_id string, created_at string, table_name string, file string"
-
 
 def dump_parts(
     frames: Mapping[str, DataFrame],
     folder: str,
-    max_rows_per_part: int = 100_000,
+    max_rows_per_part: int = 0,
     run_id: str | None = None,
 ) -> str:
     """Write each frame as parts and return the path of the manifest.
 
-    A frame without rows gets no part. The manifest is written last, and Spark
-    commits it as a whole, so a manifest that can be read is complete.
+    A part is what a task writes, unless ``max_rows_per_part`` cuts it. A frame
+    without rows gets no part. The manifest is written last, and Spark commits it
+    as a whole, so a manifest that can be read is complete.
     """
     if not frames:
         raise ValueError("nothing to dump")
@@ -31,10 +30,10 @@ def dump_parts(
     written = {}
     for name, df in frames.items():
         path = f"{folder}/{run_id}/{name}"
-        if df.isEmpty():
-            continue
         df.write.option("maxRecordsPerFile", max_rows_per_part).parquet(path)
-        written[name] = path
+        # a look at what was written, so the source runs once
+        if not spark.read.schema(df.schema).parquet(path).isEmpty():
+            written[name] = path
     return write_manifest(spark, f"{folder}/{run_id}-manifest", run_id, written)
 
 
@@ -42,16 +41,12 @@ def write_manifest(
     spark: SparkSession, path: str, run_id: str, folders: Mapping[str, str]
 ) -> str:
     """One JSON line per file of the run."""
-    lines = None
-    for table, folder in folders.items():
-        files = list_files(spark, folder).select(
-            F.lit(run_id).alias("run_id"),
-            F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("created_at"),
-            F.lit(table).alias("table_name"),
-            F.col("path").alias("file"),
-        )
-        lines = files if lines is None else lines.unionByName(files)
-    if lines is None:
-        lines = spark.createDataFrame([], MANIFEST_SCHEMA)
+    files = [(table, f) for table, folder in folders.items() for f in list_files(spark, folder)]
+    lines = spark.createDataFrame(files, "table_name string, file string").select(
+        F.lit(run_id).alias("run_id"),
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("created_at"),
+        "table_name",
+        "file",
+    )
     lines.write.json(path)
     return path

@@ -26,17 +26,13 @@ class ManifestError(ValueError):
     """The manifest is missing, unreadable or lists a file that is gone."""
 
 
-def list_files(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> DataFrame:
-    """Paths of the files in a folder; Spark lists it, no file is opened."""
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    )
-    return files.select("path")
-
+def list_files(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> list[str]:
+    """Paths of the files in a folder: Spark lists it, no file is opened and no task runs.
 
-def _collect_paths(files: DataFrame) -> list[str]:
-    # names of files, not their rows; Spark's own planner holds the same list
-    return [row["path"] for row in files.collect()]
+    The names of files, not their rows; Spark's own planner holds the same list.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    return files.inputFiles()
 
 
 def table_name(file_name: str) -> str:
@@ -94,7 +90,7 @@ def read_part_folder(
     spark: SparkSession, folder: str, widen_decimals: bool = False
 ) -> dict[str, DataFrame]:
     """Every table of a folder of part files."""
-    groups = group_part_files(_collect_paths(list_files(spark, folder)))
+    groups = group_part_files(list_files(spark, folder))
     return {name: read_part_set(spark, files, widen_decimals) for name, files in groups.items()}
 
 
@@ -123,26 +119,48 @@ def read_manifest_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]
 
 
 def read_csv_folder(
-    spark: SparkSession, folder: str, schemas: Mapping[str, T.StructType | str] | None = None
+    spark: SparkSession,
+    folder: str,
+    schemas: Mapping[str, T.StructType] | T.StructType | None = None,
 ) -> dict[str, DataFrame]:
     """Every CSV file of a folder as a table named after the file.
 
-    Types are inferred, which reads a file twice, unless ``schemas`` gives them.
+    Types are inferred, which reads a file twice, unless ``schemas`` gives them, by table or one
+    for all.
     """
     tables = {}
-    for path in sorted(_collect_paths(list_files(spark, folder, "*.csv"))):
+    for path in sorted(list_files(spark, folder, "*.csv")):
         name = unquote(path).rsplit("/", 1)[-1][: -len(".csv")].lower()
-        tables[name] = read_csv(spark, path, (schemas or {}).get(name))
+        schema = schemas if isinstance(schemas, T.StructType) else (schemas or {}).get(name)
+        tables[name] = read_csv(spark, path, schema)
     return tables
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None
+    spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True
 ) -> DataFrame:
-    """One CSV table with a header line; names in lower case."""
-    reader = spark.read.option("header", "true")
-    reader = reader.schema(schema) if schema else reader.option("inferSchema", "true")
-    return lower_columns(reader.csv(_literal_path(path)))
+    """One CSV table with a header line; names in lower case.
+
+    A schema's columns are found by their name in the header, in any case and order; a column that
+    the header lacks and a value that is not of its type are errors. Quotes in quoted text are
+    doubled. ``multi_line`` lets quoted text hold line breaks; a file is one task then, so switch it
+    off for large files that have none.
+    """
+    reader = (
+        spark.read.option("header", "true")
+        .option("multiLine", str(multi_line).lower())
+        .option("escape", '"')
+        .option("mode", "FAILFAST")
+    )
+    if schema is None:
+        return lower_columns(reader.option("inferSchema", "true").csv(_literal_path(path)))
+    found = lower_columns(reader.csv(_literal_path(path)))
+    missing = [f.name for f in schema if f.name.lower() not in found.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {missing}; it has {found.columns}")
+    return found.select(
+        *[F.col(f"`{f.name.lower()}`").cast(f.dataType).alias(f.name.lower()) for f in schema]
+    )
 
 
 def source_count(df: DataFrame) -> DataFrame:

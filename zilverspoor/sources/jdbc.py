@@ -24,7 +24,13 @@ def jdbc_options(
     url: str, table: str, fetch_size: int = 100_000, slices: Slices | None = None, **more: str
 ) -> dict[str, str]:
     """Reader options; every executor task streams its slice ``fetch_size`` rows at a time."""
-    options = {"url": url, "dbtable": table, "fetchsize": str(fetch_size), **more}
+    options = {
+        "url": url,
+        "dbtable": table,
+        "fetchsize": str(fetch_size),
+        "preferTimestampNTZ": "true",  # moments without a zone stay as the database has them
+        **more,
+    }
     if slices is not None:
         options |= {
             "partitionColumn": slices.column,
@@ -61,7 +67,7 @@ def read_table(
         extra["customSchema"] = custom_schema
     if predicates:
         df = spark.read.jdbc(
-            url, table, predicates=list(predicates), properties={"fetchsize": str(fetch_size)} | extra
+            url, table, predicates=list(predicates), properties={"fetchsize": str(fetch_size), "preferTimestampNTZ": "true"} | extra
         )
     else:
         options = jdbc_options(url, table, fetch_size, slices, **extra)

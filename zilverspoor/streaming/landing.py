@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,26 +28,52 @@ def landing_stream(
 
 
 def append_batches(path: str) -> Callable[[DataFrame, int], None]:
-    """Add a batch to a folder, one subfolder per batch.
+    """Add a batch to a folder, one subfolder per stream and batch.
 
     A batch that runs again overwrites its own subfolder only, so its rows are
-    never there twice.
+    never there twice. A stream is known by the id its checkpoint keeps: with a
+    new checkpoint batches count from 0 again, but into folders of their own.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        folder = f"stream={stream or 'none'}/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(f"{path}/{folder}")
 
     return write
 
 
-def upsert_batches(merge: Callable[[DataFrame], None], key: list[str], version: str):
-    """Merge a batch by key; of several rows for one key in a batch the latest counts."""
+def _rank(row: str, columns: list[str], version: str) -> Column:
+    """What decides between rows of one key: the version, none being the lowest, then the values."""
+    values = [F.col(f"{row}.`{c}`") for c in columns]
+    newest = F.col(f"{row}.`{version}`")
+    return F.struct(newest.isNotNull().alias("known"), newest.alias("version"), F.struct(*values).alias("rest"))
+
+
+def upsert_batches(
+    merge: Callable[[DataFrame], None],
+    key: list[str],
+    version: str,
+    stored: Callable[[], DataFrame] | None = None,
+):
+    """Merge a batch by key; of several rows for one key the latest counts.
+
+    Rows without a version come before all others, and rows of one version are
+    told apart by their values, so the result does not depend on the order of
+    arrival. ``stored`` gives the rows merged so far: an incoming row that is not
+    later than the stored one is left out.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         columns = [c for c in batch.columns if c not in key]
-        latest = batch.groupBy(*key).agg(
-            F.max_by(F.struct(*columns), F.col(version)).alias("row")
-        )
+        rows = batch.select(*key, F.struct(*columns).alias("row"))
+        latest = rows.groupBy(*key).agg(F.max_by("row", _rank("row", columns, version)).alias("row"))
+        if stored is not None:
+            before = stored().select(*key, F.struct(*columns).alias("before"))
+            late = F.col("before").isNotNull() & (
+                _rank("before", columns, version) >= _rank("row", columns, version)
+            )
+            latest = latest.join(before, key, "left").where(~late)
         merge(latest.select(*key, "row.*").select(*batch.columns))
 
     return write

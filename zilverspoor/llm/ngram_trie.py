@@ -169,7 +169,9 @@ class Trie:
             if level.files[s] is None:
                 continue
             held = shard_arrays(level.folder, level.files[s])
-            context, inverse = distinct(parents[at])
+            coded = pa.array(parents[at]).dictionary_encode()
+            context = coded.dictionary.to_numpy(zero_copy_only=False)
+            inverse = coded.indices.to_numpy(zero_copy_only=False)
             place = held["contexts"].find(context)
             known = place >= 0
             first, last = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
@@ -251,7 +253,8 @@ class Path:
         """Reach the next level: tokens with a kept context, the share of each and what is left."""
         k = self.level
         at = np.flatnonzero(self.place >= k)
-        at = at[self.node[at - 1] >= 0]
+        # a context that is too rare for a kept n-gram has no successors
+        at = at[(self.node[at - 1] >= 0) & (self.count[at - 1] >= LEAST)]
         word = np.where(self.word[at] >= 0, self.word[at], 0)
         nodes, share, left = self.trie.successors(k + 1, self.node[at - 1], word)
         unknown = self.word[at] < 0

@@ -51,8 +51,8 @@ SIMILARITY = 0.8
 #: 20 bands of 4 show a pair of similarity 0.8 with probability 0.99997.
 BANDS, ROWS = 20, 4
 #: Pairs that agree in fewer components are not compared by texts: a pair of similarity 0.8 falls
-#: below with a probability of about one in a hundred million.
-LEAST_AGREEING = 44
+#: below with a probability of about one in two hundred thousand.
+LEAST_AGREEING = 48
 #: Bytes of text that are signed at once; short texts make a thousand points a kilobyte.
 SIGNED_BYTES = 1 << 20
 
@@ -165,13 +165,15 @@ def _sign(batch: pa.RecordBatch) -> pa.RecordBatch:
             pa.array([None if e else d.tobytes() for d, e in zip(digest, none)], pa.binary()),
             pa.array(size.astype(np.int64)),
             each,
-            pa.array([s.tobytes() for s in sketch], pa.binary()),
+            pa.FixedSizeListArray.from_arrays(
+                pa.array(sketch.reshape(-1).view(np.int64)), BANDS * ROWS // 8
+            ).cast(pa.list_(pa.int64())),
         ],
         names=["key", "node", "size", "bands", "sketch"],
     )
 
 
-SIGNED = "size long, bands array<long>, sketch binary"
+SIGNED = "size long, bands array<long>, sketch array<long>"
 
 
 def _texts(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -182,8 +184,8 @@ def _texts(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def signed(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Key, node (a digest of the words; NULL without words), shingles, band hashes and a byte of
-    each component."""
+    """Key, node (a digest of the words; NULL without words), shingles, band hashes and a sketch of
+    one byte for each component."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, SIGNED_BYTES):
@@ -247,23 +249,16 @@ def _alike(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     return both.mapInArrow(run, "a binary, b binary")
 
 
-def _agreeing(pairs: DataFrame) -> DataFrame:
-    """The pairs whose sketches agree in enough components."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            sides = [
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(
-                    batch.num_rows, -1
-                )
-                for c in ("sketch", "other")
-            ]
-            good = (sides[0] == sides[1]).sum(axis=1) >= LEAST_AGREEING
-            yield batch.select(["a", "b"]).filter(pa.array(good))
-
-    return pairs.mapInArrow(run, "a binary, b binary")
+def _agreeing(left: str, right: str) -> Column:
+    """In how many components two sketches (eight bytes a number) agree."""
+    differing = F.lit(0)
+    for i in range(BANDS * ROWS // 8):
+        bits = F.get(left, F.lit(i)).bitwiseXOR(F.get(right, F.lit(i)))
+        # one bit for each byte that has any
+        for shift, mask in ((4, 0x0F0F0F0F0F0F0F0F), (2, 0x0303030303030303), (1, 0x0101010101010101)):
+            bits = bits.bitwiseOR(F.shiftrightunsigned(bits, shift).bitwiseAND(F.lit(mask)))
+        differing = differing + F.bit_count(bits.bitwiseAND(F.lit(0x0101010101010101)))
+    return F.lit(BANDS * ROWS) - differing
 
 
 # Components
@@ -332,7 +327,7 @@ def _reachable(members: DataFrame, bodies: DataFrame, similarity: float) -> Data
     shared = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("nodes")).filter("nodes > 1")
     covered = held.join(shared.select("shingle"), "shingle").groupBy("node").agg(F.sum("n").alias("n"))
     good = nodes.join(covered, "node").filter(F.col("n") >= similarity * F.col("size") - 1e-9)
-    return members.join(good.select("node"), "node")
+    return members.join(good.select("node", F.col("n").alias("shared")), "node")
 
 
 def _open(members: DataFrame) -> DataFrame:
@@ -344,6 +339,9 @@ def _open(members: DataFrame) -> DataFrame:
     return members.join(mixed, ["band", "bucket"])
 
 
+_COMPARED = ("node", "root", "size", "shared", "bands", "sketch")
+
+
 def classes(
     df: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY
 ) -> DataFrame:
@@ -382,20 +380,24 @@ def classes(
         root = kept(_open(_labelled(slots, edges)), "open")
     root = kept(_open(_reachable(root, bodies, similarity)), "open")
     # buckets that still hold several components: all pairs across them
-    one = root.select("band", "bucket", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("size").alias("sa"))
-    two = root.select("band", "bucket", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("size").alias("sb"))
-    across = one.join(two, ["band", "bucket"]).filter(
-        (F.col("ra") < F.col("rb"))
-        & (F.least("sa", "sb") >= similarity * F.greatest("sa", "sb"))
-    )
-    across = kept(across.select("a", "b").distinct(), "across")
-    sketches = rows.select("node", "sketch")
-    shown = (
-        across.join(sketches.toDF("a", "sketch"), "a")
-        .join(sketches.toDF("b", "other"), "b")
-        .select("a", "b", "sketch", "other")
+    root = root.join(rows.select("node", "bands", "sketch"), "node")
+    one = root.select("band", "bucket", *[F.col(c).alias(f"{c}_a") for c in _COMPARED])
+    two = root.select("band", "bucket", *[F.col(c).alias(f"{c}_b") for c in _COMPARED])
+    # an overlap has at most what the one shares with anybody, which bounds the similarity
+    most = F.least("shared_a", "shared_b")
+    same_bands = F.zip_with("bands_a", "bands_b", lambda x, y: x == y)
+    across = one.join(
+        two,
+        (one["band"] == two["band"])
+        & (one["bucket"] == two["bucket"])
+        & (F.col("root_a") < F.col("root_b"))
+        & (most >= similarity * (F.col("size_a") + F.col("size_b") - most) - 1e-9)
+        & (_agreeing("sketch_a", "sketch_b") >= LEAST_AGREEING)
+        # a pair comes from the first band that shows it
+        & (F.array_position(same_bands, True) - 1 == one["band"]),
     )
-    edges = edges.union(_alike(_agreeing(shown), bodies, similarity))
+    across = kept(across.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")), "across")
+    edges = edges.union(_alike(across, bodies, similarity))
     roots = _labelled(rows.select("node", "key"), edges)
     named = roots.groupBy("root").agg(F.min("key").alias("class"))
     named = roots.select("node", "root").join(named, "root").select("node", "class")

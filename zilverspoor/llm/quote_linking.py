@@ -148,24 +148,29 @@ def links(messages: DataFrame) -> DataFrame:
 
 
 def threads(answers: DataFrame) -> DataFrame:
-    """First turn and depth for each (conv, turn) that points to what it answers, or to nothing."""
+    """First turn and depth for each (conv, turn) that points to what it answers, or to nothing.
+
+    Only messages that do not point to a first one yet take part in a step, so a few long
+    conversations cost what they have themselves.
+    """
     state = kept(
         answers.select(
             "conv", "turn", F.coalesce("reply_to", "turn").alias("to"),
             F.when(F.col("reply_to").isNull(), 0).otherwise(1).cast("long").alias("depth"),
+            F.col("reply_to").isNotNull().alias("open"),
         ), "threads",
     )
-    while True:
-        there = state.select("conv", F.col("turn").alias("to"), F.col("to").alias("next"),
-                             F.col("depth").alias("more"))
-        moved = state.join(there, ["conv", "to"]).select(
-            "conv", "turn", F.col("next").alias("to"), (F.col("depth") + F.col("more")).alias("depth"),
-            (F.col("next") != F.col("to")).alias("moved"),
+    while state.filter("open").limit(1).count():
+        there = state.select(
+            "conv", F.col("turn").alias("to"), F.col("to").alias("next"),
+            F.col("depth").alias("more"), F.col("open").alias("still"),
+        )
+        moved = state.filter("open").join(there, ["conv", "to"]).select(
+            "conv", "turn", F.col("next").alias("to"),
+            (F.col("depth") + F.col("more")).alias("depth"), F.col("still").alias("open"),
         )
-        moved = kept(moved, "threads")
-        state = moved.drop("moved")
-        if not moved.filter("moved").limit(1).count():
-            return state.withColumnRenamed("to", "thread")
+        state = kept(state.filter(~F.col("open")).unionByName(moved), "threads")
+    return state.select("conv", "turn", F.col("to").alias("thread"), "depth")
 
 
 def conversations(

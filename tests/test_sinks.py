@@ -156,3 +156,78 @@ def test_plan_all_stops_on_other_errors(spark, monkeypatch):
 def test_row_limit_and_label_case(spark):
     frame = build("CLIENT", bronze(spark), row_limit=1, label_case="lower")
     assert frame.columns[0] == "rechtspersoon_id" and frame.count() == 1
+
+
+def test_a_failing_step_undoes_all_others(spark, store, rows, monkeypatch):
+    """Whatever mode comes before it: appended rows go, replaced tables come back."""
+    for table in ("a", "b", "c"):
+        store.replace(people(spark, (1, "old")), table)
+    new = people(spark, (2, "new"))
+    staged = [
+        store.stage(new, "a", "append"),
+        store.stage(new, "b", "overwrite"),
+        store.stage(new, "c", "upsert", ["id"]),
+    ]
+    point = store._point
+
+    def broken(table, path):
+        if table == "c":
+            raise RuntimeError("no")
+        point(table, path)
+
+    monkeypatch.setattr(store, "_point", broken)
+    with pytest.raises(RuntimeError):
+        store.publish(staged)
+    for table in ("a", "b", "c"):
+        assert rows(store.read(table)) == [(1, "old")]
+    monkeypatch.setattr(store, "_point", point)
+    store.publish(staged)
+    assert rows(store.read("a")) == [(1, "old"), (2, "new")]
+    assert rows(store.read("b")) == [(2, "new")]
+    assert rows(store.read("c")) == [(1, "old"), (2, "new")]
+
+
+def test_two_upserts_from_one_version(spark, store, rows):
+    store.replace(people(spark, (1, "a")), "t")
+    one = store.stage(people(spark, (2, "b")), "t", "upsert", ["id"])
+    two = store.stage(people(spark, (3, "c")), "t", "upsert", ["id"])
+    store.publish([one])
+    with pytest.raises(LoadError, match="changed"):
+        store.publish([two])
+    assert rows(store.read("t")) == [(1, "a"), (2, "b")]
+
+
+def test_replace_never_leaves_the_table_out(spark, store, rows, monkeypatch):
+    store.replace(people(spark, (1, "a")), "t")
+    dropped = []
+    sql = spark.sql
+    monkeypatch.setattr(spark, "sql", lambda q, *a: dropped.append(q) or sql(q, *a))
+    store.replace(people(spark, (2, "b")), "t")
+    assert not any(q.startswith("DROP") for q in dropped)
+    store.replace(spark.createDataFrame([(5,)], "other long"), "t")
+    assert rows(store.read("t")) == [(5,)]
+
+
+def test_a_column_named_location(spark, store):
+    store.replace(spark.createDataFrame([("x",)], "Location string"), "t")
+    assert "/t/" in store.location("t")
+    store.write(spark.createDataFrame([("y",)], "Location string"), "t", "append")
+    assert store.read("t").count() == 2
+
+
+def test_rows_that_do_not_fit(spark, store):
+    create_silver(store)
+    rows = [("1", "fits"), ("2", "x" * 300), (None, "no key")]
+    laws = spark.createDataFrame(rows, "kode_regeling string, omschryving string")
+    source = bronze(spark, szregel=laws)
+    with pytest.raises(LoadError, match="length:VALUE"):
+        load_silver(source, store, ["WET_ENUM", "CLIENT"], strict=True)
+    assert store.read("CLIENT").count() == 0 and not store.exists("REJECTED")
+    for runs in (1, 2):
+        load_silver(source, store, ["WET_ENUM", "CLIENT"])
+        good = sorted(str(r["WET_ENUM_ID"]) for r in store.read("WET_ENUM").collect())
+        assert good == ["1", "None"]  # keys are checked elsewhere
+        assert store.read("CLIENT").count() == 2
+        bad = store.read("REJECTED").collect()
+        assert len(bad) == runs and {r["target"] for r in bad} == {"WET_ENUM"}
+        assert {p for r in bad for p in r["problems"]} == {"length:VALUE"}

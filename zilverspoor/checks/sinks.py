@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from zilverspoor.checks.core import Tables, check
 from zilverspoor.checks.fixtures import frames, with_fixtures
 from zilverspoor.contracts import BESCHIKKING, WET_ENUM
+from zilverspoor.plans import Bronze
+from zilverspoor.sinks.load import REJECTED, create_silver, load_silver
 from zilverspoor.sinks.parts import dump_parts
 from zilverspoor.sinks.tables import TableStore
 from zilverspoor.sources.files import read_manifest_tables
@@ -168,3 +170,29 @@ def enum_seed(t: Tables) -> DataFrame:
     return store.read("WET_ENUM").join(used, "WET_ENUM_ID", "left").select(
         "WET_ENUM_ID", "VALUE", F.coalesce("n", F.lit(0)).alias("n_used")
     )
+
+
+@check(
+    "silver_rejects",
+    """SELECT CAST(p_partkey AS VARCHAR) AS code,
+    CASE WHEN p_size % 5 = 0 THEN 'length:VALUE' ELSE 'fits' END AS fate FROM part""",
+)
+def silver_rejects(t: Tables) -> DataFrame:
+    """Laws with too long a text stay out of the table and are kept with reasons."""
+    store = t.store("rejects")
+    create_silver(store, [WET_ENUM])
+    key = F.col("p_partkey").cast("string")
+    laws = t.part.select(
+        key.alias("kode_regeling"),
+        F.when(F.col("p_size") % 5 == 0, F.concat(F.repeat(F.lit("x"), 300), key))
+        .otherwise(F.concat(F.lit("law "), key))
+        .alias("omschryving"),
+    )
+    load_silver(Bronze({"szregel": laws}), store, ["WET_ENUM"])
+    number = lambda c: F.regexp_extract(c, "(\\d+)$", 1)
+    good = store.read("WET_ENUM").select(number("VALUE").alias("code"), F.lit("fits").alias("fate"))
+    value = F.get_json_object("row", "$.VALUE")
+    bad = store.read(REJECTED).select(
+        number(value).alias("code"), F.array_join("problems", ",").alias("fate")
+    )
+    return good.unionByName(bad)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
+from urllib.parse import parse_qs, urlparse
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,11 +22,19 @@ from zilverspoor.sources.odata import (
     EntityType,
     entity_navigation,
     entity_properties,
+    parse_pages,
     read_entity_sets,
     read_entity_types,
     read_pages,
 )
-from zilverspoor.streaming.landing import append_batches, land, landing_stream, read_landed
+from zilverspoor.sources.odata_service import read_service
+from zilverspoor.streaming.landing import (
+    append_batches,
+    land,
+    landing_stream,
+    read_landed,
+    upsert_batches,
+)
 
 
 @check("scan_table", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
@@ -189,6 +199,69 @@ def odata_project_keys_first(t: Tables) -> DataFrame:
     return rows.select(F.lit(",".join(rows.columns)).alias("column_order"), "*")
 
 
+class TableService:
+    """A paged service over the rows of a given table, asked on the executors.
+
+    It counts too few rows, answers some requests with an empty page that leads on, and its links
+    forget what was left of a range. Rows come in key order only if that is asked for.
+    """
+
+    def __init__(self, rows: list[str]):
+        self.rows = rows
+
+    def __call__(self, url: str) -> str:
+        parsed = urlparse(url)
+        asked = {k: v[0] for k, v in parse_qs(parsed.query).items()}
+        if parsed.path.endswith("/$count"):
+            return str(len(self.rows) // 2)
+        skip, top = int(asked.get("$skip", 0)), int(asked.get("$top", len(self.rows)))
+        part = self.rows[skip : skip + min(top, 70)]
+        if "$orderby" not in asked:
+            part = part[::-1]
+        if skip % 3 == 0 and part and "again" not in asked:
+            return json.dumps({"value": [], "@odata.nextLink": f"{url}&again=1"})
+        link = f', "@odata.nextLink": "Customers?$orderby=Id&$skip={skip + len(part)}"'
+        more = link if part and skip + len(part) < len(self.rows) else ""
+        return f'{{"value": [{",".join(part)}]{more}}}'
+
+
+@check("odata_service_pages", _ENTITY_SQL)
+def odata_service_pages(t: Tables) -> DataFrame:
+    rows = t.customer.orderBy("c_custkey").select(
+        F.to_json(
+            F.struct(
+                F.col("c_custkey").alias("Id"),
+                F.col("c_name").alias("Name"),
+                F.col("c_acctbal").cast("decimal(12,2)").alias("Balance"),
+            )
+        ).alias("row")
+    )
+    service = TableService([r["row"] for r in rows.collect()])  # what a service holds, as a stand-in
+    return read_service(t.spark, service, "Customers", CUSTOMER, page_rows=100, pages_per_task=2)
+
+
+_MOMENTS = EntityType("Moment", ("Id",), {"Id": T.LongType(), "At": T.TimestampType()}, {})
+
+
+@check(
+    "odata_datetimeoffset",
+    """SELECT o_orderkey AS "Id",
+    CAST(epoch(CAST(o_orderdate AS TIMESTAMP)) AS BIGINT) + 1800
+      - (CAST(o_orderkey % 27 AS BIGINT) - 13) * 3600 AS instant FROM orders""",
+)
+def odata_datetimeoffset(t: Tables) -> DataFrame:
+    """Half past midnight at offsets from -13 to +13 hours; every eighth says Z or nothing."""
+    hours = (F.col("o_orderkey") % 27 - 13).cast("int")
+    sign = F.when(hours < 0, "-").otherwise("+")
+    offset = F.concat(sign, F.lpad(F.abs(hours).cast("string"), 2, "0"), F.lit(":00"))
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    at = F.concat(day, F.lit("T00:30:00"), F.when(hours == 0, F.when(F.col("o_orderkey") % 2 == 0, "Z").otherwise("")).otherwise(offset))
+    row = F.struct(F.col("o_orderkey").alias("Id"), at.alias("At"))
+    page = F.to_json(F.struct(F.array(row).alias("value")))
+    pages = parse_pages(t.orders.select(page.alias("body")), _MOMENTS)
+    return pages.select("Id", F.unix_seconds("At").alias("instant"))
+
+
 def _write_metadata(t: Tables) -> str:
     """Service metadata with one entity type and one entity set per part."""
     name = F.concat(F.lit("Part"), F.col("p_partkey").cast("string"))
@@ -256,3 +329,29 @@ def landing_incremental(t: Tables) -> DataFrame:
         parts.where(condition).write.mode("append").parquet(folder)
         land(landing_stream(t.spark, folder, parts.schema), state, append_batches(bronze))
     return read_landed(t.spark, bronze, rows.schema)
+
+
+@check(
+    "landing_upsert",
+    """SELECT o_custkey, o_orderkey, o_totalprice, o_version FROM (
+      SELECT *, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey % 4 END AS o_version FROM orders)
+    QUALIFY row_number() OVER (PARTITION BY o_custkey
+      ORDER BY o_version DESC NULLS LAST, o_orderkey DESC, o_totalprice DESC) = 1""",
+)
+def landing_upsert(t: Tables) -> DataFrame:
+    """Orders of a customer in three batches: late, without a version, and of one version."""
+    folder, state = t.run_dir("landing"), t.run_dir("state")
+    version = F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderkey") % 4)
+    rows = t.orders.select("o_custkey", "o_orderkey", "o_totalprice", version.alias("o_version"))
+    store = t.store("landing")
+    store.replace(rows.limit(0), "orders")
+    write = upsert_batches(
+        lambda df: store.write(df, "orders", "upsert", key=["o_custkey"]),
+        ["o_custkey"],
+        "o_version",
+        lambda: store.read("orders"),
+    )
+    for part in range(3):
+        rows.where(F.col("o_orderkey") % 3 == part).write.mode("append").parquet(folder)
+        land(landing_stream(t.spark, folder, rows.schema), state, write)
+    return store.read("orders")

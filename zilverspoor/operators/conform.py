@@ -125,11 +125,11 @@ def _cast_to(column: Column, data_type: T.DataType) -> Column:
     return column.try_cast(data_type)
 
 
-def conform(df: DataFrame, contract: TableContract) -> Conformed:
+def conform(df: DataFrame, contract: TableContract, null_keys: bool = False) -> Conformed:
     """Cast to the contract's columns by name and separate rows that do not fit.
 
-    A row is rejected when a value does not cast, a text is too long or a key
-    column is NULL. One scan serves each side; nothing is compared across rows.
+    A row is rejected when a value does not cast, a text is too long or, unless
+    ``null_keys`` lets them pass, a key column is NULL. One scan serves each side; nothing is compared across rows.
     """
     have = {c.lower(): c for c in df.columns}
     columns, problems = [], []
@@ -146,7 +146,7 @@ def conform(df: DataFrame, contract: TableContract) -> Conformed:
             else:
                 lost = raw.isNotNull() & value.isNull()
                 problems.append(F.when(lost, F.lit(f"cast:{field.name}")))
-        if field.name in contract.primary_key:
+        if field.name in contract.primary_key and not null_keys:
             problems.append(F.when(value.isNull(), F.lit(f"null:{field.name}")))
         columns.append(value.alias(field.name))
     found = F.array_compact(F.array(*problems)) if problems else F.array().cast("array<string>")

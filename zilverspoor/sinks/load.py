@@ -5,16 +5,19 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from zilverspoor.contracts import CONTRACTS, TableContract
+from zilverspoor.operators.conform import Conformed, conform
 from zilverspoor.operators.quality import fk_orphans, pk_violations
 from zilverspoor.plans.registry import Bronze, plan_all
 from zilverspoor.session import together
 from zilverspoor.sinks.tables import LoadError, Staged, TableStore
 
 _REPORT = "target string, status string, reason string"
+#: The table of rows that did not fit.
+REJECTED = "REJECTED"
 
 
 def create_silver(
@@ -35,33 +38,64 @@ def load_silver(
     check_keys: bool = False,
     row_limit: int = 0,
     width: int = 4,
+    strict: bool = False,
 ) -> DataFrame:
     """Run the mappings and show their rows in all tables at once.
 
-    Every mapping is written aside first, ``width`` of them at a time. If one
-    fails, or ``check_keys`` finds a duplicate key, no table changes. A mapping
-    whose source is missing is skipped; the result lists what was loaded and what
-    was skipped and why.
+    Every mapping is written aside first, ``width`` of them at a time. Rows that
+    do not fit their table's contract go to the table ``REJECTED`` with the
+    reasons; ``strict`` makes them an error. If a mapping fails, or ``check_keys``
+    finds a duplicate key, no table changes. A mapping whose source is missing is
+    skipped; the result lists what was loaded and what was skipped and why.
     """
     modes = {name.lower(): mode.lower() for name, mode in (modes or {}).items()}
     planned = plan_all(bronze, targets, row_limit)
 
-    def stage(target: str, frame: DataFrame) -> Staged:
+    def stage(target: str, frame: DataFrame) -> tuple[Staged, DataFrame | None]:
         key = CONTRACTS[target].primary_key if target in CONTRACTS else ()
-        item = store.stage(frame, target, modes.get(target.lower(), "overwrite"), key)
+        mode = modes.get(target.lower(), "overwrite")
+        if target not in CONTRACTS:
+            return store.stage(frame, target, mode, key), None
+        # keys are the business of check_keys and the key report
+        fitted = conform(frame, CONTRACTS[target], null_keys=True)
+        # counted while the good rows are written; the bad ones are made only if there are any
+        seen = Observation()
+        bad = F.count_if(F.size(fitted.reasons) > 0).alias("bad")
+        watched = Conformed(fitted.checked.observe(seen, bad), fitted.reasons)
+        item = store.stage(watched.accepted, target, mode, key)
+        found = rejected_lines(target, fitted.rejected) if seen.get["bad"] else None
+        if found is not None and strict:
+            reasons = found.select(F.explode("problems").alias("p")).distinct().limit(10).collect()
+            raise LoadError(f"{target}: rows do not fit: {sorted(r['p'] for r in reasons)}")
         if check_keys and key:
             schema = store.read(target).schema
             rows = store.spark.read.schema(schema).parquet(item.path)
             if not pk_violations(rows, key).isEmpty():
                 raise LoadError(f"{target}: key {list(key)} is not unique or incomplete")
-        return item
+        return item, found
 
     actions = [partial(stage, target, frame) for target, frame in planned.frames.items()]
-    staged = together(store.spark, actions, width)
+    done = together(store.spark, actions, width)
+    staged = [item for item, _ in done]
+    bad = [rows for _, rows in done if rows is not None]
+    if bad:
+        if not store.exists(REJECTED):
+            store.replace(bad[0].limit(0), REJECTED)
+        rows = reduce(DataFrame.unionByName, bad)
+        staged.append(store.stage(rows, REJECTED, "append"))
     store.publish(staged)
+    staged = [item for item in staged if item.table != REJECTED]
     return load_report(store.spark, [i.table for i in staged], planned.skipped)
 
 
+def rejected_lines(target: str, rows: DataFrame) -> DataFrame:
+    """Rejected rows of any table in one form: table, reasons, and the row as JSON."""
+    values = [c for c in rows.columns if c != "problems"]
+    return rows.select(
+        F.lit(target).alias("target"), "problems", F.to_json(F.struct(*values)).alias("row")
+    )
+
+
 def load_report(
     spark: SparkSession, loaded: Iterable[str], skipped: Mapping[str, str]
 ) -> DataFrame:

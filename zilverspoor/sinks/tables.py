@@ -4,15 +4,17 @@ A Parquet table cannot be merged into, and overwriting what a query reads is
 refused. So a write that replaces rows first fills a table of its own with the
 target's definition, which lets Spark check lengths and types, and one ALTER
 TABLE then makes that folder the target's. Readers see the old rows or the new
-ones. Only ``append`` adds files to the current folder.
+ones. An append is first written below the current folder under a name that
+readers pass over; renaming it shows it, and renaming it back hides it again.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +37,7 @@ class Staged:
     table: str
     mode: str
     path: str
+    base: str = ""  # the table's folder when the rows were made
 
 
 class TableStore:
@@ -61,8 +64,8 @@ class TableStore:
         return self.spark.table(self.name(table))
 
     def location(self, table: str) -> str:
-        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}")
-        return rows.where("col_name = 'Location'").first()["data_type"]
+        found = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)} AS JSON").first()[0]
+        return json.loads(found)["location"]
 
     def _new_path(self, table: str) -> str:
         return f"{self.root}/{table.lower()}/{uuid.uuid4().hex}"
@@ -83,9 +86,18 @@ class TableStore:
 
     def _define(self, table: str, columns: str, path: str) -> None:
         self.spark.sql(
-            f"CREATE TABLE {self.name(table)} ({columns}) USING parquet LOCATION '{path}'"
+            f"CREATE TABLE {self.name(table)} ({columns}) USING parquet "
+            f"OPTIONS (recursiveFileLookup 'true') LOCATION '{path}'"
         )
 
+    def _rename(self, old: str, new: str) -> None:
+        """One step in the storage's own terms."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        source, target = hadoop.Path(old), hadoop.Path(new)
+        store = source.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not store.rename(source, target):
+            raise LoadError(f"{old} cannot be renamed to {new}")
+
     def align(self, df: DataFrame, table: str, matching: str = "auto") -> DataFrame:
         """Columns in the table's order, matched by name; unlisted ones are NULL.
 
@@ -117,12 +129,29 @@ class TableStore:
     # -- replace: the definition follows the rows ---------------------------------
 
     def replace(self, df: DataFrame, table: str) -> None:
-        """Drop the table and create it from the incoming rows."""
+        """The table with the columns and rows of the incoming frame.
+
+        With the same columns as before the table only points to another folder.
+        With others the new definition takes the old one's name, and the old one
+        comes back if it cannot.
+        """
         path = self._new_path(table)
         df.write.parquet(path)
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-        self._define(table, columns, path)
+        columns = _columns(df)
+        if not self.exists(table):
+            self._define(table, columns, path)
+        elif _columns(self.read(table)) == columns:
+            self._point(table, path)
+        else:
+            twin, old = (f"{table}__{uuid.uuid4().hex[:8]}" for _ in range(2))
+            self._define(twin, columns, path)
+            self.spark.sql(f"ALTER TABLE {self.name(table)} RENAME TO {self.name(old)}")
+            try:
+                self.spark.sql(f"ALTER TABLE {self.name(twin)} RENAME TO {self.name(table)}")
+            except Exception:
+                self.spark.sql(f"ALTER TABLE {self.name(old)} RENAME TO {self.name(table)}")
+                raise
+            self.spark.sql(f"DROP TABLE {self.name(old)}")
 
     def load_staging(self, df: DataFrame, table: str, mode: str) -> None:
         """Staging write modes: replace, truncate or append; all create a missing table."""
@@ -150,16 +179,19 @@ class TableStore:
         if mode not in MODES:
             raise LoadError(f"unsupported write mode {mode}")
         rows = self.align(df, table, matching)
+        base = self.location(table)
         if mode == "upsert":
             rows = self._merged(rows, table, key)
         path = self._new_path(table)
+        if mode == "append":
+            path = f"{base}/_staged-{uuid.uuid4().hex}"
         twin = f"{table}__{uuid.uuid4().hex[:8]}"
         self.spark.sql(f"CREATE TABLE {self.name(twin)} LIKE {self.name(table)} LOCATION '{path}'")
         try:
             rows.write.insertInto(self.name(twin))
         finally:
             self.spark.sql(f"DROP TABLE {self.name(twin)}")
-        return Staged(table, mode, path)
+        return Staged(table, mode, path, base)
 
     def _merged(self, rows: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
         """The table's rows without those that come in, and the incoming ones."""
@@ -176,29 +208,37 @@ class TableStore:
 
     def _point(self, table: str, path: str) -> None:
         self.spark.sql(f"ALTER TABLE {self.name(table)} SET LOCATION '{path}'")
+        self._refresh(table)
+
+    def _refresh(self, table: str) -> None:
         self.spark.catalog.refreshTable(self.name(table))
 
     def publish(self, staged: Sequence[Staged]) -> None:
-        """Make staged rows visible.
+        """Make staged rows visible, one step for each table.
 
-        Appends go first: each is one committed insert of rows that were written
-        and checked before. Then the other tables change their location; if one
-        of them cannot, those already changed go back.
+        If a step fails, or rows were made from a version of their table that is
+        no longer current, the steps already done are undone, appends as well.
         """
-        for item in staged:
-            if item.mode == "append":
-                schema = self.read(item.table).schema
-                rows = self.spark.read.schema(schema).parquet(item.path)
-                rows.write.insertInto(self.name(item.table))
-        before: list[tuple[str, str]] = []
+        undo: list[Callable[[], None]] = []
         try:
             for item in staged:
-                if item.mode != "append":
-                    before.append((item.table, self.location(item.table)))
+                current = self.location(item.table)
+                if item.mode in ("append", "upsert") and current != item.base:
+                    raise LoadError(f"{item.table} has changed since its rows were staged")
+                if item.mode == "append":
+                    shown = item.path.replace("/_staged-", "/added-")
+                    self._rename(item.path, shown)
+                    undo.append(partial(self._rename, shown, item.path))
+                    self._refresh(item.table)
+                else:
+                    undo.append(partial(self._point, item.table, current))
                     self._point(item.table, item.path)
-        except Exception:
-            for table, path in reversed(before):
-                self._point(table, path)
+        except Exception as error:
+            for step in [*reversed(undo), *[partial(self._refresh, i.table) for i in staged]]:
+                try:
+                    step()
+                except Exception as other:  # the other tables go back all the same
+                    error.add_note(f"while undoing: {other}")
             raise
 
     def write(
@@ -214,3 +254,7 @@ class TableStore:
             self.append(df, table, matching)
         else:
             self.publish([self.stage(df, table, mode, key, matching)])
+
+
+def _columns(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)

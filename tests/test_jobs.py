@@ -1,14 +1,18 @@
 import uuid
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from fake_service import FakeService
 from zilverspoor.jobs import (
     EntityOptions,
+    files_to_staging,
     service_to_staging,
     staging_to_silver,
     tables_to_staging,
 )
+from zilverspoor.sinks.parts import dump_parts
 from zilverspoor.sinks.tables import TableStore
 
 METADATA = """<?xml version="1.0"?>
@@ -64,3 +68,23 @@ def test_service_options_and_unknown_sets(spark, store):
     assert store.read("shop_items").columns == ["id"]
     with pytest.raises(ValueError, match="Nope"):
         service_to_staging(Service(3), store, ["Nope"])
+
+
+def test_files_to_staging(spark, store, tmp_path):
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "Id int, Txt string")
+    manifest = dump_parts({"orders": rows}, str(tmp_path / "dump"), run_id="r")
+    (tmp_path / "csv").mkdir()
+    (tmp_path / "csv" / "people.csv").write_text("Id,Name\n1,Ada\n")
+    (tmp_path / "parts").mkdir()
+    part = str(tmp_path / "parts" / "[Shop].[Orders]_part0000.parquet")
+    pq.write_table(pa.table({"Id": [1, 2]}), part)
+    for kind, path, table, count in (
+        ("manifest", manifest, "orders", 2),
+        ("csv", str(tmp_path / "csv"), "people", 1),
+    ):
+        report = files_to_staging(path, store, kind=kind).first()
+        assert (report["table_name"], report["loaded_rows"]) == (table, count)
+        assert store.read(table).columns[0] == "id"
+    assert files_to_staging(str(tmp_path / "parts"), store).first()["loaded_rows"] == 2
+    with pytest.raises(ValueError):
+        files_to_staging("x", store, kind="other")

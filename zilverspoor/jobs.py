@@ -1,4 +1,4 @@
-"""The three runs: tables to staging, services to staging, staging to silver."""
+"""The runs: tables, landed files and services to staging, staging to silver."""
 
 from __future__ import annotations
 
@@ -9,13 +9,15 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zilverspoor.operators.conform import to_bronze
 from zilverspoor.plans import Bronze
 from zilverspoor.session import together
 from zilverspoor.sinks.load import create_silver, load_silver
 from zilverspoor.sinks.tables import TableStore
-from zilverspoor.sources.odata import entity_type, parse_metadata
+from zilverspoor.sources.files import read_csv_folder, read_manifest_tables, read_part_folder
+from zilverspoor.sources.odata import entity_types, parse_metadata
 from zilverspoor.sources.odata_service import PAGE_ROWS, Transport, count_rows, read_service
 
 log = logging.getLogger(__name__)
@@ -76,6 +78,28 @@ def tables_to_staging(
     return store.spark.createDataFrame(together(store.spark, actions, width), _REPORT)
 
 
+def files_to_staging(
+    path: str,
+    store: TableStore,
+    mode: str = "replace",
+    kind: str = "parts",
+    schemas: Mapping[str, T.StructType] | None = None,
+    widen_decimals: bool = False,
+    width: int = 4,
+) -> DataFrame:
+    """Load landed files into staging: ``parts`` and ``csv`` are folders, ``manifest`` is the list
+    of one run, which names exactly the files to read."""
+    if kind == "parts":
+        frames = read_part_folder(store.spark, path, widen_decimals)
+    elif kind == "manifest":
+        frames = read_manifest_tables(store.spark, path)
+    elif kind == "csv":
+        frames = read_csv_folder(store.spark, path, schemas)
+    else:
+        raise ValueError(f"unknown kind of files {kind}")
+    return tables_to_staging(frames, store, mode, width=width)
+
+
 @dataclass(frozen=True)
 class EntityOptions:
     """What to ask of one entity set, as the service understands it."""
@@ -95,8 +119,9 @@ def service_to_staging(
     page_rows: int = PAGE_ROWS,
     row_limit: int = 0,
     links_only: bool = False,
+    width: int = 4,
 ) -> DataFrame:
-    """Load entity sets of a service into staging, one table per set.
+    """Load entity sets of a service into staging, one table per set, ``width`` side by side.
 
     ``*`` means all sets of the service. Names are matched in any case; a name
     the service does not have is an error before anything is fetched.
@@ -112,14 +137,15 @@ def service_to_staging(
         raise ValueError(f"entity sets {unknown} are not in the service; it has {sorted(type_of)}")
     asked_of = {name.lower(): asked for name, asked in (options or {}).items()}
 
-    lines = []
+    contracts = entity_types(types)
+    actions = []
     for name in (any_case[n.lower()] for n in wanted):
         asked = asked_of.get(name.lower(), EntityOptions())
         rows = read_service(
             store.spark,
             fetch,
             name,
-            entity_type(types, type_of[name]),
+            contracts[type_of[name].lower()],
             version,
             asked.select,
             asked.expand,
@@ -131,8 +157,8 @@ def service_to_staging(
         table = name.replace("[", "").replace("]", "").replace(".", "_").lower()
         counter = None if row_limit else partial(count_rows, fetch, name, asked.filter)
         lowered = rows.toDF(*[c.lower() for c in rows.columns])
-        lines.append(_load_one(store, table, lowered, mode, counter))
-    return store.spark.createDataFrame(lines, _REPORT)
+        actions.append(partial(_load_one, store, table, lowered, mode, counter))
+    return store.spark.createDataFrame(together(store.spark, actions, width), _REPORT)
 
 
 def staging_to_silver(

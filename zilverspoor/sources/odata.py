@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -284,17 +284,23 @@ def entity_type(types: DataFrame, name: str) -> EntityType:
     row = types.where(F.lower("entity_type") == name.lower()).first()
     if row is None:
         raise ValueError(f"entity type {name} is not in the service metadata")
+    return _contract(row)
+
+
+def entity_types(types: DataFrame) -> dict[str, EntityType]:
+    """All entity types of a service by their name in lower case, the metadata parsed once."""
+    return {row["entity_type"].lower(): _contract(row) for row in types.collect()}
+
+
+def _contract(row: Row) -> EntityType:
+    properties = row["properties"] or []
     return EntityType(
         row["entity_type"],
         tuple(row["keys"]),
         {
             p["_Name"]: EDM_TYPES.get(p["_Type"] or "Edm.String", T.StringType())
-            for p in row["properties"] or []
+            for p in properties
         },
         {n["_Name"]: T.StringType() for n in row["navigation"] or []},
-        frozenset(
-            p["_Name"]
-            for p in row["properties"] or []
-            if p["_Type"] in ("Edm.Time", "Edm.TimeOfDay")
-        ),
+        frozenset(p["_Name"] for p in properties if p["_Type"] in ("Edm.Time", "Edm.TimeOfDay")),
     )

@@ -10,11 +10,11 @@ as far as a bound that a text's total weight gives; where a component is still e
 doubles.
 
 Texts of the same words are one node from the start. Nodes that agree in a band share a bucket. In
-each bucket all nodes are compared with one of them, so a group of near copies costs one comparison
-a copy and band at most; classes are the connected components of the pairs whose multiset overlap
-is ``SIMILARITY`` or more. Only where a bucket still holds several components are the pairs across
-them compared, too (without texts that a bound rules out, first by signature, then by texts), so
-that no link is lost that the bands show.
+each bucket all nodes are compared with one of them, that which shares most buckets, so a group of
+near copies costs one comparison a copy and band at most; classes are the connected components of
+the pairs whose multiset overlap is ``SIMILARITY`` or more. Only where a bucket still holds several
+components are the pairs across them compared, too (without texts that a bound rules out, first by
+signature, then by texts), so that no link is lost that the bands show.
 
 Defined cases: words are letters and digits, lower-cased; a text of fewer than five words is one
 shingle; NULL, empty and wordless texts are classes of their own; repeated rows are one class; a
@@ -264,43 +264,44 @@ def _agreeing(left: str, right: str) -> Column:
 # Components
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     """Node and the least node of its component, for nodes with edges.
 
     Large and small star steps in turn: every edge moves towards the least node of its component,
-    and nothing but one minimum for each node is ever gathered.
+    and nothing but one minimum for each node is ever gathered. With a number of ``rounds`` the
+    steps end there: a root is then some node of the component, and the result, taken as edges,
+    connects what the edges connect.
     """
     flat = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     flat = kept(flat.filter("a <> b").distinct(), "components")
-    state = None
+    state, done = None, 0
     while True:
         both = flat.union(flat.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.filter("a <> b").distinct()
+        large = large.filter("a <> b")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
         small = small.select("b", "m").union(small.select("a", "m")).toDF("a", "b")
         flat = kept(small.filter("a <> b").distinct(), "components")
-        now = flat.agg(F.count("a"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if now == state:
+        done += 1
+        now = None if rounds else flat.agg(F.count("a"), F.bit_xor(F.xxhash64("a", "b"))).first()
+        if done == rounds or now == state and not rounds:
             return flat.select(F.col("a").alias("node"), F.col("b").alias("root"))
         state = now
 
 
-def _labelled(nodes: DataFrame, edges: DataFrame | None) -> DataFrame:
-    if edges is None:
-        return nodes.withColumn("root", F.col("node"))
-    found = components(edges)
-    return nodes.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+def _labelled(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """The nodes with their root in the column ``root``, or the node itself."""
+    # a node that is a root has no row but may still have one before the steps have ended
+    least = roots.groupBy("node").agg(F.min("root").alias("root"))
+    return nodes.join(least, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def _stars(members: DataFrame, order: Column) -> DataFrame:
-    """Each member of a bucket with the bucket's first member, if they are in other components."""
-    head = members.groupBy("band", "bucket").agg(F.min(F.struct(order, "node", "root")).alias("h"))
-    pairs = members.join(head, ["band", "bucket"]).filter(
-        (F.col("node") != F.col("h.node")) & (F.col("root") != F.col("h.root"))
-    )
+def _stars(members: DataFrame) -> DataFrame:
+    """Each member of a bucket with the one that shares most buckets, the likely original."""
+    head = members.groupBy("band", "bucket").agg(F.max(F.struct("weight", "node")).alias("h"))
+    pairs = members.join(head, ["band", "bucket"]).filter(F.col("node") != F.col("h.node"))
     return pairs.select(F.col("node").alias("a"), F.col("h.node").alias("b")).distinct()
 
 
@@ -370,14 +371,9 @@ def classes(
     ).select(wanted["node"], source["text"])
     bodies = kept(bodies.dropDuplicates(["node"]), "texts")
 
-    edges = None
-    root = slots.withColumn("root", F.col("node"))
-    # first the member that shares most buckets, the likely original; then any
-    orders = ((-F.col("weight")).alias("o"), F.xxhash64("node", "band").alias("o"))
-    for order in orders:
-        found = kept(_alike(_stars(root, order), bodies, similarity), "links")
-        edges = found if edges is None else edges.union(found)
-        root = kept(_open(_labelled(slots, edges)), "open")
+    # two rounds join nearly all of a group; what they leave apart is compared for nothing only
+    joined = components(_alike(_stars(slots), bodies, similarity), rounds=2)
+    root = kept(_open(_labelled(slots, joined)), "open")
     root = kept(_open(_reachable(root, bodies, similarity)), "open")
     # buckets that still hold several components: all pairs across them
     root = root.join(rows.select("node", "bands", "sketch"), "node")
@@ -397,8 +393,8 @@ def classes(
         & (F.array_position(same_bands, True) - 1 == one["band"]),
     )
     across = kept(across.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")), "across")
-    edges = edges.union(_alike(across, bodies, similarity))
-    roots = _labelled(rows.select("node", "key"), edges)
+    edges = joined.toDF("a", "b").union(_alike(across, bodies, similarity))
+    roots = _labelled(rows.select("node", "key"), components(edges))
     named = roots.groupBy("root").agg(F.min("key").alias("class"))
     named = roots.select("node", "root").join(named, "root").select("node", "class")
     with_words = worded.select("key", "node").join(named, "node").select("key", "node", "class")

@@ -92,3 +92,52 @@ def test_provisions_keep_the_rows_of_their_joins(bronze, rows):
         ],
         key=lambda r: [(v is not None, str(v)) for v in r],
     )
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_provisions_against_sql_on_random_rows(spark, seed):
+    """Laws, decisions, dossiers and reasons that are missing, unknown or there several times."""
+    import random
+
+    import duckdb
+    import pyarrow as pa
+
+    from zilverspoor.checks.compare import compare
+    from zilverspoor.checks.core import portable
+    from zilverspoor.checks.mappings import _PROVISIONS
+
+    rnd = random.Random(seed)
+    pick, moments = rnd.choice, [dt.datetime(2020, 1, 1, 12), dt.datetime(2021, 7, 1, 23), None]
+    keys, laws, codes = [1, 2, 3, 4, None], ["a", "b", "c", None], ["x", "y", "z", None]
+    tables = {
+        "wvind_b": pa.table({
+            "besluitnr": pa.array([pick(keys) for _ in range(60)], pa.int32()),
+            "volgnr_ind": pa.array([pick([1, 2, None]) for _ in range(60)], pa.int32()),
+            "dd_begin": pa.array([pick(moments) for _ in range(60)], pa.timestamp("us")),
+            "dd_eind": pa.array([pick(moments) for _ in range(60)], pa.timestamp("us")),
+            "volume": pa.array([pick([1, 2]) for _ in range(60)], pa.int32()),
+            "status_indicatie": pa.array([pick(["s", None]) for _ in range(60)]),
+            "kode_regeling": pa.array([pick(laws) for _ in range(60)]),
+        }),
+        "szregel": pa.table({
+            "kode_regeling": pa.array(["a", "a", "a", "b", "b", None]),
+            "omschryving": pa.array(["JEUGDWET", "WMO", None, "WMO", "JEUGDWET", "WMO"]),
+        }),
+        "wvbesl": pa.table({"besluitnr": pa.array([1, 1, 2, None], pa.int32())}),
+        "wvdos": pa.table({
+            "besluitnr": pa.array([pick(keys[:3]) for _ in range(30)], pa.int32()),
+            "volgnr_ind": pa.array([pick([1, 2]) for _ in range(30)], pa.int32()),
+            "kode_reden_einde_voorz": pa.array([pick(codes) for _ in range(30)]),
+        }),
+        "abc_refcod": pa.table({
+            "code": pa.array(["x", "x", "x", "y", "y", "z", None]),
+            "domein": pa.array(["JZG_REDEN_EINDE_PRODUCT", "JZG_REDEN_EINDE_PRODUCT", "WVRTEIND",
+                                "WVRTEIND", "WVRTEIND", "other", "WVRTEIND"]),
+        }),
+    }
+    connection = duckdb.connect()
+    for name, table in tables.items():
+        connection.register(name, table)
+    frames = {n: spark.createDataFrame(t) for n, t in tables.items()}
+    found = build("BESCHIKTE_VOORZIENING", Bronze(frames))
+    assert compare(portable(found), connection, _PROVISIONS) is None

@@ -57,11 +57,40 @@ def granted_provisions(src: SimpleNamespace) -> DataFrame:
 
     The left joins decide how many rows come out: a provision with two dossiers,
     or two matching end reasons, appears twice. Which reasons match depends on
-    the law; a provision without a known law matches none.
+    the law; a provision without a known law matches none. No column of a right
+    side comes out, so each is reduced to numbers of matches before it is joined,
+    and rows are repeated at the end.
     """
-    end_reason = (F.col("kode_reden_einde_voorz") == F.col("code")) & (
-        ((F.col("omschryving") == YOUTH_LAW) & (F.col("domein") == YOUTH_REASONS))
-        | ((F.col("omschryving") != YOUTH_LAW) & (F.col("domein") == OTHER_REASONS))
+    laws = src.szregel.groupBy("kode_regeling").agg(
+        F.count_if(F.col("omschryving") == YOUTH_LAW).alias("youth_laws"),
+        F.count_if(F.col("omschryving") != YOUTH_LAW).alias("other_laws"),
+        F.count_if(F.col("omschryving").isNull()).alias("unknown_laws"),
+    )
+    decisions = src.wvbesl.groupBy("besluitnr").agg(F.count(F.lit(1)).alias("decisions"))
+    reasons = src.abc_refcod.groupBy("code").agg(
+        F.count_if(F.col("domein") == YOUTH_REASONS).alias("youth_reasons"),
+        F.count_if(F.col("domein") == OTHER_REASONS).alias("other_reasons"),
+    )
+    each = src.wvdos.groupBy("besluitnr", "volgnr_ind", "kode_reden_einde_voorz").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    # a dossier without a matching reason still is a row
+    matched = lambda c: F.sum(F.col("n") * F.greatest(F.coalesce(c, F.lit(1)), F.lit(1)))
+    dossiers = (
+        each.join(reasons, F.col("kode_reden_einde_voorz") == F.col("code"), "left")
+        .groupBy("besluitnr", "volgnr_ind")
+        .agg(
+            matched("youth_reasons").alias("youth_rows"),
+            matched("other_reasons").alias("other_rows"),
+            F.sum("n").alias("plain_rows"),
+        )
+    )
+    one = lambda c: F.coalesce(c, F.lit(1))
+    none = lambda c: F.coalesce(c, F.lit(0))
+    copies = one("decisions") * (
+        none("youth_laws") * one("youth_rows")
+        + none("other_laws") * one("other_rows")
+        + one("unknown_laws") * one("plain_rows")
     )
     # days before the joins: half the width in the shuffles, and not once per match
     provisions = src.wvind_b.select(
@@ -74,10 +103,10 @@ def granted_provisions(src: SimpleNamespace) -> DataFrame:
         "status_indicatie",
     )
     rows = (
-        provisions.join(src.szregel, "kode_regeling", "left")
-        .join(src.wvbesl, "besluitnr", "left")
-        .join(src.wvdos, ["besluitnr", "volgnr_ind"], "left")
-        .join(src.abc_refcod, end_reason, "left")
+        provisions.join(laws, "kode_regeling", "left")
+        .join(decisions, "besluitnr", "left")
+        .join(dossiers, ["besluitnr", "volgnr_ind"], "left")
+        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), copies)))
     )
     return rows.select(
         F.col("datumeinde"),

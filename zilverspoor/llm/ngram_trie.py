@@ -57,6 +57,8 @@ LEAST, DISCOUNT = 2, 0.5
 TOKENS = 2_000_000
 #: Bytes of text that are looked up at once: the more, the more look-ups a shard gets together.
 SLICE = 4 << 20
+#: Bytes of text that are hashed at once.
+NEAR = 1 << 18
 #: A context with fewer tokens is never dealt over all shards.
 LEAST_HOT = 1000
 #: Hash of the end token; that of a word takes another value but for one chance in 2^64.
@@ -201,9 +203,17 @@ def _differences(sums: EliasFano, i: np.ndarray) -> np.ndarray:
 def tokens_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens and the number of tokens before each text."""
     data, offsets = buffers(column)
-    data = LOWER[data]
-    begins, ends, before = word_spans(data, offsets, SOLID)
-    hashes = span_hashes(prefix_sums(data), begins, ends)
+    parts, counts = [np.empty(0, np.uint64)], [np.zeros(1, np.int64)]
+    first = 0
+    while first < len(column):  # a few texts at a time, so sums stay in the processor's cache
+        last = int(np.searchsorted(offsets, offsets[first] + NEAR, side="right")) - 1
+        last = min(max(last, first + 1), len(column))
+        near = LOWER[data[offsets[first] : offsets[last]]]
+        begins, ends, before = word_spans(near, offsets[first : last + 1] - offsets[first], SOLID)
+        parts.append(span_hashes(prefix_sums(near), begins, ends))
+        counts.append(np.diff(before))
+        first = last
+    hashes, before = np.concatenate(parts), np.cumsum(np.concatenate(counts))
     bounds = before + np.arange(len(before))
     out = np.full(len(hashes) + len(before) - 1, END, np.uint64)
     is_word = np.ones(len(out), bool)

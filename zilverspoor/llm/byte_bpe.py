@@ -28,7 +28,7 @@ from zilverspoor.llm.common import buffers, ranges, slices
 from zilverspoor.llm.memo import Encoded, Memo, lists
 
 NO_RANK = np.int32(2**31 - 1)
-BATCH_BYTES = 6 << 20
+BATCH_BYTES = 4 << 20
 #: Ids that one decoding step looks at; a single longer list is a step of its own.
 BATCH_IDS = 1 << 19
 

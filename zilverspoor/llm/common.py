@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
 from collections.abc import Callable, Iterator
@@ -107,6 +108,14 @@ def file_bytes(uri: str, name: str) -> np.ndarray:
 # Arrow batches
 
 
+def give_back() -> None:
+    """Return freed memory to the machine: workers live on after a task, next to each other."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
 def _text_bytes(batch: pa.RecordBatch) -> pa.Array:
     return pc.binary_length(batch.column("text"))
 
@@ -116,7 +125,10 @@ def slices(
     limit: int = SLICE_BYTES,
     sizes_of: Callable[[pa.RecordBatch], pa.Array] = _text_bytes,
 ) -> Iterator[pa.RecordBatch]:
-    """Cut batches into runs of rows whose ``text`` holds at most ``limit`` bytes, or one row."""
+    """Cut batches into runs of rows whose ``text`` holds at most ``limit`` bytes, or one row.
+
+    When the batches end, memory that was freed goes back to the machine.
+    """
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -128,6 +140,7 @@ def slices(
             last = max(last, first + 1)
             yield batch.slice(first, last - first)
             first, base = last, int(ends[last - 1])
+    give_back()
 
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -116,16 +116,21 @@ class EliasFano:
             left = left[run >= room]
         return begin, end
 
-    def _search(self, values: np.ndarray, first, last) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        values = values.astype(np.uint64)
+    def _range(self, values: np.ndarray, first, last) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the values with the same high part begin and end, and the low parts wanted."""
         top = (values >> _U(self.width)).astype(np.int64)
         most = len(self.high) * 64 - self.n - 1
         beyond = (values >> _U(self.width)) > _U(most)
-        begin, end = self._bucket(np.where(beyond, most, top))
+        far = beyond.any()
+        begin, end = self._bucket(np.where(beyond, most, top) if far else top)
         begin, end = np.maximum(begin, first), np.minimum(end, self.n if last is None else last)
-        begin = np.where(beyond, end, begin)
-        want = values & _U((1 << self.width) - 1)
-        stop = end.copy()
+        if far:
+            begin = np.where(beyond, end, begin)
+        return begin, end, values & _U((1 << self.width) - 1)
+
+    def _bisect(self, begin: np.ndarray, end: np.ndarray, want: np.ndarray) -> np.ndarray:
+        """The first place from begin to end whose low part is not smaller."""
+        begin, end = begin.copy(), end.copy()
         open_ = np.flatnonzero(begin < end)
         while len(open_):
             b, e = begin[open_], end[open_]
@@ -134,13 +139,13 @@ class EliasFano:
             begin[open_] = np.where(less, middle + 1, b)
             end[open_] = np.where(less, e, middle)
             open_ = open_[begin[open_] < end[open_]]
-        return begin, stop, want
+        return begin
 
     def successor(
         self, values: np.ndarray, first: np.ndarray | int = 0, last: np.ndarray | int | None = None
     ) -> np.ndarray:
         """Index of the first value that is not smaller, among the indices from first to last."""
-        return self._search(values, first, last)[0]
+        return self._bisect(*self._range(values.astype(np.uint64), first, last))
 
     def find(
         self, values: np.ndarray, first: np.ndarray | int = 0, last: np.ndarray | int | None = None
@@ -150,10 +155,16 @@ class EliasFano:
         out = np.full(len(values), -1, np.int64)
         if not self.n:
             return out
-        at, stop, want = self._search(values, first, last)
-        held = np.flatnonzero(at < stop)
-        same = held[self.lows(at[held]) == want[held]]
-        out[same] = at[same]
+        begin, end, want = self._range(values.astype(np.uint64), first, last)
+        size = end - begin
+        # most high parts belong to one value or none
+        several = np.flatnonzero(size > 1)
+        if len(several):
+            begin[several] = self._bisect(begin[several], end[several], want[several])
+        held = np.flatnonzero((size > 0) & (begin < end))
+        at = begin[held]
+        same = self.lows(at) == want[held]
+        out[held[same]] = at[same]
         return out
 
 

@@ -109,8 +109,8 @@ def deal(parents: np.ndarray, words: np.ndarray, shards: int, hot: np.ndarray) -
     where = mix(parents.astype(np.uint64))
     if len(hot):
         at = np.minimum(np.searchsorted(hot, parents), len(hot) - 1)
-        is_hot = hot[at] == parents
-        where = np.where(is_hot, mix(where + words.astype(np.uint64)), where)
+        spread = np.flatnonzero(hot[at] == parents)
+        where[spread] = mix(where[spread] + words[spread].astype(np.uint64))
     return (where >> U(32)) * U(shards) >> U(32)
 
 

@@ -101,3 +101,13 @@ def test_model_beats_the_base_and_needs_no_texts(spark, docs):
     levels = n.train(docs([]))
     assert n.score(docs(["x y"]), levels).first()["base_score"] == 0.0
     assert n.score(docs([]), levels).count() == 0
+
+
+def test_sequences_that_occur_once_count(spark, docs):
+    text = "one two three four"
+    row = n.score(docs([text]), n.train(docs([text]), shards=3)).first()
+    one = (1 + 1) / (5 + 5 + 1)
+    two = (1 - D) + D * one
+    three = (1 - D) + D * two
+    check([row], [(5, 5, 5, 5 * math.log10(one), math.log10(one * two * three**3))])
+    assert row["score"] > row["base_score"] + 1

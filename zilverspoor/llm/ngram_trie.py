@@ -1,8 +1,7 @@
 """Language-model scoring with an Elias-Fano n-gram trie.
 
-Level 1 holds the distinct words (as 64-bit hashes) with their counts, level k the n-grams of k
-words that occur ``LEAST`` times or more, as successors of their contexts on level k - 1. Each level
-is cut into as many shards as shuffles have partitions. A shard is a file that readers map into
+Level 1 holds the distinct words (as 64-bit hashes) with their counts, level k all n-grams of k
+words, also those that occur once, as successors of their contexts on level k - 1. Each level is cut into as many shards as shuffles have partitions. A shard is a file that readers map into
 memory: Elias-Fano sequences of contexts, of pointers to each context's successors, and of these
 successors, made monotone over all contexts; quantised probabilities; Elias-Fano sums of counts. A
 look-up finds the context, then the successor relative to it.
@@ -10,14 +9,13 @@ look-up finds the context, then the successor relative to it.
 A context's successors are in one shard, but a context that holds more than a quarter of a shard's
 share of all tokens (there are few of them by this rule) has them dealt over all shards.
 
-The probability of a word interpolates: the discounted share of its n-gram, if kept, plus the share
+The probability of a word interpolates: the discounted share of its n-gram, if known, plus the share
 the context has left over, times the probability after the context without its first word; at the
 bottom stands add-one smoothing. Shares are rounded down to 255 steps of their logarithm, so the
 probabilities of all words never add up to more than one.
 
 Counting is one pass over the texts for each level: tasks count what a few million tokens hold and
-send each shard one block of sorted numbers; a shard merges its blocks. N-grams whose suffix was
-dropped are not counted, which loses none that are frequent enough.
+send each shard one block of sorted numbers; a shard merges its blocks.
 
 Defined cases: NULL and empty texts are their end token; without training texts every token is
 unknown; repeated rows count and are scored again; an empty table gives no rows; other columns are
@@ -51,8 +49,8 @@ from zilverspoor.llm.elias_fano import EliasFano, pack, unpack
 from zilverspoor.session import run_dir
 
 ORDER = 3
-#: Least count of an n-gram of two words or more, and what is taken off a kept count.
-LEAST, DISCOUNT = 2, 0.5
+#: Least count of an n-gram (nothing is left out), and what is taken off a count.
+LEAST, DISCOUNT = 1, 0.5
 #: Tokens that a task counts before it sends blocks off.
 TOKENS = 2_000_000
 #: Bytes of text that are looked up at once: the more, the more look-ups a shard gets together.
@@ -250,21 +248,15 @@ class Path:
         self.level = 1
 
     def candidates(self) -> np.ndarray:
-        """Tokens at which an n-gram one word longer than the level reached may end: its context
-        and, without its first word, itself are kept."""
-        k = self.level
-        at = np.flatnonzero(self.place >= k)
-        good = (self.node[at] >= 0) & (self.node[at - 1] >= 0)
-        if k == 1:
-            good &= (self.count[at] >= LEAST) & (self.count[at - 1] >= LEAST)
-        return at[good]
+        """Tokens at which an n-gram one word longer than the level reached ends."""
+        at = np.flatnonzero(self.place >= self.level)
+        return at[(self.node[at] >= 0) & (self.node[at - 1] >= 0)]
 
     def climb(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Reach the next level: tokens with a kept context, the share of each and what is left."""
+        """Reach the next level: tokens with a known context, the share of each and what is left."""
         k = self.level
         at = np.flatnonzero(self.place >= k)
-        # a context that is too rare for a kept n-gram has no successors
-        at = at[(self.node[at - 1] >= 0) & (self.count[at - 1] >= LEAST)]
+        at = at[self.node[at - 1] >= 0]
         word = np.where(self.word[at] >= 0, self.word[at], 0)
         nodes, share, left = self.trie.successors(k + 1, self.node[at - 1], word)
         unknown = self.word[at] < 0
@@ -454,8 +446,6 @@ def _shard(folder, shard, blocks, trie, order, known, shards) -> dict:
     if order == 1:
         arrays = EliasFano.build(words, 1 << 64).arrays("words")
     else:
-        keep = counts >= LEAST
-        parents, words, counts = parents[keep], words[keep], counts[keep]
         context, each = runs(parents)
         inverse = np.repeat(np.arange(len(context)), each)
         share = (counts - DISCOUNT) / trie.counts(order - 1, context)[inverse]

@@ -127,3 +127,33 @@ def test_components(spark):
     found = m.components(spark.createDataFrame(raw, "a binary, b binary")).collect()
     got = {bytes(r["node"]): bytes(r["root"]) for r in found}
     assert {k: got.get(k, k) for k in parent} == {k: find(k) for k in parent}
+
+
+def linked(texts, similarity):
+    """The least member of each text's class, by comparing all pairs."""
+    bags, least = [bag(t) for t in texts], list(range(len(texts)))
+    for i, j in combinations(range(len(texts)), 2):
+        both = sum(min(c, bags[j].get(k, 0)) for k, c in bags[i].items())
+        all_ = sum(bags[i].values()) + sum(bags[j].values()) - both
+        if both >= similarity * all_ and least[i] != least[j]:
+            a, b = sorted((least[i], least[j]))
+            least = [a if x == b else x for x in least]
+    return least
+
+
+def test_pairs_across_components_at_a_lower_similarity(docs):
+    rng, texts = random.Random(8), []
+    for g in range(8):
+        # members share some of a group's blocks: similarities on both sides of one half
+        blocks = [" ".join(f"g{g}b{b}w{i}" for i in range(14)) for b in range(12)]
+        for _ in range(12):
+            texts.append(" ".join(blocks[b] for b in sorted(rng.sample(range(12), 8))))
+    found = {r["key"]: r["class"] for r in m.classes(docs(texts), similarity=0.5).collect()}
+    assert [found[i] for i in range(len(texts))] == linked(texts, 0.5)
+
+
+def test_bands_follow_the_similarity():
+    assert m.band_rows(m.SIMILARITY) == 4
+    for similarity in (0.3, 0.5, 0.7, 0.9):
+        rows = m.band_rows(similarity)
+        assert (1 - similarity**rows) ** (m.COMPONENTS // rows) <= m.MISSED

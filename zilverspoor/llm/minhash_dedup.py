@@ -13,8 +13,8 @@ Texts of the same words are one node from the start. Nodes that agree in a band
 each bucket all nodes are compared with one of them, that which shares most buckets, so a group of
 near copies costs one comparison a copy and band at most; classes are the connected components of
 the pairs whose multiset overlap is ``SIMILARITY`` or more. Only where a bucket still holds several
-components are the pairs across them compared, too (without texts that a bound rules out, first by
-signature, then by texts), so that no link is lost that the bands show.
+components are the pairs across them compared, too (without pairs that an exact bound rules out), so
+that no link is lost that the bands show.
 
 Defined cases: words are letters and digits, lower-cased; a text of fewer than five words is one
 shingle; NULL, empty and wordless texts are classes of their own; repeated rows are one class; a
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,11 +48,9 @@ from zilverspoor.llm.common import (
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: 20 bands of 4 show a pair of similarity 0.8 with probability 0.99997.
-BANDS, ROWS = 20, 4
-#: Pairs that agree in fewer components are not compared by texts: a pair of similarity 0.8 falls
-#: below with a probability of about one in two hundred thousand.
-LEAST_AGREEING = 48
+#: Components of a signature, and the share of pairs just at the similarity that bands may miss: at
+#: 0.8, 20 bands of 4 show a pair with probability 0.99997.
+COMPONENTS, MISSED = 80, 3e-5
 #: Bytes of text that are signed at once; short texts make a thousand points a kilobyte.
 SIGNED_BYTES = 1 << 20
 
@@ -101,7 +99,7 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def signatures(
-    hashes: np.ndarray, texts: np.ndarray, counts: np.ndarray, n_texts: int, m: int = BANDS * ROWS
+    hashes: np.ndarray, texts: np.ndarray, counts: np.ndarray, n_texts: int, m: int = COMPONENTS
 ) -> np.ndarray:
     """BagMinHash: for each text the identities of the first points of its m components."""
     out = np.zeros((n_texts, m), np.uint64)
@@ -145,35 +143,39 @@ def signatures(
     return out
 
 
-def _sign(batch: pa.RecordBatch) -> pa.RecordBatch:
+def band_rows(similarity: float) -> int:
+    """Components of a band: as many as still show all but ``MISSED`` of the pairs."""
+    sizes = [r for r in range(1, COMPONENTS + 1) if COMPONENTS % r == 0]
+    good = [r for r in sizes if (1 - similarity**r) ** (COMPONENTS // r) <= MISSED]
+    return max(good, default=1)
+
+
+def _sign(batch: pa.RecordBatch, rows: int) -> pa.RecordBatch:
     hashes, texts, digest = shingles(batch.column("text"))
     n = batch.num_rows
     h, t, c = bags(hashes, texts)
     points = signatures(h, t, c, n)
-    keys = points.reshape(n, BANDS, ROWS)
+    keys = points.reshape(n, COMPONENTS // rows, rows)
     bands = keys[:, :, 0].copy()
-    for k in range(1, ROWS):
+    for k in range(1, rows):
         bands = mix(bands * U(0xD6E8FEB86659FD93) + keys[:, :, k])
     size = np.bincount(texts, minlength=n)
     none = size == 0
     flat = pa.array(bands.reshape(-1).view(np.int64))
-    each = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * BANDS), flat)
-    sketch = (points & U(255)).astype(np.uint8)
+    starts = pa.array(np.arange(n + 1, dtype=np.int32) * bands.shape[1])
+    each = pa.ListArray.from_arrays(starts, flat)
     return pa.RecordBatch.from_arrays(
         [
             batch.column("key"),
             pa.array([None if e else d.tobytes() for d, e in zip(digest, none)], pa.binary()),
             pa.array(size.astype(np.int64)),
             each,
-            pa.FixedSizeListArray.from_arrays(
-                pa.array(sketch.reshape(-1).view(np.int64)), BANDS * ROWS // 8
-            ).cast(pa.list_(pa.int64())),
         ],
-        names=["key", "node", "size", "bands", "sketch"],
+        names=["key", "node", "size", "bands"],
     )
 
 
-SIGNED = "size long, bands array<long>, sketch array<long>"
+SIGNED = "size long, bands array<long>"
 
 
 def _texts(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -183,13 +185,13 @@ def _texts(df: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
-def signed(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Key, node (a digest of the words; NULL without words), shingles, band hashes and a sketch of
-    one byte for each component."""
+def signed(df: DataFrame, key: str, text: str, similarity: float = SIMILARITY) -> DataFrame:
+    """Key, node (a digest of the words; NULL without words), shingles and band hashes."""
+    rows = band_rows(similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, SIGNED_BYTES):
-            yield _sign(batch)
+            yield _sign(batch, rows)
 
     return _texts(df, key, text).mapInArrow(run, "key long, node binary, " + SIGNED)
 
@@ -249,18 +251,6 @@ def _alike(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     return both.mapInArrow(run, "a binary, b binary")
 
 
-def _agreeing(left: str, right: str) -> Column:
-    """In how many components two sketches (eight bytes a number) agree."""
-    differing = F.lit(0)
-    for i in range(BANDS * ROWS // 8):
-        bits = F.get(left, F.lit(i)).bitwiseXOR(F.get(right, F.lit(i)))
-        # one bit for each byte that has any
-        for shift, mask in ((4, 0x0F0F0F0F0F0F0F0F), (2, 0x0303030303030303), (1, 0x0101010101010101)):
-            bits = bits.bitwiseOR(F.shiftrightunsigned(bits, shift).bitwiseAND(F.lit(mask)))
-        differing = differing + F.bit_count(bits.bitwiseAND(F.lit(0x0101010101010101)))
-    return F.lit(BANDS * ROWS) - differing
-
-
 # Components
 
 
@@ -340,21 +330,21 @@ def _open(members: DataFrame) -> DataFrame:
     return members.join(mixed, ["band", "bucket"])
 
 
-_COMPARED = ("node", "root", "size", "shared", "bands", "sketch")
+_COMPARED = ("node", "root", "size", "shared", "bands")
 
 
 def classes(
     df: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY
 ) -> DataFrame:
     """One row for each row of the frame: key, node and class (the least key of it)."""
-    marks = kept(signed(df, key, text), "signatures")
+    marks = kept(signed(df, key, text, similarity), "signatures")
     worded = marks.filter("node IS NOT NULL")
     # one row for each different text, its copies being in one class anyway
     nodes = worded.groupBy("node").agg(F.min("key").alias("key"))
-    rows = worded.select("node", "key", "size", "bands", "sketch")
+    rows = worded.select("node", "key", "size", "bands")
     rows = rows.join(nodes.select("node", F.col("key").alias("least")), "node")
     rows = rows.filter(F.col("key").eqNullSafe(F.col("least"))).dropDuplicates(["node"])
-    rows = kept(rows.select("node", "key", "size", "bands", "sketch"), "nodes")
+    rows = kept(rows.select("node", "key", "size", "bands"), "nodes")
     slots = rows.select("node", "size", F.posexplode("bands").alias("band", "bucket"))
     filled = slots.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     slots = slots.join(filled, ["band", "bucket"])
@@ -376,7 +366,7 @@ def classes(
     root = kept(_open(_labelled(slots, joined)), "open")
     root = kept(_open(_reachable(root, bodies, similarity)), "open")
     # buckets that still hold several components: all pairs across them
-    root = root.join(rows.select("node", "bands", "sketch"), "node")
+    root = root.join(rows.select("node", "bands"), "node")
     one = root.select("band", "bucket", *[F.col(c).alias(f"{c}_a") for c in _COMPARED])
     two = root.select("band", "bucket", *[F.col(c).alias(f"{c}_b") for c in _COMPARED])
     # an overlap has at most what the one shares with anybody, which bounds the similarity
@@ -388,7 +378,6 @@ def classes(
         & (one["bucket"] == two["bucket"])
         & (F.col("root_a") < F.col("root_b"))
         & (most >= similarity * (F.col("size_a") + F.col("size_b") - most) - 1e-9)
-        & (_agreeing("sketch_a", "sketch_b") >= LEAST_AGREEING)
         # a pair comes from the first band that shows it
         & (F.array_position(same_bands, True) - 1 == one["band"]),
     )

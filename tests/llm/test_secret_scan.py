@@ -73,3 +73,29 @@ def test_no_python_in_the_plan(docs, forest):
     for frame in (s.scan(docs(["x"]), forest), s.redact(docs(["x"]), forest)):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
+
+
+def block(kind, head=""):
+    lines = "\n".join(hexes(64, str(i)) for i in range(6))
+    return f"-----BEGIN {kind}-----\n{head}{lines}\n-----END {kind}-----"
+
+
+WHOLE = [
+    ("k ", block("RSA PRIVATE KEY", "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,AB12\n\n"), " z"),
+    ("k ", block("PGP PRIVATE KEY BLOCK", "Version: a-b 1\n\n"), " z"),
+    ('"private_key": "', block("PRIVATE KEY"), '" z'),
+    ("use postgres://u:", "hunter2x", "@h/db z"),
+    ("password=", "ab1,Xy89zzzQ9", ", z"),
+    ("password=", "abcdefg,Xy89zzzQ9", " z"),
+    ("Password=", "q8Zr41kX0v", ";Server=h z"),
+    ('token = "', "q8Zr4,1kX;0vW2<p", '" z'),
+]
+
+
+def test_secrets_are_taken_whole(docs, forest):
+    texts = ["".join(parts) for parts in WHOLE]
+    # a block without an end leaves the next one and the text between to be found
+    texts.append("-----BEGIN PRIVATE KEY----- is the head - see " + block("PRIVATE KEY"))
+    got = [r["text"] for r in s.redact(docs(texts), forest).orderBy("doc_id").collect()]
+    assert got[:-1] == [before + "[SECRET]" + after for before, _, after in WHOLE]
+    assert got[-1].endswith("- see [SECRET]")

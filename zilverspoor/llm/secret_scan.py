@@ -1,9 +1,10 @@
 """Secret scan with a random forest that removes false positives. DataFrame functions only.
 
-A pattern finds candidates: values behind a telling name, private-key blocks, and unbroken runs of
-key characters with a digit. A forest judges each by its length, character transitions, classes and
+A pattern finds candidates: values behind a telling name (quoted ones up to the closing quote or a
+space), private-key blocks up to their END line, passwords in URLs, and unbroken runs of key
+characters with a digit. A forest judges each by its length, character transitions, classes and
 variety, by how much of it known words cover, by whether it looks like a path, and by the words
-around it. The forest is fitted by Spark ML on labelled findings and written out as SQL conditions,
+around it; a whole private-key block is a secret by its form. The forest is fitted by Spark ML on labelled findings and written out as SQL conditions,
 so texts are scanned, judged and redacted row by row, without a join and without Python.
 
 No given table labels findings, so :func:`labelled_findings` makes ``LABELLED_ROWS`` of them from
@@ -35,10 +36,27 @@ NAMES = (
 )
 ASSIGNED = NAMES + r"""["']?\s{0,3}[:=]\s{0,3}["']?"""
 KEY_CHARS = r"[A-Za-z0-9+/_-]"
+#: What stands before the password in a URL, from the scheme's end.
+LOGIN = r"""://[^\s/:@"'<>]{0,64}:"""
+#: What a candidate may begin with that is not part of its value.
+LEAD = rf"^(?:{ASSIGNED}|{LOGIN})"
+_KEY = r"[A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
+#: Up to the END line, if no other block begins before; else header lines and what has no hyphen.
+BLOCK = (
+    rf"-----BEGIN {_KEY}(?:(?>[\s\S]*?-----(?=(?:BEGIN|END) {_KEY}))END {_KEY}"
+    r"|(?:\s{0,4}[A-Za-z][A-Za-z-]{0,40}: [^\n]{0,200}){0,8}[^-]*)"
+)
+_NEXT = r"[,;]{1,9}[\w.-]{1,40}[:=]"
+#: Commas and semicolons belong to a value unless it ends there or another name follows.
+PLAIN = (
+    rf"""(?![^\s"'<>,;]{{0,5}}{_NEXT})[^\s"'<>]{{5,}}?[^\s"'<>,;]"""
+    rf"""(?=[,;]*(?:[\s"'<>]|\z)|{_NEXT})"""
+)
 CANDIDATE = "|".join(
     (
-        r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[^-]*(?:-----END [A-Z ]{0,40}PRIVATE KEY-----)?",
-        ASSIGNED + r"""[^\s"'<>,;]{6,}""",
+        rf"(?:{ASSIGNED})?{BLOCK}",
+        ASSIGNED + rf"""(?:(?<=")[^\s"]{{6,}}(?=")|(?<=')[^\s']{{6,}}(?=')|{PLAIN})""",
+        LOGIN + r"""[^\s/"'<>]{3,256}(?=@)""",
         rf"(?<!{KEY_CHARS})(?=[A-Za-z+/_-]*[0-9]){KEY_CHARS}{{12,}}={{0,2}}",
     )
 )
@@ -65,7 +83,7 @@ OTHER_NEAR = r"(?i)(?:sha-?\d*|md5|commit|checksum|digest|hash|etag|revision|uui
 
 def features(match: Column, before: Column, after: Column) -> dict[str, Column]:
     """Numbers that describe a candidate; ``match`` may begin with the name it is assigned to."""
-    value = F.regexp_replace(match, "^" + ASSIGNED, "")
+    value = F.regexp_replace(match, LEAD, "")
     lead = F.concat(before, F.substring(match, 1, 64))
     n = F.greatest(F.length(value), F.lit(1))
     count = lambda pattern: F.regexp_count(value, F.lit(pattern)).cast("double")
@@ -95,6 +113,7 @@ def features(match: Column, before: Column, after: Column) -> dict[str, Column]:
         "key_prefix": flag(value.rlike(prefixes)),
         "key_block": flag(value.startswith("-----BEGIN")),
         "assigned": flag(F.length(value) < F.length(match)),
+        "login": flag(match.startswith("://")),
         "quoted": flag(after.rlike("""^["']""")),
         "call": flag(after.rlike(r"^[(.\[]") | value.rlike(r"[(\[{$]")),
         "secret_near": flag(lead.rlike(SECRET_NEAR)),
@@ -147,6 +166,12 @@ def _templates() -> list[tuple[int, Column]]:
         text('access_key: "', r("upper", 20, "p"), '"'),
         text("pwd = ", r("hex", 24, "q"), "\n"),
         text("passwd=", r("mixed", 10, "r"), " x"),
+        text("postgres://app:", r("mixed", 9, "A"), "@db.local/x"),
+        text("at https://", r("letters", 6, "B"), ":", r("letters", 6, "C"), r("digits", 2, "C"), "@git.local"),
+        text("password=", r("mixed", 5, "D"), ",", r("mixed", 9, "E"), " x"),
+        text('secret: "', r("mixed", 8, "F"), ";", r("mixed", 8, "G"), '"'),
+        text("-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,", r("upper", 32, "H"), "\n\n", r("mixed", 200, "A"), "\n-----END RSA PRIVATE KEY-----"),
+        text("-----BEGIN PGP PRIVATE KEY BLOCK-----\n\n", r("mixed", 180, "B"), "\n-----END PGP PRIVATE KEY BLOCK-----"),
     ]
     other = [
         text("commit ", r("hex", 40, "a"), " fixed it"),
@@ -173,6 +198,8 @@ def _templates() -> list[tuple[int, Column]]:
         text("figure", r("digits", 3, "E"), "_", r("letters", 9, "E"), " shows"),
         text("checksum=", r("hex", 40, "F"), " word"),
         text("revision ", r("hex", 16, "G"), " word"),
+        text("https://user:password@host", r("digits", 2, "I"), ".example.org/"),
+        text("ftp://anonymous:example@", r("letters", 6, "J"), ".org"),
     ]
     return [(1, t) for t in secret] + [(0, t) for t in other]
 
@@ -236,7 +263,7 @@ def _described() -> Column:
         named = features(c["match"], c["before"], c["after"])
         return F.struct(
             c["match"].alias("match"),
-            F.regexp_replace(c["match"], "^" + ASSIGNED, "").alias("value"),
+            F.regexp_replace(c["match"], LEAD, "").alias("value"),
             c["gap"].alias("gap"),
             F.struct(*[v.alias(n) for n, v in named.items()]).alias("f"),
         )
@@ -277,12 +304,13 @@ def fit(
 
 
 def _judged(forest: list[Node], votes: float) -> Column:
-    """The candidates with their votes."""
+    """The candidates with their votes; a private-key block with its END line has all of them."""
+    whole = lambda v: v.startswith("-----BEGIN") & v.contains("-----END ")
     voted = F.transform(
         _described(),
         lambda c: F.struct(
             c["match"].alias("match"), c["value"].alias("value"), c["gap"].alias("gap"),
-            _votes(forest, c["f"]).alias("votes"),
+            F.when(whole(c["value"]), 1.0).otherwise(_votes(forest, c["f"])).alias("votes"),
         ),
     )
     return F.transform(voted, lambda c: c.withField("secret", c["votes"] >= votes))

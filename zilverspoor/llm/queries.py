@@ -282,3 +282,55 @@ def quote_linking(spark: SparkSession, folder: str) -> DataFrame:
     from zilverspoor.llm import quote_linking as q
 
     return q.conversations(table(spark, folder, "conversations"))
+
+
+AUDIT_SQL = r"""
+WITH lab AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+         max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+f AS (
+  SELECT doc_id, part,
+         CASE WHEN len(ws) < 100 THEN 'A' ELSE '' END
+      || CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN 'B' ELSE '' END
+      || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END
+      || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+      || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails
+  FROM d),
+h AS (
+  SELECT part, fails, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM f LEFT JOIN lab USING (doc_id) GROUP BY part, fails),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS o FROM x a, x b, x c, x d, x e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (
+  SELECT o, CAST(s AS INTEGER) AS step, substr(o, s, 1) AS name, substr(o, 1, s - 1) AS before
+  FROM o, (SELECT unnest(range(1, 6)) AS s)),
+r AS (
+  SELECT part, o, step, name,
+         sum(CASE WHEN translate(before || name, fails, '') = before || name THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN here AND clean THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN here AND NOT clean THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN fails = name THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN here AND clean THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN here AND clean THEN toxic ELSE 0 END) AS toxic_lost
+  FROM (SELECT *, contains(fails, name) AS here, translate(before, fails, '') = before AS clean FROM s, h)
+  GROUP BY part, o, step, name)
+SELECT part, o AS filter_order, step, name AS "filter", CAST(kept AS BIGINT) AS kept,
+       CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, name) AS BIGINT) AS shapley
+FROM r
+"""
+
+
+@query("op11_filter_audit", AUDIT_SQL)
+def filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    from zilverspoor.llm import filter_audit as a
+
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return a.interactions(docs, labels, {"good": "quality = 1", "toxic": "toxic = 1"})

@@ -334,3 +334,40 @@ def filter_audit(spark: SparkSession, folder: str) -> DataFrame:
 
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     return a.interactions(docs, labels, {"good": "quality = 1", "toxic": "toxic = 1"})
+
+
+SEARCH_SQL = r"""
+WITH asked AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+times AS (SELECT item_id, t, count(*) AS times FROM (SELECT item_id, unnest(ws) AS t FROM asked) GROUP BY ALL),
+d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+held AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n, ws FROM d WHERE len(ws) > 0),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM held),
+tf AS (SELECT doc_id, n, t, count(*) AS tf FROM (SELECT doc_id, n, unnest(ws) AS t FROM held) GROUP BY ALL),
+weights AS (
+  SELECT t, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), total),
+scores AS (
+  SELECT item_id, doc_id,
+         CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // words)))) AS BIGINT)
+           AS score
+  FROM times JOIN tf USING (t) JOIN weights USING (t), total GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER w AS INTEGER) AS rank, doc_id, score FROM scores WHERE score > 0
+WINDOW w AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
+QUALIFY row_number() OVER w <= 20
+"""
+
+
+@query("op12_lexical_search", SEARCH_SQL)
+def lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    from zilverspoor.llm import lexical_search as s
+
+    found = s.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=20)
+    return found.select(
+        F.col("item").alias("item_id"), "rank", F.col("key").alias("doc_id"), "score"
+    )

@@ -371,3 +371,31 @@ def lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         F.col("item").alias("item_id"), "rank", F.col("key").alias("doc_id"), "score"
     )
+
+
+VECTOR_SQL = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS c
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, v.vec_id,
+         CASE WHEN len(q.c) = len(v.c) THEN CAST(list_dot_product(q.c, v.c) AS BIGINT) END AS score
+  FROM v q JOIN v ON v.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score
+FROM scores WHERE score IS NOT NULL
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 10
+"""
+
+
+@query("op13_vector_search", VECTOR_SQL)
+def vector_search(spark: SparkSession, folder: str) -> DataFrame:
+    from zilverspoor.llm import vector_search as v
+
+    at = v.points(table(spark, folder, "embeddings"), "vec_id", "embedding")
+    found = v.search(at.filter(F.col("key") % 100 == 0), v.build(at), k=10)
+    return found.select(
+        F.col("query").alias("query_id"), "rank", F.col("key").alias("vec_id"), "score"
+    )

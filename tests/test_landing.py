@@ -54,9 +54,7 @@ def test_late_null_and_tied_versions(spark, tmp_path, backwards):
     """The same rows stay in whatever order batches come."""
     store = TableStore(spark, f"landing_late_{backwards}", str(tmp_path / "tables"))
     store.replace(spark.createDataFrame([], "id int, txt string, v int"), "t")
-    merge = upsert_batches(
-        lambda df: store.write(df, "t", "upsert", key=["id"]), ["id"], "v", lambda: store.read("t")
-    )
+    merge = upsert_batches(store, "t", ["id"], "v")
     batches = [
         [(1, "nine", 9), (2, "a", None), (3, "p", 5), (3, "q", 5)],
         [(1, "two", 2), (2, None, None), (3, "o", 5), (4, "x", None)],
@@ -72,6 +70,23 @@ def test_upsert_batches(spark, tmp_path):
     store = TableStore(spark, "landing_upsert", str(tmp_path / "tables"))
     store.replace(spark.createDataFrame([(1, "old", 0)], "id int, txt string, v int"), "t")
     drop_part(spark, str(tmp_path / "in"), (1, "mid", 1), (1, "new", 2), (2, "x", 1))
-    write = upsert_batches(lambda df: store.write(df, "t", "upsert", key=["id"]), ["id"], "v")
+    write = upsert_batches(store, "t", ["id"], "v")
     land(landing_stream(spark, str(tmp_path / "in"), SCHEMA), str(tmp_path / "state"), write)
     assert sorted(map(tuple, store.read("t").collect())) == [(1, "new", 2), (2, "x", 1)]
+
+
+def test_a_batch_reads_the_buckets_of_its_keys(spark, tmp_path):
+    store = TableStore(spark, "landing_reads", str(tmp_path / "tables"))
+    rows = spark.range(4000).selectExpr("cast(id as int) id", "'x' txt", "cast(id % 7 as int) v")
+    store.replace(rows.limit(0), "t")
+    upsert_batches(store, "t", ["id"], "v")(rows, 0)
+    version = store.version("t")
+    for ids in ([5], [5, 77], list(range(0, 4000, 40))):
+        batch = spark.createDataFrame([(i, "new", 9) for i in ids], rows.schema)
+        staged = store.stage(batch, "t", "upsert", ["id"], newest_by="v")
+        touched = store.spark.createDataFrame([(i,) for i in ids], "id int").selectExpr(
+            f"pmod(xxhash64(id), {version.buckets}) b"
+        ).distinct()
+        inside = rows.selectExpr(f"pmod(xxhash64(id), {version.buckets}) b").join(touched, "b").count()
+        assert staged.read_rows == inside < (600 * len(ids))
+        assert len(staged.folders) == touched.count()

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from zilverspoor.contracts import BESCHIKKING, CLIENT, WET_ENUM
 from zilverspoor.plans import MAPPINGS, Bronze, build, plan_all
 from zilverspoor.sinks.load import create_silver, key_report, load_silver, reference_report
+from zilverspoor.sinks import tables
 from zilverspoor.sinks.tables import LoadError, TableStore
+from zilverspoor.sinks.versions import Version, VersionLog
 
 
 @pytest.fixture
@@ -231,3 +233,203 @@ def test_rows_that_do_not_fit(spark, store):
         bad = store.read("REJECTED").collect()
         assert len(bad) == runs and {r["target"] for r in bad} == {"WET_ENUM"}
         assert {p for r in bad for p in r["problems"]} == {"length:VALUE"}
+
+
+def files_of(store, table):
+    """The files that make up a table, by its folders in the log."""
+    version = store.version(table)
+    return {
+        name: sorted(f for f in store.read(table).inputFiles() if f"/{name}/" in f)
+        for name in version.names()
+    }
+
+
+def numbers(spark, ids, name="x"):
+    return spark.createDataFrame([(i, name) for i in ids], "id int, name string")
+
+
+def test_upsert_leaves_other_buckets_alone(spark, store, rows):
+    store.replace(numbers(spark, range(500)), "t")
+    store.write(numbers(spark, [0], "first"), "t", "upsert", key=["id"])  # deals the table out
+    before, old = files_of(store, "t"), store.version("t")
+    assert old.buckets == 16 and len(old.folders) == 16 and not old.loose
+    staged = store.stage(numbers(spark, [7, 1000], "new"), "t", "upsert", ["id"])
+    store.publish([staged])
+    after, now = files_of(store, "t"), store.version("t")
+    touched = {b for b in now.folders if now.folders[b] != old.folders[b]}
+    assert touched == set(staged.folders) and 1 <= len(touched) <= 2
+    for bucket, (name, size) in old.folders.items():
+        assert size > 0 and (bucket in touched or after[name] == before[name] != [])
+    assert staged.read_rows < 150
+    got = dict(rows(store.read("t")))
+    assert len(got) == 501 and got[7] == got[1000] == "new" and got[0] == "first" and got[8] == "x"
+
+
+def test_two_writers_of_different_buckets(spark, store, rows):
+    store.replace(numbers(spark, range(100)), "t")
+    store.write(numbers(spark, [0], "a"), "t", "upsert", key=["id"])
+    stage = lambda i, name: store.stage(numbers(spark, [i], name), "t", "upsert", ["id"])
+    one = stage(1, "one")
+    bucket = lambda item: set(item.folders)
+    two = next(s for i in range(2, 100) if bucket(s := stage(i, "two")) != bucket(one))
+    same = next(s for i in range(1, 100) if bucket(s := stage(i, "no")) == bucket(one))
+    store.publish([one])
+    store.publish([two])  # made from the same version, but of other buckets
+    with pytest.raises(LoadError, match="changed"):
+        store.publish([same])
+    names = [n for _, n in rows(store.read("t"))]
+    assert len(names) == 100 and {"one", "two"} <= set(names) and "no" not in names
+
+
+def test_appends_between_upserts(spark, store, rows):
+    """Appended rows stay in folders of their own until an upsert deals them out."""
+    store.replace(numbers(spark, range(50)), "t")
+    store.write(numbers(spark, [1], "one"), "t", "upsert", key=["id"])
+    staged = store.stage(numbers(spark, [2], "two"), "t", "upsert", ["id"])
+    store.append(numbers(spark, [60], "later"), "t")
+    assert len(store.version("t").loose) == 1
+    store.publish([staged])  # was staged before the append, which stays
+    assert len(store.version("t").loose) == 1 and store.read("t").count() == 51
+    store.write(numbers(spark, [60, 61], "sixty"), "t", "upsert", key=["id"])
+    assert not store.version("t").loose
+    got = dict(rows(store.read("t")))
+    assert len(got) == 52 and got[60] == got[61] == "sixty" and got[1] == "one" and got[2] == "two"
+    store.write(numbers(spark, [5]), "t", "overwrite")
+    assert store.version("t").buckets == 0 and rows(store.read("t")) == [(5, "x")]
+
+
+def test_another_key_and_a_grown_table_are_dealt_anew(spark, store, rows, monkeypatch):
+    store.replace(numbers(spark, range(40)), "t")
+    store.write(numbers(spark, [1], "one"), "t", "upsert", key=["id"])
+    store.write(spark.createDataFrame([(1, "one"), (99, "x")], "id int, name string"), "t", "upsert", key=["name", "id"])
+    assert store.version("t").key == ["name", "id"] and store.read("t").count() == 41
+    monkeypatch.setattr(tables, "BUCKET_BYTES", 64)
+    staged = store.stage(numbers(spark, [70]), "t", "upsert", ["name", "id"])
+    assert staged.buckets > 16 and staged.read_rows == 41
+    store.publish([staged])
+    assert store.version("t").buckets == staged.buckets and store.read("t").count() == 42
+
+
+def test_many_appends_are_folded(spark, store, monkeypatch):
+    monkeypatch.setattr(tables, "LOOSE_FOLDERS", 4)
+    store.replace(numbers(spark, range(3)), "t")
+    for i in range(12):
+        store.append(numbers(spark, [100 + i]), "t")
+    assert len(store.version("t").loose) <= 4
+    assert store.read("t").count() == 15 == store.read("t").distinct().count()
+
+
+def test_repeated_stored_rows_stay(spark, store, rows):
+    """An upsert replaces rows of its keys; what else was appended twice stays twice."""
+    store.replace(numbers(spark, [1, 1, 2, 2]), "t")
+    store.write(numbers(spark, [2], "two"), "t", "upsert", key=["id"])
+    assert rows(store.read("t")) == [(1, "x"), (1, "x"), (2, "two")]
+
+
+class Ended(BaseException):
+    """The driver goes away: nothing after this runs, no undo either."""
+
+
+def loaded(spark, store):
+    for table in ("a", "b", "c"):
+        store.replace(people(spark, (1, "old")), table)
+    store.write(people(spark, (1, "old")), "c", "upsert", key=["id"])
+    new = people(spark, (2, "new"))
+    return [
+        store.stage(new, "a", "append"),
+        store.stage(new, "b", "overwrite"),
+        store.stage(new, "c", "upsert", ["id"]),
+    ]
+
+
+OLD = {"a": [(1, "old")], "b": [(1, "old")], "c": [(1, "old")]}
+NEW = {"a": [(1, "old"), (2, "new")], "b": [(2, "new")], "c": [(1, "old"), (2, "new")]}
+
+
+@pytest.mark.parametrize("step", ["draft", "claimed", "a", "b", "c", "pointed c"])
+def test_a_publish_that_ends_anywhere_is_all_or_nothing(spark, store, rows, monkeypatch, step):
+    staged = loaded(spark, store)
+    claim, point = store.log._claim, store._point
+
+    def ends_at_claim(draft, target):
+        if step == "draft":
+            raise Ended
+        claim(draft, target)
+        raise Ended
+
+    def ends_at_point(table, path):
+        if table == step:
+            raise Ended
+        point(table, path)
+        if f"pointed {table}" == step:
+            raise Ended
+
+    if step in ("draft", "claimed"):
+        monkeypatch.setattr(store.log, "_claim", ends_at_claim)
+    monkeypatch.setattr(store, "_point", ends_at_point)
+    with pytest.raises(Ended):
+        store.publish(staged)
+    again = TableStore(spark, store.database, store.root)  # the next run
+    want = OLD if step == "draft" else NEW
+    assert {t: rows(again.read(t)) for t in want} == want
+    assert again.recover() == []
+    # and the next load goes on from there
+    again.append(people(spark, (9, "next")), "a")
+    assert rows(again.read("a")) == [*want["a"], (9, "next")]
+
+
+@pytest.mark.parametrize("step", ["claimed", "renamed"])
+def test_a_replace_with_other_columns_that_ends(spark, store, rows, monkeypatch, step):
+    store.replace(people(spark, (1, "a")), "t")
+    define = store._define
+
+    def ends(table, columns, path):
+        if step == "renamed":
+            define(table, columns, path)
+        raise Ended
+
+    monkeypatch.setattr(store, "_define", ends)
+    with pytest.raises(Ended):
+        store.replace(spark.createDataFrame([(5,)], "other long"), "t")
+    again = TableStore(spark, store.database, store.root)
+    assert rows(again.read("t")) == [(5,)]
+
+
+def test_two_publishes_at_once(spark, store, rows):
+    """Both want the same number; the second sees the first one's table and takes the next."""
+    store.replace(people(spark, (1, "a")), "t")
+    store.replace(people(spark, (1, "a")), "u")
+    other = TableStore(spark, store.database, store.root)
+    one, two = (s.stage(people(spark, (2, "b")), t, "append") for s, t in ((store, "t"), (other, "u")))
+    three = other.stage(people(spark, (3, "c")), "t", "append")
+    add, raced = store.log.add, []
+
+    def late(number, versions):
+        if not raced:
+            raced.append(number)
+            other.publish([two, three])
+        return add(number, versions)
+
+    store.log.add = late
+    store.publish([one])
+    assert rows(other.read("t")) == [(1, "a"), (2, "b"), (3, "c")]
+    assert rows(other.read("u")) == [(1, "a"), (2, "b")]
+
+
+def test_the_log_gives_a_number_once(spark, tmp_path):
+    for kind in ("_link", "_rename"):
+        log = VersionLog(spark, str(tmp_path / kind))
+        log._claim = getattr(log, kind)
+        one, two = (Version(c, {"x": 1}, ["id"], 2, {"0": ["y", 5]}) for c in ("a int", "b int"))
+        assert log.read() == (0, {})
+        assert log.add(1, {"t": one}) and not log.add(1, {"t": two}) and log.add(2, {"t": two})
+        assert log.read() == (2, {"t": two})
+
+
+def test_a_table_from_before_the_log(spark, store, rows):
+    path = store._folder("t", "first")
+    people(spark, (1, "a")).write.parquet(path)
+    store._define("t", "id int, name string", path)
+    store.write(people(spark, (2, "b")), "t", "append")
+    store.write(people(spark, (1, "c")), "t", "upsert", key=["id"])
+    assert rows(store.read("t")) == [(1, "c"), (2, "b")]

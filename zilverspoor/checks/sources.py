@@ -345,12 +345,7 @@ def landing_upsert(t: Tables) -> DataFrame:
     rows = t.orders.select("o_custkey", "o_orderkey", "o_totalprice", version.alias("o_version"))
     store = t.store("landing")
     store.replace(rows.limit(0), "orders")
-    write = upsert_batches(
-        lambda df: store.write(df, "orders", "upsert", key=["o_custkey"]),
-        ["o_custkey"],
-        "o_version",
-        lambda: store.read("orders"),
-    )
+    write = upsert_batches(store, "orders", ["o_custkey"], "o_version")
     for part in range(3):
         rows.where(F.col("o_orderkey") % 3 == part).write.mode("append").parquet(folder)
         land(landing_stream(t.spark, folder, rows.schema), state, write)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,3 +29,15 @@ def current_rows(df: DataFrame, flags: Mapping[str, object]) -> DataFrame:
     for column, value in flags.items():
         df = df.where(F.col(column) == F.lit(value))
     return df
+
+
+def latest_rows(df: DataFrame, key: Sequence[str], version: str) -> DataFrame:
+    """Of the rows of one key the one of the latest version; none is the lowest version.
+
+    Rows of one version are told apart by their values, so the result does not depend on the order
+    of arrival. Rows are compared before the shuffle already.
+    """
+    rest = F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in key])
+    rank = F.struct(F.col(f"`{version}`").isNotNull(), F.col(f"`{version}`"), rest)
+    latest = df.groupBy(*key).agg(F.max_by(rest, rank).alias("row"))
+    return latest.select(*key, "row.*").select(*df.columns)

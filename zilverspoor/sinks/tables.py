@@ -1,11 +1,17 @@
-"""Tables as versions: a write fills a new folder, then the table points to it.
-
-A Parquet table cannot be merged into, and overwriting what a query reads is
-refused. So a write that replaces rows first fills a table of its own with the
-target's definition, which lets Spark check lengths and types, and one ALTER
-TABLE then makes that folder the target's. Readers see the old rows or the new
-ones. An append is first written below the current folder under a name that
-readers pass over; renaming it shows it, and renaming it back hides it again.
+"""Tables as sets of folders: a write fills new folders, then one step makes them the table's.
+
+A Parquet table cannot be merged into, and overwriting what a query reads is refused. So a write
+first fills a folder through a table of its own with the target's definition, which lets Spark check
+lengths and types. Which folders make up the tables stands in a log (``versions``), and a publish of
+any number of tables is the creation of its next file. After that the catalog's tables are pointed
+to their folders, by one ALTER TABLE each; a location may name several folders. A run that ends in
+between leaves that to the next one, which brings the catalog up to the log when it starts. So all
+tables of a load change, or none does.
+
+An upsert deals the table into buckets by a hash of its key, at first all of it. From then on it
+reads and writes only buckets that get rows; the others keep their folders, and writers of different
+buckets don't disturb each other. Appended rows stand in folders of their own until an upsert deals
+them out. Tables must be written through a store: other writers don't know about its log.
 """
 
 from __future__ import annotations
@@ -13,17 +19,25 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
-from functools import partial, reduce
+from dataclasses import dataclass, field, replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zilverspoor.contracts import TableContract
 from zilverspoor.operators.columns import typed_null
-from zilverspoor.session import keep
+from zilverspoor.operators.history import latest_rows
+from zilverspoor.sinks.versions import Version, VersionLog
 
 MODES = ("append", "overwrite", "truncate", "upsert")
+#: A bucket is meant to have this many bytes, a file of it this many.
+BUCKET_BYTES, FILE_BYTES = 256 << 20, 128 << 20
+#: The names of all folders stand in the table's location, which some catalogs keep short.
+LEAST_BUCKETS, MOST_BUCKETS = 16, 256
+#: From this many folders of appended rows on, an append takes the smaller half into its own.
+LOOSE_FOLDERS = 32
 
 
 class LoadError(ValueError):
@@ -36,8 +50,35 @@ class Staged:
 
     table: str
     mode: str
-    path: str
-    base: str = ""  # the table's folder when the rows were made
+    path: str  # the rows that came in
+    base: Version  # the table when the rows were made
+    loose: dict[str, int] = field(default_factory=dict)
+    gone: list[str] = field(default_factory=list)  # loose folders whose rows were taken over
+    key: list[str] = field(default_factory=list)
+    buckets: int = 0
+    folders: dict[str, list] = field(default_factory=dict)
+    read_rows: int = 0  # of the table, to write its buckets anew
+
+    def on(self, now: Version) -> Version:
+        """The table with these rows, if what they were made from is still there."""
+        if self.mode in ("overwrite", "truncate"):
+            return Version(now.columns, self.loose)
+        fits = all(name in now.loose for name in self.gone)
+        if self.mode == "append":
+            after = now.with_loose(self.loose, self.gone)
+        elif (self.key, self.buckets) == (self.base.key, self.base.buckets):
+            fits &= (now.key, now.buckets) == (self.key, self.buckets)
+            fits &= all(now.folders.get(b) == self.base.folders.get(b) for b in self.folders)
+            folders = now.folders | self.folders
+            after = replace(now.with_loose({}, self.gone), folders=folders)
+        else:  # dealt anew
+            fits &= now.folders == self.base.folders and now.buckets == self.base.buckets
+            after = replace(
+                now.with_loose({}, self.gone), key=self.key, buckets=self.buckets, folders=self.folders
+            )
+        if not fits:
+            raise LoadError(f"{self.table} has changed since its rows were staged")
+        return after if after.names() else replace(after, loose=now.loose)
 
 
 class TableStore:
@@ -47,7 +88,9 @@ class TableStore:
         self.spark = spark
         self.database = database
         self.root = root.rstrip("/")
+        self.log = VersionLog(spark, f"{self.root}/_log")
         self._create_database()
+        self.recover()
 
     def _create_database(self) -> None:
         self.spark.sql(
@@ -67,11 +110,72 @@ class TableStore:
         found = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)} AS JSON").first()[0]
         return json.loads(found)["location"]
 
-    def _new_path(self, table: str) -> str:
-        return f"{self.root}/{table.lower()}/{uuid.uuid4().hex}"
+    def _folder(self, table: str, name: str) -> str:
+        return f"{self.root}/{table.lower()}/{name}"
+
+    # -- versions -----------------------------------------------------------------
+
+    def version(self, table: str) -> Version:
+        """The folders that make up a table."""
+        return self._version(self.log.read()[1], table)
+
+    def _version(self, versions: dict[str, Version], table: str) -> Version:
+        if table.lower() in versions:
+            return versions[table.lower()]
+        # a table from before there was a log is the folder that it points to
+        inside = self.log.qualified(self._folder(table, "")) + "/"
+        at = self.log.qualified(self.location(table))
+        if not at.startswith(inside):
+            raise LoadError(f"{table} stands in {at}, outside of the store")
+        return Version(_columns(self.read(table)), {at.removeprefix(inside): self.log.size(at)})
+
+    def _change(
+        self, change: Callable[[dict[str, Version]], dict[str, Version]]
+    ) -> tuple[dict[str, Version], dict[str, Version]]:
+        """Add the tables as ``change`` makes them to the log; gives them before and after.
+
+        If somebody else has changed any table meanwhile, ``change`` is asked again.
+        """
+        while True:
+            number, before = self.log.read()
+            after = change(before)
+            if self.log.add(number + 1, after):
+                return before, after
+
+    def _target(self, table: str, version: Version) -> str:
+        names = version.names()
+        return self._folder(table, names[0] if len(names) == 1 else "{" + ",".join(names) + "}")
+
+    def _show(self, table: str, version: Version) -> None:
+        """Let the catalog's table have a version's columns and folders."""
+        target = self._target(table, version)
+        if not self.exists(table):
+            self._define(table, version.columns, target)
+        elif _plain(version.columns) != _columns(self.read(table)):
+            self._redefine(table, version.columns, target)
+        else:
+            self._point(table, target)
+
+    def recover(self) -> list[str]:
+        """Bring the catalog up to the log, and give the tables that were behind.
+
+        A table that is not in the catalog stays out of it: it may have been dropped.
+        """
+        behind = []
+        for table, version in self.log.read()[1].items():
+            if not self.exists(table):
+                continue
+            shown = self.log.qualified(self.location(table))
+            if shown != self.log.qualified(self._target(table, version)) or _plain(
+                version.columns
+            ) != _columns(self.read(table)):
+                self._show(table, version)
+                behind.append(table)
+        return behind
 
     def reset(self) -> None:
         """Drop the database with its table definitions and create it empty."""
+        self._change(lambda versions: {})
         self.spark.sql(f"DROP DATABASE IF EXISTS `{self.database}` CASCADE")
         self._create_database()
 
@@ -79,7 +183,9 @@ class TableStore:
         """Create a contract's table when missing, with its seed rows."""
         if self.exists(contract.name):
             return
-        self._define(contract.name, contract.ddl_columns(), self._new_path(contract.name))
+        empty = Version(contract.ddl_columns(), {_new_name(): 0})
+        self._change(lambda versions: versions | {contract.name.lower(): empty})
+        self._show(contract.name, empty)
         if contract.seed:
             names = [f.name for f in contract.schema]
             self.append(self.spark.createDataFrame(list(contract.seed), names), contract.name)
@@ -90,13 +196,21 @@ class TableStore:
             f"OPTIONS (recursiveFileLookup 'true') LOCATION '{path}'"
         )
 
-    def _rename(self, old: str, new: str) -> None:
-        """One step in the storage's own terms."""
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        source, target = hadoop.Path(old), hadoop.Path(new)
-        store = source.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not store.rename(source, target):
-            raise LoadError(f"{old} cannot be renamed to {new}")
+    def _redefine(self, table: str, columns: str, path: str) -> None:
+        """The new definition takes the old one's name, and the old one comes back if it cannot."""
+        twin, old = (f"{table}__{_new_name()}" for _ in range(2))
+        self._define(twin, columns, path)
+        self.spark.sql(f"ALTER TABLE {self.name(table)} RENAME TO {self.name(old)}")
+        try:
+            self.spark.sql(f"ALTER TABLE {self.name(twin)} RENAME TO {self.name(table)}")
+        except Exception:
+            self.spark.sql(f"ALTER TABLE {self.name(old)} RENAME TO {self.name(table)}")
+            raise
+        self.spark.sql(f"DROP TABLE {self.name(old)}")
+
+    def _point(self, table: str, path: str) -> None:
+        self.spark.sql(f"ALTER TABLE {self.name(table)} SET LOCATION '{path}'")
+        self.spark.catalog.refreshTable(self.name(table))
 
     def align(self, df: DataFrame, table: str, matching: str = "auto") -> DataFrame:
         """Columns in the table's order, matched by name; unlisted ones are NULL.
@@ -132,26 +246,15 @@ class TableStore:
         """The table with the columns and rows of the incoming frame.
 
         With the same columns as before the table only points to another folder.
-        With others the new definition takes the old one's name, and the old one
-        comes back if it cannot.
         """
-        path = self._new_path(table)
-        df.write.parquet(path)
+        name = _new_name()
+        df.write.parquet(self._folder(table, name))
         columns = _columns(df)
-        if not self.exists(table):
-            self._define(table, columns, path)
-        elif _columns(self.read(table)) == columns:
-            self._point(table, path)
-        else:
-            twin, old = (f"{table}__{uuid.uuid4().hex[:8]}" for _ in range(2))
-            self._define(twin, columns, path)
-            self.spark.sql(f"ALTER TABLE {self.name(table)} RENAME TO {self.name(old)}")
-            try:
-                self.spark.sql(f"ALTER TABLE {self.name(twin)} RENAME TO {self.name(table)}")
-            except Exception:
-                self.spark.sql(f"ALTER TABLE {self.name(old)} RENAME TO {self.name(table)}")
-                raise
-            self.spark.sql(f"DROP TABLE {self.name(old)}")
+        if self.exists(table) and _columns(self.read(table)) == columns:
+            columns = self.version(table).columns  # lengths stay
+        version = Version(columns, {name: self.log.size(self._folder(table, name))})
+        self._change(lambda versions: versions | {table.lower(): version})
+        self._show(table, version)
 
     def load_staging(self, df: DataFrame, table: str, mode: str) -> None:
         """Staging write modes: replace, truncate or append; all create a missing table."""
@@ -165,7 +268,7 @@ class TableStore:
     # -- the definition stays -----------------------------------------------------
 
     def append(self, df: DataFrame, table: str, matching: str = "auto") -> None:
-        self.align(df, table, matching).write.insertInto(self.name(table))
+        self.publish([self.stage(df, table, "append", matching=matching)])
 
     def stage(
         self,
@@ -174,72 +277,136 @@ class TableStore:
         mode: str = "overwrite",
         key: Sequence[str] = (),
         matching: str = "auto",
+        newest_by: str | None = None,
     ) -> Staged:
-        """Write the rows aside; ``publish`` makes them visible."""
+        """Write the rows aside; ``publish`` makes them visible.
+
+        An upsert with ``newest_by`` lets a stored row stay that has a later version.
+        """
         if mode not in MODES:
             raise LoadError(f"unsupported write mode {mode}")
+        if mode == "upsert" and not key:
+            raise LoadError(f"upsert into {table} needs a primary key")
         rows = self.align(df, table, matching)
-        base = self.location(table)
+        base, gone = self.version(table), []
+        if mode == "append" and len(base.loose) >= LOOSE_FOLDERS:
+            gone = sorted(base.loose, key=base.loose.__getitem__)[: LOOSE_FOLDERS // 2]
+            rows = rows.unionByName(self._rows(table, gone))
+        name = _new_name()
+        path = self._folder(table, name)
+        self._insert(rows, table, path)
         if mode == "upsert":
-            rows = self._merged(rows, table, key)
-        path = self._new_path(table)
-        if mode == "append":
-            path = f"{base}/_staged-{uuid.uuid4().hex}"
-        twin = f"{table}__{uuid.uuid4().hex[:8]}"
+            return self._upsert(table, path, base, list(key), newest_by)
+        return Staged(table, mode, path, base, {name: self.log.size(path)}, gone)
+
+    def _insert(self, rows: DataFrame, table: str, path: str) -> None:
+        """Write rows as the table would take them: lengths and types are checked."""
+        twin = f"{table}__{_new_name()}"
         self.spark.sql(f"CREATE TABLE {self.name(twin)} LIKE {self.name(table)} LOCATION '{path}'")
         try:
             rows.write.insertInto(self.name(twin))
         finally:
             self.spark.sql(f"DROP TABLE {self.name(twin)}")
-        return Staged(table, mode, path, base)
 
-    def _merged(self, rows: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
-        """The table's rows without those that come in, and the incoming ones."""
-        if not key:
-            raise LoadError(f"upsert into {table} needs a primary key")
-        rows = keep(rows, f"upsert-{table.lower()}")
-        some_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
-        if not rows.where(some_null).isEmpty():
+    def _rows(self, table: str, names: Sequence[str]) -> DataFrame:
+        """The rows of some of a table's folders."""
+        found = self.spark.read.schema(self.read(table).schema).option("recursiveFileLookup", "true")
+        return found.parquet(*[self._folder(table, n) for n in names])
+
+    def _upsert(
+        self, table: str, path: str, base: Version, key: list[str], newest_by: str | None
+    ) -> Staged:
+        """Write anew the buckets that get rows: theirs without those that come in, and these."""
+        rows = self.spark.read.schema(self.read(table).schema).parquet(path)
+        some_null = reduce(Column.__or__, [F.col(k).isNull() for k in key])
+        counted = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+        found = counted.agg(F.max("n").alias("n"), F.max(some_null).alias("null")).first()
+        if found["null"]:
             raise LoadError(f"upsert into {table}: a key is NULL")
-        if not rows.groupBy(*key).count().where("count > 1").isEmpty():
+        if (found["n"] or 0) > 1:
             raise LoadError(f"upsert into {table}: a key comes in twice")
-        kept = self.read(table).join(rows.select(*key), list(key), "left_anti")
-        return kept.select(*rows.columns).unionByName(rows)
-
-    def _point(self, table: str, path: str) -> None:
-        self.spark.sql(f"ALTER TABLE {self.name(table)} SET LOCATION '{path}'")
-        self._refresh(table)
-
-    def _refresh(self, table: str) -> None:
-        self.spark.catalog.refreshTable(self.name(table))
+        buckets, anew = base.buckets, base.key != key
+        wanted = _bucket_count(base.size)
+        if anew or wanted >= 4 * buckets:
+            buckets, anew = wanted, True
+        bucket = _free("bucket", rows.columns)
+        number = F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
+        loose = [name for name, size in base.loose.items() if size]
+        coming = rows.unionByName(self._rows(table, loose)) if loose else rows
+        touched = [str(r[0]) for r in coming.select(number).distinct().collect()]
+        old = [n for b, (n, _) in base.folders.items() if anew or b in touched]
+        staged = Staged(table, "upsert", path, base, {}, loose, key, buckets)
+        if not (touched or old):
+            return staged
+        written, seen = rows, Observation()
+        if old or loose:
+            stored = self._rows(table, [*old, *loose]).observe(seen, F.count(F.lit(1)).alias("n"))
+            if newest_by:
+                written = latest_rows(stored.unionByName(rows), key, newest_by)
+            else:
+                written = stored.join(rows.select(*key), key, "left_anti").select(*rows.columns)
+                written = written.unionByName(rows)
+        largest = max((s for b, (_, s) in base.folders.items() if b in touched), default=0)
+        slots = 1 + max(largest, base.size // buckets if anew else 0) // FILE_BYTES
+        slot = F.pmod(F.xxhash64(F.lit("slot"), *key), F.lit(slots))
+        name = _new_name()
+        out = self._folder(table, name)
+        written = written.withColumn(bucket, number).repartition(F.col(bucket), slot)
+        written.write.partitionBy(bucket).parquet(out)
+        parts = {b: f"{name}/{bucket}={b}" for b in map(str, range(buckets))}
+        sizes = {b: self.log.size(self._folder(table, part)) for b, part in parts.items()}
+        folders = {b: [parts[b], size] for b, size in sizes.items() if size}
+        read_rows = seen.get["n"] if old or loose else 0
+        return replace(staged, folders=folders, read_rows=read_rows)
 
     def publish(self, staged: Sequence[Staged]) -> None:
-        """Make staged rows visible, one step for each table.
+        """Make staged rows visible in all their tables by one entry in the log.
 
-        If a step fails, or rows were made from a version of their table that is
-        no longer current, the steps already done are undone, appends as well.
+        Rows made from what is no longer in their table are refused, and no table changes. If the
+        catalog then fails, another entry brings all of the tables back.
         """
-        undo: list[Callable[[], None]] = []
-        try:
+        for item in staged:
+            if not self.exists(item.table):
+                raise LoadError(f"{item.table} is gone")
+
+        def with_staged(versions: dict[str, Version]) -> dict[str, Version]:
+            after = dict(versions)
             for item in staged:
-                current = self.location(item.table)
-                if item.mode in ("append", "upsert") and current != item.base:
-                    raise LoadError(f"{item.table} has changed since its rows were staged")
-                if item.mode == "append":
-                    shown = item.path.replace("/_staged-", "/added-")
-                    self._rename(item.path, shown)
-                    undo.append(partial(self._rename, shown, item.path))
-                    self._refresh(item.table)
-                else:
-                    undo.append(partial(self._point, item.table, current))
-                    self._point(item.table, item.path)
+                after[item.table.lower()] = item.on(self._version(after, item.table))
+            return after
+
+        tables = list(dict.fromkeys(item.table.lower() for item in staged))
+        first = {t: self.version(t) for t in tables}  # for tables that the log doesn't know yet
+        before, after = self._change(with_staged)
+        try:
+            for table in tables:
+                self._show(table, after[table])
         except Exception as error:
-            for step in [*reversed(undo), *[partial(self._refresh, i.table) for i in staged]]:
-                try:
-                    step()
-                except Exception as other:  # the other tables go back all the same
-                    error.add_note(f"while undoing: {other}")
+            self._take_back(tables, first | before, after, error)
             raise
+        for item in staged:
+            if item.mode == "upsert":  # its rows stand in the buckets now
+                self.log.remove(item.path)
+
+    def _take_back(
+        self,
+        tables: Sequence[str],
+        before: dict[str, Version],
+        after: dict[str, Version],
+        error: Exception,
+    ) -> None:
+        """Tables as they were, unless somebody else has changed them since."""
+
+        def undone(versions: dict[str, Version]) -> dict[str, Version]:
+            same = [t for t in tables if versions.get(t) == after[t]]
+            return versions | {t: before[t] for t in same}
+
+        _, now = self._change(undone)
+        for table in tables:
+            try:
+                self._show(table, now[table])
+            except Exception as other:  # the other tables go back all the same
+                error.add_note(f"while undoing: {other}")
 
     def write(
         self,
@@ -248,13 +415,37 @@ class TableStore:
         mode: str = "overwrite",
         key: Sequence[str] = (),
         matching: str = "auto",
+        newest_by: str | None = None,
     ) -> None:
         """One table, one write mode; the table's definition is kept."""
-        if mode == "append":
-            self.append(df, table, matching)
-        else:
-            self.publish([self.stage(df, table, mode, key, matching)])
+        self.publish([self.stage(df, table, mode, key, matching, newest_by)])
 
 
 def _columns(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+
+
+def _plain(columns: str) -> str:
+    """Column definitions as a table that is read shows them: texts of any length are strings."""
+    texts = (T.CharType, T.VarcharType)
+    return ", ".join(
+        f"`{f.name}` {'string' if isinstance(f.dataType, texts) else f.dataType.simpleString()}"
+        for f in T.StructType.fromDDL(columns)
+    )
+
+
+def _new_name() -> str:
+    return uuid.uuid4().hex[:10]
+
+
+def _free(stem: str, columns: Sequence[str]) -> str:
+    taken = {c.lower() for c in columns}
+    while stem in taken:
+        stem += "_"
+    return stem
+
+
+def _bucket_count(size: int) -> int:
+    """A power of two, so that a bucket has about the bytes it is meant to have."""
+    wanted = 1 << (size // BUCKET_BYTES).bit_length()
+    return min(max(wanted, LEAST_BUCKETS), MOST_BUCKETS)

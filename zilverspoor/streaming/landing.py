@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from zilverspoor.operators.conform import to_bronze
+from zilverspoor.operators.history import latest_rows
+from zilverspoor.sinks.tables import TableStore
 
 
 def landing_stream(
@@ -43,38 +44,19 @@ def append_batches(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def _rank(row: str, columns: list[str], version: str) -> Column:
-    """What decides between rows of one key: the version, none being the lowest, then the values."""
-    values = [F.col(f"{row}.`{c}`") for c in columns]
-    newest = F.col(f"{row}.`{version}`")
-    return F.struct(newest.isNotNull().alias("known"), newest.alias("version"), F.struct(*values).alias("rest"))
-
-
 def upsert_batches(
-    merge: Callable[[DataFrame], None],
-    key: list[str],
-    version: str,
-    stored: Callable[[], DataFrame] | None = None,
-):
-    """Merge a batch by key; of several rows for one key the latest counts.
-
-    Rows without a version come before all others, and rows of one version are
-    told apart by their values, so the result does not depend on the order of
-    arrival. ``stored`` gives the rows merged so far: an incoming row that is not
-    later than the stored one is left out.
+    store: TableStore, table: str, key: list[str], version: str
+) -> Callable[[DataFrame, int], None]:
+    """Merge batches into a table by key; of all rows for one key the latest counts.
+
+    What is known of a key is its row in the table's bucket. A batch reads and writes the buckets
+    of its own keys only, once, and stored rows that are later stay. A batch that runs again changes
+    nothing.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        columns = [c for c in batch.columns if c not in key]
-        rows = batch.select(*key, F.struct(*columns).alias("row"))
-        latest = rows.groupBy(*key).agg(F.max_by("row", _rank("row", columns, version)).alias("row"))
-        if stored is not None:
-            before = stored().select(*key, F.struct(*columns).alias("before"))
-            late = F.col("before").isNotNull() & (
-                _rank("before", columns, version) >= _rank("row", columns, version)
-            )
-            latest = latest.join(before, key, "left").where(~late)
-        merge(latest.select(*key, "row.*").select(*batch.columns))
+        rows = latest_rows(batch, key, version)
+        store.write(rows, table, "upsert", key=key, newest_by=version)
 
     return write
 

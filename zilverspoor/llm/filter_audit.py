@@ -162,12 +162,12 @@ def with_repeats(rows: DataFrame) -> DataFrame:
     """``repeats``: whether a row of smaller key has the same digest, anywhere in the table.
 
     The least key of a digest is found by partial minima; only digests that occur twice or more are
-    joined back, and Spark splits that join where one of them has very many rows.
+    written and joined back, so Spark can split that join where one of them has very many rows.
     """
     first = rows.groupBy("digest").agg(
         F.min("key").alias("first"), F.count(F.lit(1)).alias("copies")
     )
-    first = first.filter("copies > 1").select("digest", "first")
+    first = kept(first.filter("copies > 1").select("digest", "first"), "filter-audit-copies")
     return rows.join(first, "digest", "left").withColumn(
         "repeats", F.coalesce(F.col("key") > F.col("first"), F.lit(False))
     )

@@ -1,4 +1,5 @@
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -49,6 +50,25 @@ def test_bits_policies_and_ablations(docs):
     assert len(rows) == sum(bin(m).count("1") for m in q.POLICIES.values())
 
 
+@pytest.mark.parametrize("condition", [*q.POLICIES, "n_repeat_words > 3 and n_words < 40"])
+def test_conditions_on_a_ledger_do_not_measure_again(docs, awkward, condition):
+    texts = [*awkward, *[f"w{i} x y z w{i} x y z " * 20 for i in range(20)]]
+    book = q.ledger(docs(texts))
+    held = book.filter(q.verdict(condition) if condition in q.POLICIES else condition)
+    plan = held._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("xxhash64") == 1
+    assert "Filter" in plan and plan.index("Filter") < plan.index("xxhash64")
+    began = time.monotonic()
+    got = sorted(r["doc_id"] for r in held.collect())
+    assert time.monotonic() - began < 30
+    rows = book.collect()
+    if condition in q.POLICIES:
+        want = [r["doc_id"] for r in rows if not r["failures"] & q.POLICIES[condition]]
+    else:
+        want = [r["doc_id"] for r in rows if r["n_repeat_words"] > 3 and r["n_words"] < 40]
+    assert got == sorted(want)
+
+
 def test_keep_clean_keeps_columns_and_rows(spark, docs):
     good = " ".join(f"word{i}" for i in range(60))
     frame = docs([good, "bad", None, good]).withColumnRenamed("key", "row_")

@@ -147,9 +147,11 @@ def failures(rules=RULES) -> Column:
 def ledger(df: DataFrame, key: str = "doc_id", text: str = "text", rules=RULES) -> DataFrame:
     """Key, measurements and the failure bits of every text, each rule evaluated once."""
     measured = _measured(df, F.col(f"`{key}`"), F.col(f"`{text}`"))
-    return measured.select(
-        F.col("key").alias(key), *MEASURES, failures(rules).alias("failures")
+    # one settled struct: a condition on any of its fields stays above all of it
+    judged = measured.select(
+        "key", settled(F.struct(*MEASURES, failures(rules).alias("failures"))).alias("line")
     )
+    return judged.select(F.col("key").alias(key), *[f"line.{c}" for c in (*MEASURES, "failures")])
 
 
 def verdict(policy: str, policies: Mapping[str, int] = POLICIES) -> Column:

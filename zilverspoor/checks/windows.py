@@ -95,7 +95,7 @@ def win_partition_min(t: Tables) -> DataFrame:
       ORDER BY day NULLS LAST, o_orderkey) AS next_day FROM {_STAYS_SQL}""",
 )
 def win_lead(t: Tables) -> DataFrame:
-    return look_ahead(_stays(t), ["o_custkey"], "day", "next_day", ["o_orderkey"], unique=True)
+    return look_ahead(_stays(t), ["o_custkey"], "day", "next_day", ["o_orderkey"])
 
 
 @check(

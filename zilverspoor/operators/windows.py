@@ -5,10 +5,11 @@ group can hold a third of a register, so here
 
 * picking a row per group is cut down per map task before the shuffle
   (Spark's window group limit);
-* everything else first aggregates to one row per (group, order value). Order
-  values are calendar days, so a group has a few ten thousand of them at most;
-  the window runs on those and its result is joined back on (group, order value),
-  a join whose hot keys AQE splits.
+* running maxima, minima and looking ahead first aggregate to one row per (group,
+  order value). Order values are calendar days, so a group has a few ten thousand
+  of them at most; the window runs on those and its result is joined back on
+  (group, order value), a join whose hot keys AQE splits;
+* numbering sorts by sampled ranges and adds what earlier ranges hold.
 
 NULL order values come last ascending and first descending, in every operator.
 """
@@ -21,8 +22,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed value: 2**20 consecutive ids share a numbering block.
-_BLOCK_BITS = 20
+from zilverspoor.session import keep
+
+# Fixed value: Spark's increasing ids count the rows of a partition in this many bits.
+_PLACE_BITS = 33
 
 
 def by(column: str | Column, descending: bool = False) -> Column:
@@ -134,71 +137,33 @@ def look_ahead(
     order: str,
     out: str,
     ties: Sequence[str] | None = None,
-    unique: bool = False,
 ) -> DataFrame:
     """Add the order value of the next row in the group.
 
     Rows with the same order value follow each other by ``ties`` (all other
     columns when not given, NULLs first): all but the last of them see their own
-    value next. ``unique`` promises that ties never repeat within an order value;
-    without it, of several equal last rows exactly one looks further.
+    value next, and of several equal last rows exactly one looks further.
+
+    The rows are written once, numbered, so what leads to them runs once. The
+    steps from value to value come from three narrow columns; only values that
+    several rows of a group share need their ties looked at, by partial maxima.
     """
     ties = list(ties or [c for c in df.columns if c not in keys and c != order])
-    # one plain column aggregates by hashing, a struct needs sorting
-    tie = F.col(ties[0]) if len(ties) == 1 else F.struct(*ties)
+    rows = keep(df.withColumn("__row", F.monotonically_increasing_id()), "look-ahead")
     day = [*keys, order]
+    found = rows.groupBy(*day).agg(F.count(F.lit(1)).alias("__n"), F.max("__row").alias("__any"))
+    found = keep(found, "look-ahead-days")
+    shared = found.where("__n > 1").select(*day)
+    last = F.max(F.struct(*ties, "__row"))["__row"]
+    # an inner join with the few shared values keeps all other rows out of the maximum
+    lasts = join_null_safe(rows.select(*day, *[c for c in ties if c not in day], "__row"), shared, day, "inner")
+    lasts = lasts.groupBy(*day).agg(last.alias("__last"))
     following = F.lead(order).over(Window.partitionBy(*keys).orderBy(by(order)))
-    if unique:
-        last = df.groupBy(*day).agg(F.max(tie).alias("__last"))
-        steps = last.withColumn("__next", following)
-    else:
-        counted = df.groupBy(*day, *ties).agg(F.count(F.lit(1)).alias("copies"))
-        last = counted.groupBy(*day).agg(F.max(F.struct(tie.alias("tie"), "copies")).alias("l"))
-        steps = last.select(
-            *day,
-            F.col("l.tie").alias("__last"),
-            F.col("l.copies").alias("__copies"),
-            following.alias("__next"),
-        )
-    is_last = tie.eqNullSafe(F.col("__last"))
-    seen = F.when(is_last, F.col("__next")).otherwise(F.col(order)).alias(out)
-    joined = join_null_safe(df, steps, day, "inner")
-    if unique:
-        return joined.select(*df.columns, seen)
-    single = joined.where(~is_last | (F.col("__copies") == 1)).select(*df.columns, seen)
-    # equal last rows are rare, so this join is small; it reads the same shuffle
-    repeated = join_null_safe(df, steps.where("__copies > 1"), day, "inner").where(is_last)
-    return single.unionByName(_one_looks_further(repeated, df.columns, day, order, out))
-
-
-def _one_looks_further(
-    rows: DataFrame, columns: Sequence[str], day: Sequence[str], order: str, out: str
-) -> DataFrame:
-    """Of equal last rows one sees the next value, the others their own.
-
-    Equal rows travel as one row per task with their number. Choosing among those
-    looks at one row per task, and no task repeats more rows than another read.
-    """
-    counted = (
-        rows.withColumn("__task", F.spark_partition_id())
-        .groupBy(*columns, "__next", "__task")
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
-    chosen = F.row_number().over(Window.partitionBy(*day).orderBy("__task")) == 1
-    split = counted.withColumn("__one", chosen.cast("int")).withColumn(
-        "__part",
-        F.explode(
-            F.array(
-                F.struct(F.col("__next").alias("value"), F.col("__one").cast("bigint").alias("n")),
-                F.struct(F.col(order).alias("value"), (F.col("__n") - F.col("__one")).alias("n")),
-            )
-        ),
-    )
-    return (
-        split.where("__part.n > 0")
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__part.n"))))
-        .select(*columns, F.col("__part.value").alias(out))
+    steps = join_null_safe(found, lasts, day).select(
+        *day, F.coalesce("__last", "__any").alias("__last"), following.alias("__next")
     )
+    seen = F.when(F.col("__row") == F.col("__last"), F.col("__next")).otherwise(F.col(order))
+    return join_null_safe(rows, steps, day, "inner").select(*df.columns, seen.alias(out))
 
 
 def number_rows(
@@ -211,39 +176,27 @@ def number_rows(
 ) -> DataFrame:
     """Row number in each group by ``order``, then by ``unique_id`` ascending.
 
-    The number is the count of rows on earlier order values, plus the count in
-    earlier id blocks of the same order value, plus the position in the block. A
-    block spans 2**20 ids, so no task sorts more rows than that for one group.
+    A sample sort: rows are dealt by ranges of (group, order, id), whose bounds
+    Spark takes from a sample, so a large group lies in several successive slices.
+    In a sorted slice the place is the number; what a group has in earlier slices
+    is added. No window runs on rows, and the join back is one that AQE splits.
     """
-    plain = _null_free(df, [*keys, order])
-    day = list(plain)
-    place = [*day, "__block"]
-    rows = df.withColumns({**plain, "__block": F.shiftright(unique_id, _BLOCK_BITS)})
-    blocks = rows.groupBy(*place).agg(F.count(F.lit(1)).alias("__n"))
-    values = blocks.groupBy(*day).agg(F.sum("__n").alias("__rows"))
-
-    # an unknown order value comes last ascending and first descending
-    group = [c for k in keys for c in (f"__{k}", f"__{k}_unknown")]
-    unknown, known = F.col(f"__{order}_unknown"), F.col(f"__{order}")
-    in_order = [unknown.desc(), known.desc()] if descending else [unknown.asc(), known.asc()]
-    offsets = blocks.select(*place, _count_before("__n", day, [F.col("__block")], "__skip")).join(
-        values.select(*day, _count_before("__rows", group, in_order, "__base")), day
-    )
-    # the window and the join use the same columns: rows are shuffled once
-    position = F.row_number().over(Window.partitionBy(*place).orderBy(unique_id))
-    number = F.col("__base") + F.col("__skip") + F.col("__position")
-    return (
-        rows.withColumn("__position", position)
-        .join(offsets, place)
-        .select(*df.columns, number.cast("bigint").alias(out))
+    plain = _null_free(df, keys)
+    group = list(plain)
+    ordered = [*group, by(order, descending), F.col(unique_id)]
+    sliced = df.withColumns(plain).repartitionByRange(*ordered).sortWithinPartitions(*ordered)
+    # written once: slices and places are facts then, whatever runs again
+    sliced = sliced.withColumn("__place", F.monotonically_increasing_id())
+    rows = keep(sliced, "numbered").withColumn("__slice", F.shiftright("__place", _PLACE_BITS))
+    parts = rows.groupBy(*group, "__slice").agg(
+        F.min("__place").alias("__first"), F.count(F.lit(1)).alias("__n")
     )
-
-
-def _count_before(count: str, group: Sequence[str], order: Sequence[Column], out: str) -> Column:
-    """Sum of the counts of the earlier rows of the group."""
     earlier = (
         Window.partitionBy(*group)
-        .orderBy(*order)
+        .orderBy("__slice")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow - 1)
     )
-    return F.coalesce(F.sum(count).over(earlier), F.lit(0)).alias(out)
+    before = F.coalesce(F.sum("__n").over(earlier), F.lit(0))
+    offsets = parts.select(*group, "__slice", (before + 1 - F.col("__first")).alias("__offset"))
+    number = F.col("__place") + F.col("__offset")
+    return rows.join(offsets, [*group, "__slice"]).select(*df.columns, number.alias(out))

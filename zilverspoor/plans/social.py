@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from zilverspoor.functions import concat_skip_null, local_date
 from zilverspoor.operators.columns import project, typed_null
+from zilverspoor.operators.expand import repeat_rows
 from zilverspoor.plans.registry import mapping
 
 # The youth law, and the code domains of end reasons under it and
@@ -106,8 +107,9 @@ def granted_provisions(src: SimpleNamespace) -> DataFrame:
         provisions.join(laws, "kode_regeling", "left")
         .join(decisions, "besluitnr", "left")
         .join(dossiers, ["besluitnr", "volgnr_ind"], "left")
-        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), copies)))
+        .select(*provisions.columns, copies.alias("copies"))
     )
+    rows = repeat_rows(rows, "copies")
     return rows.select(
         F.col("datumeinde"),
         F.col("datumstart"),

@@ -11,13 +11,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zilverspoor.checks.core import Tables, check
-from zilverspoor.sinks.parts import write_manifest
+from zilverspoor.sinks.parts import dump_parts, write_manifest
 from zilverspoor.sources.files import (
+    Between,
     group_part_files,
+    list_files,
+    read_csv,
     read_csv_folder,
     read_manifest_tables,
     read_part_set,
+    source_count,
 )
+from zilverspoor.sources.jdbc import as_bronze, slice_predicates
 from zilverspoor.sources.odata import (
     EntityType,
     entity_navigation,
@@ -39,7 +44,7 @@ from zilverspoor.streaming.landing import (
 
 @check("scan_table", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
 def scan_table(t: Tables) -> DataFrame:
-    return t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity")
+    return as_bronze(t.lineitem, ["l_orderkey", "l_linenumber", "l_quantity"])
 
 
 @check(
@@ -47,18 +52,20 @@ def scan_table(t: Tables) -> DataFrame:
     "SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem WHERE l_returnflag = 'R'",
 )
 def scan_partitioned(t: Tables) -> DataFrame:
-    """A dump split by return flag; the condition prunes the other folders."""
-    path = t.run_dir("partitioned")
-    t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag").write.partitionBy(
-        "l_returnflag"
-    ).parquet(path)
-    dump = t.spark.read.parquet(path)
-    return dump.where("l_returnflag = 'R'").drop("l_returnflag")
+    """One read for each slice of a skewed key: half of the lines have one supplier, some have none."""
+    key = F.expr("if(l_suppkey % 2 = 0, 7, if(l_suppkey % 11 = 0, null, l_suppkey)) as key")
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag", key)
+    slices = slice_predicates(lines, "key", 12)
+    reads = [lines.where(p.replace('"', "`")) for p in slices]  # as a database would select them
+    return as_bronze(
+        reduce(DataFrame.unionByName, reads).where("l_returnflag = 'R'"),
+        ["l_orderkey", "l_linenumber", "l_extendedprice"],
+    )
 
 
 @check("scan_row_limit", "SELECT least(count(*), 1000) AS n_rows FROM lineitem")
 def scan_row_limit(t: Tables) -> DataFrame:
-    return t.lineitem.limit(1000).agg(F.count(F.lit(1)).alias("n_rows"))
+    return source_count(as_bronze(t.lineitem, ["l_orderkey"], row_limit=1000))
 
 
 def _write_parts(t: Tables, folder: str) -> list[str]:
@@ -98,6 +105,36 @@ def scan_manifest(t: Tables) -> DataFrame:
     return tables["orders_f"].unionByName(tables["orders_o"])
 
 
+@check(
+    "scan_manifest_range",
+    "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey BETWEEN 100 AND 900",
+)
+def scan_manifest_range(t: Tables) -> DataFrame:
+    """Files whose bounds lie outside of the range are not opened."""
+    parts = t.orders.select("o_orderkey", "o_custkey").orderBy("o_orderkey")
+    manifest = dump_parts({"orders": parts}, t.run_dir("bounds"), max_rows_per_part=500)
+    asked = Between("o_orderkey", 100, 900)
+    return read_manifest_tables(t.spark, manifest, {"orders": asked})["orders"]
+
+
+@check(
+    "scan_csv_split",
+    """SELECT o_orderkey, o_orderstatus || chr(10) || '"' || o_orderdate || '",' || chr(10) AS note,
+    o_custkey FROM orders""",
+)
+def scan_csv_split(t: Tables) -> DataFrame:
+    """Every record spans several lines; the files are cut into blocks wherever these end."""
+    folder = t.run_dir("csv")
+    note = F.concat("o_orderstatus", F.lit('\n"'), F.col("o_orderdate").cast("string"), F.lit('",\n'))
+    rows = t.orders.select("o_orderkey", note.alias("note"), "o_custkey")
+    written = rows.coalesce(2).write.option("header", "true").option("escape", '"')
+    written.option("ignoreTrailingWhiteSpace", "false").csv(folder)
+    files = list_files(t.spark, folder, "*.csv")
+    return reduce(
+        DataFrame.unionByName, [read_csv(t.spark, f, rows.schema, split=True) for f in files]
+    )
+
+
 @check(
     "scan_csv_folder",
     """SELECT c_custkey, c_name || chr(10) || '"' || c_mktsegment || '", ' || c_name AS c_name,

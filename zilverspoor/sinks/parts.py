@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zilverspoor.sources.files import list_files
+from zilverspoor.sources.footers import read_footers
 
 
 def dump_parts(
@@ -31,22 +32,28 @@ def dump_parts(
     for name, df in frames.items():
         path = f"{folder}/{run_id}/{name}"
         df.write.option("maxRecordsPerFile", max_rows_per_part).parquet(path)
-        # a look at what was written, so the source runs once
-        if not spark.read.schema(df.schema).parquet(path).isEmpty():
-            written[name] = path
+        written[name] = path
     return write_manifest(spark, f"{folder}/{run_id}-manifest", run_id, written)
 
 
 def write_manifest(
     spark: SparkSession, path: str, run_id: str, folders: Mapping[str, str]
 ) -> str:
-    """One JSON line per file of the run."""
-    files = [(table, f) for table, folder in folders.items() for f in list_files(spark, folder)]
-    lines = spark.createDataFrame(files, "table_name string, file string").select(
+    """One JSON line per file of the run that has rows, with what its footer says.
+
+    Rows, bytes, schema and bounds let a reader plan without opening the files.
+    """
+    tables = {f: table for table, folder in folders.items() for f in list_files(spark, folder)}
+    named = spark.createDataFrame(list(tables.items()), "file string, table_name string")
+    lines = read_footers(spark, list(tables)).where("rows > 0").join(named, "file")
+    lines.select(
         F.lit(run_id).alias("run_id"),
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("created_at"),
         "table_name",
         "file",
-    )
-    lines.write.json(path)
+        "rows",
+        "bytes",
+        "schema",
+        "bounds",
+    ).write.json(path)
     return path

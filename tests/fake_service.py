@@ -57,3 +57,43 @@ class FakeService:
             page = {"results": rows} | ({"__next": link} if link else {})
             return json.dumps({"d": rows if self.bare else page})
         return json.dumps({"value": rows} | ({"@odata.nextLink": link} if link else {}))
+
+
+@dataclass
+class ChangingService:
+    """Rows with keys that come while it is read: each request finds more of them, also before it.
+
+    It answers conditions on its keys only and refuses positions, unless ``positions`` is given.
+    Requests are counted in a file, as they come from many processes. Keys in ``always`` are there
+    from the begin to the end.
+    """
+
+    always: list
+    later: list
+    counter: str
+    keys: tuple = ("id",)
+    positions: bool = False
+    server_page: int = 1000
+
+    def __call__(self, url):
+        params = {k: v[0] for k, v in parse_qs(urlparse(url).query).items()}
+        with open(self.counter, "ab") as out:
+            out.write(b"x")
+            n = out.tell()
+        if "$skip" in params and not self.positions:
+            raise RuntimeError("501")
+        rows = [self.row(k) for k in [*self.always, *self.later[: 3 * n]]]
+        if "$filter" in params:
+            test = params["$filter"]
+            for name, sign in ((" eq ", " == "), (" gt ", " > "), (" ge ", " >= "), (" lt ", " < ")):
+                test = test.replace(name, sign)
+            rows = [r for r in rows if eval(test.replace("''", "\\'"), {}, dict(r))]
+        order = params.get("$orderby", "")
+        rows.sort(key=lambda r: tuple(r[k] for k in self.keys), reverse=order.endswith(" desc"))
+        skip = int(params.get("$skip", 0))
+        top = min(int(params.get("$top", len(rows))), self.server_page)
+        return json.dumps({"value": rows[skip : skip + top]})
+
+    def row(self, key):
+        key = key if isinstance(key, tuple) else (key,)
+        return dict(zip(self.keys, key)) | {"value": "v" + "-".join(map(str, key))}

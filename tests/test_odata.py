@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import types as T
 
-from fake_service import FakeService
+from fake_service import ChangingService, FakeService
 from zilverspoor.sources.odata import (
     EntityType,
     entity_type,
@@ -14,6 +14,7 @@ from zilverspoor.sources.odata import (
 )
 from zilverspoor.sources.odata_service import (
     PageReader,
+    ServiceError,
     page_of,
     probe_rows,
     read_service,
@@ -203,3 +204,55 @@ def test_metadata(spark, tmp_path):
     assert sets == {("Products", "Product"), ("[S].[T]", "Odd")}
     with pytest.raises(ValueError):
         entity_type(types, "Nope")
+
+
+def keyed(spark, service, keys=None, **more):
+    kinds = {"id": T.LongType(), **(keys or {}), "value": T.StringType()}
+    entity = EntityType("Item", tuple(keys or ["id"]), kinds, {})
+    return read_service(spark, service, "Items", entity, by_key=True, page_rows=20, **more)
+
+
+def test_keys_neither_lose_nor_repeat_rows_that_come_between_pages(spark, tmp_path):
+    always, later = list(range(0, 4000, 8)), [i * 8 + 3 for i in range(499, -1, -1)]
+    service = ChangingService(always, later, str(tmp_path / "n"))
+    df = keyed(spark, service)
+    got = [r["id"] for r in df.collect()]
+    assert len(got) == len(set(got)) and set(always) <= set(got) <= {*always, *later}
+    assert df.rdd.getNumPartitions() > 8
+    # the same service by positions repeats rows, as these move
+    service = ChangingService(always, later, str(tmp_path / "m"), positions=True)
+    entity = EntityType("Item", ("id",), {"id": T.LongType(), "value": T.StringType()}, {})
+    moved = read_service(spark, service, "Items", entity, page_rows=20, pages_per_task=1)
+    ids = [r["id"] for r in moved.collect()]
+    assert len(ids) != len(set(ids)) or not set(always) <= set(ids)
+
+
+def test_key_ranges_skip_gaps_and_stay_open(spark, tmp_path):
+    keys = [*range(5), 10**12, *range(10**15, 10**15 + 200)]
+    service = ChangingService(keys, [10**15 + 5000], str(tmp_path / "n"), server_page=7)
+    df = keyed(spark, service)
+    assert sorted(r["id"] for r in df.collect()) == [*keys, 10**15 + 5000]
+    assert df.rdd.getNumPartitions() <= 4
+    assert keyed(spark, ChangingService([], [], str(tmp_path / "e"))).count() == 0
+    assert keyed(spark, ChangingService([7], [], str(tmp_path / "o"))).count() == 1
+    assert keyed(spark, service, row_limit=33).count() == 33
+    some = keyed(spark, service, condition="id lt 3", select="value")
+    assert sorted(r["value"] for r in some.collect()) == ["v0", "v1", "v2"]
+
+
+def test_text_and_several_keys(spark, tmp_path):
+    names = [f"n'{i:03d}" for i in range(90)]
+    text = {"name": T.StringType()}
+    service = ChangingService(names, [], str(tmp_path / "t"), keys=("name",))
+    assert sorted(r["name"] for r in keyed(spark, service, text).collect()) == names
+    pairs = [(a, b) for a in range(9) for b in range(11)]
+    service = ChangingService(pairs, [], str(tmp_path / "p"), keys=("a", "b"), server_page=4)
+    got = keyed(spark, service, {"a": T.LongType(), "b": T.LongType()})
+    assert sorted((r["a"], r["b"]) for r in got.collect()) == pairs
+
+
+def test_services_that_cannot_be_paged_by_key(spark, tmp_path):
+    with pytest.raises(ServiceError, match="cannot be paged"):
+        keyed(spark, FakeService(3), {"x": T.BinaryType()})
+    with pytest.raises(Exception, match="again"):  # ignores conditions
+        keyed(spark, FakeService(30), row_limit=50).collect()

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import glob
 import json
+import re
 from functools import reduce
 from urllib.parse import parse_qs, urlparse
 
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zilverspoor.checks.core import Tables, check
+from zilverspoor.operators.windows import number_rows
 from zilverspoor.sinks.parts import dump_parts, write_manifest
 from zilverspoor.sources.files import (
     Between,
@@ -236,47 +239,96 @@ def odata_project_keys_first(t: Tables) -> DataFrame:
     return rows.select(F.lit(",".join(rows.columns)).alias("column_order"), "*")
 
 
+_CHUNK = 512
+
+
 class TableService:
-    """A paged service over the rows of a given table, asked on the executors.
+    """A paged service over rows that Spark has written in files of ``_CHUNK`` rows each.
 
     It counts too few rows, answers some requests with an empty page that leads on, and its links
-    forget what was left of a range. Rows come in key order only if that is asked for.
+    forget what was left of a range. Rows come in key order only if that is asked for. It opens the
+    files that a request needs, where that is answered: on the executors.
     """
 
-    def __init__(self, rows: list[str]):
-        self.rows = rows
+    def __init__(self, folder: str, size: int):
+        self.folder = folder.removeprefix("file:")
+        self.size = size
+
+    def rows(self, start: int, stop: int) -> list[str]:
+        found: list[str] = []
+        for chunk in range(start // _CHUNK, -(-stop // _CHUNK)):
+            (name,) = glob.glob(f"{self.folder}/chunk={chunk}/part-*")
+            with open(name, encoding="utf-8") as lines:
+                kept = sorted((json.loads(line) for line in lines), key=lambda x: x["position"])
+            base = chunk * _CHUNK
+            found += [x["row"] for x in kept[max(0, start - base) : stop - base]]
+        return found
 
     def __call__(self, url: str) -> str:
         parsed = urlparse(url)
         asked = {k: v[0] for k, v in parse_qs(parsed.query).items()}
         if parsed.path.endswith("/$count"):
-            return str(len(self.rows) // 2)
-        skip, top = int(asked.get("$skip", 0)), int(asked.get("$top", len(self.rows)))
-        part = self.rows[skip : skip + min(top, 70)]
+            return str(self.size // 2)
+        skip, top = int(asked.get("$skip", 0)), int(asked.get("$top", self.size))
+        part = self.rows(skip, min(self.size, skip + min(top, 70))) if skip < self.size else []
         if "$orderby" not in asked:
             part = part[::-1]
         if skip % 3 == 0 and part and "again" not in asked:
             return json.dumps({"value": [], "@odata.nextLink": f"{url}&again=1"})
         link = f', "@odata.nextLink": "Customers?$orderby=Id&$skip={skip + len(part)}"'
-        more = link if part and skip + len(part) < len(self.rows) else ""
+        more = link if part and skip + len(part) < self.size else ""
         return f'{{"value": [{",".join(part)}]{more}}}'
 
 
+class KeyedService(TableService):
+    """A service that refuses positions: it is asked for keys from one on, in their order.
+
+    Its keys follow each other from 0 on.
+    """
+
+    def __call__(self, url: str) -> str:
+        asked = {k: v[0] for k, v in parse_qs(urlparse(url).query).items()}
+        if "$skip" in asked or not asked.get("$orderby", "").startswith("Id"):
+            raise RuntimeError("501")
+        bound = dict(re.findall(r"Id (ge|gt|lt) (\d+)", asked.get("$filter", "")))
+        start = max(int(bound.get("ge", 0)), int(bound.get("gt", -1)) + 1)
+        stop = min(int(bound.get("lt", self.size)), self.size)
+        top = min(int(asked["$top"]), 70)
+        if asked["$orderby"] == "Id desc":
+            start = max(start, stop - top)
+        part = self.rows(start, min(stop, start + top)) if start < stop else []
+        return f'{{"value": [{",".join(part)}]}}'
+
+
+def _service(t: Tables, kind: type[TableService]) -> TableService:
+    row = F.to_json(
+        F.struct(
+            F.col("c_custkey").alias("Id"),
+            F.col("c_name").alias("Name"),
+            F.col("c_acctbal").cast("decimal(12,2)").alias("Balance"),
+        )
+    )
+    rows = number_rows(t.customer.withColumn("row", row), [], "c_custkey", "c_custkey", "position")
+    folder = t.run_dir("service")
+    rows.select("position", "row", F.floor((F.col("position") - 1) / _CHUNK).alias("chunk")).repartition(
+        "chunk"
+    ).write.partitionBy("chunk").json(folder)
+    return kind(folder, t.customer.count())
+
+
 @check("odata_service_pages", _ENTITY_SQL)
 def odata_service_pages(t: Tables) -> DataFrame:
-    rows = t.customer.orderBy("c_custkey").select(
-        F.to_json(
-            F.struct(
-                F.col("c_custkey").alias("Id"),
-                F.col("c_name").alias("Name"),
-                F.col("c_acctbal").cast("decimal(12,2)").alias("Balance"),
-            )
-        ).alias("row")
-    )
-    service = TableService([r["row"] for r in rows.collect()])  # what a service holds, as a stand-in
+    service = _service(t, TableService)
     return read_service(t.spark, service, "Customers", CUSTOMER, page_rows=100, pages_per_task=2)
 
 
+@check("odata_service_keys", _ENTITY_SQL)
+def odata_service_keys(t: Tables) -> DataFrame:
+    """A service without positions, read by many tasks in ranges of keys."""
+    service = _service(t, KeyedService)
+    return read_service(t.spark, service, "Customers", CUSTOMER, page_rows=100, by_key=True)
+
+
 _MOMENTS = EntityType("Moment", ("Id",), {"Id": T.LongType(), "At": T.TimestampType()}, {})
 
 

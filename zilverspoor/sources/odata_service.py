@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 from urllib.parse import quote, urlencode
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from zilverspoor.sources.odata import EntityType, parse_pages
@@ -23,6 +24,8 @@ Transport = Callable[[str], str]
 
 # Fixed value: rows per request when nothing else is asked for.
 PAGE_ROWS = 5_000
+# Ranges that a whole-number key is cut into.
+KEY_RANGES = 64
 # Positions that probing asks for at most.
 MOST_ROWS = 1 << 48
 
@@ -209,6 +212,134 @@ class PageReader(DataSourceReader):
                 return
 
 
+class KeyRange(InputPartition):
+    """Rows whose first key is at least ``start`` and below ``stop``; an end that is None is open."""
+
+    def __init__(self, start: int | None, stop: int | None):
+        self.start = start
+        self.stop = stop
+
+
+class KeysetReader(DataSourceReader):
+    """Ranges of keys, each fetched by one task: every page asks for the keys beyond the last one.
+
+    Unlike positions, keys don't move when rows come and go between two requests, so each row that
+    is there all the time is read once. A whole-number key is cut into ranges of equal width first,
+    and each cut is moved to the next key that exists, by asking for one row: gaps make no empty
+    ranges. The last range is open, so later keys are read as well. Other keys are one range.
+    """
+
+    def __init__(self, fetch: Transport, options: dict[str, str]):
+        self.fetch = fetch
+        self.entity_set = options["entityset"]
+        self.expand = options.get("expand")
+        self.condition = options.get("filter")
+        self.kinds = json.loads(options["keys"])  # name and literal form, in key order
+        select = options.get("select")
+        self.select = select and ",".join(dict.fromkeys([*_names(select), *self.kinds]))
+        self.page_rows = int(options.get("pagerows", PAGE_ROWS))
+        self.ranges = int(options.get("ranges", KEY_RANGES))
+        self.row_limit = int(options.get("rowlimit", "0"))
+
+    def _literal(self, key: str, value: object) -> str:
+        if self.kinds[key] == "text":
+            return "'" + str(value).replace("'", "''") + "'"
+        return str(value)
+
+    def _beyond(self, last: list) -> str:
+        """Keys after the given ones in their common order."""
+        keys, cases = list(self.kinds), []
+        for i, key in enumerate(keys):
+            same = [f"{k} eq {self._literal(k, v)}" for k, v in zip(keys[:i], last)]
+            cases.append(" and ".join([*same, f"{key} gt {self._literal(key, last[i])}"]))
+        return cases[0] if len(cases) == 1 else " or ".join(f"({c})" for c in cases)
+
+    def _url(self, conditions: list[str], top: int, select: str | None, descending: bool = False) -> str:
+        given = [c for c in [self.condition, *conditions] if c]
+        return request_url(
+            self.entity_set,
+            select=select,
+            expand=self.expand if select == self.select else None,
+            filter=" and ".join(f"({c})" for c in given) if len(given) > 1 else "".join(given),
+            orderby=",".join(f"{k} desc" if descending else k for k in self.kinds),
+            top=top,
+        )
+
+    def _key_of(self, row: dict) -> list:
+        try:
+            return [row[k] for k in self.kinds]
+        except (KeyError, TypeError) as error:
+            raise ServiceError(f"a row of {self.entity_set} lacks its key") from error
+
+    def _first_key(self, conditions: list[str], descending: bool = False) -> int | None:
+        page = self._page(self._url(conditions, 1, ",".join(self.kinds), descending))[1]
+        return self._key_of(page.rows[0])[0] if page.rows else None
+
+    def _page(self, url: str) -> tuple[str, Page]:
+        """A page; an empty one may lead on."""
+        seen = set()
+        while True:
+            body = self.fetch(url)
+            page = page_of(body)
+            if page.rows or page.link is None or page.link in seen:
+                return body, page
+            seen.add(url := page.link)
+
+    def partitions(self) -> list[InputPartition]:
+        key = next(iter(self.kinds))
+        if self.row_limit or len(self.kinds) > 1 or self.kinds[key] != "whole":
+            return [KeyRange(None, None)]
+        low, high = self._first_key([]), self._first_key([], descending=True)
+        if low is None or high is None:
+            return [KeyRange(None, None)]
+        low, high = int(low), int(high)
+        step = max(1, -(-(high - low + 1) // self.ranges))
+        found = (self._first_key([f"{key} ge {at}"]) for at in range(low + step, high + 1, step))
+        cuts = sorted({int(c) for c in found if c is not None})
+        return [KeyRange(a, b) for a, b in zip([None, *cuts], [*cuts, None])]
+
+    def read(self, partition: KeyRange) -> Iterator[tuple[str, int]]:
+        key = next(iter(self.kinds))
+        inside = [f"{key} lt {partition.stop}"] if partition.stop is not None else []
+        since = [f"{key} ge {partition.start}"] if partition.start is not None else []
+        done = 0
+        while not self.row_limit or done < self.row_limit:
+            left = self.row_limit - done if self.row_limit else self.page_rows
+            body, page = self._page(self._url([*since, *inside], min(left, self.page_rows), self.select))
+            rows = page.rows[:left] if self.row_limit else page.rows
+            if not rows:
+                return
+            last = self._key_of(rows[-1])
+            again = self._beyond(last)
+            if since == [again]:
+                raise ServiceError(f"the service gives rows of {self.entity_set} again after {last}")
+            yield body, len(rows)
+            done += len(rows)
+            since = [again]
+
+
+def _names(select: str) -> list[str]:
+    return [name.strip() for name in select.split(",") if name.strip()]
+
+
+def key_kinds(entity: EntityType, version: str) -> dict[str, str]:
+    """How the keys of an entity are written in a condition."""
+    kinds = {}
+    for key in entity.keys:
+        kind = entity.properties.get(key)
+        if isinstance(kind, T.IntegralType):
+            kinds[key] = "whole"
+        elif isinstance(kind, T.StringType):
+            kinds[key] = "text"
+        elif version == "v4" and isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType, T.DecimalType)):
+            kinds[key] = "plain"
+        else:
+            raise ServiceError(f"{entity.name} cannot be paged by its key {key}")
+    if not kinds:
+        raise ServiceError(f"{entity.name} has no key to page by")
+    return kinds
+
+
 def page_source(fetch: Transport) -> type[DataSource]:
     """A data source named ``odata_pages`` that fetches through the transport."""
 
@@ -221,7 +352,8 @@ def page_source(fetch: Transport) -> type[DataSource]:
             return "body string, keep int"
 
         def reader(self, schema) -> DataSourceReader:
-            return PageReader(fetch, dict(self.options))
+            by_key = "keys" in self.options
+            return (KeysetReader if by_key else PageReader)(fetch, dict(self.options))
 
     return PageSource
 
@@ -240,14 +372,17 @@ def read_service(
     pages_per_task: int = 20,
     links_only: bool = False,
     order: str | None = None,
+    by_key: bool = False,
 ) -> DataFrame:
     """Rows of an entity set.
 
     The set is cut into ranges of pages, by the service's count or by probing,
     and every task fetches one range. ``links_only`` is for services that refuse
     ``$skip``: there one task has to follow the links, a page at a time; services
-    that ignore it are found out. The condition is the service's own ``$filter``
-    text, the order its keys unless ``order`` names another (empty: none).
+    that ignore it are found out. ``by_key`` asks for ranges of keys instead of
+    positions, for services that refuse positions or change while they are read.
+    The condition is the service's own ``$filter`` text, the order its keys unless
+    ``order`` names another (empty: none).
     """
     spark.dataSource.register(page_source(fetch))
     options = {
@@ -260,6 +395,7 @@ def read_service(
         "pagesPerTask": str(pages_per_task),
         "rowLimit": str(row_limit),
         "linksOnly": str(links_only).lower(),
+        "keys": json.dumps(key_kinds(entity, version)) if by_key else None,
     }
     bodies = (
         spark.read.format("odata_pages")

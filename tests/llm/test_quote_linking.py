@@ -2,7 +2,7 @@ import pytest
 
 from zilverspoor.checks.compare import compare
 from zilverspoor.llm import quote_linking as q
-from zilverspoor.llm.queries import QUOTE_SQL
+from zilverspoor.llm.queries import QUOTE_SQL, queries
 
 MESSAGES = [
     (1, 0, "a", "Hello there\nhow are you?\n\nSecond paragraph here"),
@@ -83,3 +83,12 @@ def test_long_threads(spark):
     rows = [(1, i, "r", f"message {i}") for i in range(70)]
     out = q.conversations(spark.createDataFrame(rows, SCHEMA)).collect()
     assert {(r["turn"], r["depth"], r["thread"]) for r in out} == {(i, i, 0) for i in range(70)}
+
+
+def test_quotes_in_the_given_conversations_are_linked(spark, folder):
+    rows = queries()["quoting_conversations"](spark, folder).collect()
+    linked = [r for r in rows if r["matched"]]
+    assert len(linked) > len(rows) // 4 and not any(">" in (r["text"] or "") for r in rows)
+    assert sum(r["conv_id"] == -1 for r in rows) > len(rows) // 4
+    # the first message quoted at the end is answered, not the one before
+    assert any(r["turn"] - r["reply_to"] > 1 for r in linked if r["conv_id"] != -1)

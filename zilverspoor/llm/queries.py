@@ -399,3 +399,62 @@ def vector_search(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         F.col("query").alias("query_id"), "rank", F.col("key").alias("vec_id"), "score"
     )
+
+
+#: Messages that quote, made of the given ones: the message before, also announced, on two levels or
+#: edited, or a conversation's first message. A third of all is one conversation.
+QUOTING_SQL = r"""made AS (
+  SELECT CASE WHEN m.conv_id % 3 = 0 THEN -1 ELSE m.conv_id END AS conv_id,
+         CASE WHEN m.conv_id % 3 = 0 THEN m.conv_id * 16 + m.turn ELSE m.turn END AS turn, m.role,
+         CASE WHEN p.text IS NULL THEN m.text
+              WHEN (m.conv_id * 5 + m.turn) % 6 = 1 THEN '> ' || replace(p.text, chr(10), chr(10) || '> ') || chr(10) || chr(10) || m.text
+              WHEN (m.conv_id * 5 + m.turn) % 6 = 2 THEN 'On Monday Ada wrote:' || chr(10) || '> ' || replace(p.text, chr(10), chr(10) || '> ') || chr(10) || m.text
+              WHEN (m.conv_id * 5 + m.turn) % 6 = 3 THEN '>> ' || replace(coalesce(q.text, p.text), chr(10), chr(10) || '> > ') || chr(10)
+                || '> ' || replace(p.text, chr(10), chr(10) || '> ') || chr(10) || m.text
+              WHEN (m.conv_id * 5 + m.turn) % 6 = 4 THEN '> ' || replace(p.text, chr(10), chr(10) || '> ') || ' indeed' || chr(10) || m.text
+              WHEN (m.conv_id * 5 + m.turn) % 6 = 5 THEN m.text || chr(10) || '>' || replace(f.text, chr(10), chr(10) || '>')
+              ELSE m.text END AS text
+  FROM conversations m
+  LEFT JOIN conversations p ON p.conv_id = m.conv_id AND p.turn = m.turn - 1
+  LEFT JOIN conversations q ON q.conv_id = m.conv_id AND q.turn = m.turn - 2
+  LEFT JOIN conversations f ON f.conv_id = m.conv_id AND f.turn = 0)"""
+
+
+@query(
+    "quoting_conversations",
+    QUOTE_SQL.replace("WITH RECURSIVE ln", f"WITH RECURSIVE {QUOTING_SQL},\nln").replace(
+        "conversations WHERE", "made WHERE"
+    ).replace("FROM conversations c", "FROM made c"),
+)
+def quoting_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    """Quote linking on messages that do quote: what was given quotes nothing."""
+    from zilverspoor.llm import quote_linking as q
+
+    given = table(spark, folder, "conversations")
+    other = lambda name, back: given.select(
+        "conv_id", (F.col("turn") + back).alias("turn"), F.col("text").alias(name)
+    )
+    first = given.where("turn = 0").select("conv_id", F.col("text").alias("f"))
+    rows = given.join(other("p", 1), ["conv_id", "turn"], "left")
+    rows = rows.join(other("q", 2), ["conv_id", "turn"], "left").join(first, "conv_id", "left")
+    lines = lambda text, marks: F.replace(text, F.lit("\n"), F.lit(f"\n{marks}"))
+    quoted = F.concat(F.lit("> "), lines(F.col("p"), "> "))
+    deeper = F.concat(F.lit(">> "), lines(F.coalesce("q", "p"), "> > "))
+    cases = {
+        1: F.concat(quoted, F.lit("\n\n"), "text"),
+        2: F.concat(F.lit("On Monday Ada wrote:\n"), quoted, F.lit("\n"), "text"),
+        3: F.concat(deeper, F.lit("\n"), quoted, F.lit("\n"), "text"),
+        4: F.concat(quoted, F.lit(" indeed\n"), "text"),
+        5: F.concat("text", F.lit("\n>"), lines(F.col("f"), ">")),
+    }
+    kind = (F.col("conv_id") * 5 + F.col("turn")) % 6
+    text = F.when(F.col("p").isNull(), F.col("text"))
+    for number, made in cases.items():
+        text = text.when(kind == number, made)
+    hot = F.col("conv_id") % 3 == 0
+    messages = rows.select(
+        F.when(hot, -1).otherwise(F.col("conv_id")).alias("conv_id"),
+        F.when(hot, F.col("conv_id") * 16 + F.col("turn")).otherwise(F.col("turn")).alias("turn"),
+        "role", text.otherwise(F.col("text")).alias("text"),
+    )
+    return q.conversations(messages)

@@ -54,7 +54,7 @@ LEAST, DISCOUNT = 1, 0.5
 #: Tokens that a task counts before it sends blocks off.
 TOKENS = 2_000_000
 #: Bytes of text that are looked up at once: the more, the more look-ups a shard gets together.
-SLICE = 4 << 20
+SLICE = 8 << 20
 #: Bytes of text that are hashed at once.
 NEAR = 1 << 18
 #: A context with fewer tokens is never dealt over all shards.
@@ -160,7 +160,20 @@ class Trie:
         self, k: int, parents: np.ndarray, words: np.ndarray
     ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Nodes of level k (or -1) below nodes of level k - 1; the share each has, and the share
-        its context leaves over."""
+        its context leaves over.
+
+        Equal pairs are looked up once, and in order, so that a shard is read from front to back.
+        """
+        order, heads = _in_order(parents, words, self.words)
+        first = order[heads]
+        found = self._in_shards(k, parents[first], words[first])
+        which = np.empty(len(order), np.int64)
+        which[order] = np.cumsum(heads) - 1
+        return tuple(x[which] for x in found)
+
+    def _in_shards(
+        self, k: int, parents: np.ndarray, words: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         level = self.levels[k - 1]
         nodes = np.full(len(parents), -1, np.int64)
         share, left = np.zeros(len(parents)), np.ones(len(parents))
@@ -169,9 +182,8 @@ class Trie:
             if level.files[s] is None:
                 continue
             held = shard_arrays(level.folder, level.files[s])
-            coded = pa.array(parents[at]).dictionary_encode()
-            context = coded.dictionary.to_numpy(zero_copy_only=False)
-            inverse = coded.indices.to_numpy(zero_copy_only=False)
+            context, each = runs(parents[at])
+            inverse = np.repeat(np.arange(len(context)), each)
             place = held["contexts"].find(context)
             known = place >= 0
             first, last = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
@@ -194,6 +206,23 @@ class Trie:
         return nodes, share, left
 
 
+def _in_order(
+    parents: np.ndarray, words: np.ndarray, size: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The order of pairs whose words are below ``size``, and where in it a new pair begins."""
+    if not len(parents):
+        return np.empty(0, np.int64), np.empty(0, bool)
+    if (int(parents.max()) + 1) * size < 1 << 63:  # a pair fits into one number
+        pair = parents * size + words
+        order = np.argsort(pair)
+        pair = pair[order]
+        new = pair[1:] != pair[:-1]
+    else:
+        order = np.lexsort((words, parents))
+        new = (np.diff(parents[order]) != 0) | (np.diff(words[order]) != 0)
+    return order, np.concatenate([[True], new])
+
+
 def _differences(sums: EliasFano, i: np.ndarray) -> np.ndarray:
     return (sums.get(i + 1) - sums.get(i)).astype(np.int64)
 
@@ -310,27 +339,28 @@ def _blocks(
     for s in filled:
         at = order[cuts[s] : cuts[s + 1]]
         w, c = words[at], counts[at]
-        # contexts once, with the number of their successors
+        # contexts once, as steps from one to the next, with the number of their successors
         p, each = runs(parents[at])
-        small = np.uint8 if c.max() < 256 else np.int64
-        wide = w.dtype if w.dtype == np.uint64 or int(w.max()) >= 1 << 32 else np.uint32
-        block = pack({
-            "parents": p, "each": each.astype(np.uint32),
-            "words": w.astype(wide), "counts": c.astype(small),
-        })
-        out.append(block)
+        steps = np.diff(p, prepend=0)
+        columns = {"steps": steps, "each": each, "words": w, "counts": c}
+        out.append(pack({name: _narrow(x) for name, x in columns.items()}))
     return pa.RecordBatch.from_arrays(
         [pa.array(filled.astype(np.int32)), pa.array(out, pa.binary())], names=["shard", "block"]
     )
 
 
-def _merge(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _narrow(numbers: np.ndarray) -> np.ndarray:
+    """Numbers from zero on in the fewest bytes that hold all of them."""
+    most = int(numbers.max(initial=0))
+    return numbers.astype(next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if most <= np.iinfo(t).max))
+
+
+def _merge(blocks: list[bytes], kind: type) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     each = [unpack(np.frombuffer(b, np.uint8)) for b in blocks]
-    parents = np.concatenate([np.repeat(e["parents"], e["each"]) for e in each])
-    words = np.concatenate([e["words"] for e in each])
+    contexts = [np.cumsum(e["steps"].astype(np.int64)) for e in each]
+    parents = np.concatenate([np.repeat(c, e["each"].astype(np.int64)) for c, e in zip(contexts, each)])
     counts = np.concatenate([e["counts"].astype(np.int64) for e in each])
-    if words.dtype != np.uint64:
-        words = words.astype(np.int64)
+    words = np.concatenate([e["words"].astype(kind) for e in each])
     return _counted(parents, words, counts)
 
 
@@ -440,7 +470,7 @@ def _build(docs: DataFrame, levels: list[Level], shards: int, folder: str) -> Le
 
 def _shard(folder, shard, blocks, trie, order, known, shards) -> dict:
     """Merge a shard's blocks, write its file and say what it holds."""
-    parents, words, counts = _merge(blocks)
+    parents, words, counts = _merge(blocks, np.uint64 if order == 1 else np.int64)
     tokens = int(counts.sum())
     dealt, dealt_sums = [], []
     if order == 1:

@@ -378,21 +378,33 @@ def test_a_publish_that_ends_anywhere_is_all_or_nothing(spark, store, rows, monk
     assert rows(again.read("a")) == [*want["a"], (9, "next")]
 
 
-@pytest.mark.parametrize("step", ["claimed", "renamed"])
-def test_a_replace_with_other_columns_that_ends(spark, store, rows, monkeypatch, step):
+@pytest.mark.parametrize("step", ["CREATE TABLE", "RENAME TO `{}`.`t__old", "RENAME TO `{}`.`t`", "DROP TABLE"])
+@pytest.mark.parametrize("done", [False, True])
+def test_a_replace_with_other_columns_that_ends(spark, store, rows, monkeypatch, step, done):
     store.replace(people(spark, (1, "a")), "t")
-    define = store._define
+    sql, step = spark.sql, step.format(store.database)
 
-    def ends(table, columns, path):
-        if step == "renamed":
-            define(table, columns, path)
-        raise Ended
+    def ends(query, *more):
+        if step in query:
+            if done:
+                sql(query, *more)
+            raise Ended
+        return sql(query, *more)
 
-    monkeypatch.setattr(store, "_define", ends)
+    monkeypatch.setattr(spark, "sql", ends)
     with pytest.raises(Ended):
         store.replace(spark.createDataFrame([(5,)], "other long"), "t")
+    monkeypatch.setattr(spark, "sql", sql)
     again = TableStore(spark, store.database, store.root)
     assert rows(again.read("t")) == [(5,)]
+    again.replace(people(spark, (2, "b")), "t")
+    assert rows(again.read("t")) == [(2, "b")]
+
+
+def test_a_dropped_table_stays_out(spark, store):
+    store.replace(people(spark, (1, "a")), "t")
+    spark.sql(f"DROP TABLE {store.name('t')}")
+    assert TableStore(spark, store.database, store.root).recover() == [] and not store.exists("t")
 
 
 def test_two_publishes_at_once(spark, store, rows):

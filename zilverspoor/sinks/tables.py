@@ -17,6 +17,7 @@ them out. Tables must be written through a store: other writers don't know about
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
@@ -73,6 +74,7 @@ class Staged:
             after = replace(now.with_loose({}, self.gone), folders=folders)
         else:  # dealt anew
             fits &= now.folders == self.base.folders and now.buckets == self.base.buckets
+            fits &= self.base.size > 0 or now.size == 0
             after = replace(
                 now.with_loose({}, self.gone), key=self.key, buckets=self.buckets, folders=self.folders
             )
@@ -159,11 +161,17 @@ class TableStore:
     def recover(self) -> list[str]:
         """Bring the catalog up to the log, and give the tables that were behind.
 
-        A table that is not in the catalog stays out of it: it may have been dropped.
+        A table that is not in the catalog stays out of it, as it may have been dropped, unless its
+        definition was just being exchanged: then it stands there under other names.
         """
         behind = []
         for table, version in self.log.read()[1].items():
             if not self.exists(table):
+                if others := self._exchanged(table):
+                    self._show(table, version)
+                    behind.append(table)
+                for other in others:
+                    self.spark.sql(f"DROP TABLE IF EXISTS {self.name(other)}")
                 continue
             shown = self.log.qualified(self.location(table))
             if shown != self.log.qualified(self._target(table, version)) or _plain(
@@ -198,7 +206,7 @@ class TableStore:
 
     def _redefine(self, table: str, columns: str, path: str) -> None:
         """The new definition takes the old one's name, and the old one comes back if it cannot."""
-        twin, old = (f"{table}__{_new_name()}" for _ in range(2))
+        twin, old = f"{table}__new_{_new_name()}", f"{table}__old_{_new_name()}"
         self._define(twin, columns, path)
         self.spark.sql(f"ALTER TABLE {self.name(table)} RENAME TO {self.name(old)}")
         try:
@@ -208,6 +216,11 @@ class TableStore:
             raise
         self.spark.sql(f"DROP TABLE {self.name(old)}")
 
+    def _exchanged(self, table: str) -> list[str]:
+        """The names that a table has while its definition is exchanged."""
+        found = self.spark.sql(f"SHOW TABLES IN `{self.database}`").select("tableName").collect()
+        return [r[0] for r in found if re.fullmatch(rf"{re.escape(table)}__(new|old)_\w+", r[0])]
+
     def _point(self, table: str, path: str) -> None:
         self.spark.sql(f"ALTER TABLE {self.name(table)} SET LOCATION '{path}'")
         self.spark.catalog.refreshTable(self.name(table))

@@ -2,6 +2,12 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and gives a frame; the driver of a run writes it as
 Parquet and reads it again for the next stage. All stages but the last give the columns they got.
+
+Defined cases of all stages: other columns of any name pass through (the last stage leaves them
+out); an empty table gives an empty one. NULL and empty texts fail the quality rules, are no copies
+of each other, are clean of the benchmark, hold no secrets and have no ids. Repeated rows are one
+class of near copies, of which one row stays; the other stages judge them one by one. Ids are whole
+numbers; rows without one are kept like others.
 """
 
 from __future__ import annotations

@@ -1,6 +1,7 @@
 import os
 
 import public_tokenizers
+import pytest
 import tiktoken
 
 import __spark_entry__ as driver
@@ -75,3 +76,29 @@ def test_run_gives_ids_of_the_kept_texts(spark, folder):
         same += text == texts[i]
         assert text == texts[i] or "[SECRET]" in text
     assert same > 0.9 * len(rows)
+
+
+AWKWARD = "doc_id long, text string, lang string, source string, n_chars long, row_ string, key int, failures string, spans int, `class` string"
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_stages_on_awkward_tables(spark, tmp_path, awkward, name):
+    write(spark, str(tmp_path), ["x"])
+    stage = dict(p.STAGES)[name]
+    rows = [(None if i == 3 else i, t, None, "s", None, "x", 1, "y", 2, "z") for i, t in enumerate(awkward)]
+    docs = spark.createDataFrame(rows, AWKWARD)
+    for frame, n in ((docs.limit(0), 0), (docs, len(awkward)), (docs.unionAll(docs), 2 * len(awkward))):
+        out = stage(spark, frame, str(tmp_path))
+        found = out.collect()
+        if name == NAMES[-1]:
+            assert out.columns == ["doc_id", "n_tokens", "ids"]
+        else:
+            assert out.columns == docs.columns and out.schema["text"] == docs.schema["text"]
+            given = {r[1] for r in rows}
+            assert {r["text"] for r in found} <= given
+        assert len(found) <= n
+        if name not in ("quality", "near_duplicates"):
+            assert len(found) == n
+        if name == "near_duplicates" and n:
+            one = sum(t is None or not t.strip() for t in awkward)
+            assert len(found) < n and sum(not (r["text"] or "").strip() for r in found) >= one

@@ -120,3 +120,23 @@ def test_templates_that_were_never_seen(spark):
             total += 1
     print(f"unseen templates judged right: {right} of {total}")
     assert total > 1800 and right >= 0.75 * total
+
+
+def test_keys_that_are_no_numbers_are_errors(spark):
+    import public_tokenizers
+
+    from zilverspoor.llm import decontaminate, minhash_dedup, quote_linking, token_records
+    from zilverspoor.session import run_dir
+
+    docs = spark.createDataFrame([("abc", "some words here")], "doc_id string, text string")
+    talk = spark.createDataFrame([("abc", 0, "a", "hi")], "conv_id string, turn int, role string, text string")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    folder = run_dir(spark, "keys")
+    for run in (
+        lambda: minhash_dedup.classes(docs).collect(),
+        lambda: token_records.write(docs, folder, path, 2),
+        lambda: quote_linking.conversations(talk).collect(),
+        lambda: decontaminate.hits(docs, docs, item="doc_id").collect(),
+    ):
+        with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+            run()

@@ -11,7 +11,9 @@ Windows of very different lengths get searches of their own, as the shortest one
 A benchmark is searched in parts of a bounded size, so what a task holds does not grow with it; each
 part is one pass over the texts, and a text's hits are united afterwards.
 
-Defined cases: NULL and empty texts have no words and are clean; items without words have no window;
+Defined cases: NULL and empty texts have no words and are clean; items without words have no window,
+and items without an id or a text are left out; ids of items are whole numbers, and a text that is
+none is an error;
 repeated rows are judged one by one; equal windows of several items count for each; an empty
 benchmark leaves all texts clean; other columns don't matter and pass through ``drop_contaminated``.
 """

@@ -18,8 +18,9 @@ that no link is lost that the bands show.
 
 Defined cases: words are letters and digits, lower-cased; a text of fewer than five words is one
 shingle; NULL, empty and wordless texts are classes of their own; repeated rows are one class; a
-class is named by its least key, NULL keys coming last; an empty table gives no rows; other columns
-pass through :func:`drop_duplicates` and don't matter elsewhere.
+class is named by its least key, NULL keys coming last; keys are whole numbers, and a text that is
+none is an error; an empty table gives no rows; other columns pass through :func:`drop_duplicates`
+and don't matter elsewhere.
 """
 
 from __future__ import annotations

@@ -13,8 +13,9 @@ to, until all point to the first message. No conversation is ever gathered in on
 
 Defined cases: NULL texts stay NULL, quote nothing and write nothing; a message that only quotes
 becomes empty; messages with the same conversation and turn each get their rows, and others link to
-their common turn; NULL conversations or turns link to nothing; a quote of text that nobody wrote
-earlier links to nothing; an empty table gives no rows; other columns are left out.
+their common turn; NULL conversations or turns link to nothing; these are whole numbers, and a text
+that is none is an error; a quote of text that nobody wrote earlier links to nothing; an empty table
+gives no rows; other columns are left out.
 """
 
 from __future__ import annotations

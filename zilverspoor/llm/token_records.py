@@ -15,8 +15,9 @@ Files get a name of the attempt that writes them; the manifest, written by Spark
 tasks that succeeded. So a lost executor leaves at most files that nobody reads.
 
 Defined cases: NULL and empty texts give the end id only; a NULL key sorts first and is read back as
-NULL; rows with equal keys are all kept, ordered by text; other columns of the input are left out;
-an empty table gives a manifest without files, and reading gives no rows.
+NULL; rows with equal keys are all kept, ordered by text; keys are whole numbers, and a text that is
+none is an error; other columns of the input are left out; an empty table gives a manifest without
+files, and reading gives no rows.
 """
 
 from __future__ import annotations

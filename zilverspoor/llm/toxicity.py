@@ -13,6 +13,7 @@ Fitting reads a sample of about ``FIT_ROWS`` labelled rows, everything of each t
 all texts.
 
 Defined cases: NULL and empty texts and texts without a matched clause get the score of no evidence;
+a NULL key is in neither part of a split (:func:`held_out` gives NULL) and has no labels;
 NULL labels don't count, and a document with several labels takes the highest; without labels the
 model has no insults and fixed coefficients; repeated rows are scored one by one; an empty table
 gives no rows; other columns are left out.

@@ -11,7 +11,8 @@ to the left on the transform: an interval that is new after ``l`` steps marks a
 many bytes or more.
 
 Where a core has more than ``CROWD`` different stretches (a common passage in ever new surroundings)
-its windows are dealt once more, each by its own digest, so that no task ever gets the crowd.
+its windows are dealt once more, each by its own digest. The stretches of one core, one from each
+block of texts that has it, are numbers of a few bytes that meet in one task before they are counted.
 
 Documents are known by a digest of key and text. Texts go through two shuffles (to cut the stretches
 that are compared, and to cut the result), everything else is numbers.

@@ -97,6 +97,8 @@ class VersionLog:
             os.link(draft.toUri().getPath(), target.toUri().getPath())
         except FileExistsError:
             return False
+        except OSError:  # a mount without hard links
+            return self._rename(draft, target)
         return True
 
     def _rename(self, draft, target) -> bool:

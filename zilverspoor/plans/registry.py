@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 from types import SimpleNamespace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,7 @@ from zilverspoor.operators.columns import (
     resolve_columns,
     resolve_table,
 )
+from zilverspoor.session import together
 
 
 @dataclass(frozen=True)
@@ -87,16 +89,24 @@ class Planned:
 
 
 def plan_all(
-    bronze: Bronze, targets: Iterable[str] | None = None, row_limit: int = 0
+    bronze: Bronze, targets: Iterable[str] | None = None, row_limit: int = 0, width: int = 4
 ) -> Planned:
-    """Build every mapping whose tables and columns are there.
+    """Build every mapping whose tables and columns are there, ``width`` side by side, as some
+    write their joined rows while they are built.
 
     Only a missing table or column skips a mapping; any other error stops the run.
     """
-    frames, skipped = {}, {}
-    for target in targets if targets is not None else MAPPINGS:
+    names = list(targets if targets is not None else MAPPINGS)
+
+    def one(target: str) -> DataFrame | str:
         try:
-            frames[target] = build(target, bronze, row_limit)
+            return build(target, bronze, row_limit)
         except MissingSource as error:
-            skipped[target] = str(error)
-    return Planned(frames, skipped)
+            return str(error)
+
+    sessions = [df.sparkSession for df in bronze.tables.values()]
+    actions = [partial(one, name) for name in names]
+    made = together(sessions[0], actions, width) if sessions else [a() for a in actions]
+    found = dict(zip(names, made))
+    frames = {t: f for t, f in found.items() if not isinstance(f, str)}
+    return Planned(frames, {t: f for t, f in found.items() if isinstance(f, str)})

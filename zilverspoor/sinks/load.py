@@ -49,7 +49,7 @@ def load_silver(
     skipped; the result lists what was loaded and what was skipped and why.
     """
     modes = {name.lower(): mode.lower() for name, mode in (modes or {}).items()}
-    planned = plan_all(bronze, targets, row_limit)
+    planned = plan_all(bronze, targets, row_limit, width)
 
     def stage(target: str, frame: DataFrame) -> tuple[Staged, DataFrame | None]:
         key = CONTRACTS[target].primary_key if target in CONTRACTS else ()

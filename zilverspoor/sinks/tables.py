@@ -193,7 +193,7 @@ class TableStore:
             return
         empty = Version(contract.ddl_columns(), {_new_name(): 0})
         self._change(lambda versions: versions | {contract.name.lower(): empty})
-        self._show(contract.name, empty)
+        self._define(contract.name, empty.columns, self._target(contract.name, empty))
         if contract.seed:
             names = [f.name for f in contract.schema]
             self.append(self.spark.createDataFrame(list(contract.seed), names), contract.name)
@@ -389,11 +389,11 @@ class TableStore:
             return after
 
         tables = list(dict.fromkeys(item.table.lower() for item in staged))
-        first = {t: self.version(t) for t in tables}  # for tables that the log doesn't know yet
+        first = {item.table.lower(): item.base for item in staged}  # where the log has no entry yet
         before, after = self._change(with_staged)
         try:
-            for table in tables:
-                self._show(table, after[table])
+            for table in tables:  # definitions stay
+                self._point(table, self._target(table, after[table]))
         except Exception as error:
             self._take_back(tables, first | before, after, error)
             raise

@@ -1,13 +1,17 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fake_service import ChangingService, FakeService
 from zilverspoor.sources.odata import (
+    _ENTITY_SET,
+    _ENTITY_TYPE,
     EntityType,
     entity_type,
     parse_pages,
+    read_elements,
     read_entity_sets,
     read_entity_types,
     read_pages,
@@ -206,6 +210,44 @@ def test_metadata(spark, tmp_path):
         entity_type(types, "Nope")
 
 
+PARTS = """<?xml version="1.0"?><!-- made by hand -->
+<Edmx><Schema><EntityType Name="A" Note="1 > 0 / 2"><Key><PropertyRef Name="ID"/></Key>
+<!-- no longer: <Property Name="Old"/> --><Property Name="ID" Type='Edm.Int32'></Property>
+<Property Name="x &lt;&amp; y"/></EntityType  ><EntityType
+ Name="/>"/><EntityType/><EntityType><Property Name="p"/></EntityType>
+<EntityContainer><EntitySet Name="As" EntityType="S.A" /><EntitySet Name="Cs" EntityType="S.C"></EntitySet>
+</EntityContainer></Schema></Edmx>"""
+ODD_PARTS = [
+    '<Schema><!-- <EntityType Name="Gone"/> --><EntityType Name="B"/></Schema>',
+    '<Schema><EntityType Name="C"><Note><![CDATA[</EntityType>]]></Note></EntityType></Schema>',
+    '<Schema><EntityTypes/><EntityType Name="D"><EntityTypeNote/><Key/></EntityType></Schema>',
+]
+
+
+def test_elements_are_those_of_the_xml_reader(spark, tmp_path):
+    for number, document in enumerate([PARTS, *ODD_PARTS, " " + PARTS.split("?>")[1], "<Schema/>"]):
+        (tmp_path / f"a {number}{{x}}.xml").write_text(document)
+    for tag, schema, n in (("EntityType", _ENTITY_TYPE, 11), ("EntitySet", _ENTITY_SET, 4)):
+        got = read_elements(spark, str(tmp_path), tag, schema)
+        want = spark.read.format("xml").option("rowTag", tag).schema(schema).load(str(tmp_path))
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        assert got.count() == n
+
+
+def test_one_document_is_read_by_many_tasks(spark, tmp_path):
+    types = "".join(f'<EntityType Name="T{i}"><Key/></EntityType>' for i in range(20_000))
+    (tmp_path / "metadata.xml").write_text(f"<Schema>{types}</Schema>")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        rows = read_entity_types(spark, str(tmp_path))
+        assert rows.select("entity_type").distinct().count() == rows.count() == 20_000
+        tasks = rows.groupBy(F.spark_partition_id()).count().collect()
+        assert len(tasks) >= 10 and max(r["count"] for r in tasks) < 4_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def keyed(spark, service, keys=None, **more):
     kinds = {"id": T.LongType(), **(keys or {}), "value": T.StringType()}
     entity = EntityType("Item", tuple(keys or ["id"]), kinds, {})

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -234,18 +236,47 @@ def _sets(raw: DataFrame) -> DataFrame:
     return raw.select(F.col("_Name").alias("entity_set"), bare.alias("entity_type"))
 
 
+def read_elements(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
+    """All elements of a name in XML documents, a large document by many tasks.
+
+    Spark's XML reader gives a document to one task. Here documents are text that is cut in front
+    of every start tag, which Spark can do from anywhere in a file, so each piece but a document's
+    first begins with an element. A document where that may not be so (tags in comments, CDATA, a
+    document type, longer names that begin alike, an element of the name in another or without an
+    end) is still read whole.
+    """
+    comment = F.regexp_replace("value", r"<!--[\s\S]*?-->", "")
+    pieces = spark.read.option("lineSep", f"<{tag}").text(path).select(
+        F.when(F.col("value").contains("<!--"), comment).otherwise(F.col("value")).alias("text"),
+        F.col("_metadata.file_path").alias("file"),
+    )
+    text = F.col("text")
+    attributes = r"""(?:[^<>"'/]++|/(?!>)|"[^"]*+"|'[^']*+')*+"""
+    alone = rf"^(?:\s{attributes})?/>"
+    ended = text.rlike(alone) | text.contains(f"</{tag}")
+    head = text.rlike(r"^[\s\ufeff]*(?:<|$)")
+    plain = head | (text.rlike(r"^(?:\s+[^\s<]|/?>)") & ended)
+    odd = ~plain | text.contains("<!") | text.contains("-->")
+    whole = sorted(r["file"] for r in pieces.where(odd).select("file").distinct().collect())
+    closed = F.concat(F.substring_index(text, f"</{tag}", 1), F.lit(f"</{tag}>"))
+    element = F.when(text.rlike(alone), F.regexp_extract(text, alone, 0)).otherwise(closed)
+    parsed = F.from_xml(F.concat(F.lit(f"<{tag}"), element), schema)
+    found = pieces.where(~head & ~F.col("file").isin(whole)).select(parsed.alias("e")).select("e.*")
+    if not whole:
+        return found
+    names = [re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(file)) for file in whole]
+    read = spark.read.format("xml").option("rowTag", tag).schema(schema).load(names)
+    return found.unionByName(read)
+
+
 def read_entity_types(spark: SparkSession, path: str) -> DataFrame:
     """Entity types of metadata documents: name, keys, properties, navigation."""
-    return _types(
-        spark.read.format("xml").option("rowTag", "EntityType").schema(_ENTITY_TYPE).load(path)
-    )
+    return _types(read_elements(spark, path, "EntityType", _ENTITY_TYPE))
 
 
 def read_entity_sets(spark: SparkSession, path: str) -> DataFrame:
     """Entity sets of metadata documents with the bare name of their type."""
-    return _sets(
-        spark.read.format("xml").option("rowTag", "EntitySet").schema(_ENTITY_SET).load(path)
-    )
+    return _sets(read_elements(spark, path, "EntitySet", _ENTITY_SET))
 
 
 def parse_metadata(spark: SparkSession, document: str) -> tuple[DataFrame, DataFrame]:

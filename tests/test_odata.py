@@ -9,6 +9,7 @@ from zilverspoor.sources.odata import (
     _ENTITY_SET,
     _ENTITY_TYPE,
     EntityType,
+    entity_navigation,
     entity_type,
     parse_pages,
     read_elements,
@@ -248,6 +249,22 @@ def test_one_document_is_read_by_many_tasks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_navigation_of_one_document_comes_from_many_tasks(spark, tmp_path):
+    ends = '<NavigationProperty Name="Orders" Type="Collection(S.O)"/><NavigationProperty Name="Of"/>'
+    types = "".join(f'<EntityType Name="T{i}">{ends if i % 2 else ""}</EntityType>' for i in range(6_000))
+    (tmp_path / "metadata.xml").write_text(f"<Schema>{types}</Schema>")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        found = entity_navigation(read_entity_types(spark, str(tmp_path)))
+        got = [tuple(r) for r in found.withColumn("task", F.spark_partition_id()).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = {(f"T{i}", *end) for i in range(1, 6_000, 2) for end in (("Orders", "Collection(S.O)"), ("Of", ""))}
+    assert len(got) == 6_000 and {r[:3] for r in got} == want
+    assert len({r[3] for r in got}) >= 8
+
+
 def keyed(spark, service, keys=None, **more):
     kinds = {"id": T.LongType(), **(keys or {}), "value": T.StringType()}
     entity = EntityType("Item", tuple(keys or ["id"]), kinds, {})

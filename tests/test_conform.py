@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
@@ -89,3 +90,16 @@ def test_conform_splits_rows(spark):
 
 def test_every_mapping_has_a_contract():
     assert set(MAPPINGS) == set(CONTRACTS)
+
+
+def test_reasons_are_only_gathered_for_rows_that_have_some(spark):
+    """The array takes a loop over its values, which no row without a reason should pay for."""
+    contract = TableContract("T", T.StructType([T.StructField("A", T.IntegerType()), T.StructField("B", T.VarcharType(2))]))
+    df = spark.createDataFrame([("1", "xy"), ("x", "xyz"), ("2", "xyz"), (None, None)], "a string, b string")
+    checked = conform(df, contract).checked
+    got = {(r["A"], r["B"], tuple(r["__problems"])) for r in checked.collect()}
+    assert got == {
+        (1, "xy", ()), (None, "xyz", ("cast:A", "length:B")), (2, "xyz", ("length:B",)), (None, None, ())
+    }
+    plan = checked._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"CASE WHEN isnotnull\(coalesce\(.* THEN \w+\(filter\(array\(", plan)

@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 from zilverspoor.contracts import BESCHIKKING, CLIENT, WET_ENUM
 from zilverspoor.plans import MAPPINGS, Bronze, build, plan_all
+from zilverspoor.session import HASHED_PARTITIONS
 from zilverspoor.sinks.load import create_silver, key_report, load_silver, reference_report
-from zilverspoor.sinks import tables
+from zilverspoor.sinks import load, tables
 from zilverspoor.sinks.tables import LoadError, TableStore
 from zilverspoor.sinks.versions import Version, VersionLog
 
@@ -445,3 +446,29 @@ def test_a_table_from_before_the_log(spark, store, rows):
     store.write(people(spark, (2, "b")), "t", "append")
     store.write(people(spark, (1, "c")), "t", "upsert", key=["id"])
     assert rows(store.read("t")) == [(1, "c"), (2, "b")]
+
+
+def test_a_load_hashes_small_partitions_of_shuffled_sides(spark, store, monkeypatch):
+    key, small = HASHED_PARTITIONS[0], "spark.sql.autoBroadcastJoinThreshold"
+    before, seen = {k: spark.conf.get(k) for k in (key, small)}, []
+
+    def planned(*args):
+        left = spark.range(3000).selectExpr("id", "id % 7 as a")
+        joined = left.join(spark.range(3000).selectExpr("id", "id % 5 as b"), "id", "left")
+        assert joined.where("b = a").count() == 430
+        joined.collect()
+        seen.append(joined._jdf.queryExecution().executedPlan().toString())
+        return plan_all(*args)
+
+    monkeypatch.setattr(load, "plan_all", planned)
+    create_silver(store)
+    spark.conf.set(small, "-1")
+    try:
+        load_silver(bronze(spark), store, ["CLIENT"])
+        assert "ShuffledHashJoin" in seen[0].split("Initial Plan")[0]
+        monkeypatch.setattr(load, "plan_all", lambda *args: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            load_silver(bronze(spark), store, ["CLIENT"])
+        assert spark.conf.get(key) == before[key]  # after an error too
+    finally:
+        spark.conf.set(small, before[small])

@@ -149,7 +149,10 @@ def conform(df: DataFrame, contract: TableContract, null_keys: bool = False) ->
         if field.name in contract.primary_key and not null_keys:
             problems.append(F.when(value.isNull(), F.lit(f"null:{field.name}")))
         columns.append(value.alias(field.name))
-    found = F.array_compact(F.array(*problems)) if problems else F.array().cast("array<string>")
+    found = none = F.array().cast("array<string>")
+    if problems:  # the array is only made for a row that has any
+        some = F.coalesce(*problems).isNotNull()
+        found = F.when(some, F.array_compact(F.array(*problems))).otherwise(none)
     return Conformed(df.select(*columns, found.alias("__problems")))
 
 

@@ -12,7 +12,7 @@ from zilverspoor.contracts import CONTRACTS, TableContract
 from zilverspoor.operators.conform import Conformed, conform
 from zilverspoor.operators.quality import fk_orphans, pk_violations
 from zilverspoor.plans.registry import Bronze, plan_all
-from zilverspoor.session import together
+from zilverspoor.session import hashed_joins, together
 from zilverspoor.sinks.tables import LoadError, Staged, TableStore
 
 _REPORT = "target string, status string, reason string"
@@ -49,7 +49,6 @@ def load_silver(
     skipped; the result lists what was loaded and what was skipped and why.
     """
     modes = {name.lower(): mode.lower() for name, mode in (modes or {}).items()}
-    planned = plan_all(bronze, targets, row_limit, width)
 
     def stage(target: str, frame: DataFrame) -> tuple[Staged, DataFrame | None]:
         key = CONTRACTS[target].primary_key if target in CONTRACTS else ()
@@ -74,8 +73,10 @@ def load_silver(
                 raise LoadError(f"{target}: key {list(key)} is not unique or incomplete")
         return item, found
 
-    actions = [partial(stage, target, frame) for target, frame in planned.frames.items()]
-    done = together(store.spark, actions, width)
+    with hashed_joins(store.spark):
+        planned = plan_all(bronze, targets, row_limit, width)
+        actions = [partial(stage, target, frame) for target, frame in planned.frames.items()]
+        done = together(store.spark, actions, width)
     staged = [item for item, _ in done]
     bad = [rows for _, rows in done if rows is not None]
     if bad:

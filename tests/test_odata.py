@@ -265,6 +265,35 @@ def test_navigation_of_one_document_comes_from_many_tasks(spark, tmp_path):
     assert len({r[3] for r in got}) >= 8
 
 
+def test_ends_of_comments_in_values_leave_a_document_to_many_tasks(spark, tmp_path):
+    value = "a --> b &lt;!-- ]]>"
+    end = f'<NavigationProperty Name="Of" Type="{value}"/>'
+    types = "".join(f'<EntityType Name="T{i}"><!-- {i} -->{end}</EntityType>' for i in range(6_000))
+    (tmp_path / "metadata.xml").write_text(f"<Schema>{types}</Schema>")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        found = entity_navigation(read_entity_types(spark, str(tmp_path)))
+        got = [tuple(r) for r in found.withColumn("task", F.spark_partition_id()).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = {(f"T{i}", "Of", "a --> b <!-- ]]>") for i in range(6_000)}
+    assert len(got) == 6_000 and {r[:3] for r in got} == want
+    assert len({r[3] for r in got}) >= 8
+
+
+def test_comments_over_several_pieces_are_those_of_the_xml_reader(spark, tmp_path):
+    (tmp_path / "metadata.xml").write_text(
+        """<Schema><EntityType Name="A --> x"/><!-- was <EntityType Name="Gone"/> and
+<EntityType Name="Gone too"/> --><EntityType Name="B"><Key/><!-- <EntityType Name="No"/>
+--><Property Name="-->"/></EntityType></Schema>"""
+    )
+    got = read_entity_types(spark, str(tmp_path)).collect()
+    raw = spark.read.format("xml").option("rowTag", "EntityType").schema(_ENTITY_TYPE)
+    want = {r["_Name"] for r in raw.load(str(tmp_path)).collect()}
+    assert {r["entity_type"] for r in got} == want == {"A --> x", "B"}
+
+
 def keyed(spark, service, keys=None, **more):
     kinds = {"id": T.LongType(), **(keys or {}), "value": T.StringType()}
     entity = EntityType("Item", tuple(keys or ["id"]), kinds, {})

@@ -256,7 +256,8 @@ def read_elements(spark: SparkSession, path: str, tag: str, schema: str) -> Data
     ended = text.rlike(alone) | text.contains(f"</{tag}")
     head = text.rlike(r"^[\s\ufeff]*(?:<|$)")
     plain = head | (text.rlike(r"^(?:\s+[^\s<]|/?>)") & ended)
-    odd = ~plain | text.contains("<!") | text.contains("-->")
+    # a comment over several pieces still has its begin; an end alone is a value
+    odd = ~plain | text.contains("<!")
     whole = sorted(r["file"] for r in pieces.where(odd).select("file").distinct().collect())
     closed = F.concat(F.substring_index(text, f"</{tag}", 1), F.lit(f"</{tag}>"))
     element = F.when(text.rlike(alone), F.regexp_extract(text, alone, 0)).otherwise(closed)

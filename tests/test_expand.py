@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from zilverspoor.operators.expand import repeat_rows
+from zilverspoor.operators.expand import FEW, repeat_rows
 
 
 def test_copies(spark, rows):
@@ -20,3 +20,12 @@ def test_one_row_of_many_copies_is_spread_over_all_tasks(spark):
     counts = sorted(r["count"] for r in got.count().collect())
     assert sum(counts) == 2_000_999
     assert len(counts) == 8 and counts[-1] < 2 * counts[0]
+
+
+def test_few_copies_are_made_in_place(spark, rows):
+    df = spark.range(100).select("id", (F.col("id") % 4).alias("n"))
+    got = repeat_rows(df, "n", most=3)
+    assert rows(got) == rows(repeat_rows(df, "n"))
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    many = repeat_rows(df, "n", most=FEW + 1)
+    assert "RoundRobin" in many._jdf.queryExecution().executedPlan().toString()

@@ -1,11 +1,15 @@
+import threading
+import time
 import uuid
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
 
 from zilverspoor.contracts import BESCHIKKING, CLIENT, WET_ENUM
 from zilverspoor.plans import MAPPINGS, Bronze, build, plan_all
-from zilverspoor.session import HASHED_PARTITIONS
+from zilverspoor import session
+from zilverspoor.session import CLEANED_SHUFFLES, HASHED_PARTITIONS
 from zilverspoor.sinks.load import create_silver, key_report, load_silver, reference_report
 from zilverspoor.sinks import load, tables
 from zilverspoor.sinks.tables import LoadError, TableStore
@@ -472,3 +476,78 @@ def test_a_load_hashes_small_partitions_of_shuffled_sides(spark, store, monkeypa
         assert spark.conf.get(key) == before[key]  # after an error too
     finally:
         spark.conf.set(small, before[small])
+
+
+def test_a_load_leaves_no_shuffle_files(spark, store):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {f for f in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+
+    create_silver(store)
+    source = spark.createDataFrame([(i, i % 7, "x") for i in range(500)], "besluitnr int, volgnr_ind int, kode_reden_einde_voorz string")
+    tables = {
+        "wvind_b": source.selectExpr("*", "1 as clientnr"),
+        "wvdos": source.selectExpr("*", "besluitnr as uniek").repartition(4),
+        "szukhis": source.selectExpr("besluitnr as uniekwvdos", "1.5 as bedrag", "2 as verslagnr").repartition(4),
+    }
+    before, seen = shuffled(), spark.conf.get(CLEANED_SHUFFLES[0])
+    load_silver(Bronze(tables), store, ["DECLARATIEREGEL"])
+    for _ in range(50):  # they go without being waited for
+        if shuffled() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= before
+    assert spark.conf.get(CLEANED_SHUFFLES[0]) == seen
+    assert store.read("DECLARATIEREGEL").count() == 500
+
+
+def test_only_small_actions_run_beside_a_large_one(spark, monkeypatch):
+    monkeypatch.setattr(session, "wave_bytes", lambda spark: 10)
+    lock, now, beside, order = threading.Lock(), set(), {}, []
+
+    def action(i):
+        with lock:
+            now.add(i)
+            order.append(i)
+            for j in now:
+                beside[j] = beside.get(j, set()) | now - {j}
+        time.sleep(0.3)
+        with lock:
+            now.remove(i)
+        return i * i
+
+    weights = [3, 100, 4, 80, 5]
+    actions = [partial(action, i) for i in range(5)]
+    assert session.together(spark, actions, 4, weights) == [0, 1, 4, 9, 16]
+    assert order[0] == 1 and 3 not in beside[1]
+    assert beside[1] and sum(weights[i] for i in beside[1]) <= 12  # some side by side, some later
+    order.clear()
+    assert session.together(spark, actions, 2) == [0, 1, 4, 9, 16]
+    assert sorted(order[:2]) == [0, 1]
+
+    def broken():
+        raise ValueError("broken")
+
+    order.clear()
+    with pytest.raises(ValueError, match="broken"):
+        session.together(spark, [broken, *actions], 1)
+    assert order == []
+
+
+def test_the_weight_of_a_mapping_is_what_it_reads(spark, tmp_path):
+    frame = spark.range(1000).selectExpr("id as besluitnr", "id as clientnr", "uuid() as other")
+    frame.write.parquet(f"{tmp_path}/one")
+    size = sum(f.stat().st_size for f in tmp_path.glob("one/*.parquet"))
+    planned = plan_all(Bronze({"wvbesl": spark.read.parquet(f"{tmp_path}/one")}), ["BESCHIKKING", "CLIENT"])
+    assert 0 < planned.weights["BESCHIKKING"] < size and planned.weights["CLIENT"] == 0
+
+
+def test_files_of_tables_take_little_room(spark, store, tmp_path):
+    store.replace(people(spark, (1, "a"), (2, "b")), "t")
+    store.write(people(spark, (3, "c")), "t", "append")
+    store.write(people(spark, (2, "x"), (4, "d")), "t", "upsert", key=["id"])
+    store.create(CLIENT)
+    store.write(spark.createDataFrame([("7",)], "RECHTSPERSOON_ID string"), "CLIENT", "overwrite")
+    written = [f.name for f in tmp_path.rglob("part-*.parquet")]
+    assert len(written) > 3 and all(f.endswith(".zstd.parquet") for f in written)

@@ -141,3 +141,24 @@ def test_provisions_against_sql_on_random_rows(spark, seed):
     frames = {n: spark.createDataFrame(t) for n, t in tables.items()}
     found = build("BESCHIKTE_VOORZIENING", Bronze(frames))
     assert compare(portable(found), connection, _PROVISIONS) is None
+
+
+def test_provisions_are_only_shuffled_for_rows_that_come_several_times(spark, bronze, tmp_path):
+    """Decisions and dossiers of one row each, then forty dossiers of one provision."""
+    one = spark.range(300).selectExpr(
+        "cast(id as string) as besluitnr", "'01' as volgnr_ind", "'c' as clientnr",
+        "timestamp_ntz'2023-12-01 12:00:00' as dd_begin", "timestamp_ntz'2023-12-02 12:00:00' as dd_eind",
+        "1 as volume", "'A' as status_indicatie", "4 as kode_regeling", "id as uniek", "'X' as kode_reden_einde_voorz",
+    )
+    one.write.parquet(f"{tmp_path}/one")
+    one = spark.read.parquet(f"{tmp_path}/one")
+    tables = bronze | {"wvind_b": one, "wvbesl": one.select("besluitnr"), "wvdos": one}
+    tables["abc_refcod"] = bronze["abc_refcod"].limit(1)
+    got = build("BESCHIKTE_VOORZIENING", Bronze(tables))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert got.count() == 300
+    assert "Exchange hashpartitioning" not in plan and "RoundRobin" not in plan
+    tables["wvdos"] = one.unionByName(one.where("besluitnr = '7'").selectExpr("*", "explode(sequence(1, 39)) as i").drop("i"))
+    got = build("BESCHIKTE_VOORZIENING", Bronze(tables))
+    assert got.count() == 339
+    assert "RoundRobin" in got._jdf.queryExecution().executedPlan().toString()

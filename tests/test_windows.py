@@ -128,3 +128,19 @@ def test_look_ahead_reads_its_input_once(spark):
     df = stays(spark, 1)
     plan = look_ahead(df, ["grp"], "day", "n")._jdf.queryExecution().optimizedPlan().toString()
     assert "LogicalRDD" not in plan and "Relation" in plan  # only what was written is read again
+
+
+def test_look_ahead_shuffles_whole_rows_once(spark, rows):
+    df = stays(spark, 1)
+    small = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(small)
+    spark.conf.set(small, "-1")
+    try:
+        # one column more than the ties, and a tie that nobody needs later
+        df = df.withColumn("other", F.col("id") + 1)
+        got = look_ahead(df, ["grp"], "day", "n", ties=["val", "id"]).drop("id")
+        got.collect()
+        plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.set(small, before)
+    assert plan.count("ReusedExchange") == 1

@@ -147,6 +147,9 @@ def look_ahead(
     The rows are written once, numbered, so what leads to them runs once. The
     steps from value to value come from three narrow columns; only values that
     several rows of a group share need their ties looked at, by partial maxima.
+    Both joins take whole rows, so that these are shuffled once for the two of
+    them; that holds while every column is a tie or needed later, so ``df`` should
+    have no others.
     """
     ties = list(ties or [c for c in df.columns if c not in keys and c != order])
     rows = keep(df.withColumn("__row", F.monotonically_increasing_id()), "look-ahead")
@@ -154,15 +157,18 @@ def look_ahead(
     found = rows.groupBy(*day).agg(F.count(F.lit(1)).alias("__n"), F.max("__row").alias("__any"))
     found = keep(found, "look-ahead-days")
     shared = found.where("__n > 1").select(*day)
-    last = F.max(F.struct(*ties, "__row"))["__row"]
+    place = F.struct(*[F.col(c).alias(f"t{i}") for i, c in enumerate([*ties, "__row"])])
+    whole = F.struct(place.alias("place"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(df.columns)])
     # an inner join with the few shared values keeps all other rows out of the maximum
-    lasts = join_null_safe(rows.select(*day, *[c for c in ties if c not in day], "__row"), shared, day, "inner")
-    lasts = lasts.groupBy(*day).agg(last.alias("__last"))
+    lasts = join_null_safe(rows, shared, day, "inner")
+    lasts = lasts.groupBy(*day).agg(F.max_by(whole, place)["place"].alias("__last"))
     following = F.lead(order).over(Window.partitionBy(*keys).orderBy(by(order)))
     steps = join_null_safe(found, lasts, day).select(
-        *day, F.coalesce("__last", "__any").alias("__last"), following.alias("__next")
+        *day, "__any", "__last", following.alias("__next")
     )
-    seen = F.when(F.col("__row") == F.col("__last"), F.col("__next")).otherwise(F.col(order))
+    alone = F.col("__last").isNull() & (F.col("__row") == F.col("__any"))
+    is_last = alone | (place == F.col("__last"))
+    seen = F.when(is_last, F.col("__next")).otherwise(F.col(order))
     return join_null_safe(rows, steps, day, "inner").select(*df.columns, seen.alias(out))
 
 

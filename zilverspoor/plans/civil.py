@@ -255,13 +255,9 @@ def registered_persons(src: SimpleNamespace) -> DataFrame:
         .join(src.gba_tgbaadr, "rsys_adr", "left")
     )
     # occupants and addresses may repeat a row any number of times
-    rows = look_ahead(
-        rows,
-        ["radm"],
-        "dwon_bgn",
-        "next_bgn",
-        ties=["dwon_end", "rsys_adr", "kwon_end", "kigs_gzr", "raw_bgn", "khfd_bew", "nid_nad", *_ADDRESS_TIES],
-    )
+    ties = ["dwon_end", "rsys_adr", "kwon_end", "kigs_gzr", "raw_bgn", "khfd_bew", "nid_nad", *_ADDRESS_TIES]
+    rows = rows.select("radm", "dwon_bgn", *ties, "kops", "dops", "dovl_gba", "omschrijving")
+    rows = look_ahead(rows, ["radm"], "dwon_bgn", "next_bgn", ties)
     suspension = (
         F.when(
             F.col("kops").isin(*SUSPENSIONS),
@@ -329,16 +325,11 @@ def residence_addresses(src: SimpleNamespace) -> DataFrame:
         src.gba_tgbaadr, "rsys_adr", "left"
     )
     # after the joins, as codes and addresses that occur twice follow each other, too
-    rows = look_ahead(
-        rows,
-        ["radm"],
-        "dwon_bgn",
-        "next_bgn",
-        ties=[
-            "dwon_end", "rsys_prs", "rsys_adr", "rvlg", "adresherkomst", "kwon_end", "dtoe_gba",
-            "reden", "nid_vbo", *_ADDRESS_TIES,
-        ],
-    )
+    ties = [
+        "dwon_end", "rsys_prs", "rsys_adr", "rvlg", "adresherkomst", "kwon_end", "dtoe_gba",
+        "reden", "nid_vbo", *_ADDRESS_TIES,
+    ]
+    rows = look_ahead(rows.select("radm", "dwon_bgn", *ties), ["radm"], "dwon_bgn", "next_bgn", ties)
     stay_key = concat_propagate(
         F.col("rsys_prs"), F.lit("-"), F.col("rsys_adr"), F.lit("-"), F.col("dwon_bgn")
     )

@@ -15,7 +15,7 @@ from zilverspoor.operators.columns import (
     resolve_columns,
     resolve_table,
 )
-from zilverspoor.session import together
+from zilverspoor.session import read_bytes, together
 
 
 @dataclass(frozen=True)
@@ -69,30 +69,35 @@ class Bronze:
         return resolve_columns(found, columns, self.matching, self.column_case)
 
 
+def sources(target: str, bronze: Bronze) -> dict[str, DataFrame]:
+    """The tables of a mapping, cut to the columns that it needs."""
+    return {name: bronze.table(name, columns) for name, columns in MAPPINGS[target].requires.items()}
+
+
 def build(
     target: str, bronze: Bronze, row_limit: int = 0, label_case: str = "none"
 ) -> DataFrame:
     """The frame of one mapping. A ``row_limit`` above zero is for development runs."""
-    spec = MAPPINGS[target]
-    tables = {name: bronze.table(name, columns) for name, columns in spec.requires.items()}
-    frame = spec.builder(SimpleNamespace(as_of=bronze.as_of, **tables))
+    tables = sources(target, bronze)
+    frame = MAPPINGS[target].builder(SimpleNamespace(as_of=bronze.as_of, **tables))
     frame = coerce_labels(frame, label_case)
     return frame.limit(row_limit) if row_limit > 0 else frame
 
 
 @dataclass(frozen=True)
 class Planned:
-    """Mappings that can run, and for the others what they miss."""
+    """Mappings that can run, and for the others what they miss; the bytes that each one reads."""
 
     frames: dict[str, DataFrame]
     skipped: dict[str, str]
+    weights: dict[str, int] = field(default_factory=dict)
 
 
 def plan_all(
     bronze: Bronze, targets: Iterable[str] | None = None, row_limit: int = 0, width: int = 4
 ) -> Planned:
-    """Build every mapping whose tables and columns are there, ``width`` side by side, as some
-    write their joined rows while they are built.
+    """Build every mapping whose tables and columns are there, up to ``width`` side by side, as
+    some write their joined rows while they are built.
 
     Only a missing table or column skips a mapping; any other error stops the run.
     """
@@ -104,9 +109,19 @@ def plan_all(
         except MissingSource as error:
             return str(error)
 
+    def weight(target: str) -> int:
+        try:
+            return sum(read_bytes(df) for df in sources(target, bronze).values())
+        except MissingSource:
+            return 0
+
     sessions = [df.sparkSession for df in bronze.tables.values()]
     actions = [partial(one, name) for name in names]
-    made = together(sessions[0], actions, width) if sessions else [a() for a in actions]
+    weights = {name: weight(name) for name in names}
+    if sessions:
+        made = together(sessions[0], actions, width, [weights[name] for name in names])
+    else:
+        made = [action() for action in actions]
     found = dict(zip(names, made))
     frames = {t: f for t, f in found.items() if not isinstance(f, str)}
-    return Planned(frames, {t: f for t, f in found.items() if isinstance(f, str)})
+    return Planned(frames, {t: f for t, f in found.items() if isinstance(f, str)}, weights)

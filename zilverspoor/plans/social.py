@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from types import SimpleNamespace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zilverspoor.functions import concat_skip_null, local_date
 from zilverspoor.operators.columns import project, typed_null
 from zilverspoor.operators.expand import repeat_rows
 from zilverspoor.plans.registry import mapping
+from zilverspoor.session import keep
 
 # The youth law, and the code domains of end reasons under it and
 # under any other law.
@@ -61,6 +62,10 @@ def granted_provisions(src: SimpleNamespace) -> DataFrame:
     the law; a provision without a known law matches none. No column of a right
     side comes out, so each is reduced to numbers of matches before it is joined,
     and rows are repeated at the end.
+
+    A decision of one row, and dossiers that come to one row under any law, change
+    nothing. Only the others are joined. They are written first: then it is known
+    how large they are, and how often a row is repeated at most.
     """
     laws = src.szregel.groupBy("kode_regeling").agg(
         F.count_if(F.col("omschryving") == YOUTH_LAW).alias("youth_laws"),
@@ -68,6 +73,7 @@ def granted_provisions(src: SimpleNamespace) -> DataFrame:
         F.count_if(F.col("omschryving").isNull()).alias("unknown_laws"),
     )
     decisions = src.wvbesl.groupBy("besluitnr").agg(F.count(F.lit(1)).alias("decisions"))
+    decisions = decisions.where("decisions > 1")
     reasons = src.abc_refcod.groupBy("code").agg(
         F.count_if(F.col("domein") == YOUTH_REASONS).alias("youth_reasons"),
         F.count_if(F.col("domein") == OTHER_REASONS).alias("other_reasons"),
@@ -85,6 +91,16 @@ def granted_provisions(src: SimpleNamespace) -> DataFrame:
             matched("other_reasons").alias("other_rows"),
             F.sum("n").alias("plain_rows"),
         )
+        .where("youth_rows > 1 or other_rows > 1 or plain_rows > 1")
+    )
+    laws, decisions, dossiers = (
+        keep(df, f"provisions-{name}")
+        for name, df in (("laws", laws), ("decisions", decisions), ("dossiers", dossiers))
+    )
+    most = (
+        _most(laws, F.col("youth_laws") + F.col("other_laws") + F.col("unknown_laws"))
+        * _most(decisions, F.col("decisions"))
+        * _most(dossiers, F.greatest("youth_rows", "other_rows", "plain_rows"))
     )
     one = lambda c: F.coalesce(c, F.lit(1))
     none = lambda c: F.coalesce(c, F.lit(0))
@@ -109,7 +125,7 @@ def granted_provisions(src: SimpleNamespace) -> DataFrame:
         .join(dossiers, ["besluitnr", "volgnr_ind"], "left")
         .select(*provisions.columns, copies.alias("copies"))
     )
-    rows = repeat_rows(rows, "copies")
+    rows = repeat_rows(rows, "copies", most=most)
     return rows.select(
         F.col("datumeinde"),
         F.col("datumstart"),
@@ -131,6 +147,11 @@ def granted_provisions(src: SimpleNamespace) -> DataFrame:
     )
 
 
+def _most(df: DataFrame, rows: Column) -> int:
+    """The largest number of rows that one row becomes by a join; one for a row without a match."""
+    return max(1, df.agg(F.max(rows)).first()[0] or 1)
+
+
 @mapping("CLIENT", szclient=["clientnr", "ind_gezag"])
 def clients(src: SimpleNamespace) -> DataFrame:
     return project(

@@ -12,7 +12,7 @@ from zilverspoor.contracts import CONTRACTS, TableContract
 from zilverspoor.operators.conform import Conformed, conform
 from zilverspoor.operators.quality import fk_orphans, pk_violations
 from zilverspoor.plans.registry import Bronze, plan_all
-from zilverspoor.session import hashed_joins, together
+from zilverspoor.session import cleaned_shuffles, hashed_joins, together
 from zilverspoor.sinks.tables import LoadError, Staged, TableStore
 
 _REPORT = "target string, status string, reason string"
@@ -42,7 +42,7 @@ def load_silver(
 ) -> DataFrame:
     """Run the mappings and show their rows in all tables at once.
 
-    Every mapping is written aside first, ``width`` of them at a time. Rows that
+    Every mapping is written aside first, up to ``width`` of them at a time. Rows that
     do not fit their table's contract go to the table ``REJECTED`` with the
     reasons; ``strict`` makes them an error. If a mapping fails, or ``check_keys``
     finds a duplicate key, no table changes. A mapping whose source is missing is
@@ -73,17 +73,19 @@ def load_silver(
                 raise LoadError(f"{target}: key {list(key)} is not unique or incomplete")
         return item, found
 
-    with hashed_joins(store.spark):
-        planned = plan_all(bronze, targets, row_limit, width)
-        actions = [partial(stage, target, frame) for target, frame in planned.frames.items()]
-        done = together(store.spark, actions, width)
-    staged = [item for item, _ in done]
-    bad = [rows for _, rows in done if rows is not None]
-    if bad:
-        if not store.exists(REJECTED):
-            store.replace(bad[0].limit(0), REJECTED)
-        rows = reduce(DataFrame.unionByName, bad)
-        staged.append(store.stage(rows, REJECTED, "append"))
+    with cleaned_shuffles(store.spark):
+        with hashed_joins(store.spark):
+            planned = plan_all(bronze, targets, row_limit, width)
+            actions = [partial(stage, target, frame) for target, frame in planned.frames.items()]
+            weights = [planned.weights.get(target, 0) for target in planned.frames]
+            done = together(store.spark, actions, width, weights)
+        staged = [item for item, _ in done]
+        bad = [rows for _, rows in done if rows is not None]
+        if bad:
+            if not store.exists(REJECTED):
+                store.replace(bad[0].limit(0), REJECTED)
+            rows = reduce(DataFrame.unionByName, bad)
+            staged.append(store.stage(rows, REJECTED, "append"))
     store.publish(staged)
     staged = [item for item in staged if item.table != REJECTED]
     return load_report(store.spark, [i.table for i in staged], planned.skipped)

@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 from zilverspoor.contracts import TableContract
 from zilverspoor.operators.columns import typed_null
 from zilverspoor.operators.history import latest_rows
+from zilverspoor.session import COMPRESSION
 from zilverspoor.sinks.versions import Version, VersionLog
 
 MODES = ("append", "overwrite", "truncate", "upsert")
@@ -201,7 +202,7 @@ class TableStore:
     def _define(self, table: str, columns: str, path: str) -> None:
         self.spark.sql(
             f"CREATE TABLE {self.name(table)} ({columns}) USING parquet "
-            f"OPTIONS (recursiveFileLookup 'true') LOCATION '{path}'"
+            f"OPTIONS (recursiveFileLookup 'true', compression '{COMPRESSION}') LOCATION '{path}'"
         )
 
     def _redefine(self, table: str, columns: str, path: str) -> None:
@@ -261,7 +262,7 @@ class TableStore:
         With the same columns as before the table only points to another folder.
         """
         name = _new_name()
-        df.write.parquet(self._folder(table, name))
+        df.write.option("compression", COMPRESSION).parquet(self._folder(table, name))
         columns = _columns(df)
         if self.exists(table) and _columns(self.read(table)) == columns:
             columns = self.version(table).columns  # lengths stay
@@ -365,7 +366,7 @@ class TableStore:
         name = _new_name()
         out = self._folder(table, name)
         written = written.withColumn(bucket, number).repartition(F.col(bucket), slot)
-        written.write.partitionBy(bucket).parquet(out)
+        written.write.option("compression", COMPRESSION).partitionBy(bucket).parquet(out)
         parts = {b: f"{name}/{bucket}={b}" for b in map(str, range(buckets))}
         sizes = {b: self.log.size(self._folder(table, part)) for b, part in parts.items()}
         folders = {b: [parts[b], size] for b, size in sizes.items() if size}

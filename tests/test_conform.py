@@ -103,3 +103,14 @@ def test_reasons_are_only_gathered_for_rows_that_have_some(spark):
     }
     plan = checked._jdf.queryExecution().optimizedPlan().toString()
     assert re.search(r"CASE WHEN isnotnull\(coalesce\(.* THEN \w+\(filter\(array\(", plan)
+
+
+def test_only_values_that_may_not_fit_are_looked_at(spark):
+    fields = [T.StructField("A", T.VarcharType(20)), T.StructField("B", T.VarcharType(5)), T.StructField("C", T.LongType())]
+    contract = TableContract("T", T.StructType(fields), primary_key=("A",))
+    df = spark.createDataFrame([(-(2**63), 12345, 7), (None, 123456, None)], "a long, b int, c long")
+    got = {tuple(r) for r in conform(df, contract).rejected.selectExpr("A", "B", "C", "array_join(problems, ' ')").collect()}
+    assert got == {(None, "123456", None, "null:A length:B")}
+    assert conform(df, contract).accepted.collect() == [(str(-(2**63)), "12345", 7)]
+    plan = conform(df, contract).checked._jdf.queryExecution().optimizedPlan().toString()
+    assert "length:B" in plan and "length:A" not in plan and "cast:C" not in plan

@@ -2,12 +2,14 @@ import threading
 import time
 import uuid
 from functools import partial
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from zilverspoor.contracts import BESCHIKKING, CLIENT, WET_ENUM
 from zilverspoor.plans import MAPPINGS, Bronze, build, plan_all
+from zilverspoor.plans.registry import source_bytes
 from zilverspoor import session
 from zilverspoor.session import CLEANED_SHUFFLES, HASHED_PARTITIONS
 from zilverspoor.sinks.load import create_silver, key_report, load_silver, reference_report
@@ -539,8 +541,26 @@ def test_the_weight_of_a_mapping_is_what_it_reads(spark, tmp_path):
     frame = spark.range(1000).selectExpr("id as besluitnr", "id as clientnr", "uuid() as other")
     frame.write.parquet(f"{tmp_path}/one")
     size = sum(f.stat().st_size for f in tmp_path.glob("one/*.parquet"))
-    planned = plan_all(Bronze({"wvbesl": spark.read.parquet(f"{tmp_path}/one")}), ["BESCHIKKING", "CLIENT"])
-    assert 0 < planned.weights["BESCHIKKING"] < size and planned.weights["CLIENT"] == 0
+    source = Bronze({"wvbesl": spark.read.parquet(f"{tmp_path}/one")})
+    assert 0 < source_bytes("BESCHIKKING", source) < size
+    assert source_bytes("CLIENT", source) == 0  # will be skipped
+
+
+def test_a_load_drops_its_working_folders(spark, store):
+    create_silver(store)
+    shared = Path(session.shared_dir(spark).removeprefix("file:"))
+    before = set(shared.iterdir())
+    tables = {
+        "wvind_b": spark.sql("select '1' as besluitnr, '01' as volgnr_ind, cast(null as timestamp_ntz) as dd_begin, cast(null as timestamp_ntz) as dd_eind, 1 as volume, repeat('x', id * 60) as status_indicatie, 4 as kode_regeling from range(2)"),
+        "szregel": spark.sql("select 4 as kode_regeling, 'WMO' as omschryving"),
+        "wvbesl": spark.sql("select '1' as besluitnr"),
+        "wvdos": spark.sql("select '1' as besluitnr, '01' as volgnr_ind, 'x' as kode_reden_einde_voorz from range(3)"),
+        "abc_refcod": spark.sql("select 'x' as code, 'WVRTEIND' as domein"),
+    }
+    load_silver(Bronze(tables), store, ["BESCHIKTE_VOORZIENING"])
+    assert store.read("BESCHIKTE_VOORZIENING").count() == 3
+    assert store.read(load.REJECTED).count() == 3  # the text that is too long, read once more
+    assert set(shared.iterdir()) == before
 
 
 def test_files_of_tables_take_little_room(spark, store, tmp_path):

@@ -26,6 +26,8 @@ _KEPT = (
     T.BinaryType,
     T.TimestampNTZType,
 )
+#: Values of these types never have more characters as text.
+_CHARACTERS = {T.BooleanType: 5, T.ByteType: 4, T.ShortType: 6, T.IntegerType: 11, T.LongType: 20}
 
 
 def portable_type(data_type: T.DataType, one_digit_is_boolean: bool = False) -> T.DataType:
@@ -132,6 +134,7 @@ def conform(df: DataFrame, contract: TableContract, null_keys: bool = False) ->
     ``null_keys`` lets them pass, a key column is NULL. One scan serves each side; nothing is compared across rows.
     """
     have = {c.lower(): c for c in df.columns}
+    kinds = {f.name: f.dataType for f in df.schema}
     columns, problems = [], []
     for field in contract.schema:
         source = have.get(field.name.lower())
@@ -140,7 +143,9 @@ def conform(df: DataFrame, contract: TableContract, null_keys: bool = False) ->
         else:
             raw = F.col(f"`{source}`")
             value = _cast_to(raw, field.dataType)
-            if isinstance(field.dataType, (T.VarcharType, T.CharType)):
+            if _always_fits(kinds[source], field.dataType):
+                pass
+            elif isinstance(field.dataType, (T.VarcharType, T.CharType)):
                 too_long = F.length(value) > field.dataType.length
                 problems.append(F.when(too_long, F.lit(f"length:{field.name}")))
             else:
@@ -156,5 +161,12 @@ def conform(df: DataFrame, contract: TableContract, null_keys: bool = False) ->
     return Conformed(df.select(*columns, found.alias("__problems")))
 
 
+def _always_fits(source: T.DataType, target: T.DataType) -> bool:
+    """Whether no value of a type can be lost or too long, so that none needs to be looked at."""
+    if isinstance(target, (T.VarcharType, T.CharType)):
+        return type(source) in _CHARACTERS and _CHARACTERS[type(source)] <= target.length
+    return source == target
+
+
 def _plain(data_type: T.DataType) -> T.DataType:
     return T.StringType() if isinstance(data_type, (T.VarcharType, T.CharType)) else data_type

@@ -84,13 +84,20 @@ def build(
     return frame.limit(row_limit) if row_limit > 0 else frame
 
 
+def source_bytes(target: str, bronze: Bronze) -> int:
+    """Bytes that a mapping reads, none if it has to be skipped."""
+    try:
+        return sum(read_bytes(df) for df in sources(target, bronze).values())
+    except MissingSource:
+        return 0
+
+
 @dataclass(frozen=True)
 class Planned:
-    """Mappings that can run, and for the others what they miss; the bytes that each one reads."""
+    """Mappings that can run, and for the others what they miss."""
 
     frames: dict[str, DataFrame]
     skipped: dict[str, str]
-    weights: dict[str, int] = field(default_factory=dict)
 
 
 def plan_all(
@@ -109,19 +116,13 @@ def plan_all(
         except MissingSource as error:
             return str(error)
 
-    def weight(target: str) -> int:
-        try:
-            return sum(read_bytes(df) for df in sources(target, bronze).values())
-        except MissingSource:
-            return 0
-
     sessions = [df.sparkSession for df in bronze.tables.values()]
     actions = [partial(one, name) for name in names]
-    weights = {name: weight(name) for name in names}
     if sessions:
-        made = together(sessions[0], actions, width, [weights[name] for name in names])
+        weights = [source_bytes(name, bronze) for name in names] if len(names) > 1 else None
+        made = together(sessions[0], actions, width, weights)
     else:
         made = [action() for action in actions]
     found = dict(zip(names, made))
     frames = {t: f for t, f in found.items() if not isinstance(f, str)}
-    return Planned(frames, {t: f for t, f in found.items() if isinstance(f, str)}, weights)
+    return Planned(frames, {t: f for t, f in found.items() if isinstance(f, str)})

@@ -11,8 +11,14 @@ from pyspark.sql import functions as F
 from zilverspoor.contracts import CONTRACTS, TableContract
 from zilverspoor.operators.conform import Conformed, conform
 from zilverspoor.operators.quality import fk_orphans, pk_violations
-from zilverspoor.plans.registry import Bronze, plan_all
-from zilverspoor.session import cleaned_shuffles, hashed_joins, together
+from zilverspoor.plans.registry import MAPPINGS, Bronze, plan_all, source_bytes
+from zilverspoor.session import (
+    cleaned_shuffles,
+    drop_folders,
+    hashed_joins,
+    together,
+    working_folders,
+)
 from zilverspoor.sinks.tables import LoadError, Staged, TableStore
 
 _REPORT = "target string, status string, reason string"
@@ -42,7 +48,8 @@ def load_silver(
 ) -> DataFrame:
     """Run the mappings and show their rows in all tables at once.
 
-    Every mapping is written aside first, up to ``width`` of them at a time. Rows that
+    Every mapping is written aside first, up to ``width`` of them at a time, but large ones one
+    after another: what a mapping shuffles and keeps on the way is gone when the next begins. Rows that
     do not fit their table's contract go to the table ``REJECTED`` with the
     reasons; ``strict`` makes them an error. If a mapping fails, or ``check_keys``
     finds a duplicate key, no table changes. A mapping whose source is missing is
@@ -73,12 +80,27 @@ def load_silver(
                 raise LoadError(f"{target}: key {list(key)} is not unique or incomplete")
         return item, found
 
+    kept: list[str] = []  # what rows that do not fit are read from once more
+
+    def load(target: str) -> tuple[Staged, DataFrame | None] | str:
+        with working_folders() as folders:
+            planned = plan_all(bronze, [target], row_limit, width)
+            if target in planned.skipped:
+                return planned.skipped[target]
+            item, found = stage(target, planned.frames[target])
+        if found is None:
+            drop_folders(store.spark, folders)
+        else:
+            kept.extend(folders)
+        return item, found
+
+    names = list(dict.fromkeys(targets if targets is not None else MAPPINGS))
     with cleaned_shuffles(store.spark):
         with hashed_joins(store.spark):
-            planned = plan_all(bronze, targets, row_limit, width)
-            actions = [partial(stage, target, frame) for target, frame in planned.frames.items()]
-            weights = [planned.weights.get(target, 0) for target in planned.frames]
-            done = together(store.spark, actions, width, weights)
+            weights = [source_bytes(name, bronze) for name in names]
+            results = together(store.spark, [partial(load, name) for name in names], width, weights)
+        skipped = {name: r for name, r in zip(names, results) if isinstance(r, str)}
+        done = [r for r in results if not isinstance(r, str)]
         staged = [item for item, _ in done]
         bad = [rows for _, rows in done if rows is not None]
         if bad:
@@ -86,9 +108,10 @@ def load_silver(
                 store.replace(bad[0].limit(0), REJECTED)
             rows = reduce(DataFrame.unionByName, bad)
             staged.append(store.stage(rows, REJECTED, "append"))
+            drop_folders(store.spark, kept)
     store.publish(staged)
     staged = [item for item in staged if item.table != REJECTED]
-    return load_report(store.spark, [i.table for i in staged], planned.skipped)
+    return load_report(store.spark, [i.table for i in staged], skipped)
 
 
 def rejected_lines(target: str, rows: DataFrame) -> DataFrame:

@@ -505,7 +505,7 @@ def test_a_load_leaves_no_shuffle_files(spark, store):
 
 
 def test_only_small_actions_run_beside_a_large_one(spark, monkeypatch):
-    monkeypatch.setattr(session, "wave_bytes", lambda spark: 10)
+    monkeypatch.setattr(session, "small_bytes", lambda spark: 10)
     lock, now, beside, order = threading.Lock(), set(), {}, []
 
     def action(i):
